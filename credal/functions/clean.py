@@ -182,7 +182,8 @@ def composite_score(score2: ColumnOrName, score3: ColumnOrName, overdue: ColumnO
     """Mean of three coalesced risk terms (defaults 0.5, 0.5, 0.0)."""
     t1 = F.coalesce(F.lit(1.0) - _c(score2), F.lit(0.5))
     t2 = F.coalesce(F.lit(1.0) - _c(score3), F.lit(0.5))
-    t3 = F.coalesce(_c(overdue).cast("double") / F.when(_c(credits) != 0, _c(credits)), F.lit(0.0))
+    t3 = F.coalesce(F.coalesce(_c(overdue), F.lit(0)).cast("double") / F.when(_c(credits) != 0, _c(credits)),
+                    F.lit(0.0))
     return (t1 + t2 + t3) / F.lit(3.0)
 
 

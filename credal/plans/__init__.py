@@ -4,6 +4,7 @@ import importlib
 
 _MODULES = (
     "credal.plans.demo_features",
+    "credal.plans.demo_credit",
 )
 
 
