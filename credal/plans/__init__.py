@@ -5,6 +5,7 @@ import importlib
 _MODULES = (
     "credal.plans.demo_features",
     "credal.plans.demo_credit",
+    "credal.plans.demo_preprocess",
 )
 
 
