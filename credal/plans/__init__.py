@@ -6,6 +6,7 @@ _MODULES = (
     "credal.plans.demo_features",
     "credal.plans.demo_credit",
     "credal.plans.demo_preprocess",
+    "credal.plans.demo_evaluate",
 )
 
 
