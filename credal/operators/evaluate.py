@@ -279,39 +279,10 @@ def best_threshold(sweep: DataFrame, by: str = "cost") -> DataFrame:
 # cumulative sums over a sorted key -------------------------------------------------------
 def cumulative_by_key(df: DataFrame, key: str, values: Sequence[str], descending: bool = False,
                       buckets: int = 64) -> DataFrame:
-    """Running sums of ``values`` in ``key`` order (inclusive), exact.
-
-    The key range is cut at approximate quantiles into ``buckets`` ranges;
-    per-bucket totals (one small aggregate) give each bucket's offset, and
-    the running sum inside a bucket is a window partitioned by the bucket,
-    so no window holds more than about 1/buckets of the rows. ``df`` must
-    have one row per key (aggregate first).
-    """
-    k = F.col(key)
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx(k, qs, 10000).alias("b")).first()["b"] or []
-    bounds = sorted(set(bounds))
-    bexpr = sum((F.when(k > F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0))
-    if descending:
-        bexpr = F.lit(len(bounds)) - bexpr
-    with_b = df.withColumn("__bucket", bexpr)
-    tot = with_b.groupBy("__bucket").agg(*[F.sum(v).alias(f"__t_{v}") for v in values]).collect()
-    offsets = {}
-    acc = {v: 0 for v in values}
-    for r in sorted(tot, key=lambda r: r["__bucket"]):
-        offsets[r["__bucket"]] = dict(acc)
-        for v in values:
-            acc[v] += r[f"__t_{v}"] or 0
-    order = k.desc() if descending else k.asc()
-    w = Window.partitionBy("__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = with_b
-    for v in values:
-        off = None
-        for b, o in offsets.items():
-            off = F.when(F.col("__bucket") == b, F.lit(o[v])) if off is None else off.when(F.col("__bucket") == b, F.lit(o[v]))
-        off = F.lit(0) if off is None else off.otherwise(F.lit(0))
-        out = out.withColumn(f"cum_{v}", F.sum(v).over(w) + off)
-    return out.drop("__bucket")
+    """Inclusive running sums of ``values`` in ``key`` order (exact, bucketed:
+    see :mod:`credal.operators.cumulative`)."""
+    from credal.operators.cumulative import cumulative_sums
+    return cumulative_sums(df, key, values, descending=descending, buckets=buckets)
 
 
 def _score_table(df: DataFrame, score: str, label: str) -> DataFrame:

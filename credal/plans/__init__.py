@@ -7,6 +7,7 @@ _MODULES = (
     "credal.plans.demo_credit",
     "credal.plans.demo_preprocess",
     "credal.plans.demo_evaluate",
+    "credal.plans.demo_monitor",
 )
 
 
