@@ -8,6 +8,7 @@ _MODULES = (
     "credal.plans.demo_preprocess",
     "credal.plans.demo_evaluate",
     "credal.plans.demo_monitor",
+    "credal.plans.demo_profile",
 )
 
 
