@@ -9,6 +9,7 @@ _MODULES = (
     "credal.plans.demo_evaluate",
     "credal.plans.demo_monitor",
     "credal.plans.demo_profile",
+    "credal.plans.demo_clean",
 )
 
 
