@@ -220,3 +220,19 @@ def importance_average(df: DataFrame, feature: str = "feature", importance: str
     the feature: a top-k report)."""
     return (df.groupBy(feature).agg(F.avg(importance).alias("importance_mean"))
             .orderBy(F.col("importance_mean").desc(), F.col(feature)).limit(top))
+
+
+def first_per_group(df: DataFrame, group: str, order: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """The row with the smallest ``order`` value of every group.
+
+    ``min_by`` is a partial aggregate (one candidate row per group and input
+    partition), so a group holding most of the rows never sits in one task
+    as a window partition would."""
+    cols = [c for c in (columns or df.columns) if c != group]
+    best = F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(F.col(order), *[F.col(c) for c in cols]))
+    return df.groupBy(group).agg(best.alias("_r")).select(group, *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
+def last_n(df: DataFrame, ts: str, n: int, tie: Sequence[str] = ()) -> DataFrame:
+    """The ``n`` newest rows, newest first (top-n: each task keeps n)."""
+    return df.orderBy(F.col(ts).desc(), *[F.col(c).desc() for c in tie]).limit(n)

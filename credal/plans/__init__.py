@@ -10,6 +10,7 @@ _MODULES = (
     "credal.plans.demo_monitor",
     "credal.plans.demo_profile",
     "credal.plans.demo_clean",
+    "credal.plans.demo_agg",
 )
 
 
