@@ -54,3 +54,10 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double/float column (oracle comparisons hash exact values)."""
     return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if f.dataType.typeName() in ("double", "float")
                        else F.col(f.name) for f in df.schema.fields])
+
+
+def sround(expr: str, digits: int = 6) -> str:
+    """Oracle-side rounding that matches Spark's ``round`` on doubles: Spark
+    rounds the shortest decimal text of the double half-up, so the SQL goes
+    double → text → decimal → round instead of rounding the binary value."""
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 15)), {digits}) AS DOUBLE)"

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from credal.functions import clean as C
 from credal.operators import aggregate as A
 from credal.operators import assemble as J
-from credal.plans.catalog import register, rounded, table
+from credal.plans.catalog import register, rounded, sround, table
 
-SPEC_SQL = """
-WITH o AS (SELECT o_custkey, o_totalprice / 1000.0 AS price_k, o_orderpriority, o_orderkey FROM orders)
-SELECT o_custkey, round(min(price_k), 6) AS "ORD_PRICE_K_MIN", round(max(price_k), 6) AS "ORD_PRICE_K_MAX",
-       round(avg(price_k), 6) AS "ORD_PRICE_K_MEAN", round(var_samp(price_k), 6) AS "ORD_PRICE_K_VAR",
-       round(sum(price_k), 6) AS "ORD_PRICE_K_SUM", count(DISTINCT o_orderpriority) AS "ORD_O_ORDERPRIORITY_NUNIQUE",
+SPEC_SQL = f"""
+WITH o AS (SELECT o_custkey, o_totalprice / 7001.0 AS price_k, o_orderpriority, o_orderkey FROM orders)
+SELECT o_custkey, {sround("min(price_k)")} AS "ORD_PRICE_K_MIN", {sround("max(price_k)")} AS "ORD_PRICE_K_MAX",
+       {sround("avg(price_k)")} AS "ORD_PRICE_K_MEAN", {sround("var_samp(price_k)")} AS "ORD_PRICE_K_VAR",
+       {sround("sum(price_k)")} AS "ORD_PRICE_K_SUM", count(DISTINCT o_orderpriority) AS "ORD_O_ORDERPRIORITY_NUNIQUE",
        count(*) AS "ORD_O_ORDERKEY_SIZE"
 FROM o GROUP BY o_custkey
 """
@@ -22,7 +22,7 @@ FROM o GROUP BY o_custkey
 @register("agg_spec_driven", "A06", SPEC_SQL)
 def q_spec(spark, sf_dir):
     """{column: [min, max, mean, var, sum, nunique, size]} → PREFIX_COLUMN_FUNC per customer."""
-    o = table(spark, sf_dir, "orders").select("o_custkey", (F.col("o_totalprice") / 1000.0).alias("price_k"),
+    o = table(spark, sf_dir, "orders").select("o_custkey", (F.col("o_totalprice") / 7001.0).alias("price_k"),
                                               "o_orderpriority", "o_orderkey")
     spec = {"price_k": ["min", "max", "mean", "var", "sum"], "o_orderpriority": ["nunique"], "o_orderkey": ["size"]}
     return rounded(A.spec_aggregate(o, "o_custkey", spec, prefix="ord_"))
