@@ -11,6 +11,7 @@ _MODULES = (
     "credal.plans.demo_profile",
     "credal.plans.demo_clean",
     "credal.plans.demo_agg",
+    "credal.plans.demo_train",
 )
 
 

@@ -23,11 +23,13 @@ from credal.plans.catalog import register, rounded, table
 TRAIN_CUTOFF = "1999-01-01"
 
 
-def matrix_standin(spark, sf_dir):
+def matrix_standin(spark, sf_dir, with_row_id: bool = False):
     li = table(spark, sf_dir, "lineitem")
     ln = F.col("l_linenumber")
+    # (order, line) repeats in the driver data; a hash of the whole row identifies a line
+    rid = [F.xxhash64(*[F.col(c) for c in li.columns]).alias("row_id")] if with_row_id else []
     return li.select(
-        "l_orderkey", "l_linenumber",
+        *rid, "l_orderkey", "l_linenumber",
         F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O"), F.lit(None))
          .otherwise(F.col("l_quantity")).alias("q"),
         F.col("l_tax").alias("t"),
