@@ -12,6 +12,7 @@ _MODULES = (
     "credal.plans.demo_clean",
     "credal.plans.demo_agg",
     "credal.plans.demo_train",
+    "credal.plans.demo_sources",
 )
 
 

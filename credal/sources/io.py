@@ -175,7 +175,8 @@ def append_jsonl(df: DataFrame, path: str, probability: str | None = None) -> st
     """Append one JSON object per row (probability rounded to 6 decimals)."""
     if probability:
         df = df.withColumn(probability, F.round(F.col(probability), 6))
-    df.write.mode("append").json(path)
+    (df.write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path))  # keep microseconds
     return path
 
 
