@@ -13,6 +13,7 @@ _MODULES = (
     "credal.plans.demo_agg",
     "credal.plans.demo_train",
     "credal.plans.demo_sources",
+    "credal.plans.demo_stream",
 )
 
 

@@ -40,10 +40,18 @@ def read_log_stream(spark: SparkSession, path: str, schema: T.StructType = LOG_S
 
 
 # T02 / T03 / T04 --------------------------------------------------------------------
+def _event_time(stream: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need a TIMESTAMP column; a TIMESTAMP_NTZ log time is read as
+    a UTC wall-clock time (the session time zone is UTC)."""
+    if dict(stream.dtypes).get(ts) == "timestamp_ntz":
+        return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    return stream
+
+
 def hourly_decisions(stream: DataFrame, ts: str = "ts", decision: str = "decision",
                      watermark: str = "2 hours") -> DataFrame:
     """Tumbling one-hour windows × decision, bounded by a watermark."""
-    return (stream.withWatermark(ts, watermark)
+    return (_event_time(stream, ts).withWatermark(ts, watermark)
             .groupBy(F.window(F.col(ts), "1 hour").alias("w"), F.col(decision))
             .agg(F.count(F.lit(1)).alias("n")))
 
@@ -53,7 +61,7 @@ def windowed_indicators(stream: DataFrame, ts: str = "ts", window: str = "1 day"
                         latency: str = "latency_ms") -> DataFrame:
     """Per event-time window: totals, refusals, refusal rate, mean
     probability and approximate latency p95 (bounded-memory sketch)."""
-    return (stream.withWatermark(ts, watermark)
+    return (_event_time(stream, ts).withWatermark(ts, watermark)
             .groupBy(F.window(F.col(ts), window).alias("w"))
             .agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(decision) == C.REFUSED).alias("refusals"),
                  F.avg(probability).alias("mean_probability"),
@@ -64,7 +72,7 @@ def windowed_indicators(stream: DataFrame, ts: str = "ts", window: str = "1 day"
 def deduplicate(stream: DataFrame, key: Sequence[str] = ("request_id",), ts: str = "ts",
                 watermark: str = "1 day") -> DataFrame:
     """One row per request id; state kept only within the watermark."""
-    return stream.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(key))
+    return _event_time(stream, ts).withWatermark(ts, watermark).dropDuplicatesWithinWatermark(list(key))
 
 
 # T05 --------------------------------------------------------------------------------
