@@ -145,3 +145,36 @@ def q_registry(spark, sf_dir):
     path = io.scratch_dir(spark, "registry")
     reg.write.mode("overwrite").json(path)
     return spark.read.schema(reg.schema).json(path)
+
+
+CHUNKED_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
+
+
+@register("export_replace_then_append", "S08,S04", CHUNKED_SQL)
+def q_chunked(spark, sf_dir):
+    """The first part replaces the table, later parts append (each write is
+    distributed; there is no 10,000-row chunk loop)."""
+    path = io.scratch_dir(spark, "export")
+    c = table(spark, sf_dir, "customer")
+    io.write_table(c.where(F.col("c_nationkey") < 12), path, mode="overwrite")
+    io.write_table(c.where(F.col("c_nationkey") >= 12), path, mode="append")
+    return spark.read.parquet(path)
+
+
+XY_SQL = """
+SELECT o.o_custkey AS c_custkey, count(*) AS n_orders, round(avg(o_totalprice), 6) AS mean_price,
+       CASE WHEN c.c_acctbal < 0 THEN 1 ELSE 0 END AS y
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+GROUP BY o.o_custkey, c.c_acctbal
+"""
+
+
+@register("features_labels_by_key", "J05,E20", XY_SQL)
+def q_xy(spark, sf_dir):
+    """Features and labels kept together by joining on the key (row positions
+    carry no meaning in Spark)."""
+    from credal.operators.assemble import align_by_key
+    x = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.avg("o_totalprice").alias("mean_price"))
+    y = table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("y"))
+    return rounded(align_by_key(x, y, "c_custkey"))
