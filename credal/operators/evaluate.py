@@ -292,9 +292,9 @@ def _score_table(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def roc_auc(df: DataFrame, score: str, label: str, buckets: int = 64) -> DataFrame:
     """Exact ROC-AUC, ties counted one half (= Mann–Whitney with average
-    ranks): Σ_s neg_s · (pos_below_s + pos_s / 2) / (P · N)."""
-    t = cumulative_by_key(_score_table(df, score, label), "s", ["pos"], buckets=buckets)
-    contrib = F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2.0)
+    ranks): Σ_s pos_s · (neg_below_s + neg_s / 2) / (P · N)."""
+    t = cumulative_by_key(_score_table(df, score, label), "s", ["neg"], buckets=buckets)
+    contrib = F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)
     return t.agg((F.sum(contrib) / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
 
 

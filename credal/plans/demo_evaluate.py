@@ -159,11 +159,11 @@ def q_best(spark, sf_dir):
 AUC_SQL = "WITH" + SCORED_SQL + """,
 t AS (SELECT p, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg FROM sc GROUP BY p),
 a AS (SELECT p, pos, neg,
-             coalesce(sum(pos) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+             coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
              sum(pos) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cpos,
              sum(neg) OVER (ORDER BY p DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cneg
       FROM t)
-SELECT round(sum(neg * (below + pos / 2.0)) / (sum(pos) * sum(neg)), 6) AS roc_auc,
+SELECT round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS roc_auc,
        round(sum(pos * cpos / (cpos + cneg)) / sum(pos), 6) AS avg_precision
 FROM a
 """
