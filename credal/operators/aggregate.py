@@ -184,15 +184,22 @@ def hourly_counts(df: DataFrame, ts: str, label: str) -> DataFrame:
 def percentiles(df: DataFrame, column: str, probs: Sequence[float] = (0.5, 0.75, 0.95, 0.99),
                 keys: Sequence[str] = (), exact: bool = True, accuracy: int = 10000,
                 names: Sequence[str] | None = None) -> DataFrame:
-    """Linear-interpolated percentiles (exact) or ``percentile_approx``
-    (bounded memory, returns an element) plus the max."""
-    names = names or [f"p{int(round(p * 100))}" for p in probs]
-    if exact:
-        q = F.percentile(F.col(column), F.array(*[F.lit(float(p)) for p in probs]))
-    else:
-        q = F.percentile_approx(F.col(column), F.array(*[F.lit(float(p)) for p in probs]), accuracy)
-    grouped = df.groupBy(*keys) if keys else df.groupBy()
-    res = grouped.agg(q.alias("_q"), F.max(column).alias("max"))
+    """Linear-interpolated percentiles plus the max.
+
+    Without keys the exact values come from bounded-memory selection
+    (:mod:`credal.operators.quantiles`). Per key, ``exact`` uses Spark's
+    ``percentile`` (a value → count map per group: for a bounded number of
+    values per group) and ``exact=False`` the ``percentile_approx`` sketch.
+    """
+    names = list(names or [f"p{int(round(p * 100))}" for p in probs])
+    if not keys:
+        from credal.operators.quantiles import quantiles
+        q = quantiles(df, [column], probs, "exact" if exact else "approx", accuracy)[column]
+        mx = df.agg(F.max(column).alias("max"))
+        return mx.select(*[F.lit(v).cast("double").alias(n) for v, n in zip(q, names)], "max")
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    q = F.percentile(F.col(column), arr) if exact else F.percentile_approx(F.col(column), arr, accuracy)
+    res = df.groupBy(*keys).agg(q.alias("_q"), F.max(column).alias("max"))
     return res.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "max")
 
 

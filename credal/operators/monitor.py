@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from credal.functions import clean as C
 from credal.operators.cumulative import cumulative_sums
+from credal.operators.quantiles import quantiles
 
 PSI_EPS = 1e-4
 
@@ -33,16 +34,15 @@ def key_indicators(log: DataFrame, decision: str = "decision", probability: str
                    exact: bool = True) -> DataFrame:
     """Totals, approvals, refusals, refusal rate, mean probability and
     p50/p95/p99 latency in one aggregate."""
-    probs = F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))
-    q = F.percentile(F.col(latency), probs) if exact else F.percentile_approx(F.col(latency), probs, 10000)
+    q = quantiles(log, [latency], [0.5, 0.95, 0.99], "exact" if exact else "approx")[latency]
     r = log.agg(F.count(F.lit(1)).alias("total"),
                 F.count_if(F.col(decision) == approved).alias("approvals"),
                 F.count_if(F.col(decision) == refused).alias("refusals"),
-                F.avg(F.col(probability)).alias("mean_probability"), q.alias("_q"))
+                F.avg(F.col(probability)).alias("mean_probability"))
     return r.select("total", "approvals", "refusals",
                     F.when(F.col("total") > 0, F.col("refusals") / F.col("total")).alias("refusal_rate"),
-                    "mean_probability", F.col("_q")[0].alias("latency_p50"), F.col("_q")[1].alias("latency_p95"),
-                    F.col("_q")[2].alias("latency_p99"))
+                    "mean_probability", *[F.lit(v).cast("double").alias(n)
+                                          for v, n in zip(q, ("latency_p50", "latency_p95", "latency_p99"))])
 
 
 def has_minimum_volume(log: DataFrame, minimum: int = 10) -> bool:
@@ -141,8 +141,7 @@ def _binned_divergences(ref: DataFrame, cur: DataFrame, columns: Sequence[str],
     """PSI and JS distance over bins cut at the reference deciles (exact
     percentiles of the reference, one aggregate)."""
     qs = [i / bins for i in range(1, bins)]
-    edges_row = ref.agg(*[F.percentile(F.col(c).cast("double"), F.array(*[F.lit(q) for q in qs])).alias(c)
-                          for c in columns]).first().asDict()
+    edges_row = quantiles(ref, columns, qs)
 
     def binned(df, pop):
         parts = []

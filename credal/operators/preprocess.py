@@ -1,10 +1,11 @@
 """Fit / transform preprocessing.
 
 ``fit(df, spec)`` learns every parameter with a fixed, small number of
-aggregate jobs over the training rows (one wide aggregate for numeric
-statistics, one for the robust quartiles of the imputed values, one grouped
-aggregate per target-encoded column) and returns a JSON-serialisable
-``Params``. ``transform(df, params)`` is a single ``select`` of Catalyst
+aggregate jobs over the training rows (one wide aggregate for moments and
+category counts, the bounded category lists, exact medians and robust
+quartiles by bounded-memory selection (:mod:`credal.operators.quantiles`),
+one grouped aggregate per target-encoded column) and returns a
+JSON-serialisable ``Params``. ``transform(df, params)`` is a single ``select`` of Catalyst
 expressions — no join, no shuffle — so it streams through whole-stage
 codegen at scan speed and applies unchanged to train, test or a stream.
 
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credal.functions import clean as C
+from credal.operators.quantiles import quantiles
 
 UNKNOWN = "unknown"
 
@@ -48,8 +50,8 @@ class PreprocessSpec:
     target: str | None = None
     ordinal_categories: dict[str, list[str]] = field(default_factory=dict)  # from value maps
     smoothing: float = 1.0
-    exact_quantiles: bool = True
-    quantile_accuracy: int = 100000
+    quantile_method: str = "exact"       # exact (bounded-memory selection) | percentile | approx
+    quantile_accuracy: int = 10000
     max_categories: int = 10000
 
     def deduplicated(self) -> PreprocessSpec:
@@ -104,13 +106,6 @@ def _log_expr(c: str) -> Column:
     return F.log1p(F.greatest(F.coalesce(_num(c), F.lit(0.0)), F.lit(0.0)))
 
 
-def _quantiles(col: Column, probs: Sequence[float], spec: PreprocessSpec) -> Column:
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    if spec.exact_quantiles:
-        return F.percentile(col, arr)
-    return F.percentile_approx(col, arr, spec.quantile_accuracy)
-
-
 def _safe_scale(s: float | None) -> float:
     return 1.0 if s is None or s == 0 or (isinstance(s, float) and math.isnan(s)) else float(s)
 
@@ -126,8 +121,7 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
     # job 1: medians, moments of present values, log moments, categories
     exprs: list[Column] = [F.count(F.lit(1)).alias("__n")]
     for c in median_cols:
-        exprs += [_quantiles(_num(c), [0.5], spec)[0].alias(f"med__{c}"),
-                  F.count(_num(c)).alias(f"cnt__{c}"),
+        exprs += [F.count(_num(c)).alias(f"cnt__{c}"),
                   F.avg(_num(c)).alias(f"avg__{c}"),
                   F.var_pop(_num(c)).alias(f"var__{c}")]
     for c in spec.log:
@@ -136,9 +130,22 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
     cat_cols = [c for c in spec.one_hot if c in present] + \
                [c for c in spec.ordinal if c in present and c not in spec.ordinal_categories]
     for c in cat_cols:
-        exprs.append(F.array_sort(F.collect_set(_cat(c))).alias(f"cats__{c}"))
+        exprs.append(F.approx_count_distinct(_cat(c)).alias(f"acd__{c}"))
     row = df.agg(*exprs).first().asDict()
     n = row["__n"]
+    # categories: collected only once their (approximate) number is known to be bounded
+    for c in cat_cols:
+        if row[f"acd__{c}"] > spec.max_categories * 1.1:
+            raise ValueError(f"{c}: about {row[f'acd__{c}']} categories exceed max_categories={spec.max_categories}")
+    if cat_cols:
+        cats_row = df.agg(*[F.array_sort(F.collect_set(_cat(c))).alias(c) for c in cat_cols]).first()
+        for c in cat_cols:
+            row[f"cats__{c}"] = cats_row[c]
+    # medians: exact selection (bounded memory) unless another method is asked for
+    med = quantiles(df.select(*[_num(c).alias(c) for c in median_cols]), median_cols, [0.5],
+                    spec.quantile_method, spec.quantile_accuracy)
+    for c in median_cols:
+        row[f"med__{c}"] = med[c][0]
 
     for c in median_cols:
         med, cnt, mu, var = row[f"med__{c}"], row[f"cnt__{c}"], row[f"avg__{c}"], row[f"var__{c}"]
@@ -178,8 +185,8 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
     # job 2: robust quartiles of the median-imputed values
     rob = [c for c in spec.robust if c in p.medians]
     if rob:
-        q = df.agg(*[_quantiles(F.coalesce(_num(c), F.lit(p.medians[c])), [0.25, 0.75], spec).alias(c)
-                     for c in rob]).first().asDict()
+        imputed = df.select(*[F.coalesce(_num(c), F.lit(p.medians[c])).alias(c) for c in rob])
+        q = quantiles(imputed, rob, [0.25, 0.75], spec.quantile_method, spec.quantile_accuracy)
         for c in rob:
             q25, q75 = q[c]
             p.robust_centers[c] = p.medians[c]
@@ -277,13 +284,10 @@ def log_shift_exprs(shifts: dict[str, float], suffix: str = "_log", missing_to_z
 
 
 def fit_winsor_bounds(df: DataFrame, columns: Sequence[str], lower: float = 0.01, upper: float = 0.99,
-                      exact: bool = True, accuracy: int = 100000) -> dict[str, tuple[float, float]]:
+                      method: str = "exact", accuracy: int = 10000) -> dict[str, tuple[float, float]]:
     """Learn the 1 % / 99 % bounds (linear interpolation when exact)."""
-    arr = F.array(F.lit(lower), F.lit(upper))
-    aggs = [(F.percentile(F.col(c), arr) if exact else F.percentile_approx(F.col(c), arr, accuracy)).alias(c)
-            for c in columns]
-    row = df.agg(*aggs).first().asDict()
-    return {c: (row[c][0], row[c][1]) for c in columns if row[c] is not None}
+    q = quantiles(df, columns, [lower, upper], method, accuracy)
+    return {c: (q[c][0], q[c][1]) for c in columns if q[c][0] is not None}
 
 
 def winsorize_exprs(bounds: dict[str, tuple[float, float]], suffix: str | None = None) -> list[Column]:
