@@ -31,8 +31,14 @@ from pyspark.sql import functions as F
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10000,
-                    bins: int = 2048, collect_max: int = 50000, max_passes: int = 8) -> dict[str, list[float | None]]:
-    """Exact linear-interpolated quantiles of every column (NULL and NaN ignored)."""
+                    bins: int = 2048, collect_max: int = 50000, max_passes: int = 8,
+                    map_max_distinct: int = 200000) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles of every column (NULL and NaN ignored).
+
+    Columns whose (approximate) number of distinct values is at most
+    ``map_max_distinct`` use Spark's exact ``percentile`` in one more job —
+    its value → count map is then bounded; the others go through selection.
+    """
     cols = list(columns)
     x = {c: F.col(c).cast("double") for c in cols}
     valid = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
@@ -43,8 +49,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     for i, c in enumerate(cols):
         v = F.when(valid[c], x[c])
         e += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}"),
+              F.approx_count_distinct(v).alias(f"d{i}"),
               F.percentile_approx(v, lo_p + hi_p, accuracy).alias(f"q{i}")]
     row = df.agg(*e).first()
+    # bounded-cardinality columns: one exact percentile job, no selection passes
+    low = [c for i, c in enumerate(cols) if row[f"n{i}"] and row[f"d{i}"] <= map_max_distinct]
+    result_low: dict[str, list[float | None]] = {}
+    if low:
+        arr = F.array(*[F.lit(float(p)) for p in probs])
+        prow = df.agg(*[F.percentile(F.when(valid[c], x[c]), arr).alias(c) for c in low]).first()
+        result_low = {c: list(prow[c]) for c in low}
 
     # wanted ranks: (column index, 0-based rank) → bracket [L, H]
     result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
@@ -52,7 +66,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     interp: list[tuple[int, int, int, float]] = []  # (col, prob index, k, frac)
     for i, c in enumerate(cols):
         n = row[f"n{i}"]
-        if not n:
+        if not n or c in result_low:
             continue
         approx = row[f"q{i}"] or []
         for j, p in enumerate(probs):
@@ -133,6 +147,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         open_ = new_open
     if open_:
         raise RuntimeError(f"quantile selection did not converge for {sorted(open_)}")
+    result.update(result_low)
     for i, j, k, frac in interp:
         lo = values[(i, k)]
         if frac > 0:

@@ -249,3 +249,17 @@ def test_oversampling_exact(spark):
     out = TR.oversample_minority(df, "y", ["id"], ratio=0.3, minority=1)
     c = {r.y: r["count"] for r in out.groupBy("y").count().collect()}
     assert c[1] == int(0.3 * 963) and c[0] == 963
+
+
+def test_exact_quantiles_selection_vs_numpy(spark):
+    from credal.operators.quantiles import exact_quantiles
+    rng = np.random.default_rng(3)
+    a = np.concatenate([rng.normal(0, 1, 3000), np.full(2500, 0.25), rng.exponential(3, 500)])  # a hot value
+    b = np.round(rng.random(6000) * 100, 2)
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    sel = {"map_max_distinct": 0}  # force selection (the bounded-cardinality path is the default here)
+    for kw in ({}, sel, {**sel, "collect_max": 10, "bins": 4}, {**sel, "accuracy": 10, "collect_max": 100}):
+        got = exact_quantiles(df, ["a", "b"], probs, **kw)
+        for c, arr in (("a", a), ("b", b)):
+            assert np.allclose(got[c], np.quantile(arr, probs), rtol=1e-12, atol=1e-12)
