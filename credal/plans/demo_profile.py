@@ -346,3 +346,23 @@ def q_steps(spark, sf_dir):
     df = h.record("drop_by_pattern", df, Q.drop_columns(df, patterns=["TAX"]), "case-insensitive 'tax'")
     h.record("drop_missing_share", df, Q.drop_columns(df, max_missing_pct=5.0), "> 5 % missing")
     return h.to_dataframe(spark)
+
+
+SPEARMAN_SQL = """
+WITH r AS (
+  SELECT rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2.0 AS q,
+         rank() OVER (ORDER BY l_discount) + (count(*) OVER (PARTITION BY l_discount) - 1) / 2.0 AS d,
+         rank() OVER (ORDER BY l_tax) + (count(*) OVER (PARTITION BY l_tax) - 1) / 2.0 AS t
+  FROM lineitem)
+SELECT * FROM (
+  SELECT 'l_quantity' AS col_a, 'l_discount' AS col_b, round(corr(q, d), 6) AS rho FROM r
+  UNION ALL SELECT 'l_quantity', 'l_tax', round(corr(q, t), 6) FROM r
+  UNION ALL SELECT 'l_discount', 'l_tax', round(corr(d, t), 6) FROM r)
+"""
+
+
+@register("correlation_spearman", "Q11", SPEARMAN_SQL)
+def q_spearman(spark, sf_dir):
+    """Spearman ρ (Pearson on average ranks, ties shared) of every pair."""
+    li = table(spark, sf_dir, "lineitem")
+    return rounded(Q.spearman_pairs(li, ["l_quantity", "l_discount", "l_tax"]))
