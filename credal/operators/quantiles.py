@@ -48,17 +48,26 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     e = []
     for i, c in enumerate(cols):
         v = F.when(valid[c], x[c])
-        e += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}"),
-              F.approx_count_distinct(v).alias(f"d{i}"),
-              F.percentile_approx(v, lo_p + hi_p, accuracy).alias(f"q{i}")]
-    row = df.agg(*e).first()
-    # bounded-cardinality columns: one exact percentile job, no selection passes
+        e += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}")]
+    row = df.agg(*e).first().asDict()
+    # distinct values bound the percentile map: at most n, else probed with a sketch
+    big = [(i, c) for i, c in enumerate(cols) if (row[f"n{i}"] or 0) > map_max_distinct]
+    for i, c in enumerate(cols):
+        row[f"d{i}"] = row[f"n{i}"] or 0
+    if big:
+        row.update(df.agg(*[F.approx_count_distinct(F.when(valid[c], x[c])).alias(f"d{i}") for i, c in big])
+                   .first().asDict())
+    # bounded-cardinality columns: Spark's exact percentile (its value → count map is
+    # bounded); the others: approximate brackets for the selection passes — one job
     low = [c for i, c in enumerate(cols) if row[f"n{i}"] and row[f"d{i}"] <= map_max_distinct]
+    high = [(i, c) for i, c in enumerate(cols) if row[f"n{i}"] and c not in low]
+    arr = F.array(*[F.lit(float(p)) for p in probs])
+    e2 = [F.percentile(F.when(valid[c], x[c]), arr).alias(f"p{cols.index(c)}") for c in low]
+    e2 += [F.percentile_approx(F.when(valid[c], x[c]), lo_p + hi_p, accuracy).alias(f"q{i}") for i, c in high]
     result_low: dict[str, list[float | None]] = {}
-    if low:
-        arr = F.array(*[F.lit(float(p)) for p in probs])
-        prow = df.agg(*[F.percentile(F.when(valid[c], x[c]), arr).alias(c) for c in low]).first()
-        result_low = {c: list(prow[c]) for c in low}
+    if e2:
+        row.update(df.agg(*e2).first().asDict())
+        result_low = {c: list(row[f"p{cols.index(c)}"]) for c in low}
 
     # wanted ranks: (column index, 0-based rank) → bracket [L, H]
     result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
@@ -68,7 +77,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         n = row[f"n{i}"]
         if not n or c in result_low:
             continue
-        approx = row[f"q{i}"] or []
+        approx = row.get(f"q{i}") or []
         for j, p in enumerate(probs):
             pos = p * (n - 1)
             k = int(math.floor(pos))

@@ -311,3 +311,15 @@ FROM fe
 def q_credit_feature_view(spark, sf_dir):
     """Credit view stack: registry select → 5 aggregates → master join → fe1–fe10."""
     return rounded(build_feature_view(credit_raw_tables(spark, sf_dir)))
+
+
+@register("credit_feature_matrix", "E01,E02,E19,E20,C27,S15")
+def q_credit_matrix(spark, sf_dir):
+    """Registry-driven fit on the training split of the credit view, applied to
+    train and test: the model input matrix with id, target and split."""
+    from credal.plans.credit_matrix import feature_matrix
+    from credal.plans.credit_views import credit_registry
+    reg = credit_registry()
+    view = build_feature_view(credit_raw_tables(spark, sf_dir), reg)
+    matrix, _ = feature_matrix(view, reg)
+    return rounded(matrix)
