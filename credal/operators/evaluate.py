@@ -40,15 +40,16 @@ def hash_uniform(cols: Sequence[str], seed: int = 42) -> Column:
 
 
 # exact k-th smallest hash per class ----------------------------------------------------
-def rank_thresholds(df: DataFrame, group: str, hash_col: str,
-                    targets: Mapping[object, Sequence[int]]) -> dict[object, list[int | None]]:
+def rank_thresholds(df: DataFrame, group: str, hash_col: str, targets: Mapping[object, Sequence[int]],
+                    collect_max: int = 100000) -> dict[object, list[int | None]]:
     """For every group value and every target count ``t`` return the hash
     value ``v`` of the ``t``-th smallest row (1-based), so that
     ``hash <= v`` selects exactly ``t`` rows of the group (``None`` for 0).
 
     Four passes at most (16 bits each); each pass is one grouped count over
     the rows of the still-open bins, collected to the driver (≤ 65,536 rows
-    per open bin).
+    per open bin). A bin holding at most ``collect_max`` rows is read off
+    directly (its hashes collected and sorted) instead of refined further.
     """
     # state per (group, index): (prefix bin at current level, residual count)
     open_: dict[tuple, tuple[int | None, int]] = {}
@@ -79,17 +80,30 @@ def rank_thresholds(df: DataFrame, group: str, hash_col: str,
         bins: dict[tuple, list[tuple[int, int]]] = {}
         for r in counts:
             bins.setdefault((r["g"], r["pb"] if shift < 48 else None), []).append((r["b"], r["n"]))
-        new_open = {}
+        new_open, readoff = {}, {}
         for (g, i), (pb, resid) in open_.items():
             acc = 0
             for b, n in sorted(bins.get((g, pb), [])):
                 if acc + n >= resid:
                     if shift == 0:
                         result[g][i] = b
+                    elif n <= collect_max:
+                        readoff[(g, i)] = (b, resid - acc)
                     else:
                         new_open[(g, i)] = (b, resid - acc)
                     break
                 acc += n
+        if readoff:
+            cond = None
+            for g, b in {(g, b) for (g, _), (b, _) in readoff.items()}:
+                c = (F.col(group) == F.lit(g)) & (F.shiftright(F.col(hash_col), shift) == F.lit(b))
+                cond = c if cond is None else (cond | c)
+            got: dict[tuple, list[int]] = {}
+            for r in df.where(cond).select(F.col(group).alias("g"), F.col(hash_col).alias("h"),
+                                           F.shiftright(F.col(hash_col), shift).alias("b")).collect():
+                got.setdefault((r["g"], r["b"]), []).append(r["h"])
+            for (g, i), (b, resid) in readoff.items():
+                result[g][i] = sorted(got[(g, b)])[resid - 1]
         open_ = new_open
     return result
 

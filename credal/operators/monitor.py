@@ -112,16 +112,10 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], bins:
     counts = _long(ref, cur, columns, "num")
     # population sizes per column: one row per column (bounded by the column list)
     totals = counts.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
-    c = cumulative_sums(counts, "value", ["n_ref", "n_cur"], partition=["column"], buckets=buckets)
-    c = c.join(F.broadcast(totals), "column")
+    # running counts and the next distinct value (Δx) in one bucketed pass
+    c = cumulative_sums(counts, "value", ["n_ref", "n_cur"], partition=["column"], buckets=buckets, with_next=True)
+    c = c.join(F.broadcast(totals), "column")  # one row per column
     c = c.withColumn("F_ref", F.col("cum_n_ref") / F.col("tot_ref")).withColumn("F_cur", F.col("cum_n_cur") / F.col("tot_cur"))
-    # Δx to the next distinct value of the same column
-    nxt = cumulative_sums(counts.select("column", "value", F.lit(1).alias("one")), "value", ["one"],
-                          partition=["column"], buckets=buckets)
-    ranked = nxt.select("column", "value", F.col("cum_one").alias("rank"))
-    following = ranked.select("column", F.col("value").alias("next_value"), (F.col("rank") - 1).alias("rank"))
-    dx = ranked.join(following, ["column", "rank"], "left").select("column", "value", "next_value")
-    c = c.join(dx, ["column", "value"], "left")
     ks_w = c.groupBy("column").agg(
         F.max(F.abs(F.col("F_ref") - F.col("F_cur"))).alias("ks"),
         F.sum(F.when(F.col("next_value").isNotNull(),

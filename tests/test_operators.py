@@ -142,10 +142,11 @@ def test_rank_thresholds_vs_sort(spark):
     vals = [(rng.choice([0, 1]), rng.randint(-2**63, 2**63 - 1)) for _ in range(3000)]
     df = spark.createDataFrame(vals, "g int, h long")
     targets = {0: [1, 17, 500], 1: [3, 1000]}
-    th = M.rank_thresholds(df, "g", "h", targets)
-    for g, ts in targets.items():
-        srt = sorted(h for gg, h in vals if gg == g)
-        assert th[g] == [srt[t - 1] for t in ts]
+    for collect_max in (100000, 0):  # direct read-off, and all four refinement passes
+        th = M.rank_thresholds(df, "g", "h", targets, collect_max=collect_max)
+        for g, ts in targets.items():
+            srt = sorted(h for gg, h in vals if gg == g)
+            assert th[g] == [srt[t - 1] for t in ts]
 
 
 # threshold sweep and ranking metrics -----------------------------------------------
@@ -263,3 +264,16 @@ def test_exact_quantiles_selection_vs_numpy(spark):
         got = exact_quantiles(df, ["a", "b"], probs, **kw)
         for c, arr in (("a", a), ("b", b)):
             assert np.allclose(got[c], np.quantile(arr, probs), rtol=1e-12, atol=1e-12)
+
+
+def test_cumulative_next_key(spark):
+    rng = random.Random(9)
+    rows = [(g, k, 1) for g in ("a", "b") for k in rng.sample(range(5000), 400)]
+    df = spark.createDataFrame(rows, "g string, k int, v int")
+    for desc in (False, True):
+        got = {(r.g, r.k): r.next_k for r in cumulative_sums(df, "k", ["v"], partition=["g"], descending=desc,
+                                                              buckets=6, with_next=True).collect()}
+        for g in ("a", "b"):
+            ks = sorted((k for gg, k, _ in rows if gg == g), reverse=desc)
+            for a, b in zip(ks, ks[1:] + [None]):
+                assert got[(g, a)] == b
