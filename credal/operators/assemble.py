@@ -93,9 +93,9 @@ def radius_neighbour_counts(points: DataFrame, refs: DataFrame, radii: Sequence[
 
     Exact and without emitting all pairs of a dense area: the plane is cut
     into square cells of side ``s = R / cells_per_radius`` (``R`` the largest
-    radius) and the reference side is pre-aggregated to ``(cell, count)``
-    plus its per-cell point list stays in the shuffle only for *boundary*
-    cells. For a point and radius ``r`` a neighbour cell is
+    radius), the reference side is pre-aggregated to ``(cell, count)``, and
+    reference points are paired with a query point only in the cells that
+    cross one of its circles. For a point and radius ``r`` a neighbour cell is
 
       * fully inside the disk (its farthest corner within ``r``): its whole
         pre-aggregated count is added — no pair is formed;

@@ -323,3 +323,17 @@ def q_credit_matrix(spark, sf_dir):
     view = build_feature_view(credit_raw_tables(spark, sf_dir), reg)
     matrix, _ = feature_matrix(view, reg)
     return rounded(matrix)
+
+
+@register("registry_validation", "E03,S13,E01")
+def q_registry_validation(spark, sf_dir):
+    """Columns of the credit feature view unknown to the registry or missing
+    from it (case-insensitive), with the registry exported as a table."""
+    from credal.plans.credit_views import credit_registry
+    from credal.registry import validate_columns
+    reg = credit_registry()
+    view = build_feature_view(credit_raw_tables(spark, sf_dir), reg)
+    issues = validate_columns(spark, reg, view.columns, tables=["application"])
+    exported = reg.to_dataframe(spark).where("source_table = 'application'").select(
+        F.col("name").alias("column"), F.lit("described").alias("issue"))
+    return issues.unionByName(exported)
