@@ -243,3 +243,22 @@ def first_per_group(df: DataFrame, group: str, order: str, columns: Sequence[str
 def last_n(df: DataFrame, ts: str, n: int, tie: Sequence[str] = ()) -> DataFrame:
     """The ``n`` newest rows, newest first (top-n: each task keeps n)."""
     return df.orderBy(F.col(ts).desc(), *[F.col(c).desc() for c in tie]).limit(n)
+
+
+def column_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Most frequent non-null value of every column (smallest on
+    ties, compared as text) with its count — ``(column, mode, count)``.
+
+    Long format ``(column, value)`` reduced by a partial aggregate, then one
+    row per column by ``max_by`` over (count, −value order): the shuffle
+    carries distinct (column, value) pairs only, never a per-column value map
+    in one task, so a high-cardinality column stays distributed.
+    """
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    counts = (df.select(F.explode(arr).alias("kv")).select("kv.column", "kv.value")
+              .where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    # rank inside a column: highest count first, then the smallest value
+    best = counts.groupBy("column").agg(
+        F.max("n").alias("count"),
+        F.min_by("value", F.struct((-F.col("n")).alias("neg_n"), F.col("value"))).alias("mode"))
+    return best.select("column", "mode", "count")

@@ -267,6 +267,29 @@ def get_x_y(df: DataFrame, p: Params, key: str, target: str) -> DataFrame:
     return transform(df, p, keep=[key]).join(df.select(key, F.col(target).cast("int").alias(target)), key)
 
 
+# E04 / E05 (toolkit variants) ----------------------------------------------------------
+def fit_imputation(df: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = (),
+                   overrides: dict[str, object] | None = None, method: str = "exact") -> dict[str, object]:
+    """Medians of numeric columns (exact, bounded memory) and modes of
+    categorical columns (most frequent, smallest on ties); per-column
+    overrides win (a constant such as 0 or "INCONNU")."""
+    from credal.operators.aggregate import column_modes
+    values: dict[str, object] = {}
+    if numeric:
+        med = quantiles(df, list(numeric), [0.5], method)
+        values.update({c: med[c][0] for c in numeric})
+    if categorical:
+        values.update({r["column"]: r["mode"] for r in column_modes(df, list(categorical)).collect()})
+    values.update(overrides or {})
+    return values
+
+
+def impute_exprs(df: DataFrame, values: dict[str, object]) -> list[Column]:
+    """``coalesce(c, value)`` for the imputed columns, others unchanged."""
+    return [F.coalesce(F.col(c), F.lit(values[c]).cast(df.schema[c].dataType)).alias(c) if c in values
+            else F.col(c) for c in df.columns]
+
+
 # E08 / E11 / E13 / E17 / E18 (toolkit variants) --------------------------------------
 def fit_log_shift(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """shift = |min| + 1 when min < 0 else 0 (one aggregate)."""

@@ -249,3 +249,50 @@ def q_final_audit(spark, sf_dir):
     tr = P.transform(m.where("is_train"), params)
     te = P.transform(m.where(~F.col("is_train")), params)
     return P.final_audit(tr, te, params.feature_names)
+
+
+IMPUTE_SQL = """
+WITH m AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_linenumber = 3 THEN NULL ELSE l_discount END AS disc,
+         CASE WHEN l_linenumber = 2 THEN NULL ELSE l_returnflag END AS rf,
+         CASE WHEN l_linenumber = 4 THEN NULL ELSE l_shipdate END AS ship,
+         CASE WHEN l_linenumber = 5 THEN NULL ELSE l_tax END AS tax
+  FROM lineitem),
+md AS (SELECT quantile_cont(disc, 0.5) AS med FROM m),
+mo AS (SELECT rf AS mode FROM m WHERE rf IS NOT NULL GROUP BY rf ORDER BY count(*) DESC, rf LIMIT 1)
+SELECT l_orderkey, l_linenumber, round(coalesce(disc, (SELECT med FROM md)), 6) AS disc,
+       coalesce(rf, (SELECT mode FROM mo)) AS rf, round(coalesce(tax, 0.0), 6) AS tax, ship
+FROM m
+"""
+
+
+@register("impute_median_mode", "E04,E05", IMPUTE_SQL)
+def q_impute(spark, sf_dir):
+    """Median (numeric), most frequent value (categorical, smallest on ties) and a
+    constant override (0) learned once and applied by coalesce."""
+    li = table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    m = li.select("l_orderkey", "l_linenumber",
+                  F.when(ln == 3, F.lit(None)).otherwise(F.col("l_discount")).alias("disc"),
+                  F.when(ln == 2, F.lit(None)).otherwise(F.col("l_returnflag")).alias("rf"),
+                  F.when(ln == 4, F.lit(None)).otherwise(F.col("l_shipdate")).alias("ship"),
+                  F.when(ln == 5, F.lit(None)).otherwise(F.col("l_tax")).alias("tax"))
+    values = P.fit_imputation(m, numeric=["disc"], categorical=["rf"], overrides={"tax": 0.0})
+    return rounded(m.select(*P.impute_exprs(m, values)))
+
+
+MODES_SQL = """
+WITH long AS (SELECT 'c_mktsegment' AS "column", c_mktsegment AS v FROM customer
+              UNION ALL SELECT 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM customer),
+c AS (SELECT "column", v, count(*) AS n FROM long WHERE v IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, v) AS rk FROM c)
+SELECT "column", v AS mode, n AS count FROM r WHERE rk = 1
+"""
+
+
+@register("column_modes", "E04,A11", MODES_SQL)
+def q_modes(spark, sf_dir):
+    """Most frequent value per column (smallest on ties) without per-column value maps."""
+    from credal.operators.aggregate import column_modes
+    return column_modes(table(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"])
