@@ -277,3 +277,46 @@ def test_cumulative_next_key(spark):
             ks = sorted((k for gg, k, _ in rows if gg == g), reverse=desc)
             for a, b in zip(ks, ks[1:] + [None]):
                 assert got[(g, a)] == b
+
+
+def test_modes_tie_smallest_and_imputation(spark):
+    df = spark.createDataFrame([("b", 1.0), ("a", None), ("b", 3.0), ("a", 2.0), (None, 10.0)], "c string, x double")
+    modes = {r.column: (r.mode, r["count"]) for r in A.column_modes(df, ["c"]).collect()}
+    assert modes["c"] == ("a", 2)  # a and b tie at 2 → smallest
+    vals = P.fit_imputation(df, numeric=["x"], categorical=["c"])
+    assert vals == {"x": 2.5, "c": "a"}
+    out = df.select(*P.impute_exprs(df, vals)).collect()
+    assert [r.c for r in out] == ["b", "a", "b", "a", "a"] and out[1].x == 2.5
+
+
+def test_registry_select_and_validation(spark):
+    from credal.registry import AttributeSpec, FeatureRegistry, validate_columns
+    reg = FeatureRegistry([
+        AttributeSpec("id", "t", "identifier", role="identifier", raw_name="ID"),
+        AttributeSpec("y", "t", "binary", role="target", raw_name="Y"),
+        AttributeSpec("status", "t", "categorical", value_map={"Active": "active"}, unknown_value="unknown"),
+        AttributeSpec("flag", "t", "binary"), AttributeSpec("amt", "t", "numerical", transform="log"),
+        AttributeSpec("amt", "other", "numerical")])  # same name, other table: no leak
+    assert reg.columns(table="t", transform="log") == ["amt"]
+    df = spark.createDataFrame([("7", "1", " active ", "Y", "3.5"), ("8", "0", "gone", "N", "x")],
+                               "id string, y string, status string, flag string, amt string")
+    tr = df.select(*reg.select_exprs("t")).collect()
+    te = df.select(*reg.select_exprs("t", is_test=True)).collect()
+    assert [(r.id, r.y, r.status, r.flag, r.amt) for r in tr] == [(7, 1, "active", 1, 3.5), (8, 0, "unknown", 0, None)]
+    assert [r.y for r in te] == [None, None]
+    issues = {(r.column, r.issue) for r in validate_columns(spark, reg, ["ID", "Status", "extra"], tables=["t"]).collect()}
+    assert ("extra", "unknown") in issues and ("amt", "missing") in issues and ("id", "missing") not in issues
+    assert FeatureRegistry.from_json(reg.to_json()).to_json() == reg.to_json()
+
+
+def test_key_indicators_vs_pandas(spark):
+    rng = np.random.default_rng(1)
+    p = rng.random(500)
+    lat = np.round(rng.exponential(5, 500), 2)
+    dec = np.where(p < 0.3, "approved", "refused")
+    df = spark.createDataFrame([(float(a), float(b), str(c)) for a, b, c in zip(p, lat, dec)],
+                               "probability double, latency_ms double, decision string")
+    r = D.key_indicators(df).first()
+    assert r.total == 500 and r.refusals == int((dec == "refused").sum())
+    assert r.latency_p95 == pytest.approx(np.quantile(lat, 0.95))
+    assert r.refusal_rate == pytest.approx((dec == "refused").mean())
