@@ -290,6 +290,42 @@ def impute_exprs(df: DataFrame, values: dict[str, object]) -> list[Column]:
             else F.col(c) for c in df.columns]
 
 
+def missing_indicator_exprs(df: DataFrame, min_share: float = 0.0, columns: Sequence[str] | None = None,
+                            suffix: str = "_Manquant") -> list[Column]:
+    """E06 (toolkit): a 0/1 ``<c>_Manquant`` column for every column whose
+    missing share exceeds ``min_share`` (one aggregate decides which)."""
+    cols = list(columns or df.columns)
+    row = df.agg(F.count(F.lit(1)).alias("__n"),
+                 *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first().asDict()
+    n = max(row["__n"], 1)
+    return [F.col(c).isNull().cast("int").alias(f"{c}{suffix}") for c in cols if row[c] / n > min_share]
+
+
+def fit_standard(df: DataFrame, columns: Sequence[str], ddof: int = 1) -> dict[str, tuple[float, float]]:
+    """E09 (toolkit): mean and sample (ddof=1) or population (ddof=0) σ in one
+    aggregate; σ = 0 or undefined → 1."""
+    sd = F.stddev_samp if ddof == 1 else F.stddev_pop
+    row = df.agg(*[e for c in columns for e in (F.avg(c).alias(f"{c}__m"), sd(c).alias(f"{c}__s"))]).first()
+    return {c: (row[f"{c}__m"], _safe_scale(row[f"{c}__s"])) for c in columns}
+
+
+def standardize_exprs(params: dict[str, tuple[float, float]], suffix: str = "") -> list[Column]:
+    """``(x − μ) / σ`` for the fitted columns."""
+    return [((F.col(c) - F.lit(m)) / F.lit(s)).alias(f"{c}{suffix}") for c, (m, s) in params.items()]
+
+
+def factorize_exprs(df: DataFrame, columns: Sequence[str], max_values: int = 1000) -> list[Column]:
+    """Factorize two-value (or few-value) columns by sorted value order
+    (0, 1, …); NULL stays NULL. The value lists are small and checked."""
+    from credal.operators.aggregate import distinct_values
+    out = []
+    for c in columns:
+        vals = distinct_values(df, c, max_values)
+        idx = F.array_position(F.array(*[F.lit(v) for v in vals]), F.col(c))
+        out.append(F.when(F.col(c).isNotNull(), (idx - 1).cast("int")).alias(c))
+    return out
+
+
 # E08 / E11 / E13 / E17 / E18 (toolkit variants) --------------------------------------
 def fit_log_shift(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """shift = |min| + 1 when min < 0 else 0 (one aggregate)."""

@@ -296,3 +296,34 @@ def q_modes(spark, sf_dir):
     """Most frequent value per column (smallest on ties) without per-column value maps."""
     from credal.operators.aggregate import column_modes
     return column_modes(table(spark, sf_dir, "customer"), ["c_mktsegment", "c_nationkey"])
+
+
+TOOLKIT_SQL = """
+WITH m AS (
+  SELECT l_orderkey, l_linenumber, l_quantity, l_tax,
+         CASE WHEN l_linenumber = 3 THEN NULL ELSE l_discount END AS disc,
+         CASE WHEN l_linenumber <= 2 THEN NULL ELSE l_extendedprice END AS price,
+         l_linestatus
+  FROM lineitem),
+s AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_tax) AS mt, stddev_samp(l_tax) AS st FROM m)
+SELECT l_orderkey, l_linenumber,
+       round((l_quantity - mq) / sq, 6) AS l_quantity_scaled, round((l_tax - mt) / st, 6) AS l_tax_scaled,
+       CAST(price IS NULL AS INTEGER) AS "price_Manquant",
+       CASE l_linestatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS l_linestatus
+FROM m, s
+"""
+
+
+@register("toolkit_scale_indicators_factorize", "E06,E09,C23", TOOLKIT_SQL)
+def q_toolkit(spark, sf_dir):
+    """Toolkit variants: sample-σ standardisation, _Manquant indicators above 20 %
+    missing, factorized two-value status."""
+    li = table(spark, sf_dir, "lineitem")
+    m = li.select("l_orderkey", "l_linenumber", "l_quantity", "l_tax",
+                  F.when(F.col("l_linenumber") == 3, F.lit(None)).otherwise(F.col("l_discount")).alias("disc"),
+                  F.when(F.col("l_linenumber") <= 2, F.lit(None)).otherwise(F.col("l_extendedprice")).alias("price"),
+                  "l_linestatus")
+    std = P.fit_standard(m, ["l_quantity", "l_tax"], ddof=1)
+    ind = P.missing_indicator_exprs(m, 0.2, ["disc", "price"])
+    return rounded(m.select("l_orderkey", "l_linenumber", *P.standardize_exprs(std, "_scaled"), *ind,
+                            *P.factorize_exprs(m, ["l_linestatus"])))
