@@ -320,3 +320,29 @@ def test_key_indicators_vs_pandas(spark):
     assert r.total == 500 and r.refusals == int((dec == "refused").sum())
     assert r.latency_p95 == pytest.approx(np.quantile(lat, 0.95))
     assert r.refusal_rate == pytest.approx((dec == "refused").mean())
+
+
+def test_hot_key_third_of_rows(spark):
+    """One key holds a third of the rows: aggregates, master join, out-of-fold
+    encoding and the stratified split stay exact."""
+    rng = random.Random(3)
+    rows = [(0 if i % 3 == 0 else rng.randint(1, 500), i, rng.randint(0, 1), float(rng.randint(1, 100)))
+            for i in range(6000)]
+    hist = spark.createDataFrame(rows, "k int, id int, y int, v double").repartition(6)
+    base = spark.createDataFrame([(k,) for k in range(0, 501)], "k int")
+    agg = A.spec_aggregate(hist, "k", {"v": ["sum", "size", "nunique"]})
+    m = {r.k: r for r in J.master_join(base, [agg], "k").collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "id", "y", "v"])
+    g = pdf.groupby("k")
+    for k in (0, 1, 250):
+        if k in g.groups:
+            assert m[k].V_SUM == g.v.sum()[k] and m[k].V_SIZE == g.size()[k] and m[k].V_NUNIQUE == g.v.nunique()[k]
+    folds = hist.withColumn("fold", F.col("id") % 5)
+    oof = {r.id: r.k_oof for r in P.out_of_fold_target_encoding(
+        folds.withColumn("kc", F.col("k").cast("string")), "kc", "y", "fold", "k_oof").collect()}
+    sub = pdf[(pdf.k == 0) & (pdf.id % 5 != 0)]
+    assert oof[0] == pytest.approx(sub.y.mean())
+    s = M.stratified_split(hist, "y", ["id"], 0.25)
+    c = {(r.y, r.split): r["count"] for r in s.groupBy("y", "split").count().collect()}
+    for y in (0, 1):
+        assert c[(y, "test")] == round((pdf.y == y).sum() * 0.25)
