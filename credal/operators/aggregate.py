@@ -186,10 +186,9 @@ def percentiles(df: DataFrame, column: str, probs: Sequence[float] = (0.5, 0.75,
                 names: Sequence[str] | None = None) -> DataFrame:
     """Linear-interpolated percentiles plus the max.
 
-    Without keys the exact values come from bounded-memory selection
-    (:mod:`credal.operators.quantiles`). Per key, ``exact`` uses Spark's
-    ``percentile`` (a value → count map per group: for a bounded number of
-    values per group) and ``exact=False`` the ``percentile_approx`` sketch.
+    Without keys the exact values come from bounded-memory selection; per
+    key from distributed running counts (:mod:`credal.operators.quantiles`);
+    ``exact=False`` uses the ``percentile_approx`` sketch.
     """
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     if not keys:
@@ -197,9 +196,13 @@ def percentiles(df: DataFrame, column: str, probs: Sequence[float] = (0.5, 0.75,
         q = quantiles(df, [column], probs, "exact" if exact else "approx", accuracy)[column]
         mx = df.agg(F.max(column).alias("max"))
         return mx.select(*[F.lit(v).cast("double").alias(n) for v, n in zip(q, names)], "max")
+    if exact:
+        from credal.operators.quantiles import grouped_exact_quantiles
+        q = grouped_exact_quantiles(df, keys, column, probs, names)
+        return q.join(df.groupBy(*keys).agg(F.max(column).alias("max")), list(keys))
     arr = F.array(*[F.lit(float(p)) for p in probs])
-    q = F.percentile(F.col(column), arr) if exact else F.percentile_approx(F.col(column), arr, accuracy)
-    res = df.groupBy(*keys).agg(q.alias("_q"), F.max(column).alias("max"))
+    res = df.groupBy(*keys).agg(F.percentile_approx(F.col(column), arr, accuracy).alias("_q"),
+                                F.max(column).alias("max"))
     return res.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "max")
 
 

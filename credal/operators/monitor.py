@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from credal.functions import clean as C
 from credal.operators.cumulative import cumulative_sums
-from credal.operators.quantiles import quantiles
+from credal.operators.quantiles import grouped_exact_quantiles, quantiles
 
 PSI_EPS = 1e-4
 
@@ -53,11 +53,9 @@ def has_minimum_volume(log: DataFrame, minimum: int = 10) -> bool:
 def latency_statistics(df: DataFrame, engine: str, latency: str, baseline: str | None = None) -> DataFrame:
     """min/p50/p75/p95/p99/max/mean per engine and the speed-up of the
     mean against ``baseline``'s mean."""
-    probs = F.array(*[F.lit(p) for p in (0.5, 0.75, 0.95, 0.99)])
-    s = df.groupBy(engine).agg(F.min(latency).alias("min"), F.percentile(F.col(latency), probs).alias("_q"),
-                               F.max(latency).alias("max"), F.avg(latency).alias("mean"))
-    s = s.select(engine, "min", *[F.col("_q")[i].alias(n) for i, n in enumerate(("p50", "p75", "p95", "p99"))],
-                 "max", "mean")
+    q = grouped_exact_quantiles(df, [engine], latency, (0.5, 0.75, 0.95, 0.99), ("p50", "p75", "p95", "p99"))
+    s = df.groupBy(engine).agg(F.min(latency).alias("min"), F.max(latency).alias("max"), F.avg(latency).alias("mean"))
+    s = s.join(q, engine).select(engine, "min", "p50", "p75", "p95", "p99", "max", "mean")
     if baseline is not None:
         base = s.where(F.col(engine) == baseline).select(F.col("mean").alias("_bm"))
         bm = base.first()

@@ -190,3 +190,37 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], met
         aggs.append((F.percentile(x, arr) if method == "percentile" else F.percentile_approx(x, arr, accuracy)).alias(c))
     row = df.agg(*aggs).first()
     return {c: (list(row[c]) if row[c] is not None else [None] * len(probs)) for c in cols}
+
+
+def grouped_exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: Sequence[float],
+                            names: Sequence[str] | None = None, buckets: int = 16) -> DataFrame:
+    """Exact linear-interpolated quantiles of ``column`` per group, fully
+    distributed (no per-group value map, nothing per group on the driver):
+
+    counts per (group, value) → running counts per group through bucketed
+    windows (:func:`credal.operators.cumulative.cumulative_sums`) → for every
+    wanted rank k of a group, the smallest value whose running count exceeds
+    k (a grouped ``min``). A hot group is spread over its buckets.
+    """
+    from credal.operators.cumulative import cumulative_sums
+    keys = list(keys)
+    names = list(names or [f"p{int(round(p * 100))}" for p in probs])
+    x = F.col(column).cast("double")
+    counts = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*keys, x.alias("__v"))
+              .agg(F.count(F.lit(1)).alias("__c")))
+    sizes = counts.groupBy(*keys).agg(F.sum("__c").alias("__n"))
+    cum = cumulative_sums(counts, "__v", ["__c"], partition=keys, buckets=buckets).join(sizes, keys)
+    exprs = []
+    for j, p in enumerate(probs):
+        pos = F.lit(float(p)) * (F.col("__n") - 1)
+        k = F.floor(pos)
+        # k-th and (k+1)-th order statistics (0-based): first value whose running count exceeds the rank
+        exprs += [F.min(F.when(F.col("cum___c") > k, F.col("__v"))).alias(f"__lo{j}"),
+                  F.min(F.when(F.col("cum___c") > k + 1, F.col("__v"))).alias(f"__hi{j}"),
+                  F.first(pos - k).alias(f"__f{j}")]
+    per = cum.groupBy(*keys).agg(*exprs)
+    out = [F.col(k_) for k_ in keys]
+    for j, n in enumerate(names):
+        lo, hi, fr = F.col(f"__lo{j}"), F.coalesce(F.col(f"__hi{j}"), F.col(f"__lo{j}")), F.col(f"__f{j}")
+        out.append(F.when(fr > 0, lo + (hi - lo) * fr).otherwise(lo).alias(n))
+    return per.select(*out)

@@ -346,3 +346,16 @@ def test_hot_key_third_of_rows(spark):
     c = {(r.y, r.split): r["count"] for r in s.groupBy("y", "split").count().collect()}
     for y in (0, 1):
         assert c[(y, "test")] == round((pdf.y == y).sum() * 0.25)
+
+
+def test_grouped_exact_quantiles_vs_numpy(spark):
+    from credal.operators.quantiles import grouped_exact_quantiles
+    rng = np.random.default_rng(5)
+    g = rng.integers(0, 4, 3000)
+    v = np.where(g == 0, 7.0, np.round(rng.normal(0, 10, 3000), 1))  # group 0: one repeated value
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g int, v double")
+    probs = [0.0, 0.1, 0.5, 0.95, 1.0]
+    got = {r.g: [r[f"q{j}"] for j in range(5)]
+           for r in grouped_exact_quantiles(df, ["g"], "v", probs, [f"q{j}" for j in range(5)], buckets=3).collect()}
+    for k in range(4):
+        assert np.allclose(got[k], np.quantile(v[g == k], probs), rtol=1e-12, atol=1e-12)
