@@ -6,8 +6,10 @@ category counts, the bounded category lists, exact medians and robust
 quartiles by bounded-memory selection (:mod:`credal.operators.quantiles`),
 one grouped aggregate per target-encoded column) and returns a
 JSON-serialisable ``Params``. ``transform(df, params)`` is a single ``select`` of Catalyst
-expressions — no join, no shuffle — so it streams through whole-stage
-codegen at scan speed and applies unchanged to train, test or a stream.
+expressions — no shuffle: target encodings of more than a few dozen
+categories are a broadcast hash join with the fitted (category → value)
+table, whose size is known — so it streams through whole-stage codegen at
+scan speed and applies unchanged to train, test or a stream.
 
 Semantics follow the fitted column transformer of the reference:
   one-hot   : impute "unknown", sorted categories, unseen → all zeros   ohe__c_v
@@ -213,8 +215,12 @@ def _output_exprs(p: Params) -> list[tuple[str, Column]]:
     s = p.spec
     out: list[tuple[str, Column]] = []
     for c in s["one_hot"]:
-        for v in p.categories.get(c, []):
-            out.append((f"ohe__{c}_{v}", F.when(_cat(c) == F.lit(v), 1.0).otherwise(0.0)))
+        cats = p.categories.get(c, [])
+        # position of the value in the sorted category list, computed once per row (CSE);
+        # each indicator is then an integer comparison
+        pos = F.array_position(F.array(*[F.lit(v) for v in cats]), _cat(c)) if cats else None
+        for i, v in enumerate(cats):
+            out.append((f"ohe__{c}_{v}", F.when(pos == F.lit(i + 1), 1.0).otherwise(0.0)))
     for c in s["ordinal"]:
         cats = p.ordinal_categories.get(c)
         if cats is None:
@@ -242,18 +248,42 @@ def _output_exprs(p: Params) -> list[tuple[str, Column]]:
         mp = p.te_maps.get(c)
         if mp is None:
             continue
-        m = F.create_map(*[x for kv in sorted(mp.items()) for x in (F.lit(kv[0]), F.lit(float(kv[1])))])
-        out.append((f"target_enc__{c}", F.coalesce(F.try_element_at(m, _cat(c)), F.lit(p.te_global))))
+        if len(mp) <= LITERAL_MAP_MAX:
+            m = F.create_map(*[x for kv in sorted(mp.items()) for x in (F.lit(kv[0]), F.lit(float(kv[1])))])
+            out.append((f"target_enc__{c}", F.coalesce(F.try_element_at(m, _cat(c)), F.lit(p.te_global))))
+        else:  # larger maps are joined (see transform): the column is filled from the join
+            out.append((f"target_enc__{c}", F.coalesce(F.col(f"__te_{c}"), F.lit(p.te_global))))
     return out
 
 
+# A literal map is searched linearly per row; past this size the encoding is a hash join.
+LITERAL_MAP_MAX = 32
+
+
+def _with_te_joins(df: DataFrame, p: Params) -> DataFrame:
+    """Attach ``__te_<c>`` for target encodings too large for a literal map:
+    a join with the (category → value) table, broadcast under its known size
+    (at most ``max_categories`` rows), else a shuffle join."""
+    spark = df.sparkSession
+    for c in p.spec["target_enc"]:
+        mp = p.te_maps.get(c)
+        if mp is None or len(mp) <= LITERAL_MAP_MAX:
+            continue
+        from credal.operators.assemble import BROADCAST_MAX_ROWS
+        table = spark.createDataFrame(sorted(mp.items()), f"`__k_{c}` string, `__te_{c}` double")
+        side = F.broadcast(table) if len(mp) <= BROADCAST_MAX_ROWS else table
+        df = df.join(side, _cat(c) == F.col(f"__k_{c}"), "left").drop(f"__k_{c}")
+    return df
+
+
 def transform(df: DataFrame, p: Params, keep: Sequence[str] = ()) -> DataFrame:
     """Apply fitted parameters: one ``select``; ``keep`` columns (ids, target,
     split) are carried in front, then ``spec.passthrough`` columns."""
+    base = _with_te_joins(df, p)
     cols = [F.col(k) for k in keep]
     cols += [e.alias(name) for name, e in _output_exprs(p)]
     cols += [F.col(c) for c in p.spec.get("passthrough", []) if c in df.columns]
-    return df.select(*cols)
+    return base.select(*cols)
 
 
 def fit_transform(df: DataFrame, spec: PreprocessSpec, keep: Sequence[str] = ()) -> tuple[DataFrame, Params]:

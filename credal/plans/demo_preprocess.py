@@ -327,3 +327,45 @@ def q_toolkit(spark, sf_dir):
     ind = P.missing_indicator_exprs(m, 0.2, ["disc", "price"])
     return rounded(m.select("l_orderkey", "l_linenumber", *P.standardize_exprs(std, "_scaled"), *ind,
                             *P.factorize_exprs(m, ["l_linestatus"])))
+
+
+def wide_matrix(spark, sf_dir):
+    """A wide stand-in (≈ 130 fitted output columns): line items with their
+    order, customer, part and supplier attributes, a few CASE-built missings."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                              "o_orderdate", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment",
+                                                F.col("c_nationkey").cast("string").alias("c_nation"))
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal", F.col("s_nationkey").cast("string").alias("s_nation"))
+    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+         .join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey))
+    ln = F.col("l_linenumber")
+    return j.select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax", "o_totalprice", "p_size",
+        "p_retailprice", "l_returnflag", "l_linestatus", "o_orderstatus", "o_orderpriority", "c_mktsegment",
+        "p_brand", "p_type", "c_nation", "s_nation",
+        F.when(ln == 3, F.lit(None)).otherwise(F.col("l_discount")).alias("disc"),
+        F.when(ln == 4, F.lit(None)).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(ln == 5, F.lit(None)).otherwise(F.col("s_acctbal")).alias("s_acctbal"),
+        F.datediff("l_shipdate", "o_orderdate").cast("double").alias("ship_days"),
+        F.col("l_suppkey").cast("string").alias("supp"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("y"),
+        (F.col("l_shipdate") < F.lit(TRAIN_CUTOFF).cast("timestamp_ntz")).alias("is_train"))
+
+
+WIDE_SPEC = P.PreprocessSpec(
+    standard=["l_quantity", "l_tax", "p_size", "disc", "c_acctbal", "s_acctbal", "ship_days"],
+    log=["l_extendedprice", "o_totalprice", "p_retailprice"],
+    one_hot=["l_returnflag", "l_linestatus", "o_orderstatus", "o_orderpriority", "c_mktsegment", "p_brand",
+             "p_type", "c_nation", "s_nation"],
+    target_enc=["supp"], target="y")
+
+
+@register("fit_transform_wide", "E12,E16,E20,J01")
+def q_wide(spark, sf_dir):
+    """Wide matrix: fit on the early rows, transform all rows (~130 columns)."""
+    m = wide_matrix(spark, sf_dir)
+    params = P.fit(m.where("is_train"), WIDE_SPEC)
+    return P.transform(m, params, keep=["l_orderkey", "l_linenumber", "y"])
