@@ -201,7 +201,8 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
         glob = df.agg(F.avg(F.col(spec.target).cast("double"))).first()[0]
         p.te_global = glob
         for c in te:
-            stats = (df.groupBy(_cat(c).alias("k"))
+            # rows without a category do not shape the map (they get the global mean)
+            stats = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("k"))
                      .agg(F.avg(F.col(spec.target).cast("double")).alias("m"), F.count(F.lit(1)).alias("n"))
                      .limit(spec.max_categories + 1).collect())
             if len(stats) > spec.max_categories:

@@ -86,9 +86,8 @@ rq AS (
          quantile_cont(coalesce(disc, (SELECT d_med FROM s)), 0.75) AS q75
   FROM tr),
 te AS (
-  SELECT coalesce(supp, 'unknown') AS supp,
-         (count(*) * avg(CAST(y AS DOUBLE)) + 1.0 * (SELECT gmean FROM s)) / (count(*) + 1.0) AS enc
-  FROM tr GROUP BY 1)
+  SELECT supp, (count(*) * avg(CAST(y AS DOUBLE)) + 1.0 * (SELECT gmean FROM s)) / (count(*) + 1.0) AS enc
+  FROM tr WHERE supp IS NOT NULL GROUP BY 1)
 SELECT m.l_orderkey, m.l_linenumber,
   CASE WHEN coalesce(rf, 'unknown') = 'A' THEN 1.0 ELSE 0.0 END AS "ohe__rf_A",
   CASE WHEN coalesce(rf, 'unknown') = 'N' THEN 1.0 ELSE 0.0 END AS "ohe__rf_N",
@@ -106,7 +105,7 @@ SELECT m.l_orderkey, m.l_linenumber,
   round((coalesce(disc, d_med) - d_med) / (CASE WHEN q75 - q25 = 0 THEN 1.0 ELSE q75 - q25 END), 6) AS "robust__disc",
   coalesce(CASE WHEN isnan(TRY_CAST(flag AS DOUBLE)) THEN NULL ELSE TRY_CAST(flag AS DOUBLE) END, 0.0) AS "binary__flag",
   round(coalesce(te.enc, gmean), 6) AS "target_enc__supp"
-FROM m CROSS JOIN s2 CROSS JOIN rq LEFT JOIN te ON coalesce(m.supp, 'unknown') = te.supp
+FROM m CROSS JOIN s2 CROSS JOIN rq LEFT JOIN te ON m.supp = te.supp
 """
 
 
