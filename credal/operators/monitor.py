@@ -72,6 +72,15 @@ def hourly_refusal_rate(log: DataFrame, ts: str = "ts", decision: str = "decisio
 
 
 # D02 --------------------------------------------------------------------------------
+def common_numeric_columns(ref: DataFrame, cur: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
+    """D02 (first form): numeric columns present in both populations, in the
+    reference order."""
+    num = ("double", "float", "integer", "long", "short", "byte", "decimal")
+    cur_types = dict((f.name, f.dataType.typeName()) for f in cur.schema.fields)
+    return [f.name for f in ref.schema.fields if f.name not in exclude and f.dataType.typeName() in num
+            and cur_types.get(f.name) in num]
+
+
 def align_population(df: DataFrame, renames: dict[str, str], day_to_years: Sequence[str] = (),
                      columns: Sequence[str] | None = None, fill: float = 0.0, keep: Sequence[str] = ()) -> DataFrame:
     """Rename request fields, convert ``age``/``years`` fields to

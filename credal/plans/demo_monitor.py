@@ -175,7 +175,9 @@ FROM ksw k JOIN sd USING ("column") JOIN dv USING ("column")
 def q_drift_num(spark, sf_dir):
     """KS, normalised Wasserstein, PSI, JS and χ² per numeric column (reference vs current)."""
     ref, cur = _populations(spark, sf_dir)
-    return rounded(D.drift_report(ref, cur, numeric=["value", "latency_ms", "hour_of_day"]))
+    numeric = D.common_numeric_columns(ref.select("value", "latency_ms", "hour_of_day"),
+                                       cur.select("value", "latency_ms", "hour_of_day", "channel"))
+    return rounded(D.drift_report(ref, cur, numeric=numeric))
 
 
 CAT_DRIFT_SQL = "WITH" + LOG_SQL + """,

@@ -366,3 +366,17 @@ def q_spearman(spark, sf_dir):
     """Spearman ρ (Pearson on average ranks, ties shared) of every pair."""
     li = table(spark, sf_dir, "lineitem")
     return rounded(Q.spearman_pairs(li, ["l_quantity", "l_discount", "l_tax"]))
+
+
+OUTLIER_NULL_SQL = """
+WITH b AS (SELECT quantile_cont(o_totalprice, 0.01) AS lo, quantile_cont(o_totalprice, 0.99) AS hi FROM orders)
+SELECT o_orderkey, CASE WHEN o_totalprice BETWEEN lo AND hi THEN o_totalprice END AS o_totalprice
+FROM orders, b
+"""
+
+
+@register("outlier_null_quantile", "Q06", OUTLIER_NULL_SQL)
+def q_outlier_null(spark, sf_dir):
+    """1 % / 99 % quantile bounds; values outside set to NULL."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return Q.treat_outliers(o, Q.outlier_bounds(o, ["o_totalprice"], "quantile"), "null")
