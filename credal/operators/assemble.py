@@ -97,11 +97,15 @@ def radius_neighbour_counts(points: DataFrame, refs: DataFrame, radii: Sequence[
     reference points are paired with a query point only in the cells that
     cross one of its circles. For a point and radius ``r`` a neighbour cell is
 
-      * fully inside the disk (its farthest corner within ``r``): its whole
-        pre-aggregated count is added — no pair is formed;
-      * fully outside (its nearest point beyond ``r``): skipped;
+      * fully inside the disk (the farthest corner of the bounding box of
+        its points within ``r``): its whole pre-aggregated count is added —
+        no pair is formed;
+      * fully outside (the box's nearest point beyond ``r``): skipped;
       * crossing the circle: its reference points are compared exactly.
 
+    Using the points' bounding box rather than the grid square means a cell
+    of copies of one location (any number of them) never forms pairs.
+
     Only the thin ring of crossing cells produces point pairs, so a hot area
     costs ``O(points × ring cells)`` cell lookups instead of all pairs.
     """
@@ -114,7 +118,11 @@ def radius_neighbour_counts(points: DataFrame, refs: DataFrame, radii: Sequence[
     cell_x = F.floor(F.col(ref_x) / F.lit(s)).cast("long")
     cell_y = F.floor(F.col(ref_y) / F.lit(s)).cast("long")
     ref_cells = refs.select(cell_x.alias("cx"), cell_y.alias("cy"), F.col(ref_x).alias("rx"), F.col(ref_y).alias("ry"))
-    cell_counts = ref_cells.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("cnt"))
+    # per cell: count and the bounding box of its points (a cell of copies of one
+    # point has a zero-size box, so it is always wholly inside or outside a circle)
+    cell_counts = ref_cells.groupBy("cx", "cy").agg(
+        F.count(F.lit(1)).alias("cnt"), F.min("rx").alias("bx0"), F.max("rx").alias("bx1"),
+        F.min("ry").alias("by0"), F.max("ry").alias("by1"))
 
     off = F.array(*[F.struct(F.lit(i).alias("di"), F.lit(j).alias("dj")) for i, j in offsets])
     probe = (points.select(F.col(id_col).alias("pid"), F.col(x).alias("px"), F.col(y).alias("py"))
@@ -123,20 +131,25 @@ def radius_neighbour_counts(points: DataFrame, refs: DataFrame, radii: Sequence[
              .withColumn("o", F.explode(off))
              .withColumn("cx", F.col("pcx") + F.col("o.di"))
              .withColumn("cy", F.col("pcy") + F.col("o.dj")))
-    # nearest and farthest distance from the point to the cell rectangle
+    # the grid rectangle prunes neighbour cells before the join
     x0, x1 = F.col("cx") * F.lit(s), (F.col("cx") + 1) * F.lit(s)
     y0, y1 = F.col("cy") * F.lit(s), (F.col("cy") + 1) * F.lit(s)
-    dx_near = F.greatest(x0 - F.col("px"), F.lit(0.0), F.col("px") - x1)
-    dy_near = F.greatest(y0 - F.col("py"), F.lit(0.0), F.col("py") - y1)
-    dx_far = F.greatest(F.abs(F.col("px") - x0), F.abs(F.col("px") - x1))
-    dy_far = F.greatest(F.abs(F.col("py") - y0), F.abs(F.col("py") - y1))
+    gx = F.greatest(x0 - F.col("px"), F.lit(0.0), F.col("px") - x1)
+    gy = F.greatest(y0 - F.col("py"), F.lit(0.0), F.col("py") - y1)
+    probe = (probe.where(F.sqrt(gx * gx + gy * gy) <= F.lit(R)).select("pid", "px", "py", "cx", "cy")
+             .join(cell_counts, ["cx", "cy"], "inner"))
+    # nearest and farthest distance from the point to the cell's bounding box
+    dx_near = F.greatest(F.col("bx0") - F.col("px"), F.lit(0.0), F.col("px") - F.col("bx1"))
+    dy_near = F.greatest(F.col("by0") - F.col("py"), F.lit(0.0), F.col("py") - F.col("by1"))
+    dx_far = F.greatest(F.abs(F.col("px") - F.col("bx0")), F.abs(F.col("px") - F.col("bx1")))
+    dy_far = F.greatest(F.abs(F.col("py") - F.col("by0")), F.abs(F.col("py") - F.col("by1")))
     probe = (probe.withColumn("near", F.sqrt(dx_near * dx_near + dy_near * dy_near))
              .withColumn("far", F.sqrt(dx_far * dx_far + dy_far * dy_far))
              .where(F.col("near") <= F.lit(R))
-             .select("pid", "px", "py", "cx", "cy", "near", "far"))
+             .select("pid", "px", "py", "cx", "cy", "cnt", "near", "far"))
 
     # 1) whole cells inside the disk: add the pre-aggregated count
-    inner = probe.join(cell_counts, ["cx", "cy"], "inner")
+    inner = probe
     inner_exprs = [F.sum(F.when(F.col("far") <= F.lit(r), F.col("cnt")).otherwise(0)).alias(f"n_{_rname(r)}")
                    for r in radii]
     inner_counts = inner.groupBy("pid").agg(*inner_exprs)

@@ -203,6 +203,7 @@ def test_radius_counts_vs_bruteforce_with_hot_spot(spark):
     rng = random.Random(4)
     pts = [(i, rng.uniform(0, 1), rng.uniform(0, 1)) for i in range(300)]
     pts += [(1000 + i, 0.5 + rng.uniform(-0.01, 0.01), 0.5 + rng.uniform(-0.01, 0.01)) for i in range(300)]  # dense
+    pts += [(2000 + i, 0.25, 0.75) for i in range(200)]  # copies of one location
     df = spark.createDataFrame(pts, "id int, x double, y double")
     radii = [0.02, 0.05, 0.1]
     got = {r.id: r for r in J.radius_neighbour_counts(df, df, radii).collect()}
