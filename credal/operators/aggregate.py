@@ -3,8 +3,10 @@
 All aggregates are expressed as one ``groupBy(...).agg(*exprs)`` so Spark runs
 a partial (map-side) aggregate before the shuffle: a key holding a third of
 the rows is reduced to one partial row per input partition before it moves.
-Non-algebraic functions (``count_distinct``, exact ``percentile``) are the
-only ones whose state grows with a group; they are opt-in per column.
+``count_distinct`` (the ``nunique`` spec) is planned as a first exchange on
+(key, value) and a second on the key (checked with ``explain``), so a hot
+key's distinct values are spread over tasks. Exact percentiles never use a
+per-group value map (see :mod:`credal.operators.quantiles`).
 """
 
 from __future__ import annotations
