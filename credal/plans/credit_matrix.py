@@ -36,8 +36,17 @@ def spec_from_registry(view: DataFrame, registry: FeatureRegistry, table: str =
         target="target")
 
 
-def feature_matrix(view: DataFrame, registry: FeatureRegistry) -> tuple[DataFrame, P.Params]:
-    """Fit on ``split = 'train'``, transform all rows; ±inf/NaN repaired."""
+def feature_matrix(view: DataFrame, registry: FeatureRegistry, materialize: bool = True) -> tuple[DataFrame, P.Params]:
+    """Fit on ``split = 'train'``, transform all rows; ±inf/NaN repaired.
+
+    With ``materialize`` the view (one row per client, built from every
+    history table) is checkpointed once to the shared checkpoint folder, so
+    the fit jobs and the transform read it instead of re-running the view
+    stack, and a lost executor recomputes from the checkpoint, not the raw
+    histories."""
+    from credal.session import cut_lineage
+    if materialize:
+        view = cut_lineage(view)
     spec = spec_from_registry(view, registry)
     params = P.fit(view.where(F.col("split") == "train"), spec)
     return repair_matrix(P.transform(view, params, keep=list(CARRY))), params
