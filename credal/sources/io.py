@@ -162,9 +162,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, ts_col: str
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     raw = (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
            .json(path))
-    raw = raw.cache()  # the corrupt-record column may only be queried on a materialised scan
     good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    # Spark refuses a raw JSON scan that references only the corrupt-record column; the
+    # corrupt rows come from a separately persisted (disk) scan, materialised only if used
+    from pyspark import StorageLevel
+    tagged = raw.withColumn("__scan", F.lit(1))  # its own plan: ``good`` never reads this cache
+    bad = tagged.persist(StorageLevel.DISK_ONLY).where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
     if ts_col and dict((f.name, f.dataType) for f in schema.fields).get(ts_col) == T.StringType():
         good = good.withColumn(ts_col, F.to_timestamp(F.col(ts_col), ts_format) if ts_format
                                else F.to_timestamp(F.col(ts_col)))
