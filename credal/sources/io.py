@@ -160,14 +160,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, ts_col: str
     (good rows, corrupt rows) so dropped lines are countable. The timestamp
     column is parsed as UTC."""
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-    raw = (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-           .json(path))
-    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # Spark refuses a raw JSON scan that references only the corrupt-record column; the
-    # corrupt rows come from a separately persisted (disk) scan, materialised only if used
-    from pyspark import StorageLevel
-    tagged = raw.withColumn("__scan", F.lit(1))  # its own plan: ``good`` never reads this cache
-    bad = tagged.persist(StorageLevel.DISK_ONLY).where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    # parse the text lines with from_json: the rows and the corrupt-line count can then be
+    # queried in any shape (a JSON file scan refuses queries that need only the
+    # corrupt-record column, e.g. a count of the good rows)
+    lines = spark.read.text(path).where(F.trim(F.col("value")) != "")
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = lines.select(F.from_json(F.col("value"), full, opts).alias("j")).select("j.*")
+    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    bad = parsed.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
     if ts_col and dict((f.name, f.dataType) for f in schema.fields).get(ts_col) == T.StringType():
         good = good.withColumn(ts_col, F.to_timestamp(F.col(ts_col), ts_format) if ts_format
                                else F.to_timestamp(F.col(ts_col)))

@@ -360,3 +360,13 @@ def test_grouped_exact_quantiles_vs_numpy(spark):
            for r in grouped_exact_quantiles(df, ["g"], "v", probs, [f"q{j}" for j in range(5)], buckets=3).collect()}
     for k in range(4):
         assert np.allclose(got[k], np.quantile(v[g == k], probs), rtol=1e-12, atol=1e-12)
+
+
+def test_jsonl_reader_counts_good_and_corrupt(spark):
+    base = io.scratch_dir(spark, "jsonl-test")
+    e = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, s string")
+    io.append_jsonl(e, base)
+    spark.createDataFrame([('{"id": 4, "s": ',), ("",), ("not json",)], "line string").write.mode("append").text(base)
+    good, bad = io.read_jsonl(spark, base, e.schema)
+    assert good.count() == 3 and bad.count() == 2
+    assert sorted(r.id for r in good.collect()) == [1, 2, 3]
