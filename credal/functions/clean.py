@@ -257,11 +257,14 @@ def narrow_doubles(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-def repair_matrix(df: DataFrame, to_zero: bool = True) -> DataFrame:
+def repair_matrix(df: DataFrame, to_zero: bool = True, keep: Sequence[str] = ()) -> DataFrame:
     """C27 on a whole table: ±inf/NaN repaired in every numeric column and, for
-    the training input, string columns dropped and missing → 0."""
-    out = []
+    the training input, string columns dropped and missing → 0. ``keep``
+    columns (ids, target, split) pass through untouched."""
+    out = [F.col(k) for k in keep]
     for f in df.schema.fields:
+        if f.name in keep:
+            continue
         t = f.dataType.typeName()
         if t in ("double", "float"):
             out.append((inf_to_zero(f.name) if to_zero else inf_to_null(f.name)).alias(f.name))

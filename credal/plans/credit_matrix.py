@@ -49,4 +49,4 @@ def feature_matrix(view: DataFrame, registry: FeatureRegistry, materialize: bool
         view = cut_lineage(view)
     spec = spec_from_registry(view, registry)
     params = P.fit(view.where(F.col("split") == "train"), spec)
-    return repair_matrix(P.transform(view, params, keep=list(CARRY))), params
+    return repair_matrix(P.transform(view, params, keep=list(CARRY)), keep=list(CARRY)), params
