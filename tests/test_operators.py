@@ -370,3 +370,18 @@ def test_jsonl_reader_counts_good_and_corrupt(spark):
     good, bad = io.read_jsonl(spark, base, e.schema)
     assert good.count() == 3 and bad.count() == 2
     assert sorted(r.id for r in good.collect()) == [1, 2, 3]
+
+
+def test_results_independent_of_partitioning(spark):
+    y, p = _scores(1500, seed=21)
+    rows = [(int(a), float(b)) for a, b in zip(y, p)]
+    one = spark.createDataFrame(rows, "y int, p double").coalesce(1)
+    many = spark.createDataFrame(rows, "y int, p double").repartition(9)
+    assert sorted(map(tuple, M.threshold_sweep(one, "p", "y", 40).collect())) == \
+        sorted(map(tuple, M.threshold_sweep(many, "p", "y", 40).collect()))
+    assert M.roc_auc(one, "p", "y", 4).first()[0] == pytest.approx(M.roc_auc(many, "p", "y", 7).first()[0])
+    ref, cur = one.where("y = 0"), many.where("y = 1")
+    a = D.numeric_drift(ref, cur, ["p"], buckets=3).first()
+    b = D.numeric_drift(ref.repartition(5), cur.coalesce(1), ["p"], buckets=11).first()
+    assert a.ks == pytest.approx(b.ks) and a.psi == pytest.approx(b.psi) and a.js == pytest.approx(b.js)
+    assert a.wasserstein_norm == pytest.approx(b.wasserstein_norm)
