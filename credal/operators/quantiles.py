@@ -45,10 +45,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     eps = 2.0 / accuracy
     lo_p = [max(0.0, p - eps) for p in probs]
     hi_p = [min(1.0, p + eps) for p in probs]
+    # per-column value as SQL text (one parse each; wide inputs build hundreds of these)
+    vsql = {c: "nullif(CAST(`{0}` AS DOUBLE), double('NaN'))".format(c.replace("`", "``")) for c in cols}
     e = []
     for i, c in enumerate(cols):
-        v = F.when(valid[c], x[c])
-        e += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"mn{i}"), F.max(v).alias(f"mx{i}")]
+        e.append(F.expr(f"count({vsql[c]})").alias(f"n{i}"))
+        e.append(F.expr(f"min({vsql[c]})").alias(f"mn{i}"))
+        e.append(F.expr(f"max({vsql[c]})").alias(f"mx{i}"))
     row = df.agg(*e).first().asDict()
     # distinct values bound the percentile map: at most n, else probed with a sketch
     big = [(i, c) for i, c in enumerate(cols) if (row[f"n{i}"] or 0) > map_max_distinct]
@@ -61,9 +64,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     # bounded); the others: approximate brackets for the selection passes — one job
     low = [c for i, c in enumerate(cols) if row[f"n{i}"] and row[f"d{i}"] <= map_max_distinct]
     high = [(i, c) for i, c in enumerate(cols) if row[f"n{i}"] and c not in low]
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    e2 = [F.percentile(F.when(valid[c], x[c]), arr).alias(f"p{cols.index(c)}") for c in low]
-    e2 += [F.percentile_approx(F.when(valid[c], x[c]), lo_p + hi_p, accuracy).alias(f"q{i}") for i, c in high]
+    arr_sql = "array(" + ", ".join(f"{float(p)!r}D" for p in probs) + ")"
+    br_sql = "array(" + ", ".join(f"{float(p)!r}D" for p in lo_p + hi_p) + ")"
+    e2 = [F.expr(f"percentile({vsql[c]}, {arr_sql})").alias(f"p{cols.index(c)}") for c in low]
+    e2 += [F.expr(f"percentile_approx({vsql[c]}, {br_sql}, {accuracy})").alias(f"q{i}") for i, c in high]
     result_low: dict[str, list[float | None]] = {}
     if e2:
         row.update(df.agg(*e2).first().asDict())
