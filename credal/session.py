@@ -46,7 +46,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The folder named by ``spark.checkpoint.dir`` is used as is; only when the
     session has none (local tests) is a fresh scratch folder set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Spark Connect) session: the folder comes from the conf
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if conf_dir:
+            return conf_dir
+        return tempfile.mkdtemp(prefix="credal-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current

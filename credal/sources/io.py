@@ -30,10 +30,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def _exists(spark: SparkSession, path: str) -> bool:
     """Path existence through the Hadoop filesystem of the session (works for
     local, HDFS and object stores)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf).exists(p)
+    except Exception:  # no JVM handle (remote session): let the reader decide
+        try:
+            spark.read.format("binaryFile").load(path).limit(1).count()
+            return True
+        except Exception:
+            return False
 
 
 # S01 / S03 ------------------------------------------------------------------------
