@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from credal.functions import clean as C
+from credal.functions.stats import chi2_pvalue, ks_pvalue
 from credal.operators.cumulative import cumulative_sums
 from credal.operators.quantiles import grouped_exact_quantiles, quantiles
 
@@ -133,6 +134,7 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], bins:
         F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     sd = F.sqrt(F.greatest(F.col("_m2") - F.col("_mu") * F.col("_mu"), F.lit(0.0)))
     ks_w = ks_w.select("column", "ks", (F.col("wasserstein") / F.when(sd > 0, sd)).alias("wasserstein_norm"),
+                       ks_pvalue(F.col("ks"), F.col("n_ref"), F.col("n_cur")).alias("ks_pvalue"),
                        "n_ref", "n_cur")
     binned = _binned_divergences(ref, cur, columns, bins)
     return ks_w.join(binned, "column", "left")
@@ -173,13 +175,16 @@ def _divergences(counts: DataFrame, cell: str) -> DataFrame:
     return p.groupBy("column").agg(
         F.sum((qe - pe) * F.log(qe / pe)).alias("psi"),
         F.sqrt(F.greatest(F.sum(kl(F.col("p")) + kl(F.col("q"))) / 2, F.lit(0.0))).alias("js"),
-        F.sum(F.when(expected > 0, (F.col("n_cur") - expected) ** 2 / expected).otherwise(0.0)).alias("chi2"))
+        F.sum(F.when(expected > 0, (F.col("n_cur") - expected) ** 2 / expected).otherwise(0.0)).alias("chi2"),
+        (F.count_if(F.col("n_ref") > 0) - 1).alias("chi2_dof"))
 
 
 def categorical_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """D03 categorical: JS distance, PSI and χ² over category shares."""
+    """D03 categorical: JS distance, PSI and χ² (statistic over the reference
+    categories, with its p-value) over category shares."""
     counts = _long(ref, cur, columns, "cat")
-    return _divergences(counts.withColumnRenamed("value", "category"), "category")
+    d = _divergences(counts.withColumnRenamed("value", "category"), "category")
+    return d.withColumn("chi2_pvalue", chi2_pvalue(F.col("chi2"), F.col("chi2_dof").cast("double")))
 
 
 def drift_report(ref: DataFrame, cur: DataFrame, numeric: Sequence[str] = (), categorical: Sequence[str] = (),

@@ -385,3 +385,13 @@ def test_results_independent_of_partitioning(spark):
     b = D.numeric_drift(ref.repartition(5), cur.coalesce(1), ["p"], buckets=11).first()
     assert a.ks == pytest.approx(b.ks) and a.psi == pytest.approx(b.psi) and a.js == pytest.approx(b.js)
     assert a.wasserstein_norm == pytest.approx(b.wasserstein_norm)
+
+
+def test_drift_pvalues(spark):
+    from credal.functions.stats import _gammaincc
+    assert _gammaincc(0.5, 3.841458820694124 / 2) == pytest.approx(0.05, abs=1e-9)      # χ²(1) 95 %
+    assert _gammaincc(2.0, 9.487729036781154 / 2) == pytest.approx(0.05, abs=1e-9)      # χ²(4) 95 %
+    from credal.functions.stats import ks_pvalue
+    row = spark.createDataFrame([(0.0, 10, 10), (1.0, 50, 50)], "d double, a long, b long") \
+        .select(ks_pvalue(F.col("d"), F.col("a"), F.col("b")).alias("p")).collect()
+    assert row[0].p == 1.0 and row[1].p < 1e-10
