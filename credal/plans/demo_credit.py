@@ -337,3 +337,21 @@ def q_registry_validation(spark, sf_dir):
     exported = reg.to_dataframe(spark).where("source_table = 'application'").select(
         F.col("name").alias("column"), F.lit("described").alias("issue"))
     return issues.unionByName(exported)
+
+
+@register("credit_champion_threshold", "M01,M03,M06,M09,M13,M14,W01")
+def q_credit_champion(spark, sf_dir):
+    """Raw stand-ins → credit view → registry-driven matrix → exact split →
+    models compared by F2 → the champion's cost-optimal threshold (lowest
+    10·FN + FP on the 150-point sweep, first on ties)."""
+    from credal.operators import evaluate as M
+    from credal.plans.credit_matrix import feature_matrix
+    from credal.plans.credit_model import champion_and_threshold
+    from credal.plans.credit_views import credit_registry
+    reg = credit_registry()
+    matrix, params = feature_matrix(build_feature_view(credit_raw_tables(spark, sf_dir), reg), reg)
+    labelled = matrix.where(F.col("split") == "train").drop("split")
+    comparison, curve, _ = champion_and_threshold(labelled, params.feature_names, "target", ["sk_id_curr"])
+    best = M.best_threshold(curve).select("model", "threshold", F.col("cost").alias("threshold_cost"),
+                                          F.col("f2").alias("threshold_f2"), "fn", "fp")
+    return rounded(comparison.join(best, "model", "left"))
