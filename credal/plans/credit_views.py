@@ -1,14 +1,15 @@
 """The credit feature-view stack as DataFrame functions.
 
-clean (registry select) → five one-row-per-client aggregates → master left
-join → engineered features fe1–fe10. Output names are the view's column
+clean (registry select) → one-row-per-client aggregates of the five history
+tables, plus the monthly bureau balances rolled up credit → client → master
+left join → engineered features fe1–fe10. Output names are the view's column
 names. Status counts compare with the *recoded* (lower-case) values, so they
 are not constantly zero.
 
 Physical shape: each history table is partially aggregated by
-``sk_id_curr`` before its shuffle; the five results are hash-partitioned on
-the same key, so the master join shuffles the application side once and
-joins the already-partitioned aggregates without another exchange.
+``sk_id_curr`` before its shuffle; the results are hash-partitioned on the
+same key, so the master join shuffles the application side once and joins
+the already-partitioned aggregates without another exchange.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ def credit_registry() -> FeatureRegistry:
                       unknown_value="unknown"),
         _num("days_credit", b), _num("credit_day_overdue", b), _num("amt_credit_sum", b, "log"),
         _num("amt_credit_sum_debt", b), _num("amt_credit_sum_limit", b), _num("cnt_credit_prolong", b),
+        _id("sk_id_bureau", "bureau_balance"), _num("months_balance", "bureau_balance"),
+        AttributeSpec("status", "bureau_balance", "categorical", raw_name="STATUS"),
         _id("sk_id_curr", p), _id("sk_id_prev", p),
         AttributeSpec("name_contract_status", p, "categorical", raw_name="NAME_CONTRACT_STATUS",
                       value_map=CONTRACT_STATUS_MAP, unknown_value="unknown"),
@@ -159,6 +162,26 @@ def agg_credit_card(cc: DataFrame) -> DataFrame:
         F.count_if(F.col("sk_dpd") > 0).alias("cc_dpd_count"))
 
 
+# bureau_balance statuses that mean days past due (0 = on time, C = closed, X = unknown).
+LATE_STATUSES = ("1", "2", "3", "4", "5")
+
+
+def agg_bureau_balance(bb: DataFrame, bureau: DataFrame) -> DataFrame:
+    """A09 two-level roll-up of the monthly bureau balances: per bureau credit
+    (months min / max, records, share of late statuses), then per client the
+    mean over its credits. The monthly table is partially aggregated per
+    credit before it meets ``bureau`` (credit → client), so only one row per
+    credit takes part in the join."""
+    per_credit = bb.groupBy("sk_id_bureau").agg(
+        F.min("months_balance").alias("months_min"), F.max("months_balance").alias("months_max"),
+        F.count(F.lit(1)).alias("records"), guarded_rate(F.col("status").isin(*LATE_STATUSES)).alias("late_share"))
+    owners = bureau.select("sk_id_bureau", KEY)
+    return per_credit.join(owners, "sk_id_bureau").groupBy(KEY).agg(
+        F.count(F.lit(1)).alias("bb_credit_count"), F.avg("months_min").alias("bb_months_min_mean"),
+        F.avg("months_max").alias("bb_months_max_mean"), F.avg("records").alias("bb_records_mean"),
+        F.avg("late_share").alias("bb_late_share_mean"))
+
+
 def agg_installments(ins: DataFrame) -> DataFrame:
     late = F.col("payment_delay_days") > 0
     return ins.groupBy(KEY).agg(
@@ -194,14 +217,18 @@ def build_feature_view(raw: Mapping[str, DataFrame], registry: FeatureRegistry |
     """Raw tables (technical column names) → ``v_features_engineering``.
 
     ``raw`` keys: application_train, application_test (optional), bureau,
-    previous_application, pos_cash, credit_card, installments. A missing
-    history table is skipped (its columns are absent), like a missing file.
+    bureau_balance, previous_application, pos_cash, credit_card,
+    installments. A missing history table is skipped (its columns are
+    absent), like a missing file.
     """
     reg = registry or credit_registry()
     app = clean_application(raw["application_train"], raw.get("application_test"), reg)
     aggs = []
     if "bureau" in raw:
-        aggs.append(agg_bureau(clean_table(raw["bureau"], "bureau", reg)))
+        bureau = clean_table(raw["bureau"], "bureau", reg)
+        aggs.append(agg_bureau(bureau))
+        if "bureau_balance" in raw:
+            aggs.append(agg_bureau_balance(clean_table(raw["bureau_balance"], "bureau_balance", reg), bureau))
     if "previous_application" in raw:
         aggs.append(agg_previous(clean_table(raw["previous_application"], "previous_application", reg)))
     if "pos_cash" in raw:

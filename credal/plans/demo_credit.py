@@ -7,6 +7,7 @@ sentinel, five aggregates, master join, fe1–fe10 — runs in
 
   application  ← customer (test split: market segment BUILDING)
   bureau, previous_application ← orders
+  bureau_balance ← lineitem (credit key = order key)
   pos_cash, credit_card ← events (user_id as client key)
   installments ← lineitem ⋈ orders (client key of the order)
 """
@@ -59,6 +60,13 @@ def bureau_raw(spark, sf_dir):
         F.when(pr == "5-LOW", 1.0).otherwise(0.0).alias("cnt_credit_prolong"))
 
 
+def bureau_balance_raw(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    rf = F.col("l_returnflag")
+    return li.select(F.col("l_orderkey").alias("sk_id_bureau"), (-F.col("l_linenumber")).cast("double").alias("months_balance"),
+                     F.when(rf == "R", "1").when(rf == "A", "C").otherwise("X").alias("status"))
+
+
 def previous_raw(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     pr, tp = F.col("o_orderpriority"), F.col("o_totalprice")
@@ -114,6 +122,7 @@ def credit_raw_tables(spark, sf_dir) -> dict:
         "application_train": app.where(~F.col("_is_test")).drop("_is_test"),
         "application_test": app.where(F.col("_is_test")).drop("_is_test"),
         "bureau": bureau_raw(spark, sf_dir),
+        "bureau_balance": bureau_balance_raw(spark, sf_dir),
         "previous_application": previous_raw(spark, sf_dir),
         "pos_cash": pos_cash_raw(spark, sf_dir),
         "credit_card": credit_card_raw(spark, sf_dir),
@@ -155,6 +164,10 @@ bureau AS (
          CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice / 10.0 END AS amt_credit_sum_limit,
          CASE WHEN o_orderpriority = '5-LOW' THEN 1.0 ELSE 0.0 END AS cnt_credit_prolong
   FROM orders),
+bb AS (
+  SELECT l_orderkey AS sk_id_bureau, CAST(-l_linenumber AS DOUBLE) AS months_balance,
+         CASE l_returnflag WHEN 'R' THEN '1' WHEN 'A' THEN 'C' ELSE 'X' END AS status
+  FROM lineitem),
 prev AS (
   SELECT o_custkey AS sk_id_curr,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'refused' WHEN '2-HIGH' THEN 'canceled'
@@ -201,6 +214,14 @@ agg_bureau AS (
          avg(credit_day_overdue) AS bureau_credit_day_overdue_mean, avg(cnt_credit_prolong) AS bureau_cnt_prolong_mean,
          avg(amt_credit_sum_limit) AS bureau_credit_limit_mean
   FROM bureau GROUP BY sk_id_curr),
+bb_credit AS (
+  SELECT sk_id_bureau, min(months_balance) AS months_min, max(months_balance) AS months_max, count(*) AS records,
+         avg(CASE WHEN status IN ('1', '2', '3', '4', '5') THEN 1.0 ELSE 0.0 END) AS late_share
+  FROM bb GROUP BY sk_id_bureau),
+agg_bb AS (
+  SELECT b.sk_id_curr, count(*) AS bb_credit_count, avg(months_min) AS bb_months_min_mean,
+         avg(months_max) AS bb_months_max_mean, avg(records) AS bb_records_mean, avg(late_share) AS bb_late_share_mean
+  FROM bb_credit c JOIN bureau b ON c.sk_id_bureau = b.sk_id_bureau GROUP BY b.sk_id_curr),
 agg_prev AS (
   SELECT sk_id_curr, count(*) AS prev_app_count,
          count(*) FILTER (WHERE name_contract_status = 'approved') AS prev_approved_count,
@@ -234,10 +255,11 @@ agg_ins AS (
          avg(CASE WHEN payment_delay_days > 0 THEN 1.0 ELSE 0.0 END) AS install_late_rate
   FROM ins_clean GROUP BY sk_id_curr),
 master AS (
-  SELECT app.*, b.* EXCLUDE (sk_id_curr), p.* EXCLUDE (sk_id_curr), po.* EXCLUDE (sk_id_curr),
-         c.* EXCLUDE (sk_id_curr), i.* EXCLUDE (sk_id_curr)
+  SELECT app.*, b.* EXCLUDE (sk_id_curr), bbx.* EXCLUDE (sk_id_curr), p.* EXCLUDE (sk_id_curr),
+         po.* EXCLUDE (sk_id_curr), c.* EXCLUDE (sk_id_curr), i.* EXCLUDE (sk_id_curr)
   FROM app
   LEFT JOIN agg_bureau b ON app.sk_id_curr = b.sk_id_curr
+  LEFT JOIN agg_bb bbx ON app.sk_id_curr = bbx.sk_id_curr
   LEFT JOIN agg_prev p ON app.sk_id_curr = p.sk_id_curr
   LEFT JOIN agg_pos po ON app.sk_id_curr = po.sk_id_curr
   LEFT JOIN agg_cc c ON app.sk_id_curr = c.sk_id_curr
@@ -276,6 +298,8 @@ SELECT * REPLACE (
   round(bureau_credit_day_overdue_mean, 6) AS bureau_credit_day_overdue_mean,
   round(bureau_cnt_prolong_mean, 6) AS bureau_cnt_prolong_mean,
   round(bureau_credit_limit_mean, 6) AS bureau_credit_limit_mean,
+  round(bb_months_min_mean, 6) AS bb_months_min_mean, round(bb_months_max_mean, 6) AS bb_months_max_mean,
+  round(bb_records_mean, 6) AS bb_records_mean, round(bb_late_share_mean, 6) AS bb_late_share_mean,
   round(prev_amt_credit_mean, 6) AS prev_amt_credit_mean, round(prev_amt_credit_max, 6) AS prev_amt_credit_max,
   round(prev_amt_annuity_mean, 6) AS prev_amt_annuity_mean, round(prev_days_decision_max, 6) AS prev_days_decision_max,
   round(prev_rate_down_mean, 6) AS prev_rate_down_mean, round(prev_cnt_payment_mean, 6) AS prev_cnt_payment_mean,
@@ -306,10 +330,11 @@ FROM fe
 """
 
 
-@register("credit_feature_view", "C01,C02,C03,C04,C05,C06,C10,C11,C12,C14,C15,C16,C17,C18,C19,A01,A02,A03,A04,A05,"
+@register("credit_feature_view", "C01,C02,C03,C04,C05,C06,C10,C11,C12,C14,C15,C16,C17,C18,C19,A01,A02,A03,A04,A05,A09,"
           "A10,J01,W05,S02", CREDIT_FEATURE_VIEW_SQL)
 def q_credit_feature_view(spark, sf_dir):
-    """Credit view stack: registry select → 5 aggregates → master join → fe1–fe10."""
+    """Credit view stack: registry select → history aggregates (incl. the
+    credit → client roll-up of monthly balances) → master join → fe1–fe10."""
     return rounded(build_feature_view(credit_raw_tables(spark, sf_dir)))
 
 
