@@ -472,7 +472,10 @@ def out_of_fold_target_encoding(df: DataFrame, column: str, target: str, fold_co
         column, fold_col,
         F.when(F.sum("_n").over(w) - F.col("_n") > 0,
                (F.sum("_s").over(w) - F.col("_s")) / (F.sum("_n").over(w) - F.col("_n"))).alias(out))
-    res = df.join(enc, [column, fold_col], "left")
+    # (category, fold) rows: broadcast when their checked count is small — a hot
+    # category then never concentrates the big side of a shuffle join
+    from credal.operators.assemble import broadcast_if_small
+    res = df.join(broadcast_if_small(enc), [column, fold_col], "left")
     return res.withColumn(out, F.coalesce(F.col(out), F.lit(glob)))
 
 

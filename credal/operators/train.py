@@ -20,7 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credal.functions import clean as C
@@ -170,23 +170,33 @@ def linear_contributions(df: DataFrame, model: PipelineModel, features: Sequence
                          key: str, source_of: Mapping[str, str] | None = None, top: int = 3) -> tuple[DataFrame, DataFrame]:
     """Exact contributions of a linear model, coef·(x − mean), summed
     back to source columns (``source_of`` maps an encoded column to its
-    source; default: the part before ``__`` removed and the last
-    ``_category`` kept), sorted by |impact| per row (top ``top``) and the
-    global mean |impact| per source.
+    source; default: the name after the ``transformer__`` prefix), the ``top``
+    sources of every row by |impact| (name breaks ties), and the global mean
+    |impact| per source.
 
-    The long table has rows × sources rows; the per-row top-k window is
-    partitioned by the row key, so it holds one row's sources only."""
+    Everything per row is row-local: one Column per source, an array of
+    (source, impact) structs sorted inside the row and sliced to ``top`` —
+    no shuffle; the global means are one aggregate."""
     coefs = model.stages[-1].coefficients.toArray().tolist()
     source_of = source_of or {f: _source_name(f) for f in features}
-    parts = [F.struct(F.lit(source_of[f]).alias("source"),
-                      (F.lit(float(c)) * (F.col(f) - F.lit(float(means.get(f, 0.0))))).alias("impact"))
-             for f, c in zip(features, coefs)]
-    long = df.select(key, F.explode(F.array(*parts)).alias("kv")).select(key, "kv.source", "kv.impact")
-    per_source = long.groupBy(key, "source").agg(F.sum("impact").alias("impact"))
-    w = Window.partitionBy(key).orderBy(F.abs(F.col("impact")).desc(), F.col("source"))
-    top_rows = (per_source.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+    by_source: dict[str, Column] = {}
+    for f, c in zip(features, coefs):
+        term = F.lit(float(c)) * (F.col(f) - F.lit(float(means.get(f, 0.0))))
+        src = source_of[f]
+        by_source[src] = term if src not in by_source else by_source[src] + term
+    names = sorted(by_source)
+    per_row = df.select(key, *[by_source[s].alias(f"__src_{i}") for i, s in enumerate(names)])
+    pairs = F.array(*[F.struct(F.lit(s).alias("source"), F.col(f"__src_{i}").alias("impact"))
+                      for i, s in enumerate(names)])
+    ranked = F.array_sort(pairs, lambda a, b: F.when(F.abs(a["impact"]) > F.abs(b["impact"]), -1)
+                          .when(F.abs(a["impact"]) < F.abs(b["impact"]), 1)
+                          .when(a["source"] < b["source"], -1).when(a["source"] > b["source"], 1).otherwise(0))
+    top_rows = (per_row.select(key, F.posexplode(F.slice(ranked, 1, top)).alias("pos", "kv"))
+                .select(key, "kv.source", "kv.impact", (F.col("pos") + 1).alias("rank"))
                 .withColumn("direction", C.direction_label("impact")))
-    global_mean = per_source.groupBy("source").agg(F.avg(F.abs("impact")).alias("mean_abs_impact")) \
+    wide = per_row.agg(*[F.avg(F.abs(F.col(f"__src_{i}"))).alias(f"m{i}") for i in range(len(names))])
+    stack = ", ".join(f"'{s}', m{i}" for i, s in enumerate(names))
+    global_mean = wide.selectExpr(f"stack({len(names)}, {stack}) AS (source, mean_abs_impact)") \
         .orderBy(F.col("mean_abs_impact").desc(), "source")
     return top_rows, global_mean
 

@@ -395,3 +395,26 @@ def test_drift_pvalues(spark):
     row = spark.createDataFrame([(0.0, 10, 10), (1.0, 50, 50)], "d double, a long, b long") \
         .select(ks_pvalue(F.col("d"), F.col("a"), F.col("b")).alias("p")).collect()
     assert row[0].p == 1.0 and row[1].p < 1e-10
+
+
+def test_linear_contributions_vs_numpy(spark):
+    rng = np.random.default_rng(2)
+    X = rng.normal(0, 1, (300, 3))
+    y = (X[:, 0] + 0.5 * X[:, 1] - X[:, 2] + rng.normal(0, 0.5, 300) > 0).astype(int)
+    rows = [(i, float(a), float(b), float(c), int(t)) for i, ((a, b, c), t) in enumerate(zip(X, y))]
+    df = spark.createDataFrame(rows, "id int, ohe__g_a double, ohe__g_b double, standard__x double, y int")
+    feats = ["ohe__g_a", "ohe__g_b", "standard__x"]
+    model = TR.fit_model(df, feats, TR.model_catalogue("y", None, fast=True)["logistic"])
+    means = TR.column_means(df, feats)
+    src = {"ohe__g_a": "g", "ohe__g_b": "g", "standard__x": "x"}
+    top, glob = TR.linear_contributions(df, model, feats, means, "id", src, top=1)
+    coef = model.stages[-1].coefficients.toArray()
+    mu = np.array([means[f] for f in feats])
+    contrib = (X - mu) * coef
+    g, x = contrib[:, 0] + contrib[:, 1], contrib[:, 2]
+    got = {r.id: (r.source, r.impact) for r in top.collect()}
+    for i in range(0, 300, 37):
+        exp = ("g", g[i]) if (abs(g[i]) > abs(x[i]) or (abs(g[i]) == abs(x[i]))) else ("x", x[i])
+        assert got[i][0] == exp[0] and got[i][1] == pytest.approx(exp[1])
+    gm = {r.source: r.mean_abs_impact for r in glob.collect()}
+    assert gm["g"] == pytest.approx(np.mean(np.abs(g))) and gm["x"] == pytest.approx(np.mean(np.abs(x)))
