@@ -418,3 +418,21 @@ def test_linear_contributions_vs_numpy(spark):
         assert got[i][0] == exp[0] and got[i][1] == pytest.approx(exp[1])
     gm = {r.source: r.mean_abs_impact for r in glob.collect()}
     assert gm["g"] == pytest.approx(np.mean(np.abs(g))) and gm["x"] == pytest.approx(np.mean(np.abs(x)))
+
+
+def test_best_threshold_first_on_cost_ties(spark):
+    # every score above the grid: all thresholds predict positive → identical costs
+    df = spark.createDataFrame([(1, 0.95), (0, 0.9), (1, 0.99)], "y int, p double")
+    best = M.best_threshold(M.threshold_sweep(df, "p", "y", n=10)).first()
+    assert best.j == 0 and best.cost == 1
+    f2 = M.best_threshold(M.threshold_sweep(df, "p", "y", n=10), by="f2").first()
+    assert f2.j == 0
+
+
+def test_small_sample_moments_and_alignment(spark):
+    prof = {r.column: r for r in Q.numeric_profile(
+        spark.createDataFrame([(1.0, 1.0), (2.0, 5.0)], "a double, b double")).collect()}
+    assert prof["a"].skewness is None and prof["a"].kurtosis is None      # n < 3 / n < 4
+    test = spark.createDataFrame([(1.0, "x", 7.0)], "f1 double, extra string, f3 double")
+    out = J.align_columns(test, ["f3", "f2", "f1"])
+    assert out.columns == ["f3", "f2", "f1"] and tuple(out.first()) == (7.0, 0.0, 1.0)
