@@ -140,8 +140,11 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
     for c in spec.log:
         if c in present:
             exprs += [F.avg(_log_expr(c)).alias(f"lavg__{c}"), F.stddev_pop(_log_expr(c)).alias(f"lstd__{c}")]
-    cat_cols = [c for c in spec.one_hot if c in present] + \
-               [c for c in spec.ordinal if c in present and c not in spec.ordinal_categories]
+    # Ordinal categories come from the value maps only when every ordinal column
+    # has one; otherwise all of them are learned from the data
+    ordinal_present = [c for c in spec.ordinal if c in present]
+    use_maps = bool(ordinal_present) and all(c in spec.ordinal_categories for c in ordinal_present)
+    cat_cols = [c for c in spec.one_hot if c in present] + ([] if use_maps else ordinal_present)
     for c in cat_cols:
         exprs.append(F.approx_count_distinct(_cat(c)).alias(f"acd__{c}"))
     row = df.agg(*exprs).first().asDict()
@@ -191,9 +194,9 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
             p.categories[c] = cats
         else:
             p.ordinal_categories[c] = cats
-    for c, cats in spec.ordinal_categories.items():
-        if c in spec.ordinal:
-            p.ordinal_categories[c] = sorted(cats)
+    if use_maps:
+        for c in ordinal_present:
+            p.ordinal_categories[c] = sorted(spec.ordinal_categories[c])
 
     # job 2: robust quartiles of the median-imputed values
     rob = [c for c in spec.robust if c in p.medians]

@@ -33,6 +33,8 @@ def spec_from_registry(view: DataFrame, registry: FeatureRegistry, table: str =
         ordinal=registry.columns(table=table, type="categorical", encoding="ordinal", present_in=cols),
         target_enc=registry.columns(table=table, type="categorical", encoding="target", present_in=cols),
         binary=[c for c in registry.columns(table=table, type="binary", present_in=cols) if c not in CARRY],
+        ordinal_categories={s.name: list(s.value_map.values()) for s in registry
+                            if s.source_table == table and s.encoding == "ordinal" and s.value_map},
         target="target")
 
 

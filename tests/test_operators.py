@@ -436,3 +436,13 @@ def test_small_sample_moments_and_alignment(spark):
     test = spark.createDataFrame([(1.0, "x", 7.0)], "f1 double, extra string, f3 double")
     out = J.align_columns(test, ["f3", "f2", "f1"])
     assert out.columns == ["f3", "f2", "f1"] and tuple(out.first()) == (7.0, 0.0, 1.0)
+
+
+def test_ordinal_categories_from_maps_only_when_all_have_one(spark):
+    df = spark.createDataFrame([("b", "x"), ("a", "y"), (None, "x")], "o1 string, o2 string")
+    both = P.fit(df, P.PreprocessSpec(ordinal=["o1", "o2"], ordinal_categories={"o1": ["z", "b", "a"], "o2": ["y", "x"]}))
+    assert both.ordinal_categories == {"o1": ["a", "b", "z"], "o2": ["x", "y"]}
+    partial = P.fit(df, P.PreprocessSpec(ordinal=["o1", "o2"], ordinal_categories={"o1": ["z", "b", "a"]}))
+    assert partial.ordinal_categories == {"o1": ["a", "b", "unknown"], "o2": ["x", "y"]}
+    out = P.transform(spark.createDataFrame([("z", "q")], df.schema), partial).first()
+    assert out["ordinal__o1"] == -1.0 and out["ordinal__o2"] == -1.0      # unseen → −1
