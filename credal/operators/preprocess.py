@@ -33,7 +33,6 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from credal.functions import clean as C
 from credal.operators.quantiles import quantiles
 
 UNKNOWN = "unknown"
