@@ -83,10 +83,12 @@ def common_numeric_columns(ref: DataFrame, cur: DataFrame, exclude: Sequence[str
 
 
 def align_population(df: DataFrame, renames: dict[str, str], day_to_years: Sequence[str] = (),
-                     columns: Sequence[str] | None = None, fill: float = 0.0, keep: Sequence[str] = ()) -> DataFrame:
+                     columns: Sequence[str] | None = None, fill: float = 0.0, keep: Sequence[str] = (),
+                     categorical: Sequence[str] = ()) -> DataFrame:
     """Rename request fields, convert ``age``/``years`` fields to
     negative day offsets (−365 × value), then keep the fitted column order
-    with missing columns as ``fill`` — one ``select`` over the whole log."""
+    with missing numeric columns as ``fill`` (categorical ones missing) — one
+    ``select`` over the whole log."""
     out = df
     for src, dst in renames.items():
         if src in out.columns:
@@ -96,7 +98,11 @@ def align_population(df: DataFrame, renames: dict[str, str], day_to_years: Seque
             out = out.withColumn(c, F.lit(-365.0) * F.col(c))
     if columns is not None:
         have = set(out.columns)
-        out = out.select(*keep, *[F.col(c).cast("double") if c in have else F.lit(fill).alias(c) for c in columns])
+        cat = set(categorical)
+        out = out.select(*keep, *[
+            (F.col(c).cast("string") if c in cat else F.col(c).cast("double")) if c in have
+            else (F.lit(None).cast("string") if c in cat else F.lit(fill).cast("double")).alias(c)
+            for c in columns])
     return out
 
 

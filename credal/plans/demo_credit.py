@@ -380,3 +380,29 @@ def q_credit_champion(spark, sf_dir):
     best = M.best_threshold(curve).select("model", "threshold", F.col("cost").alias("threshold_cost"),
                                           F.col("f2").alias("threshold_f2"), "fn", "fp")
     return rounded(comparison.join(best, "model", "left"))
+
+
+@register("score_requests_end_to_end", "M17,C29,C30,D02,S11,T05")
+def q_score_requests(spark, sf_dir):
+    """Model fitted on the credit matrix; requests in their own field names
+    (income, age in years, …) aligned, transformed with the saved parameters,
+    scored and decided, then appended to a JSON Lines log and read back."""
+    from credal.operators import train as TR
+    from credal.plans.credit_matrix import feature_matrix
+    from credal.plans.credit_scoring import score_requests
+    from credal.plans.credit_views import credit_registry
+    from credal.sources import io
+    reg = credit_registry()
+    matrix, params = feature_matrix(build_feature_view(credit_raw_tables(spark, sf_dir), reg), reg)
+    train = matrix.where(F.col("split") == "train")
+    model = TR.fit_model(train, params.feature_names, TR.model_catalogue("target", None, fast=True)["logistic"])
+    # requests: the application rows as a scoring API would send them
+    app = application_raw(spark, sf_dir)
+    requests = app.select(F.col("sk_id_curr").alias("request_id"), F.col("amt_income_total").alias("income"),
+                          "amt_credit", "amt_annuity", (-F.col("days_birth") / 365.0).alias("age"),
+                          "ext_source_1", "ext_source_2", "ext_source_3", "code_gender")
+    scored = score_requests(requests, params, model, 0.5, "request_id",
+                            renames={"income": "amt_income_total", "age": "days_birth"}, day_fields=["days_birth"])
+    path = io.scratch_dir(spark, "prediction-log")
+    io.append_jsonl(scored, path, probability="probability")
+    return spark.read.schema("request_id long, probability double, decision string").json(path)
