@@ -263,9 +263,13 @@ UNION ALL SELECT 'latency_p95', latency_p95, 'reference' FROM k
 
 @register("metric_registration", "D07", METRICS_SQL)
 def q_metric_rows(spark, sf_dir):
-    """Key indicators unpivoted to (metric_name, metric_value, metric_type) rows."""
+    """Key indicators unpivoted to (metric_name, metric_value, metric_type) rows
+    and appended to a monitoring-metrics table (read back)."""
+    from credal.sources import io
     k = rounded(D.key_indicators(prediction_log(spark, sf_dir))).select("total", "mean_probability", "latency_p95")
-    return D.metric_rows(k, "reference")
+    path = io.scratch_dir(spark, "monitoring-metrics")
+    io.write_table(D.metric_rows(k, "reference"), path, mode="append")
+    return spark.read.parquet(path)
 
 
 VOLUME_SQL = """

@@ -75,8 +75,12 @@ def q_jsonl(spark, sf_dir):
 
 @register("source_reference_sample", "S12")
 def q_sample(spark, sf_dir):
-    """min(100, rows) customers chosen by a seeded key hash (same on any partitioning)."""
-    return io.reference_sample(table(spark, sf_dir, "customer"), 100, ["c_custkey"], seed=42)
+    """min(100, rows) customers chosen by a seeded key hash (same on any
+    partitioning), exported to a file and read back."""
+    path = io.scratch_dir(spark, "reference-sample")
+    sample = io.reference_sample(table(spark, sf_dir, "customer"), 100, ["c_custkey"], seed=42)
+    io.write_table(sample, path)
+    return spark.read.parquet(path)
 
 
 SPLIT_SQL = "SELECT c_custkey, c_acctbal, 'test' AS split FROM customer WHERE c_mktsegment = 'BUILDING'"
