@@ -127,7 +127,8 @@ def numeric_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], bins:
     # population sizes per column: one row per column (bounded by the column list)
     totals = counts.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     # running counts and the next distinct value (Δx) in one bucketed pass
-    c = cumulative_sums(counts, "value", ["n_ref", "n_cur"], partition=["column"], buckets=buckets, with_next=True)
+    c = cumulative_sums(counts, "value", ["n_ref", "n_cur"], partition=["column"], buckets=buckets, with_next=True,
+                        n_groups=len(columns))
     c = c.join(F.broadcast(totals), "column")  # one row per column
     c = c.withColumn("F_ref", F.col("cum_n_ref") / F.col("tot_ref")).withColumn("F_cur", F.col("cum_n_cur") / F.col("tot_cur"))
     ks_w = c.groupBy("column").agg(
