@@ -100,3 +100,28 @@ def q_stream_score(spark, sf_dir):
     q.awaitTermination()
     return spark.read.schema("request_id long, ts timestamp_ntz, probability double, decision string") \
         .json(f"{base}/scored")
+
+
+HOURLY_KPI_SQL = f"""
+WITH lg AS (
+  SELECT ts, value / 500.0 AS probability,
+         CASE WHEN value / 500.0 < 0 OR value / 500.0 > 1 THEN NULL
+              WHEN value / 500.0 < {THRESHOLD} THEN 'approved' ELSE 'refused' END AS decision
+  FROM events)
+SELECT date_trunc('hour', ts) AS hour, count(*) AS total, count(*) FILTER (WHERE decision = 'refused') AS refusals,
+       round(avg(probability), 6) AS mean_probability,
+       round(CAST(count(*) FILTER (WHERE decision = 'refused') AS DOUBLE) / count(*), 6) AS refusal_rate
+FROM lg GROUP BY 1
+"""
+
+
+@register("stream_hourly_indicators", "T03,T01,D01", HOURLY_KPI_SQL)
+def q_stream_hourly_kpi(spark, sf_dir):
+    """Hourly windows on the log stream: totals, refusals, refusal rate and mean
+    probability (exact; equals the batch indicators per hour)."""
+    base = write_log(spark, sf_dir)
+    stream = S.with_decision(S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA, max_files_per_trigger=1), THRESHOLD)
+    agg = S.windowed_indicators(stream, window="1 hour", watermark="2 hours", latency=None)
+    S.run_to_table(agg.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "total", "refusals",
+                              "mean_probability", "refusal_rate"), f"{base}/out", f"{base}/ckpt", mode="update")
+    return rounded(S.latest_per_key(spark.read.parquet(f"{base}/out"), ["hour"]))

@@ -58,14 +58,17 @@ def hourly_decisions(stream: DataFrame, ts: str = "ts", decision: str = "decisio
 
 def windowed_indicators(stream: DataFrame, ts: str = "ts", window: str = "1 day", watermark: str = "2 hours",
                         decision: str = "decision", probability: str = "probability",
-                        latency: str = "latency_ms") -> DataFrame:
+                        latency: str | None = "latency_ms") -> DataFrame:
     """Per event-time window: totals, refusals, refusal rate, mean
-    probability and approximate latency p95 (bounded-memory sketch)."""
+    probability and (when ``latency`` is given) the approximate latency p95
+    (a bounded-memory sketch; exact percentiles would keep every value in
+    the window's state)."""
+    aggs = [F.count(F.lit(1)).alias("total"), F.count_if(F.col(decision) == C.REFUSED).alias("refusals"),
+            F.avg(probability).alias("mean_probability")]
+    if latency:
+        aggs.append(F.percentile_approx(F.col(latency), 0.95, 10000).alias("latency_p95_approx"))
     return (_event_time(stream, ts).withWatermark(ts, watermark)
-            .groupBy(F.window(F.col(ts), window).alias("w"))
-            .agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col(decision) == C.REFUSED).alias("refusals"),
-                 F.avg(probability).alias("mean_probability"),
-                 F.percentile_approx(F.col(latency), 0.95, 10000).alias("latency_p95_approx"))
+            .groupBy(F.window(F.col(ts), window).alias("w")).agg(*aggs)
             .withColumn("refusal_rate", F.col("refusals") / F.col("total")))
 
 
