@@ -202,7 +202,8 @@ def percentiles(df: DataFrame, column: str, probs: Sequence[float] = (0.5, 0.75,
     if exact:
         from credal.operators.quantiles import grouped_exact_quantiles
         q = grouped_exact_quantiles(df, keys, column, probs, names)
-        return q.join(df.groupBy(*keys).agg(F.max(column).alias("max")), list(keys))
+        from credal.operators.assemble import join_on_keys
+        return join_on_keys(q, df.groupBy(*keys).agg(F.max(column).alias("max")), list(keys))
     arr = F.array(*[F.lit(float(p)) for p in probs])
     res = df.groupBy(*keys).agg(F.percentile_approx(F.col(column), arr, accuracy).alias("_q"),
                                 F.max(column).alias("max"))

@@ -192,3 +192,16 @@ def align_by_key(features: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """J05 re-aimed: features and labels aligned by key (an inner join), not by
     row position. Both sides are one row per key, so the join cannot fan out."""
     return features.join(labels, on=key, how="inner")
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL (a NULL group is a group),
+    keeping one copy of each key column."""
+    if not keys:
+        raise ValueError("join_on_keys needs at least one key")
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"__r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])

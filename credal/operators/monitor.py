@@ -56,7 +56,8 @@ def latency_statistics(df: DataFrame, engine: str, latency: str, baseline: str |
     mean against ``baseline``'s mean."""
     q = grouped_exact_quantiles(df, [engine], latency, (0.5, 0.75, 0.95, 0.99), ("p50", "p75", "p95", "p99"))
     s = df.groupBy(engine).agg(F.min(latency).alias("min"), F.max(latency).alias("max"), F.avg(latency).alias("mean"))
-    s = s.join(q, engine).select(engine, "min", "p50", "p75", "p95", "p99", "max", "mean")
+    from credal.operators.assemble import join_on_keys
+    s = join_on_keys(s, q, [engine]).select(engine, "min", "p50", "p75", "p95", "p99", "max", "mean")
     if baseline is not None:
         base = s.where(F.col(engine) == baseline).select(F.col("mean").alias("_bm"))
         bm = base.first()

@@ -213,7 +213,8 @@ def grouped_exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, pro
     counts = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*keys, x.alias("__v"))
               .agg(F.count(F.lit(1)).alias("__c")))
     sizes = counts.groupBy(*keys).agg(F.sum("__c").alias("__n"))
-    cum = cumulative_sums(counts, "__v", ["__c"], partition=keys, buckets=buckets).join(sizes, keys)
+    from credal.operators.assemble import join_on_keys
+    cum = join_on_keys(cumulative_sums(counts, "__v", ["__c"], partition=keys, buckets=buckets), sizes, keys)
     exprs = []
     for j, p in enumerate(probs):
         pos = F.lit(float(p)) * (F.col("__n") - 1)

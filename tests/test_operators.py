@@ -446,3 +446,12 @@ def test_ordinal_categories_from_maps_only_when_all_have_one(spark):
     assert partial.ordinal_categories == {"o1": ["a", "b", "unknown"], "o2": ["x", "y"]}
     out = P.transform(spark.createDataFrame([("z", "q")], df.schema), partial).first()
     assert out["ordinal__o1"] == -1.0 and out["ordinal__o2"] == -1.0      # unseen → −1
+
+
+def test_grouped_quantiles_keep_null_group(spark):
+    from credal.operators.quantiles import grouped_exact_quantiles
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0), (None, 7.0), (None, 9.0)], "g string, v double")
+    got = {r.g: r.p50 for r in grouped_exact_quantiles(df, ["g"], "v", [0.5], ["p50"], buckets=2).collect()}
+    assert got == {"a": 2.0, None: 7.0}
+    out = {r.g: (r.p50, r["max"]) for r in A.percentiles(df, "v", [0.5], keys=["g"], names=["p50"]).collect()}
+    assert out == {"a": (2.0, 3.0), None: (7.0, 9.0)}
