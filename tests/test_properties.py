@@ -43,3 +43,16 @@ def test_exact_quantiles_match_numpy(spark, values, probs):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = exact_quantiles(df, ["v"], probs, map_max_distinct=0, collect_max=8, bins=4)["v"]
     assert np.allclose(got, np.quantile(np.array(values), probs), rtol=1e-9, atol=1e-6)
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.integers(-50, 50), min_size=2, max_size=120), st.lists(st.integers(-50, 50), min_size=2, max_size=120))
+def test_ks_matches_numpy(spark, a, b):
+    from credal.operators import monitor as D
+    ref = spark.createDataFrame([(float(v),) for v in a], "v double")
+    cur = spark.createDataFrame([(float(v),) for v in b], "v double")
+    got = D.numeric_drift(ref, cur, ["v"], buckets=3).first().ks
+    grid = np.union1d(a, b)
+    fa = np.searchsorted(np.sort(a), grid, side="right") / len(a)
+    fb = np.searchsorted(np.sort(b), grid, side="right") / len(b)
+    assert abs(got - np.max(np.abs(fa - fb))) < 1e-12
