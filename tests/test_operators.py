@@ -455,3 +455,10 @@ def test_grouped_quantiles_keep_null_group(spark):
     assert got == {"a": 2.0, None: 7.0}
     out = {r.g: (r.p50, r["max"]) for r in A.percentiles(df, "v", [0.5], keys=["g"], names=["p50"]).collect()}
     assert out == {"a": (2.0, 3.0), None: (7.0, 9.0)}
+
+
+def test_percent_and_two_value_detection(spark):
+    df = spark.createDataFrame([("5 %", "Y", "a", 1), ("7,5%", "N", "b", 2), ("x", "Y", "c", 1)],
+                               "p string, yn string, s string, k int")
+    assert Q.percent_columns(df) == ["p"]
+    assert Q.two_value_columns(df) == ["yn", "k"]
