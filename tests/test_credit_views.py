@@ -87,3 +87,21 @@ def test_registry_driven_matrix(spark, view):
     assert "log__amt_credit" in cols and "ohe__code_gender_f" in cols and "robust__cnt_fam_members" in cols
     assert matrix.count() == 4
     assert all(v is not None for r in matrix.collect() for v in r[3:])   # repaired: no missing values
+
+
+def test_champion_and_threshold(spark):
+    import numpy as np
+    from credal.operators import evaluate as M
+    from credal.plans.credit_model import champion_and_threshold
+    rng = np.random.default_rng(4)
+    x1, x2 = rng.normal(0, 1, 800), rng.normal(0, 1, 800)
+    y = (x1 + 0.3 * x2 + rng.normal(0, 0.7, 800) > 1.0).astype(int)
+    df = spark.createDataFrame([(i, float(a), float(b), int(t)) for i, (a, b, t) in enumerate(zip(x1, x2, y))],
+                               "id int, f1 double, f2 double, y int")
+    comparison, curve, final = champion_and_threshold(df, ["f1", "f2"], "y", ["id"], n_thresholds=40)
+    rows = comparison.collect()
+    champ = [r for r in rows if r.champion][0]
+    assert champ.f2 == max(r.f2 for r in rows) and len(rows) == 2
+    best = M.best_threshold(curve).first()
+    assert best.cost == min(r.cost for r in curve.collect())
+    assert final is not None and curve.count() == 40
