@@ -1,8 +1,8 @@
 """Joins, unions and column alignment.
 
-Broadcasts are decided by size: either Spark's own statistics (AQE converts a
-sort-merge join into a broadcast join only when the runtime size is under
-``spark.sql.autoBroadcastJoinThreshold``) or an explicit row-count check with
+Broadcasts are decided by size: either Spark's own estimate (file statistics
+at planning, or the measured size with AQE) against
+``spark.sql.autoBroadcastJoinThreshold``, or an explicit row-count check with
 a shuffle join beyond it.
 """
 
@@ -30,8 +30,9 @@ def master_join(base: DataFrame, aggregates: Sequence[DataFrame], key: str) -> D
     """Base ⟕ one-row-per-key aggregates on one key.
 
     Every aggregate is hash-partitioned on ``key`` by its own groupBy, so the
-    chain of sort-merge joins re-shuffles only the base side once; AQE turns
-    any side that proves small at runtime into a broadcast.
+    chain of sort-merge joins re-shuffles only the base side once; a side
+    whose estimated or (with AQE) measured size is under the broadcast
+    threshold is broadcast instead.
     """
     out = base
     for agg in aggregates:

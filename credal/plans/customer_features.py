@@ -9,7 +9,9 @@ master left join → engineered features) on the driver tables:
 Physical plan: line items are partially aggregated per order before their
 shuffle; the per-order result and ``orders`` meet on the order key; a second
 partial aggregate per customer; the customer table is shuffled once to meet
-it. No side is broadcast unless AQE measures it under the broadcast threshold.
+it. A side is broadcast only when Spark's size estimate — from file
+statistics at planning, or measured at runtime with AQE — is under
+``spark.sql.autoBroadcastJoinThreshold`` (at test sizes every side is).
 """
 
 from __future__ import annotations
