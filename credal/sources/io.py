@@ -47,8 +47,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True,
              sep: str = ",", keep_corrupt: bool = False) -> DataFrame:
     """CSV scan with an explicit schema (no inference pass). Malformed
-    rows are kept in ``_corrupt_record`` when ``keep_corrupt`` so they can be
-    counted; otherwise they are dropped by the reader."""
+    rows are kept in ``_corrupt_record`` when ``keep_corrupt`` (Spark refuses
+    a raw scan whose query needs only that column — select it together with a
+    data column, or persist the result first); otherwise they are dropped by
+    the reader."""
     r = spark.read.option("header", header).option("sep", sep)
     if schema is not None:
         if keep_corrupt:
