@@ -6,7 +6,10 @@ event-time watermark, and write idempotently: every micro-batch of an
 ``update``-mode aggregate is appended with its batch id, and the current
 value of a window is the row of its latest batch (:func:`latest_per_key`).
 Checkpoints live under the cluster's shared checkpoint folder, so a restarted
-query resumes where it stopped after losing executors or the driver.
+query resumes where it stopped after losing executors or the driver. The
+number of state partitions is fixed by ``spark.sql.shuffle.partitions`` when
+a query first starts (it is stored in the checkpoint): size it for the state
+the watermark keeps, not for the test data.
 """
 
 from __future__ import annotations
