@@ -462,3 +462,14 @@ def test_percent_and_two_value_detection(spark):
                                "p string, yn string, s string, k int")
     assert Q.percent_columns(df) == ["p"]
     assert Q.two_value_columns(df) == ["yn", "k"]
+
+
+def test_infer_registry_rules_and_sample(spark):
+    df = spark.createDataFrame([(i, float(i) * 10, "A" if i % 2 else "B", "Y" if i % 3 else "N", i % 7)
+                                for i in range(200)], "SK_ID_CURR long, AMT_CREDIT double, NAME string, FLAG_X string, CNT_SOCIAL_CIRCLE long")
+    reg = {r.name: r for r in Q.infer_registry(df, "app", id_columns=["SK_ID_CURR"]).collect()}
+    assert reg["sk_id_curr"].role == "identifier" and reg["amt_credit"].transform == "log"
+    assert reg["name"].encoding == "one_hot" and reg["flag_x"].type == "binary"
+    assert reg["cnt_social_circle"].transform == "robust"
+    sampled = Q.infer_registry(df, "app", id_columns=["SK_ID_CURR"], sample_rows=50)
+    assert sampled.count() == 5
