@@ -33,6 +33,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` texts, unless the session sets fewer:
+    a batch is held once by the JVM and once by Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def pieces(n: int, each: int) -> int:
     """Number of parts of at most about ``each`` rows."""
     return max(1, math.ceil(n / each))

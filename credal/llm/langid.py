@@ -19,13 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credal.llm.common import row_slices
+from credal.llm.common import row_slices, small_batches
 
 DIM = 1024
 SEED = 7
 BLANK = 32
 UNDEFINED = "und"
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 19
 
 
 class Letters:
@@ -118,6 +118,8 @@ def fit_prototypes(train: DataFrame, dim: int = DIM, seed: int = SEED) -> dict[s
     trigram, bounded by the alphabets and not by the rows. Rows with a null
     text or language are left out; no rows give no prototypes.
     """
+    small_batches(train.sparkSession)
+
     def count(batches):
         letters = Letters()
         for batch in batches:

@@ -30,12 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credal.llm.common import mix64, row_slices, shingle_hashes, sorted_groups, stored, text_bytes, word_hashes
+from credal.llm.common import (mix64, row_slices, shingle_hashes, small_batches, sorted_groups, stored, text_bytes,
+                               word_hashes)
 from credal.llm.components import connected_components
 
 T, R = 128, 4
 BANDS = T // R
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 HUB_MEMBERS = 500
 BLOCK_ROWS = 512
 BLOCK_SHINGLES = 400_000
@@ -238,6 +239,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     no rows; texts are used whole. Similar pairs can only be missed when they
     share no bucket: (1 - J^4)^32, under 1e-6 at J = 0.8.
     """
+    small_batches(docs.sparkSession)
     rows = stored(signatures(docs, k), "signatures")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     keyed = rows.where(~alone)

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credal.llm.common import stored
+from credal.llm.common import small_batches, stored
 
 MIN_WORDS = 6
 UNIT = {"line": re.compile(r"[^\n]+"),
@@ -95,6 +95,7 @@ def substring_dedup(docs: DataFrame, unit: str = "sentence", min_words: int = MI
     """One row per row of ``docs(doc_id, text)``: ``doc_id, removed`` (array of
     ``begin, end`` offsets into the original text, ascending), ``n_removed``,
     ``removed_chars`` and ``text``, the rest. A null text stays null."""
+    small_batches(docs.sparkSession)
     spans = repeated_spans(docs, unit, min_words).groupBy("doc_id", "text_hash") \
         .agg(F.array_sort(F.collect_list(F.struct("begin", "end"))).alias("removed")) \
         .select(F.col("doc_id").alias("sid"), F.col("text_hash").alias("sth"), "removed")

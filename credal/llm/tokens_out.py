@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
@@ -34,26 +35,35 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from credal.llm.common import open_fs, pieces, row_slices, shared_path, stored
+from credal.llm.common import open_fs, pieces, row_slices, shared_path, small_batches, stored
 
 INDEX_MAGIC, SEEK_MAGIC, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 SHARD_ROWS = 4096
 FRAME_IDS = 1 << 16
 BATCH_BYTES = 8 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 
 # encoding ------------------------------------------------------------------------
+class _Restart(Exception):
+    """The short way differs from a full encoding; encode the batch anew without it."""
+
+
 class WordEncoder:
     """Whole-text encoding through the tokenizers library, one call per
     distinct word.
 
     For a tokenizer that drops white space and never merges across it, the ids
     of a text are those of its white-space-separated words in order; a run of
-    letters followed by full stops or commas splits there, too. Words are found
-    and dictionary-encoded by Arrow, unseen ones are encoded by the library,
-    and the ids of a batch are gathered from the pool of known words. The pool
+    letters followed by a full stop or comma splits there, too. Words are found,
+    dictionary-encoded and looked up by Arrow, unseen ones are encoded by the
+    library, and the ids of a batch are gathered from the pool of known words. The pool
     is emptied when it passes ``CACHE_WORDS`` words, so memory stays bounded.
+
+    A word of lower-case letters is one pre-token. If the tokenizer's stages,
+    asked once, leave such words whole, its characters' forms are taken from
+    them per character and only the merges run per word; of every call's words
+    some are compared with a full encoding, and a difference ends the short way.
     """
 
     def __init__(self, path: str, end_id: int | None):
@@ -64,51 +74,100 @@ class WordEncoder:
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), (end_id or 0) + 1) <= 1 << 16 else "<u4")
         self.end_id = end_id
         self._reset()
-
-    def _reset(self):
-        self.known: dict[str, np.ndarray] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        for a in range(0, len(words), 2048):
-            part = words[a: a + 2048]
-            got = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for w, e in zip(part, got):
-                self.known[w] = np.array(e.ids, self.dtype)
-
-    def _parts(self, word: str) -> tuple[str, ...]:
-        body = word.rstrip(".,")
-        if body != word and body and body[-1].isascii() and body[-1].isalpha():
-            return body, word[len(body):]
-        return (word,)
+        self.forms: dict[int, str | None] = {}
+        self.direct = all(self._stages(w) == [w] for w in ("word", "abcxyz", "internationalisation"))
+
+    def _stages(self, text: str) -> list[str]:
+        t = self.tokenizer
+        text = t.normalizer.normalize_str(text) if t.normalizer else text
+        return [p for p, _ in t.pre_tokenizer.pre_tokenize_str(text)] if t.pre_tokenizer else [text]
+
+    def _form(self, word: str) -> str | None:
+        """The word as the merges see it; None if it needs all stages."""
+        if not (self.direct and word.isalpha()):
+            return None
+        if word.isascii():
+            return word
+        if not unicodedata.is_normalized("NFC", word):
+            return None
+        for c in set(word):
+            if ord(c) not in self.forms:
+                got = self._stages(c) if unicodedata.category(c) == "Ll" and c.lower() == c else []
+                self.forms[ord(c)] = got[0] if len(got) == 1 else None
+            if self.forms[ord(c)] is None:
+                return None
+        return word.translate(self.forms)
+
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of the words as bytes, by the library."""
+        pack, code = struct.pack, "H" if self.dtype.itemsize == 2 else "I"
+        merge, rest, out = self.tokenizer.model.tokenize, [], []
+        for k, w in enumerate(words):
+            form = w if self.direct and w.isascii() and w.isalpha() else self._form(w)
+            if form is None:
+                rest.append(k)
+                out.append(b"")
+            else:
+                ids = [t.id for t in merge(form)]
+                out.append(pack(f"<{len(ids)}{code}", *ids))
+        probe = range(0, len(words), max(1, len(words) // 64))
+        rest += [k for k in probe if out[k]]
+        for a in range(0, len(rest), 2048):
+            part = rest[a: a + 2048]
+            got = self.tokenizer.encode_batch_fast([words[k] for k in part], add_special_tokens=False)
+            for k, e in zip(part, got):
+                ids = pack(f"<{len(e.ids)}{code}", *e.ids)
+                if out[k] and out[k] != ids:
+                    self.direct = False
+                    raise _Restart
+                out[k] = ids
+        return out
+
+    def _reset(self) -> None:
+        """An empty pool: entry 0 is the empty word, entry 1 the end of a text."""
+        end = np.array([] if self.end_id is None else [self.end_id], self.dtype).tobytes()
+        self.words, self.ids = pa.array(["", None], pa.string()), pa.array([b"", end], pa.binary())
+
+    def _find(self, words: pa.Array) -> np.ndarray:
+        """Pool entries of distinct words; unseen ones are encoded first."""
+        found = pc.index_in(words, value_set=self.words)
+        if found.null_count:
+            fresh = words.filter(pc.is_null(found))
+            ids = self._ids(fresh.to_pylist())
+            self.words = pa.concat_arrays([self.words, fresh])
+            self.ids = pa.concat_arrays([self.ids, pa.array(ids, pa.binary())])
+            found = pc.index_in(words, value_set=self.words)
+        return found.to_numpy(zero_copy_only=False).astype(np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all rows (end id appended to each) and row offsets."""
+        try:
+            return self._encode(texts)
+        except _Restart:
+            self._reset()
+            return self._encode(texts)
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
         flat = words.flatten().dictionary_encode()
-        distinct = flat.dictionary.to_pylist()
-        if len(self.known) > CACHE_WORDS:
+        if len(self.words) > CACHE_WORDS:
             self._reset()
-        parts = [self._parts(w) for w in distinct]
-        fresh = {p for ps in parts for p in ps if p and p not in self.known}
-        self._learn(list(fresh))
-        known, none = self.known, np.empty(0, self.dtype)
-        pool = [known[ps[0]] if len(ps) == 1 and ps[0] else
-                np.concatenate([known[p] for p in ps]) if ps[0] else none for ps in parts]
-        pool.append(np.array([] if self.end_id is None else [self.end_id], self.dtype))
-        size = np.fromiter(map(len, pool), np.int64, len(pool))
-        start = np.cumsum(size) - size
-        ids = np.concatenate(pool)
-        # word numbers of every row, the end mark last
+        # a letter and then one full stop or comma: two pieces
+        tail = pc.match_substring_regex(flat.dictionary, "[a-z][.,]$")
+        body = pc.if_else(tail, pc.utf8_slice_codeunits(flat.dictionary, 0, -1), flat.dictionary).dictionary_encode()
+        mark = pc.if_else(tail, pc.utf8_slice_codeunits(flat.dictionary, -1), "").dictionary_encode()
+        first = self._find(body.dictionary)[body.indices.to_numpy(zero_copy_only=False)] if len(body) else np.empty(0, np.int64)
+        second = self._find(mark.dictionary)[mark.indices.to_numpy(zero_copy_only=False)] if len(mark) else first
+        # pool entries in order: two for every word, the end mark after every row
         offsets = words.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-        offsets = offsets - offsets[0]
+        offsets = (offsets - offsets[0]) * 2
         index = flat.indices.to_numpy(zero_copy_only=False)
-        index = np.insert(index, offsets[1:], len(pool) - 1)
-        offsets = offsets + np.arange(len(offsets))
-        n = size[index]
-        ends = np.cumsum(n)
-        pick = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start[index] - (ends - n), n)
-        out = ids[pick] if len(pick) else none
-        return out, np.concatenate([[0], ends])[offsets]
+        entries = np.insert(np.stack([first[index], second[index]], axis=1).reshape(-1), offsets[1:], 1)
+        got = self.ids.take(pa.array(entries))
+        raw = got.buffers()
+        ids = np.frombuffer(raw[2], self.dtype) if len(got) and raw[2] is not None else np.empty(0, self.dtype)
+        ends = np.frombuffer(raw[1], np.int32)[: len(got) + 1] // self.dtype.itemsize
+        return ids[: ends[-1]], ends[offsets + np.arange(len(offsets))]
 
 
 # shard files ---------------------------------------------------------------------
@@ -235,6 +294,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int |
     leaves at most an unnamed file.
     """
     spark = docs.sparkSession
+    small_batches(spark, 2000)
     n = pieces(docs.select("doc_id").count(), shard_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text")) \

@@ -21,15 +21,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credal.llm.common import mix64, row_slices
+from credal.llm.common import mix64, row_slices, small_batches
 
 WINDOW, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 16
 WORD_ROWS, CHAR_ROWS = 1 << 14, 1 << 13
 SAMPLE, SAMPLE_CHARS = 3000, 8000
 EPOCHS, WARM, BATCH, RATE = 14, 5, 128, 0.01
-TEXT_BYTES = 4 << 20
-CHUNK = 4096
+TEXT_BYTES = 2 << 20
+CHUNK = 2048
 
 
 # inputs --------------------------------------------------------------------------
@@ -276,6 +276,7 @@ def score_toxicity(docs: DataFrame, net: dict[str, np.ndarray]) -> DataFrame:
     """``docs(doc_id, text, ...)`` → the given columns but the text, then
     ``score`` (0..1, the highest window's) and ``predicted`` (score >= 0.5). Every
     window of the whole text is scored; a null or wordless text scores 0."""
+    small_batches(docs.sparkSession)
     others = [c for c in docs.columns if c != "text"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
                        + ["score double", "predicted int"])

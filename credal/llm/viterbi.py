@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from credal.llm.common import small_batches
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 500_000
@@ -120,6 +122,8 @@ def read_pieces(model: str) -> list[tuple[str, float]]:
 def token_counts(docs: DataFrame, model: str) -> DataFrame:
     """``docs(doc_id, text)`` → ``doc_id, n_tokens``, one row per row. Null and
     empty texts count 0; whole texts count, however long."""
+    small_batches(docs.sparkSession)
+
     def count(batches):
         counter = UnigramCounter(read_pieces(model))
         for batch in batches:
