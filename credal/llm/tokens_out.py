@@ -26,6 +26,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ from credal.llm.common import open_fs, pieces, row_slices, shared_path, small_ba
 INDEX_MAGIC, SEEK_MAGIC, SEEK_FOOTER = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 SHARD_ROWS = 4096
 FRAME_IDS = 1 << 16
-BATCH_BYTES = 8 << 20
-CACHE_WORDS = 1_000_000
+BATCH_BYTES = 4 << 20
+CACHE_WORDS = 600_000
 
 
 # encoding ------------------------------------------------------------------------
@@ -130,14 +131,16 @@ class WordEncoder:
 
     def _find(self, words: pa.Array) -> np.ndarray:
         """Pool entries of distinct words; unseen ones are encoded first."""
-        found = pc.index_in(words, value_set=self.words)
-        if found.null_count:
-            fresh = words.filter(pc.is_null(found))
+        found = pc.index_in(words, value_set=self.words).to_numpy(zero_copy_only=False)
+        unseen = np.isnan(found) if found.dtype.kind == "f" else np.zeros(len(found), bool)
+        out = np.where(unseen, 0, found).astype(np.int64)
+        if unseen.any():
+            fresh = words.filter(pa.array(unseen))
             ids = self._ids(fresh.to_pylist())
+            out[unseen] = len(self.words) + np.arange(len(fresh))
             self.words = pa.concat_arrays([self.words, fresh])
             self.ids = pa.concat_arrays([self.ids, pa.array(ids, pa.binary())])
-            found = pc.index_in(words, value_set=self.words)
-        return found.to_numpy(zero_copy_only=False).astype(np.int64)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all rows (end id appended to each) and row offsets."""
@@ -170,6 +173,12 @@ class WordEncoder:
         return ids[: ends[-1]], ends[offsets + np.arange(len(offsets))]
 
 
+@lru_cache(maxsize=1)
+def word_encoder(path: str, end_id: int | None) -> WordEncoder:
+    """The encoder of this Python worker, kept from task to task with its pool."""
+    return WordEncoder(path, end_id)
+
+
 # shard files ---------------------------------------------------------------------
 def _skippable(magic: int, payload: bytes) -> bytes:
     return struct.pack("<II", magic, len(payload)) + payload
@@ -294,7 +303,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int |
     leaves at most an unnamed file.
     """
     spark = docs.sparkSession
-    small_batches(spark, 2000)
+    small_batches(spark, 1500)
     n = pieces(docs.select("doc_id").count(), shard_rows)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("th", F.xxhash64("text")) \
@@ -304,7 +313,7 @@ def write_token_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int |
     def write(batches):
         from pyspark import TaskContext
         shard = TaskContext.get().partitionId()
-        encoder = WordEncoder(tokenizer, end_id)
+        encoder = word_encoder(tokenizer, end_id)
         fs, folder = open_fs(path)
         fs.create_dir(folder, recursive=True)
         name = f"part-{shard:06d}-{uuid.uuid4().hex}.ids.zst"
