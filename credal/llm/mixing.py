@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from credal.llm.common import pieces, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-RANGE_ROWS = 20_000
+RANGE_ROWS = 5_000
 
 
 def source_targets(sources: DataFrame, weights: Sequence[int], max_epochs: int,
