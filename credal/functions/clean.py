@@ -24,9 +24,10 @@ NULL_TOKENS_STRICT = ("NAN", "NONE", "NULL", "")
 DAYS_SENTINEL = 365243
 # Two-value label pairs mapped to 1/0 (positive first).
 BINARY_PAIRS = (
-    ("Oui", "Non"), ("oui", "non"), ("Yes", "No"), ("yes", "no"), ("Y", "N"), ("y", "n"),
-    ("True", "False"), ("true", "false"), ("1", "0"), ("1.0", "0.0"), ("V", "F"),
+    ("Oui", "Non"), ("Yes", "No"), ("Y", "N"), ("True", "False"), ("Homme", "Femme"), ("Male", "Female"),
 )
+# Flags that are numbers already.
+NUMERIC_PAIRS = (("1", "0"), ("1.0", "0.0"))
 
 
 def _c(c: ColumnOrName) -> Column:
@@ -239,6 +240,21 @@ def binary_label_map(c: ColumnOrName, pairs: Sequence[tuple[str, str]] = BINARY_
     return F.when(col.isin(pos), F.lit(1)).when(col.isin(neg), F.lit(0))
 
 
+def map_binary_columns(df: DataFrame, columns: Sequence[str],
+                       pairs: Sequence[tuple[str, str]] = BINARY_PAIRS) -> DataFrame:
+    """C23 on whole columns: a column whose non-null values are exactly the two
+    labels of one pair becomes 1/0, any other stays as it is. One aggregate."""
+    def counts(c, p):
+        v = F.trim(F.col(c).cast("string"))
+        return F.struct(F.count_if(v == p[0]).alias("pos"), F.count_if(v == p[1]).alias("neg"))
+
+    seen = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+                  *[counts(c, p).alias(f"p{i}_{j}") for i, c in enumerate(columns) for j, p in enumerate(pairs)]).first()
+    found = {c: [p] for i, c in enumerate(columns) for j, p in enumerate(pairs)
+             if min(seen[f"p{i}_{j}"]) > 0 and sum(seen[f"p{i}_{j}"]) == seen[f"n{i}"]}
+    return df.withColumns({c: binary_label_map(c, p) for c, p in found.items()})
+
+
 # C27 / C32 ---------------------------------------------------------------------------
 def inf_to_null(c: ColumnOrName) -> Column:
     """±inf and NaN → NULL."""

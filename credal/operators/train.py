@@ -31,19 +31,27 @@ PROBABILITY = "probability_1"
 
 
 # M06 --------------------------------------------------------------------------------
-def model_catalogue(label: str = "label", weight: str | None = "weight", fast: bool = False) -> dict:
-    """Logistic (C = 0.1 → regParam = 10, balanced), tree (depth 5, leaf
-    50), forest (150 trees, depth 10), boosting (100 rounds, 0.05, depth 4).
-    ``fast`` shrinks forest and boosting for small demos."""
+def weighted_rows(df: DataFrame, weight: str | None = None) -> float:
+    """Σ weights of the training rows (their number without weights)."""
+    total = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return float(df.agg(total.alias("n")).first()["n"] or 1)
+
+
+def model_catalogue(n: float, label: str = "label", weight: str | None = "weight", c: float = 0.1) -> dict:
+    """Logistic (C = 0.1, balanced), tree (depth 5, leaf 50), forest (150
+    trees, depth 10), boosting (100 rounds, 0.05, depth 4).
+
+    C weighs a summed loss, Spark averages it over the weighted rows ``n``: the
+    same optimum has regParam = 1 / (C n), coefficients penalised as they are."""
     common = dict(featuresCol=FEATURES, labelCol=label)
     w = {"weightCol": weight} if weight else {}
     return {
-        "logistic": LogisticRegression(regParam=10.0 if not fast else 0.01, elasticNetParam=0.0, maxIter=100,
-                                       **common, **w),
+        "logistic": LogisticRegression(regParam=1.0 / (c * n), elasticNetParam=0.0, maxIter=100,
+                                       standardization=False, **common, **w),
         "decision_tree": DecisionTreeClassifier(maxDepth=5, minInstancesPerNode=50, **common, **w),
-        "random_forest": RandomForestClassifier(numTrees=20 if fast else 150, maxDepth=5 if fast else 10, seed=42,
+        "random_forest": RandomForestClassifier(numTrees=150, maxDepth=10, seed=42,
                                                 **common, **w),
-        "boosting": GBTClassifier(maxIter=10 if fast else 100, stepSize=0.05 if not fast else 0.2, maxDepth=4, seed=42,
+        "boosting": GBTClassifier(maxIter=100, stepSize=0.05, maxDepth=4, seed=42,
                                   **common, **w),
     }
 

@@ -19,14 +19,14 @@ from credal.operators import train as TR
 
 
 def champion_and_threshold(matrix: DataFrame, features: Sequence[str], label: str, key: Sequence[str],
-                           models: Sequence[str] = ("logistic", "decision_tree"), eval_fraction: float = 0.2,
-                           n_thresholds: int = 150, fast: bool = True, seed: int = 42):
+                           models: Sequence[str] = ("logistic", "decision_tree", "random_forest", "boosting"), eval_fraction: float = 0.2,
+                           n_thresholds: int = 150, seed: int = 42):
     """Returns (comparison table, threshold curve of the champion, refitted champion)."""
     split = M.stratified_split(matrix, label, key, eval_fraction, seed=seed)
     weights = M.class_weights(split.where(F.col("split") == "train"), label)
     split = M.with_class_weight(split, label, weights)
     train, ev = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
-    catalogue = TR.model_catalogue(label, "weight", fast=fast)
+    catalogue = TR.model_catalogue(TR.weighted_rows(train, "weight"), label, "weight")
     rows, scored_by_model = None, {}
     for name in models:
         model = TR.fit_model(train, features, catalogue[name])
@@ -39,5 +39,6 @@ def champion_and_threshold(matrix: DataFrame, features: Sequence[str], label: st
     champion = comparison.where("champion").select("model").first()["model"]
     curve = M.threshold_sweep(scored_by_model[champion], TR.PROBABILITY, label, n=n_thresholds) \
         .withColumn("model", F.lit(champion))
-    final = TR.fit_model(train.unionByName(ev), features, catalogue[champion])
+    every = train.unionByName(ev)
+    final = TR.fit_model(every, features, TR.model_catalogue(TR.weighted_rows(every, "weight"), label, "weight")[champion])
     return comparison, curve, final

@@ -167,26 +167,26 @@ WITH t AS (
          CASE WHEN c_mktsegment = 'BUILDING' THEN (CASE WHEN c_acctbal < 0 THEN 'Oui' ELSE 'Non' END)
               WHEN c_mktsegment = 'MACHINERY' THEN (CASE WHEN c_acctbal < 0 THEN 'Y' ELSE 'N' END)
               WHEN c_mktsegment = 'HOUSEHOLD' THEN (CASE WHEN c_acctbal < 0 THEN 'True' ELSE 'False' END)
-              WHEN c_mktsegment = 'FURNITURE' THEN (CASE WHEN c_acctbal < 0 THEN '1.0' ELSE '0.0' END)
+              WHEN c_mktsegment = 'FURNITURE' THEN (CASE WHEN c_acctbal < 0 THEN 'Femme' ELSE 'Homme' END)
               ELSE 'maybe' END AS flag
   FROM customer)
 SELECT c_custkey, flag,
-       CASE WHEN trim(flag) IN ('1', '1.0', 'Oui', 'True', 'V', 'Y', 'Yes', 'oui', 'true', 'y', 'yes') THEN 1
-            WHEN trim(flag) IN ('0', '0.0', 'F', 'False', 'N', 'No', 'Non', 'false', 'n', 'no', 'non') THEN 0 END AS flag01
+       CASE WHEN trim(flag) IN ('Oui', 'Yes', 'Y', 'True', 'Homme', 'Male') THEN 1
+            WHEN trim(flag) IN ('Non', 'No', 'N', 'False', 'Femme', 'Female') THEN 0 END AS flag01
 FROM t
 """
 
 
 @register("clean_binary_labels", "C23", BINARY_SQL)
 def q_binary(spark, sf_dir):
-    """Known two-value label pairs (Oui/Non, Y/N, True/False, 1.0/0.0) → 1/0."""
+    """Known two-value label pairs (Oui/Non, Y/N, True/False, Homme/Femme) → 1/0."""
     c = table(spark, sf_dir, "customer")
     neg = F.col("c_acctbal") < 0
     seg = F.col("c_mktsegment")
     flag = (F.when(seg == "BUILDING", F.when(neg, "Oui").otherwise("Non"))
             .when(seg == "MACHINERY", F.when(neg, "Y").otherwise("N"))
             .when(seg == "HOUSEHOLD", F.when(neg, "True").otherwise("False"))
-            .when(seg == "FURNITURE", F.when(neg, "1.0").otherwise("0.0")).otherwise("maybe"))
+            .when(seg == "FURNITURE", F.when(neg, "Femme").otherwise("Homme")).otherwise("maybe"))
     t = c.select("c_custkey", flag.alias("flag"))
     return t.select("*", C.binary_label_map("flag").alias("flag01"))
 
@@ -269,17 +269,17 @@ REQUEST_RULES = {
     "ext_source_1": (0.01, 0.96),
     "age": (18, 70),
     "region_rating": (1, 3),
-    "code_gender": ["F", "M"],
+    "code_gender": ["M", "F", "XNA"],
 }
 
 RULES_SQL = """
 WITH r AS (
   SELECT c_custkey, (c_acctbal + 1000.0) / 11000.0 AS ext_source_1, c_nationkey + 10 AS age,
          c_nationkey % 4 AS region_rating,
-         CASE WHEN c_nationkey < 12 THEN 'F' WHEN c_nationkey < 24 THEN 'M' ELSE 'XNA' END AS code_gender
+         CASE WHEN c_nationkey < 12 THEN 'F' WHEN c_nationkey < 20 THEN 'M' WHEN c_nationkey < 24 THEN 'XNA' ELSE '?' END AS code_gender
   FROM customer),
 v AS (SELECT *, NOT (ext_source_1 BETWEEN 0.01 AND 0.96) AS bad_ext, NOT (age BETWEEN 18 AND 70) AS bad_age,
-             NOT (region_rating BETWEEN 1 AND 3) AS bad_region, NOT (code_gender IN ('F', 'M')) AS bad_gender FROM r)
+             NOT (region_rating BETWEEN 1 AND 3) AS bad_region, NOT (code_gender IN ('M', 'F', 'XNA')) AS bad_gender FROM r)
 SELECT 'ext_source_1' AS rule, count(*) FILTER (WHERE bad_ext) AS violations FROM v
 UNION ALL SELECT 'age', count(*) FILTER (WHERE bad_age) FROM v
 UNION ALL SELECT 'region_rating', count(*) FILTER (WHERE bad_region) FROM v
@@ -293,7 +293,8 @@ def _requests(spark, sf_dir):
     nat = F.col("c_nationkey")
     return c.select("c_custkey", ((F.col("c_acctbal") + 1000.0) / 11000.0).alias("ext_source_1"),
                     (nat + 10).alias("age"), (nat % 4).alias("region_rating"),
-                    F.when(nat < 12, "F").when(nat < 24, "M").otherwise("XNA").alias("code_gender"))
+                    F.when(nat < 12, "F").when(nat < 20, "M").when(nat < 24, "XNA").otherwise("?")
+                    .alias("code_gender"))
 
 
 @register("clean_rule_checks", "C31", RULES_SQL)

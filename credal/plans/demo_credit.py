@@ -395,7 +395,7 @@ def q_score_requests(spark, sf_dir):
     reg = credit_registry()
     matrix, params = feature_matrix(build_feature_view(credit_raw_tables(spark, sf_dir), reg), reg)
     train = matrix.where(F.col("split") == "train")
-    model = TR.fit_model(train, params.feature_names, TR.model_catalogue("target", None, fast=True)["logistic"])
+    model = TR.fit_model(train, params.feature_names, TR.model_catalogue(TR.weighted_rows(train), "target", None)["logistic"])
     # requests: the application rows as a scoring API would send them
     app = application_raw(spark, sf_dir)
     requests = app.select(F.col("sk_id_curr").alias("request_id"), F.col("amt_income_total").alias("income"),

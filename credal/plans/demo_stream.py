@@ -1,10 +1,9 @@
 """Demo queries: Structured Streaming over the prediction log.
 
-The events table is written as a JSON Lines log folder (first half, second
-half, and for T04 a file repeating the last two days) under the shared
-checkpoint folder; each file is one micro-batch (``maxFilesPerTrigger=1``).
-The streaming query runs to completion (``availableNow``) and the job
-returns what the sink holds.
+The events table is appended to a JSON Lines log folder (first half, second
+half, and for T04 the last two days again) under the shared checkpoint folder.
+After each append the streaming query runs to completion (``availableNow``) over
+what is new, from its checkpoint; the job returns what the sink holds.
 """
 
 from __future__ import annotations
@@ -24,18 +23,22 @@ LOG_SCHEMA = T.StructType([
     T.StructField("channel", T.StringType()), T.StructField("value", T.DoubleType())])
 
 
-def write_log(spark, sf_dir, duplicates: bool = False) -> str:
-    """The events as a prediction log in 2 (or 3) files, in arrival order."""
+def append_and_run(spark, sf_dir, run, duplicates: bool = False) -> str:
+    """The events arrive as 2 (or 3) appends to a prediction log; after each one
+    ``run(base)`` takes what is new as one micro-batch, going on from its
+    checkpoint. An append is many files, ranges of the event time."""
     base = io.scratch_dir(spark, "stream-log")
     e = table(spark, sf_dir, "events").select(
         "ts", F.col("event_id").alias("request_id"), (F.col("value") / 500.0).alias("probability"),
         F.get_json_object("props", "$.k").cast("double").alias("latency_ms"), F.col("event_type").alias("channel"),
         "value")
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
-    io.append_jsonl(e.where(F.col("ts") < cut).coalesce(1), f"{base}/log")
-    io.append_jsonl(e.where(F.col("ts") >= cut).coalesce(1), f"{base}/log")
+    appends = [e.where(F.col("ts") < cut), e.where(F.col("ts") >= cut)]
     if duplicates:
-        io.append_jsonl(e.where(F.col("ts") >= F.lit("2024-01-29").cast("timestamp_ntz")).coalesce(1), f"{base}/log")
+        appends.append(e.where(F.col("ts") >= F.lit("2024-01-29").cast("timestamp_ntz")))
+    for part in appends:
+        io.append_jsonl(part.repartitionByRange("ts"), f"{base}/log")
+        run(base)
     return base
 
 
@@ -51,11 +54,13 @@ FROM events GROUP BY 1, 2
 def q_stream_hourly(spark, sf_dir):
     """Tumbling hourly decision counts with a 2-hour watermark (update mode,
     batch-id upserts); equals the batch hourly counts on in-order input."""
-    base = write_log(spark, sf_dir)
-    stream = S.with_decision(S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA, max_files_per_trigger=1), THRESHOLD)
-    agg = S.hourly_decisions(stream, watermark="2 hours")
-    S.run_to_table(agg.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "decision", "n"),
-                   f"{base}/out", f"{base}/ckpt", mode="update")
+    def run(base):
+        stream = S.with_decision(S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA), THRESHOLD)
+        agg = S.hourly_decisions(stream, watermark="2 hours")
+        S.run_to_table(agg.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "decision", "n"),
+                       f"{base}/out", f"{base}/ckpt", mode="update")
+
+    base = append_and_run(spark, sf_dir, run)
     return S.latest_per_key(spark.read.parquet(f"{base}/out"), ["hour", "decision"])
 
 
@@ -65,22 +70,26 @@ DEDUP_SQL = "SELECT event_id AS request_id, ts, event_type AS channel FROM event
 @register("stream_dedup", "T04,T01", DEDUP_SQL)
 def q_stream_dedup(spark, sf_dir):
     """Re-sent requests (the last two days twice) removed within the watermark."""
-    base = write_log(spark, sf_dir, duplicates=True)
-    stream = S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA, max_files_per_trigger=1)
-    d = S.deduplicate(stream, ["request_id"], watermark="3 days").select(
-        "request_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "channel")
-    S.run_to_table(d, f"{base}/out", f"{base}/ckpt", mode="append")
+    def run(base):
+        stream = S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA)
+        d = S.deduplicate(stream, ["request_id"], watermark="3 days").select(
+            "request_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "channel")
+        S.run_to_table(d, f"{base}/out", f"{base}/ckpt", mode="append")
+
+    base = append_and_run(spark, sf_dir, run, duplicates=True)
     return spark.read.parquet(f"{base}/out")
 
 
 @register("stream_window_indicators", "T03")
 def q_stream_kpi(spark, sf_dir):
     """Daily windows: totals, refusals, refusal rate, mean probability, approx p95 latency."""
-    base = write_log(spark, sf_dir)
-    stream = S.with_decision(S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA, max_files_per_trigger=1), THRESHOLD)
-    agg = S.windowed_indicators(stream, window="1 day", watermark="2 hours")
-    S.run_to_table(agg.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "total", "refusals", "refusal_rate",
-                              "mean_probability", "latency_p95_approx"), f"{base}/out", f"{base}/ckpt", mode="update")
+    def run(base):
+        stream = S.with_decision(S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA), THRESHOLD)
+        agg = S.windowed_indicators(stream, window="1 day", watermark="2 hours")
+        S.run_to_table(agg.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "total", "refusals", "refusal_rate",
+                                  "mean_probability", "latency_p95_approx"), f"{base}/out", f"{base}/ckpt", mode="update")
+
+    base = append_and_run(spark, sf_dir, run)
     return rounded(S.latest_per_key(spark.read.parquet(f"{base}/out"), ["day"]))
 
 
@@ -88,16 +97,19 @@ def q_stream_kpi(spark, sf_dir):
 def q_stream_score(spark, sf_dir):
     """A model fitted on the batch log scores every arriving request; the
     scored rows are appended to a JSON Lines sink."""
-    base = write_log(spark, sf_dir)
-    batch = spark.read.schema(LOG_SCHEMA).json(f"{base}/log").drop("probability").withColumn(
-        "label", F.when(F.col("channel") == "error", 1).otherwise(0))
-    feats = ["latency_ms", "value"]
-    model = TR.fit_model(batch, feats, TR.model_catalogue("label", None, fast=True)["logistic"])
-    stream = S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA, max_files_per_trigger=1).drop("probability")
-    scored = TR.score(stream, model, THRESHOLD, keep=["request_id", "ts"])
-    q = (scored.writeStream.format("json").option("path", f"{base}/scored")
-         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
+    events = table(spark, sf_dir, "events").select(
+        F.get_json_object("props", "$.k").cast("double").alias("latency_ms"), "value",
+        F.when(F.col("event_type") == "error", 1).otherwise(0).alias("label"))
+    model = TR.fit_model(events, ["latency_ms", "value"],
+                         TR.model_catalogue(TR.weighted_rows(events), "label", None)["logistic"])
+
+    def run(base):
+        stream = S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA).drop("probability")
+        scored = TR.score(stream, model, THRESHOLD, keep=["request_id", "ts"])
+        scored.writeStream.format("json").option("path", f"{base}/scored") \
+            .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start().awaitTermination()
+
+    base = append_and_run(spark, sf_dir, run)
     return spark.read.schema("request_id long, ts timestamp_ntz, probability double, decision string") \
         .json(f"{base}/scored")
 
@@ -119,9 +131,11 @@ FROM lg GROUP BY 1
 def q_stream_hourly_kpi(spark, sf_dir):
     """Hourly windows on the log stream: totals, refusals, refusal rate and mean
     probability (exact; equals the batch indicators per hour)."""
-    base = write_log(spark, sf_dir)
-    stream = S.with_decision(S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA, max_files_per_trigger=1), THRESHOLD)
-    agg = S.windowed_indicators(stream, window="1 hour", watermark="2 hours", latency=None)
-    S.run_to_table(agg.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "total", "refusals",
-                              "mean_probability", "refusal_rate"), f"{base}/out", f"{base}/ckpt", mode="update")
+    def run(base):
+        stream = S.with_decision(S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA), THRESHOLD)
+        agg = S.windowed_indicators(stream, window="1 hour", watermark="2 hours", latency=None)
+        S.run_to_table(agg.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "total", "refusals",
+                                  "mean_probability", "refusal_rate"), f"{base}/out", f"{base}/ckpt", mode="update")
+
+    base = append_and_run(spark, sf_dir, run)
     return rounded(S.latest_per_key(spark.read.parquet(f"{base}/out"), ["hour"]))

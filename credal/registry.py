@@ -147,7 +147,7 @@ class FeatureRegistry:
             elif s.value_map:
                 e = C.value_map_recode(src, s.value_map, s.unknown_value)
             elif s.type == "binary":
-                e = C.binary_label_map(src)
+                e = C.binary_label_map(src, C.BINARY_PAIRS + C.NUMERIC_PAIRS)
             elif s.type == "categorical":
                 e = C.normalize_category(src)
             elif s.type == "numerical":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,11 +41,19 @@ def get_spark(master: str | None = None, app: str = "credal",
     return spark
 
 
+def _local_scratch(master: str) -> str:
+    """A scratch folder of this machine; only where driver and executors are
+    one process. On a cluster the folder must be a shared one."""
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="credal-ckpt-")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is used as is; only when the
-    session has none (local tests) is a fresh scratch folder set.
+    session has none is a fresh scratch folder set, and only on a local master.
     """
     try:
         sc = spark.sparkContext
@@ -52,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
         if conf_dir:
             return conf_dir
-        return tempfile.mkdtemp(prefix="credal-ckpt-")
+        return _local_scratch(spark.conf.get("spark.master", ""))
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -60,8 +69,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="credal-ckpt-")
-    sc.setCheckpointDir(local)
+    sc.setCheckpointDir(_local_scratch(sc.master))
     return sc.getCheckpointDir()
 
 

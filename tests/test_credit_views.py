@@ -98,7 +98,8 @@ def test_champion_and_threshold(spark):
     y = (x1 + 0.3 * x2 + rng.normal(0, 0.7, 800) > 1.0).astype(int)
     df = spark.createDataFrame([(i, float(a), float(b), int(t)) for i, (a, b, t) in enumerate(zip(x1, x2, y))],
                                "id int, f1 double, f2 double, y int")
-    comparison, curve, final = champion_and_threshold(df, ["f1", "f2"], "y", ["id"], n_thresholds=40)
+    comparison, curve, final = champion_and_threshold(df, ["f1", "f2"], "y", ["id"], n_thresholds=40,
+                                                      models=("logistic", "decision_tree"))
     rows = comparison.collect()
     champ = [r for r in rows if r.champion][0]
     assert champ.f2 == max(r.f2 for r in rows) and len(rows) == 2

@@ -404,7 +404,7 @@ def test_linear_contributions_vs_numpy(spark):
     rows = [(i, float(a), float(b), float(c), int(t)) for i, ((a, b, c), t) in enumerate(zip(X, y))]
     df = spark.createDataFrame(rows, "id int, ohe__g_a double, ohe__g_b double, standard__x double, y int")
     feats = ["ohe__g_a", "ohe__g_b", "standard__x"]
-    model = TR.fit_model(df, feats, TR.model_catalogue("y", None, fast=True)["logistic"])
+    model = TR.fit_model(df, feats, TR.model_catalogue(TR.weighted_rows(df), "y", None)["logistic"])
     means = TR.column_means(df, feats)
     src = {"ohe__g_a": "g", "ohe__g_b": "g", "standard__x": "x"}
     top, glob = TR.linear_contributions(df, model, feats, means, "id", src, top=1)
@@ -473,3 +473,54 @@ def test_infer_registry_rules_and_sample(spark):
     assert reg["cnt_social_circle"].transform == "robust"
     sampled = Q.infer_registry(df, "app", id_columns=["SK_ID_CURR"], sample_rows=50)
     assert sampled.count() == 5
+
+
+def test_logistic_penalty_is_that_of_a_summed_loss(spark):
+    """C weighs the summed loss: same optimum as Newton steps on C·Σ loss + ½|β|²."""
+    import numpy as np
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 2)) * [1.0, 3.0]
+    y = (rng.random(400) < 1 / (1 + np.exp(-(0.5 + 2 * x[:, 0] - 0.4 * x[:, 1])))).astype(float)
+    beta, c = np.zeros(3), 0.1
+    design = np.column_stack([np.ones(400), x])
+    ridge = np.diag([0.0, 1.0, 1.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-design @ beta))
+        grad = c * design.T @ (p - y) + ridge @ beta
+        beta -= np.linalg.solve(c * (design * (p * (1 - p))[:, None]).T @ design + ridge, grad)
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y)], "a double, b double, y double")
+    est = TR.model_catalogue(TR.weighted_rows(df), "y", None)["logistic"]
+    model = TR.fit_model(df, ["a", "b"], est).stages[-1]
+    assert np.allclose([model.intercept, *model.coefficients.toArray()], beta, atol=2e-3)
+
+
+def test_catalogue_has_the_full_sizes():
+    models = TR.model_catalogue(1000.0)
+    assert models["random_forest"].getNumTrees() == 150 and models["random_forest"].getMaxDepth() == 10
+    assert models["boosting"].getMaxIter() == 100 and models["logistic"].getRegParam() == pytest.approx(0.01)
+
+
+def test_value_names(spark):
+    from credal.operators.profile import value_name
+    rows = [("Cash loans", "cash_loans"), ("  XNA / n.a. ", "xna_n_a"), ("2nd  home", "v_2nd_home"), ("--", "unknown"),
+            ("", "unknown"), ("Marié(e)", "mari_e")]
+    df = spark.createDataFrame(rows, "v string, want string")
+    assert [r.got for r in df.select(value_name(F.col("v")).alias("got")).collect()] == [w for _, w in rows]
+
+
+def test_binary_columns_map_whole_columns_only(spark):
+    from credal.functions.clean import map_binary_columns
+    df = spark.createDataFrame([("Oui", "F", "Homme", "Y", None), ("Non", "M", "Femme", "maybe", None),
+                                (None, "M", None, "N", None)], "a string, b string, c string, d string, e string")
+    out = map_binary_columns(df, df.columns).collect()
+    assert [r.a for r in out] == [1, 0, None] and [r.c for r in out] == [1, 0, None]
+    assert [r.b for r in out] == ["F", "M", "M"] and [r.d for r in out] == ["Y", "maybe", "N"]
+    assert [r.e for r in out] == [None] * 3
+
+
+def test_no_local_scratch_on_a_cluster():
+    from credal.session import _local_scratch
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", ""):
+        with pytest.raises(RuntimeError):
+            _local_scratch(master)
+    assert _local_scratch("local[*]")
