@@ -9,7 +9,8 @@ one file per task; a task's file gets its final name when the job commits, so
 attempts that failed or were repeated leave nothing that a reader takes.
 
 Files are read through pyarrow's file systems. ``.warc`` files are seekable;
-``.warc.gz`` files (one gzip member per record) are streamed.
+``.warc.gz`` files (one gzip member per record) are streamed, and ``offset`` counts their
+unpacked bytes.
 """
 
 from __future__ import annotations
@@ -291,7 +292,7 @@ class WarcWriter(DataSourceArrowWriter):
                 if out is None:
                     out = store.open_output_stream(f"{root}/_{name}", compression=None)
                 data = record_bytes(row)
-                out.write(gzip.compress(data, mtime=0) if self.gzip else data)
+                out.write(gzip.compress(data, 6, mtime=0) if self.gzip else data)
                 n += 1
         if out is not None:
             out.close()
@@ -367,14 +368,15 @@ def page_of(urn):
     return F.try_element_at(F.split(urn, ":"), F.lit(3)).try_cast("long")
 
 
-def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
+def archive_pages(pages: DataFrame, path: str | None = None, compression: str = "gzip") -> DataFrame:
     """Write a record per page, read the archives back: ``page_id, payload_bytes,
     payload_digest, record_type, refers_to``. A response's size and digest are
     of the payload bytes read; a revisit's are those in its headers."""
     spark = pages.sparkSession
     register(spark)
     path = path or shared_path(spark, "warc")
-    pages_to_records(pages).write.format("warc").mode("append").save(path)
+    pages_to_records(pages).write.format("warc").option("compression", compression) \
+        .mode("append").save(path)
     back = spark.read.format("warc").load(path)
     full = F.col("record_type") == "response"
     return back.select(
