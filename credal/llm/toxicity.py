@@ -42,7 +42,13 @@ def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     index = bare.indices.to_numpy(zero_copy_only=False)[flat.indices.to_numpy(zero_copy_only=False)] \
         if len(flat) else np.empty(0, np.int64)
     offsets = words.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-    return index.astype(np.int64), offsets - offsets[0], bare.dictionary.to_pylist()
+    offsets = offsets - offsets[0]
+    distinct = bare.dictionary.to_pylist()
+    if "" in distinct:                      # bare punctuation, and what splitting leaves at the edges
+        real = index != distinct.index("")
+        offsets = np.concatenate([[0], np.cumsum(real)])[offsets]
+        index = index[real]
+    return index.astype(np.int64), offsets, distinct
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
