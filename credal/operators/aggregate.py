@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Aggregation names accepted by the spec builder, pandas-style.
@@ -97,23 +97,49 @@ def category_share_exprs(column: str, categories: Sequence[str], prefix: str = "
 
 
 def category_shares(df: DataFrame, keys: str | Sequence[str], column: str, categories: Sequence[str] | None = None,
-                    prefix: str = "", include_missing: bool = True, max_categories: int = 1000) -> DataFrame:
-    """A07 as an operator; learns the categories when not given (one small job,
-    refused above ``max_categories`` distinct values)."""
+                    prefix: str = "", include_missing: bool = True) -> DataFrame:
+    """A07 as an operator, a column per category (learned by one job when not
+    given): the categories are the output's schema. A column with very many
+    values is better served by :func:`category_shares_long`."""
     if categories is None:
-        categories = distinct_values(df, column, max_categories)
+        categories = distinct_values(df, column)
     keys = [keys] if isinstance(keys, str) else list(keys)
     return df.groupBy(*keys).agg(*category_share_exprs(column, categories, prefix, include_missing))
 
 
-def distinct_values(df: DataFrame, column: str, max_values: int = 1000) -> list:
-    """Sorted distinct non-null values of a column, refused above ``max_values``
-    (the list is driver metadata, so its size is checked before it moves)."""
-    vals = (df.select(column).where(F.col(column).isNotNull()).distinct()
-            .orderBy(column).limit(max_values + 1).collect())
-    if len(vals) > max_values:
-        raise ValueError(f"{column}: more than {max_values} distinct values")
-    return [r[0] for r in vals]
+def category_shares_long(df: DataFrame, keys: str | Sequence[str], column: str) -> DataFrame:
+    """A07 in long form, for any number of values: ``(keys, column, share)`` with
+    a row per group and value that occurs (NULL included)."""
+    from credal.operators.assemble import join_on_keys
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    counts = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.groupBy(*keys).agg(F.sum("__n").alias("__t"))
+    return join_on_keys(counts, total, keys).select(*keys, column, (F.col("__n") / F.col("__t")).alias("share"))
+
+
+def distinct_values(df: DataFrame, column: str) -> list:
+    """Sorted distinct non-null values, for outputs with a column per value:
+    the list is as long as that output is wide. Other uses take
+    :func:`index_table`."""
+    return [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
+
+
+def index_table(df: DataFrame, column: str) -> DataFrame:
+    """``(column, index)``: the 1-based position of every distinct non-null value
+    in sorted order. Values go to ranges by sampled bounds; the written ranges'
+    sizes give the offsets, so no task holds more than a range."""
+    from credal.sources.io import scratch_dir
+    spark = df.sparkSession
+    path = scratch_dir(spark, "index")
+    df.select(F.col(column).alias("v")).where("v is not null").distinct().repartitionByRange("v") \
+        .withColumn("part", F.spark_partition_id()).write.parquet(path)
+    values = spark.read.parquet(path)
+    sizes = values.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)     # one row per range
+    start = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("v"))
+    return values.withColumn("i", inside).join(start, "part") \
+        .select(F.col("v").alias(column), (F.col("start") + F.col("i")).alias("index"))
 
 
 def filtered_aggregate(df: DataFrame, keys: str | Sequence[str], spec: Mapping[str, Sequence[str]],

@@ -1,9 +1,9 @@
 """Joins, unions and column alignment.
 
-Broadcasts are decided by size: either Spark's own estimate (file statistics
-at planning, or the measured size with AQE) against
-``spark.sql.autoBroadcastJoinThreshold``, or an explicit row-count check with
-a shuffle join beyond it.
+Broadcasts are decided by size: Spark's own estimate (file statistics at
+planning, or the measured size with AQE) against
+``spark.sql.autoBroadcastJoinThreshold``; only a side whose few rows are known
+beforehand is marked.
 """
 
 from __future__ import annotations
@@ -14,16 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 1_000_000
+KNOWN_SMALL_ROWS = 10_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, n_rows: int | None = None) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking its row count (one small
-    count job unless the caller already knows it); otherwise return it
-    unchanged so the planner uses a shuffle join."""
-    if n_rows is None:
-        n_rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n_rows <= max_rows else df
+def broadcast_if_small(df: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast when the caller knows that it has a few short
+    rows; otherwise leave the choice to the size Spark measures."""
+    return F.broadcast(df) if n_rows is not None and n_rows <= KNOWN_SMALL_ROWS else df
 
 
 def master_join(base: DataFrame, aggregates: Sequence[DataFrame], key: str) -> DataFrame:
@@ -56,14 +53,12 @@ def semi_join_sample(df: DataFrame, ids: DataFrame, key: str, n: int) -> DataFra
 
 
 def map_lookup(df: DataFrame, mapping: DataFrame, key: str, value: str, out: str,
-               fallback: Column | float | None = None, max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               fallback: Column | float | None = None) -> DataFrame:
     """Value by category with a fallback for unseen categories.
 
-    ``mapping`` has one row per ``key``; it is broadcast only under a checked
-    row count.
+    ``mapping`` has one row per ``key``.
     """
-    m = broadcast_if_small(mapping.select(key, F.col(value).alias(out)), max_broadcast_rows)
-    res = df.join(m, on=key, how="left")
+    res = df.join(mapping.select(key, F.col(value).alias(out)), on=key, how="left")
     if fallback is not None:
         fb = fallback if isinstance(fallback, Column) else F.lit(fallback)
         res = res.withColumn(out, F.coalesce(F.col(out), fb))

@@ -18,6 +18,7 @@ Design points for scale:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,16 +41,15 @@ def hash_uniform(cols: Sequence[str], seed: int = 42) -> Column:
 
 
 # exact k-th smallest hash per class ----------------------------------------------------
-def rank_thresholds(df: DataFrame, group: str, hash_col: str, targets: Mapping[object, Sequence[int]],
-                    collect_max: int = 100000) -> dict[object, list[int | None]]:
+def rank_thresholds(df: DataFrame, group: str, hash_col: str, targets: Mapping[object, Sequence[int]]
+                    ) -> dict[object, list[int | None]]:
     """For every group value and every target count ``t`` return the hash
     value ``v`` of the ``t``-th smallest row (1-based), so that
     ``hash <= v`` selects exactly ``t`` rows of the group (``None`` for 0).
 
-    Four passes at most (16 bits each); each pass is one grouped count over
-    the rows of the still-open bins, collected to the driver (≤ 65,536 rows
-    per open bin). A bin holding at most ``collect_max`` rows is read off
-    directly (its hashes collected and sorted) instead of refined further.
+    Four passes (16 bits each); each pass is one grouped count over the rows of
+    the still-open bins, and its at most 65,536 counts per open bin go to the
+    driver, whatever the number of rows.
     """
     # state per (group, index): (prefix bin at current level, residual count)
     open_: dict[tuple, tuple[int | None, int]] = {}
@@ -80,30 +80,17 @@ def rank_thresholds(df: DataFrame, group: str, hash_col: str, targets: Mapping[o
         bins: dict[tuple, list[tuple[int, int]]] = {}
         for r in counts:
             bins.setdefault((r["g"], r["pb"] if shift < 48 else None), []).append((r["b"], r["n"]))
-        new_open, readoff = {}, {}
+        new_open = {}
         for (g, i), (pb, resid) in open_.items():
             acc = 0
             for b, n in sorted(bins.get((g, pb), [])):
                 if acc + n >= resid:
                     if shift == 0:
                         result[g][i] = b
-                    elif n <= collect_max:
-                        readoff[(g, i)] = (b, resid - acc)
                     else:
                         new_open[(g, i)] = (b, resid - acc)
                     break
                 acc += n
-        if readoff:
-            cond = None
-            for g, b in {(g, b) for (g, _), (b, _) in readoff.items()}:
-                c = (F.col(group) == F.lit(g)) & (F.shiftright(F.col(hash_col), shift) == F.lit(b))
-                cond = c if cond is None else (cond | c)
-            got: dict[tuple, list[int]] = {}
-            for r in df.where(cond).select(F.col(group).alias("g"), F.col(hash_col).alias("h"),
-                                           F.shiftright(F.col(hash_col), shift).alias("b")).collect():
-                got.setdefault((r["g"], r["b"]), []).append(r["h"])
-            for (g, i), (b, resid) in readoff.items():
-                result[g][i] = sorted(got[(g, b)])[resid - 1]
         open_ = new_open
     return result
 
@@ -126,16 +113,25 @@ def _assign_by_thresholds(hcol: Column, label: str, thresholds: Mapping[object,
 
 def stratified_split(df: DataFrame, label: str, key: Sequence[str] | str, test_fraction: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:
-    """Exact per-class test size ``round(n_class · fraction)``, seeded,
-    disjoint, independent of the partitioning. Adds ``out`` ∈ {train, test}.
+    """A test part of ``ceil(n · fraction)`` rows in all, dealt to the classes
+    in proportion (largest remainder; ties to the larger class, then the smaller
+    label), seeded, disjoint, independent of the partitioning. Rows with a NULL
+    label leave. Adds ``out`` ∈ {train, test}.
 
     ``key`` must identify a row (use every column when there is no id):
     rows sharing a key share a hash, so copies stay on one side and the size
     can exceed the target by the copies tied at the boundary."""
     key = [key] if isinstance(key, str) else list(key)
-    h = df.withColumn("__h", key_hash(key, seed))
+    h = df.where(F.col(label).isNotNull()).withColumn("__h", key_hash(key, seed))
     counts = _class_counts(df, label)
-    targets = {g: [int(round(n * test_fraction))] for g, n in counts.items()}
+    total = sum(counts.values())
+    size = math.ceil(test_fraction * total)
+    share = {g: divmod(n * size, max(total, 1)) for g, n in counts.items()}
+    extra = size - sum(q for q, _ in share.values())
+    lucky = sorted(counts, key=lambda g: (-share[g][1], -counts[g], g))[:extra]
+    targets = {g: [share[g][0] + (g in lucky)] for g in counts}
+    if not targets:
+        return h.withColumn(out, F.lit("train")).drop("__h")
     th = rank_thresholds(h, label, "__h", targets)
     part = _assign_by_thresholds(F.col("__h"), label, th)
     return h.withColumn(out, F.when(part >= 1, F.lit("test")).otherwise(F.lit("train"))).drop("__h")
@@ -292,7 +288,7 @@ def best_threshold(sweep: DataFrame, by: str = "cost") -> DataFrame:
 
 # cumulative sums over a sorted key -------------------------------------------------------
 def cumulative_by_key(df: DataFrame, key: str, values: Sequence[str], descending: bool = False,
-                      buckets: int = 64) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """Inclusive running sums of ``values`` in ``key`` order (exact, bucketed:
     see :mod:`credal.operators.cumulative`)."""
     from credal.operators.cumulative import cumulative_sums
@@ -304,7 +300,7 @@ def _score_table(df: DataFrame, score: str, label: str) -> DataFrame:
             .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")))
 
 
-def roc_auc(df: DataFrame, score: str, label: str, buckets: int = 64) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, buckets: int | None = None) -> DataFrame:
     """Exact ROC-AUC, ties counted one half (= Mann–Whitney with average
     ranks): Σ_s pos_s · (neg_below_s + neg_s / 2) / (P · N)."""
     t = cumulative_by_key(_score_table(df, score, label), "s", ["neg"], buckets=buckets)
@@ -312,7 +308,7 @@ def roc_auc(df: DataFrame, score: str, label: str, buckets: int = 64) -> DataFra
     return t.agg((F.sum(contrib) / (F.sum("pos") * F.sum("neg"))).alias("roc_auc"))
 
 
-def average_precision(df: DataFrame, score: str, label: str, buckets: int = 64) -> DataFrame:
+def average_precision(df: DataFrame, score: str, label: str, buckets: int | None = None) -> DataFrame:
     """Σ_s (pos_s / P) · precision at threshold s (scores descending)."""
     t = cumulative_by_key(_score_table(df, score, label), "s", ["pos", "neg"], descending=True, buckets=buckets)
     prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))

@@ -1,15 +1,17 @@
 """Fit / transform preprocessing.
 
 ``fit(df, spec)`` learns every parameter with a fixed, small number of
-aggregate jobs over the training rows (one wide aggregate for moments and
-category counts, the bounded category lists, exact medians and robust
+aggregate jobs over the training rows (one wide aggregate for moments,
+the category lists, exact medians and robust
 quartiles by bounded-memory selection (:mod:`credal.operators.quantiles`),
 one grouped aggregate per target-encoded column) and returns a
 JSON-serialisable ``Params``. ``transform(df, params)`` is a single ``select`` of Catalyst
-expressions — no shuffle: target encodings of more than a few dozen
-categories are a broadcast hash join with the fitted (category → value)
-table, whose size is known — so it streams through whole-stage codegen at
-scan speed and applies unchanged to train, test or a stream.
+expressions, which streams through whole-stage codegen at scan speed and
+applies unchanged to train, test or a stream. A target-encoded column of any
+number of categories fits: beyond a few dozen its (category → value) table is
+written to the shared folder, named in ``Params`` and joined, and Spark
+broadcasts it if its measured size allows. One-hot categories are output
+columns and ordinal ones part of ``Params``, so both are driver metadata.
 
 Semantics follow the fitted column transformer of the reference:
   one-hot   : impute "unknown", sorted categories, unseen → all zeros   ohe__c_v
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
@@ -34,6 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credal.operators.quantiles import quantiles
+from credal.session import checkpoint_path
 
 UNKNOWN = "unknown"
 
@@ -53,7 +57,6 @@ class PreprocessSpec:
     smoothing: float = 1.0
     quantile_method: str = "exact"       # exact (bounded-memory selection) | percentile | approx
     quantile_accuracy: int = 10000
-    max_categories: int = 10000
 
     def deduplicated(self) -> PreprocessSpec:
         """One column, one transformer (log > robust > standard > binary >
@@ -81,10 +84,12 @@ class Params:
     robust_scales: dict[str, float] = field(default_factory=dict)
     categories: dict[str, list[str]] = field(default_factory=dict)
     ordinal_categories: dict[str, list[str]] = field(default_factory=dict)
-    te_maps: dict[str, dict[str, float]] = field(default_factory=dict)
+    te_maps: dict[str, dict[str, float]] = field(default_factory=dict)     # few categories: in place
+    te_tables: dict[str, str] = field(default_factory=dict)                # more: Parquet (category, value)
     te_global: float | None = None
     dropped: list[str] = field(default_factory=list)
     feature_names: list[str] = field(default_factory=list)
+    sources: dict[str, str] = field(default_factory=dict)                  # output column → input column
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), sort_keys=True)
@@ -145,17 +150,9 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
     use_maps = bool(ordinal_present) and all(c in spec.ordinal_categories for c in ordinal_present)
     cat_cols = [c for c in spec.one_hot if c in present] + ([] if use_maps else ordinal_present)
     for c in cat_cols:
-        exprs.append(F.approx_count_distinct(_cat(c)).alias(f"acd__{c}"))
+        exprs.append(F.array_sort(F.collect_set(_cat(c))).alias(f"cats__{c}"))
     row = df.agg(*exprs).first().asDict()
     n = row["__n"]
-    # categories: collected only once their (approximate) number is known to be bounded
-    for c in cat_cols:
-        if row[f"acd__{c}"] > spec.max_categories * 1.1:
-            raise ValueError(f"{c}: about {row[f'acd__{c}']} categories exceed max_categories={spec.max_categories}")
-    if cat_cols:
-        cats_row = df.agg(*[F.array_sort(F.collect_set(_cat(c))).alias(c) for c in cat_cols]).first()
-        for c in cat_cols:
-            row[f"cats__{c}"] = cats_row[c]
     # medians: exact selection (bounded memory) unless another method is asked for
     med = quantiles(df.select(*[_num(c).alias(c) for c in median_cols]), median_cols, [0.5],
                     spec.quantile_method, spec.quantile_accuracy)
@@ -187,8 +184,6 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
             p.log_scales[c] = _safe_scale(row[f"lstd__{c}"])
     for c in cat_cols:
         cats = list(row[f"cats__{c}"] or [])
-        if len(cats) > spec.max_categories:
-            raise ValueError(f"{c}: {len(cats)} categories exceed max_categories={spec.max_categories}")
         if c in spec.one_hot:
             p.categories[c] = cats
         else:
@@ -215,27 +210,33 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
         p.te_global = glob
         for c in te:
             # rows without a category do not shape the map (they get the global mean)
-            stats = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("k"))
-                     .agg(F.avg(F.col(spec.target).cast("double")).alias("m"), F.count(F.lit(1)).alias("n"))
-                     .limit(spec.max_categories + 1).collect())
-            if len(stats) > spec.max_categories:
-                raise ValueError(f"{c}: more than {spec.max_categories} categories for target encoding")
-            p.te_maps[c] = {r["k"]: (r["n"] * r["m"] + k * glob) / (r["n"] + k) for r in stats}
-    p.feature_names = _output_names(p)
+            stats = (df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("category"))
+                     .agg(F.avg(F.col(spec.target).cast("double")).alias("m"), F.count(F.lit(1)).alias("n")))
+            value = (F.col("n") * F.col("m") + F.lit(k * glob)) / (F.col("n") + F.lit(k))
+            path = checkpoint_path(df.sparkSession, f"target-encoding-{uuid.uuid4().hex[:12]}")
+            stats.select("category", value.alias("value")).write.parquet(path)
+            few = df.sparkSession.read.parquet(path).limit(LITERAL_MAP_MAX + 1).collect()
+            if len(few) <= LITERAL_MAP_MAX:      # as literals: same values, no join
+                p.te_maps[c] = {r["category"]: r["value"] for r in few}
+            else:
+                p.te_tables[c] = path
+    names = _output_names(p)
+    p.feature_names = [name for name, _ in names]
+    p.sources = dict(names)
     return p
 
 
-def _output_names(p: Params) -> list[str]:
-    """Output column names in transform order (no expressions built)."""
+def _output_names(p: Params) -> list[tuple[str, str]]:
+    """(output column, input column) in transform order (no expressions built)."""
     s = p.spec
-    names = [f"ohe__{c}_{v}" for c in s["one_hot"] for v in p.categories.get(c, [])]
-    names += [f"ordinal__{c}" for c in s["ordinal"] if p.ordinal_categories.get(c) is not None]
-    names += [f"log__{c}" for c in s["log"] if c in p.log_means]
-    names += [f"standard__{c}" for c in s["standard"] if c in p.means]
-    names += [f"standard__missingindicator_{c}" for c in p.indicators]
-    names += [f"robust__{c}" for c in s["robust"] if c in p.robust_centers]
-    names += [f"binary__{c}" for c in s["binary"]]
-    names += [f"target_enc__{c}" for c in s["target_enc"] if p.te_maps.get(c) is not None]
+    names = [(f"ohe__{c}_{v}", c) for c in s["one_hot"] for v in p.categories.get(c, [])]
+    names += [(f"ordinal__{c}", c) for c in s["ordinal"] if p.ordinal_categories.get(c) is not None]
+    names += [(f"log__{c}", c) for c in s["log"] if c in p.log_means]
+    names += [(f"standard__{c}", c) for c in s["standard"] if c in p.means]
+    names += [(f"standard__missingindicator_{c}", c) for c in p.indicators]
+    names += [(f"robust__{c}", c) for c in s["robust"] if c in p.robust_centers]
+    names += [(f"binary__{c}", c) for c in s["binary"]]
+    names += [(f"target_enc__{c}", c) for c in s["target_enc"] if c in p.te_maps or c in p.te_tables]
     return names
 
 
@@ -273,34 +274,25 @@ def _output_exprs(p: Params) -> list[tuple[str, Column]]:
     for c in s["binary"]:
         out.append((f"binary__{c}", F.coalesce(_num(c), F.lit(0.0))))
     for c in s["target_enc"]:
-        mp = p.te_maps.get(c)
-        if mp is None:
-            continue
-        if len(mp) <= LITERAL_MAP_MAX:
-            m = F.create_map(*[x for kv in sorted(mp.items()) for x in (F.lit(kv[0]), F.lit(float(kv[1])))])
-            out.append((f"target_enc__{c}", F.coalesce(F.try_element_at(m, _cat(c)), F.lit(p.te_global))))
-        else:  # larger maps are joined (see transform): the column is filled from the join
+        if c in p.te_maps:
+            mp = p.te_maps[c]
+            value = F.try_element_at(F.create_map(*[F.lit(x) for kv in sorted(mp.items()) for x in kv]), _cat(c)) \
+                if mp else F.lit(None).cast("double")
+            out.append((f"target_enc__{c}", F.coalesce(value, F.lit(p.te_global))))
+        elif c in p.te_tables:  # the column is filled from the join
             out.append((f"target_enc__{c}", F.coalesce(F.col(f"__te_{c}"), F.lit(p.te_global))))
     return out
 
 
-# A literal map is searched linearly per row; past this size the encoding is a hash join.
+# A literal map is searched linearly per row; past this size the encoding is a join. Same values.
 LITERAL_MAP_MAX = 32
 
 
 def _with_te_joins(df: DataFrame, p: Params) -> DataFrame:
-    """Attach ``__te_<c>`` for target encodings too large for a literal map:
-    a join with the (category → value) table, broadcast under its known size
-    (at most ``max_categories`` rows), else a shuffle join."""
-    spark = df.sparkSession
-    for c in p.spec["target_enc"]:
-        mp = p.te_maps.get(c)
-        if mp is None or len(mp) <= LITERAL_MAP_MAX:
-            continue
-        from credal.operators.assemble import BROADCAST_MAX_ROWS
-        table = spark.createDataFrame(sorted(mp.items()), f"`__k_{c}` string, `__te_{c}` double")
-        side = F.broadcast(table) if len(mp) <= BROADCAST_MAX_ROWS else table
-        df = df.join(side, _cat(c) == F.col(f"__k_{c}"), "left").drop(f"__k_{c}")
+    """Attach ``__te_<c>`` for target encodings kept as tables."""
+    for c, path in p.te_tables.items():
+        table = df.sparkSession.read.parquet(path).toDF(f"__k_{c}", f"__te_{c}")
+        df = df.join(table, _cat(c) == F.col(f"`__k_{c}`"), "left").drop(f"__k_{c}")
     return df
 
 
@@ -320,9 +312,10 @@ def fit_transform(df: DataFrame, spec: PreprocessSpec, keep: Sequence[str] = ())
 
 
 def get_x_y(df: DataFrame, p: Params, key: str, target: str) -> DataFrame:
-    """E20 ``get_X_y``: features and label kept together by key (no positional
-    alignment), label cast to int."""
-    return transform(df, p, keep=[key]).join(df.select(key, F.col(target).cast("int").alias(target)), key)
+    """E20 ``get_X_y``: key, features and label (cast to int) of every row in
+    one ``select``; nothing is aligned by position or joined."""
+    out = transform(df, p, keep=[key, target])
+    return out.withColumn(target, F.col(target).cast("int")).select(key, *p.feature_names, target)
 
 
 # E04 / E05 (toolkit variants) ----------------------------------------------------------
@@ -372,16 +365,16 @@ def standardize_exprs(params: dict[str, tuple[float, float]], suffix: str = "")
     return [((F.col(c) - F.lit(m)) / F.lit(s)).alias(f"{c}{suffix}") for c, (m, s) in params.items()]
 
 
-def factorize_exprs(df: DataFrame, columns: Sequence[str], max_values: int = 1000) -> list[Column]:
-    """Factorize two-value (or few-value) columns by sorted value order
-    (0, 1, …); NULL stays NULL. The value lists are small and checked."""
-    from credal.operators.aggregate import distinct_values
-    out = []
+def factorize(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Every column replaced by the position of its value among its sorted
+    distinct values (0, 1, …); NULL stays NULL. The positions are a table joined
+    back, so a column may have any number of values."""
+    from credal.operators.aggregate import index_table
+    out = df
     for c in columns:
-        vals = distinct_values(df, c, max_values)
-        idx = F.array_position(F.array(*[F.lit(v) for v in vals]), F.col(c))
-        out.append(F.when(F.col(c).isNotNull(), (idx - 1).cast("int")).alias(c))
-    return out
+        index = index_table(df, c).select(F.col(c).alias("__v"), (F.col("index") - 1).cast("int").alias("__i"))
+        out = out.join(index, F.col(c) == F.col("__v"), "left").withColumn(c, F.col("__i")).drop("__v", "__i")
+    return out.select(*df.columns)
 
 
 # E08 / E11 / E13 / E17 / E18 (toolkit variants) --------------------------------------
@@ -425,11 +418,9 @@ def one_hot_drop_first_exprs(categories: dict[str, list[str]]) -> list[Column]:
     return out
 
 
-def fit_target_additive(df: DataFrame, column: str, target: str, smoothing: float = 10.0,
-                        max_categories: int = 100000) -> DataFrame:
-    """Per category ``(n·mean + s·global)/(n + s)`` as a small DataFrame
-    ``(column, encoded)`` — joined back (broadcast under a size check) by
-    :func:`apply_target_map`. Null categories get no entry (→ global)."""
+def fit_target_additive(df: DataFrame, column: str, target: str, smoothing: float = 10.0) -> DataFrame:
+    """Per category ``(n·mean + s·global)/(n + s)`` as a DataFrame
+    ``(column, encoded)`` of any size, joined back by :func:`apply_target_map`. Null categories get no entry (→ global)."""
     glob = df.agg(F.avg(F.col(target).cast("double"))).first()[0]
     stats = df.where(F.col(column).isNotNull()).groupBy(column).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.col(target).cast("double")).alias("m"))
@@ -438,15 +429,13 @@ def fit_target_additive(df: DataFrame, column: str, target: str, smoothing: floa
                         F.lit(glob).alias("global_mean"))
 
 
-def apply_target_map(df: DataFrame, mapping: DataFrame, column: str, out: str | None = None,
-                     max_broadcast_rows: int = 1_000_000) -> DataFrame:
+def apply_target_map(df: DataFrame, mapping: DataFrame, column: str, out: str | None = None) -> DataFrame:
     """E17 transform: encoded value or the global mean for unseen categories;
     the original column is replaced by ``<col>_Encoded``."""
-    from credal.operators.assemble import broadcast_if_small
     out = out or f"{column}_Encoded"
     glob_row = mapping.select("global_mean").first()
     glob = glob_row[0] if glob_row else None
-    m = broadcast_if_small(mapping.select(column, F.col("encoded").alias(out)), max_broadcast_rows)
+    m = mapping.select(column, F.col("encoded").alias(out))
     return df.join(m, column, "left").withColumn(out, F.coalesce(F.col(out), F.lit(glob))).drop(column)
 
 
@@ -474,10 +463,9 @@ def out_of_fold_target_encoding(df: DataFrame, column: str, target: str, fold_co
         column, fold_col,
         F.when(F.sum("_n").over(w) - F.col("_n") > 0,
                (F.sum("_s").over(w) - F.col("_s")) / (F.sum("_n").over(w) - F.col("_n"))).alias(out))
-    # (category, fold) rows: broadcast when their checked count is small — a hot
-    # category then never concentrates the big side of a shuffle join
-    from credal.operators.assemble import broadcast_if_small
-    res = df.join(broadcast_if_small(enc), [column, fold_col], "left")
+    # (category, fold) rows: broadcast by their measured size; beyond it a hot category's
+    # partition of the big side is split by the skew join
+    res = df.join(enc, [column, fold_col], "left")
     return res.withColumn(out, F.coalesce(F.col(out), F.lit(glob)))
 
 

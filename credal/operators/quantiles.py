@@ -3,22 +3,19 @@ SQL ``quantile_cont``).
 
 Spark's exact ``percentile`` keeps a value → count map per column and merges
 the maps in one task, which does not survive high-cardinality columns at
-scale. Here the exact order statistics are found by selection instead:
-
-1. one aggregate gives, per column, the non-null count and approximate
-   brackets around every wanted rank (``percentile_approx`` at p ± 2/accuracy,
-   whose rank error is at most n/accuracy);
-2. each refinement pass counts, per wanted rank, the rows below its bracket
-   (one wide ``count_if`` aggregate) and the rows inside it in ``bins``
-   equal-width bins (a long-format grouped count over the few rows inside
-   the brackets);
-3. the bin holding the rank becomes the next bracket; when a bracket holds at
-   most ``collect_max`` rows its distinct values and counts are collected and
-   the rank is read off exactly. A bracket that turns out not to contain its
-   rank (the sketch guarantee failed) is widened to the column range.
-
-Every job's output is bounded by (#ranks × bins) rows; a value repeated in a
-third of the rows collapses to one (value, count) pair.
+scale. Here the exact order statistics are found by selection instead, in the
+same way for every number of rows and distinct values:
+
+1. one aggregate gives, per column, the non-null count and pivots around every
+   wanted rank (``percentile_approx`` at p and p ± 2/accuracy);
+2. one aggregate counts the rows below and at every pivot. A rank that falls on
+   a pivot is found; any other lies strictly between two pivots;
+3. the rows strictly between them give the next pivots, and step 2 follows.
+
+A pivot is a value of the rows it was drawn from and leaves them for good, so
+every round gets closer, and a round leaves about 4/accuracy of the rows. All
+jobs are aggregates without a grouping key; a job returns a few numbers per
+wanted rank, whatever the data. Infinities are values like any other.
 """
 
 from __future__ import annotations
@@ -30,144 +27,78 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10000,
-                    bins: int = 2048, collect_max: int = 50000, max_passes: int = 8,
-                    map_max_distinct: int = 200000) -> dict[str, list[float | None]]:
-    """Exact linear-interpolated quantiles of every column (NULL and NaN ignored).
+def _literal(v: float) -> str:
+    """A double as SQL text."""
+    return f"{v!r}D" if math.isfinite(v) else f"double('{'-' if v < 0 else ''}Infinity')"
 
-    Columns whose (approximate) number of distinct values is at most
-    ``map_max_distinct`` use Spark's exact ``percentile`` in one more job —
-    its value → count map is then bounded; the others go through selection.
-    """
+
+def _between(lo: float, hi: float, frac: float) -> float:
+    """Linear interpolation; an infinite neighbour wins over a finite one."""
+    if frac == 0 or lo == hi:
+        return lo
+    if math.isinf(lo) or math.isinf(hi):
+        return lo * (1 - frac) + hi * frac
+    return lo + (hi - lo) * frac
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+                    accuracy: int = 10000) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated quantiles of every column (NULL and NaN
+    ignored; None for a column without a value). Between −inf and +inf the
+    interpolated value is NaN."""
     cols = list(columns)
-    x = {c: F.col(c).cast("double") for c in cols}
-    valid = {c: x[c].isNotNull() & ~F.isnan(x[c]) for c in cols}
+    if not cols or not probs:
+        return {c: [] for c in cols}
+    # values as SQL text (one parse each; wide inputs build hundreds of these)
+    x = ["nullif(CAST(`{0}` AS DOUBLE), double('NaN'))".format(c.replace("`", "``")) for c in cols]
     eps = 2.0 / accuracy
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
-    # per-column value as SQL text (one parse each; wide inputs build hundreds of these)
-    vsql = {c: "nullif(CAST(`{0}` AS DOUBLE), double('NaN'))".format(c.replace("`", "``")) for c in cols}
-    e = []
-    for i, c in enumerate(cols):
-        e.append(F.expr(f"count({vsql[c]})").alias(f"n{i}"))
-        e.append(F.expr(f"min({vsql[c]})").alias(f"mn{i}"))
-        e.append(F.expr(f"max({vsql[c]})").alias(f"mx{i}"))
-    row = df.agg(*e).first().asDict()
-    # distinct values bound the percentile map: at most n, else probed with a sketch
-    big = [(i, c) for i, c in enumerate(cols) if (row[f"n{i}"] or 0) > map_max_distinct]
-    for i, c in enumerate(cols):
-        row[f"d{i}"] = row[f"n{i}"] or 0
-    if big:
-        row.update(df.agg(*[F.approx_count_distinct(F.when(valid[c], x[c])).alias(f"d{i}") for i, c in big])
-                   .first().asDict())
-    # bounded-cardinality columns: Spark's exact percentile (its value → count map is
-    # bounded); the others: approximate brackets for the selection passes — one job
-    low = [c for i, c in enumerate(cols) if row[f"n{i}"] and row[f"d{i}"] <= map_max_distinct]
-    high = [(i, c) for i, c in enumerate(cols) if row[f"n{i}"] and c not in low]
-    arr_sql = "array(" + ", ".join(f"{float(p)!r}D" for p in probs) + ")"
-    br_sql = "array(" + ", ".join(f"{float(p)!r}D" for p in lo_p + hi_p) + ")"
-    e2 = [F.expr(f"percentile({vsql[c]}, {arr_sql})").alias(f"p{cols.index(c)}") for c in low]
-    e2 += [F.expr(f"percentile_approx({vsql[c]}, {br_sql}, {accuracy})").alias(f"q{i}") for i, c in high]
-    result_low: dict[str, list[float | None]] = {}
-    if e2:
-        row.update(df.agg(*e2).first().asDict())
-        result_low = {c: list(row[f"p{cols.index(c)}"]) for c in low}
-
-    # wanted ranks: (column index, 0-based rank) → bracket [L, H]
-    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in cols}
-    plan: dict[tuple[int, int], tuple[float, float]] = {}
-    interp: list[tuple[int, int, int, float]] = []  # (col, prob index, k, frac)
-    for i, c in enumerate(cols):
-        n = row[f"n{i}"]
-        if not n or c in result_low:
-            continue
-        approx = row.get(f"q{i}") or []
-        for j, p in enumerate(probs):
-            pos = p * (n - 1)
-            k = int(math.floor(pos))
-            frac = pos - k
-            interp.append((i, j, k, frac))
-            for rank in ({k, min(k + 1, n - 1)} if frac > 0 else {k}):
-                lo = approx[j] if approx else row[f"mn{i}"]
-                hi = approx[len(probs) + j] if approx else row[f"mx{i}"]
-                plan[(i, rank)] = (min(lo, hi), max(lo, hi))
-    values: dict[tuple[int, int], float] = {}
-    open_ = dict(plan)
-    passes = 0
-    while open_ and passes < max_passes:
-        passes += 1
-        keys = sorted(open_)
-        # rows below each bracket
-        below = df.agg(*[F.count_if(valid[cols[i]] & (x[cols[i]] < F.lit(open_[(i, r)][0]))).alias(f"b{t}")
-                         for t, (i, r) in enumerate(keys)]).first()
-        # rows inside each bracket, binned (long format over the bracket rows only)
-        parts = []
-        for t, (i, r) in enumerate(keys):
-            L, H = open_[(i, r)]
-            width = (H - L) / bins if H > L else 1.0
-            inside = valid[cols[i]] & (x[cols[i]] >= F.lit(L)) & (x[cols[i]] <= F.lit(H))
-            b = F.least(F.floor((x[cols[i]] - F.lit(L)) / F.lit(width)).cast("int"), F.lit(bins - 1))
-            parts.append(F.when(inside, F.struct(F.lit(t).alias("t"), b.alias("bin"), x[cols[i]].alias("v"))))
-        cond = None
-        for t, (i, r) in enumerate(keys):
-            L, H = open_[(i, r)]
-            c_ = valid[cols[i]] & (x[cols[i]] >= F.lit(L)) & (x[cols[i]] <= F.lit(H))
-            cond = c_ if cond is None else cond | c_
-        exploded = (df.where(cond).select(F.explode(F.array(*parts)).alias("e")).where(F.col("e").isNotNull())
-                    .select("e.t", "e.bin", "e.v"))
-        hist = exploded.groupBy("t", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                                                F.max("v").alias("hi")).collect()
-        per_t: dict[int, list] = {}
-        for h in hist:
-            per_t.setdefault(h["t"], []).append(h)
-        small = []
-        new_open = {}
-        for t, (i, r) in enumerate(keys):
-            nb = below[f"b{t}"]
-            rows_t = sorted(per_t.get(t, []), key=lambda h: h["bin"])
-            inside_n = sum(h["n"] for h in rows_t)
-            resid = r - nb
-            if resid < 0 or resid >= inside_n:       # bracket missed the rank: widen to the range
-                new_open[(i, r)] = (row[f"mn{cols.index(cols[i])}"], row[f"mx{cols.index(cols[i])}"])
-                continue
-            if inside_n <= collect_max:
-                small.append((t, i, r, nb))
-                continue
-            acc = 0
-            for h in rows_t:
-                if acc + h["n"] > resid:
-                    if h["lo"] == h["hi"]:
-                        values[(i, r)] = h["lo"]
-                    else:
-                        new_open[(i, r)] = (h["lo"], h["hi"])
+
+    def sketch(value: str, ps: Sequence[float]):
+        ps = sorted({min(1.0, max(0.0, p + d)) for p in ps for d in (-eps, 0.0, eps)})
+        return F.expr(f"percentile_approx({value}, array({', '.join(_literal(p) for p in ps)}), {accuracy})")
+
+    row = df.agg(*[F.expr(f"count({v})") for v in x], *[sketch(v, probs) for v in x]).first()
+    size = row[:len(cols)]
+    # per (column, 0-based rank): its next pivots, and (lo, hi, rows up to lo, rows below hi)
+    pivots: dict[tuple[int, int], list[float]] = {}
+    span: dict[tuple[int, int], tuple[float | None, float | None, int, int]] = {}
+    for i, n in enumerate(size):
+        for p in probs if n else ():
+            k = math.floor(p * (n - 1))
+            for rank in (k, min(k + 1, n - 1)):
+                pivots[i, rank], span[i, rank] = row[len(cols) + i], (None, None, 0, n)
+    found: dict[tuple[int, int], float] = {}
+    while pivots:
+        wanted = sorted({(i, v) for (i, _), vs in pivots.items() for v in vs})
+        counts = df.agg(*[F.expr(f"count_if({x[i]} {op} {_literal(v)})")
+                          for i, v in wanted for op in ("<", "<=")]).first()
+        under = {at: (counts[2 * t], counts[2 * t + 1]) for t, at in enumerate(wanted)}
+        exprs, open_ = [], []
+        for (i, rank), vs in pivots.items():
+            lo, hi, first, last = span[i, rank]
+            for v in sorted(set(vs)):
+                lt, le = under[i, v]
+                if lt <= rank < le:
+                    found[i, rank] = v
                     break
-                acc += h["n"]
-        if small:
-            # exact read-off: distinct values and counts inside the small brackets
-            sel = [(t, i) for t, i, _, _ in small]
-            vc = (exploded.where(F.col("t").isin([t for t, _ in sel]))
-                  .groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).collect())
-            by_t: dict[int, list] = {}
-            for h in vc:
-                by_t.setdefault(h["t"], []).append((h["v"], h["n"]))
-            for t, i, r, nb in small:
-                acc = nb
-                for v, n in sorted(by_t.get(t, [])):
-                    if acc + n > r:
-                        values[(i, r)] = v
-                        break
-                    acc += n
-        open_ = new_open
-    if open_:
-        raise RuntimeError(f"quantile selection did not converge for {sorted(open_)}")
-    result.update(result_low)
-    for i, j, k, frac in interp:
-        lo = values[(i, k)]
-        if frac > 0:
-            hi = values.get((i, k + 1), lo)
-            result[cols[i]][j] = lo + (hi - lo) * frac
-        else:
-            result[cols[i]][j] = lo
+                if rank < lt:
+                    hi, last = v, lt
+                    break
+                lo, first = v, le
+            if (i, rank) in found:
+                continue
+            span[i, rank] = (lo, hi, first, last)
+            limits = [f"{x[i]} {op} {_literal(v)}" for op, v in ((">", lo), ("<", hi)) if v is not None]
+            open_.append((i, rank))
+            exprs.append(sketch(f"CASE WHEN {' AND '.join(limits)} THEN {x[i]} END", [(rank - first + 0.5) / (last - first)]))
+        pivots = dict(zip(open_, df.agg(*exprs).first())) if open_ else {}
+    result: dict[str, list[float | None]] = {}
+    for i, (c, n) in enumerate(zip(cols, size)):
+        result[c] = []
+        for p in probs:
+            pos = p * (n - 1) if n else 0.0
+            k = math.floor(pos)
+            result[c].append(_between(found[i, k], found[i, min(k + 1, n - 1)], pos - k) if n else None)
     return result
 
 
@@ -175,7 +106,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], met
               accuracy: int = 10000) -> dict[str, list[float | None]]:
     """Quantiles of several columns by ``method``:
 
-    * ``exact``      — selection above (bounded memory, a few jobs);
+    * ``exact``      — selection above (bounded memory, a few jobs; the default);
     * ``percentile`` — Spark's exact ``percentile`` in one job (holds a
       value → count map per column: small or low-cardinality data only);
     * ``approx``     — ``percentile_approx`` (returns an element, no
@@ -197,7 +128,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], met
 
 
 def grouped_exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, probs: Sequence[float],
-                            names: Sequence[str] | None = None, buckets: int = 16) -> DataFrame:
+                            names: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``column`` per group, fully
     distributed (no per-group value map, nothing per group on the driver):
 

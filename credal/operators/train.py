@@ -175,10 +175,10 @@ def score(df: DataFrame, model: PipelineModel, threshold: float, keep: Sequence[
 
 # M18 --------------------------------------------------------------------------------
 def linear_contributions(df: DataFrame, model: PipelineModel, features: Sequence[str], means: Mapping[str, float],
-                         key: str, source_of: Mapping[str, str] | None = None, top: int = 3) -> tuple[DataFrame, DataFrame]:
+                         key: str, source_of: Mapping[str, str], top: int = 3) -> tuple[DataFrame, DataFrame]:
     """Exact contributions of a linear model, coef·(x − mean), summed
-    back to source columns (``source_of`` maps an encoded column to its
-    source; default: the name after the ``transformer__`` prefix), the ``top``
+    back to input columns (``source_of``: output column → input column, as
+    ``preprocess.Params.sources`` records it), the ``top``
     sources of every row by |impact| (name breaks ties), and the global mean
     |impact| per source.
 
@@ -186,7 +186,6 @@ def linear_contributions(df: DataFrame, model: PipelineModel, features: Sequence
     (source, impact) structs sorted inside the row and sliced to ``top`` —
     no shuffle; the global means are one aggregate."""
     coefs = model.stages[-1].coefficients.toArray().tolist()
-    source_of = source_of or {f: _source_name(f) for f in features}
     by_source: dict[str, Column] = {}
     for f, c in zip(features, coefs):
         term = F.lit(float(c)) * (F.col(f) - F.lit(float(means.get(f, 0.0))))
@@ -209,11 +208,6 @@ def linear_contributions(df: DataFrame, model: PipelineModel, features: Sequence
     return top_rows, global_mean
 
 
-def _source_name(f: str) -> str:
-    base = f.split("__", 1)[1] if "__" in f else f
-    return base
-
-
 def column_means(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
     row = df.agg(*[F.avg(c).alias(c) for c in features]).first().asDict()
     return {k: (0.0 if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)) for k, v in row.items()}

@@ -39,10 +39,15 @@ sc AS (
 
 
 SPLIT_SQL = "WITH" + SCORED_SQL + """
-SELECT y, split, CAST(n AS BIGINT) AS n FROM (
-  SELECT y, 'test' AS split, round(count(*) * 0.2) AS n FROM sc GROUP BY y
-  UNION ALL
-  SELECT y, 'train' AS split, count(*) - round(count(*) * 0.2) AS n FROM sc GROUP BY y)
+,
+c AS (SELECT y, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total FROM sc GROUP BY y),
+t AS (SELECT *, CAST(ceil(0.2::DOUBLE * total) AS BIGINT) AS size FROM c),
+q AS (SELECT *, n * size // total AS base,
+        row_number() OVER (ORDER BY n * size % total DESC, n DESC, y) AS place, sum(n * size // total) OVER () AS dealt FROM t),
+k AS (SELECT y, n, base + CASE WHEN place <= size - dealt THEN 1 ELSE 0 END AS test FROM q)
+SELECT y, 'test' AS split, CAST(test AS BIGINT) AS n FROM k
+UNION ALL
+SELECT y, 'train', CAST(n - test AS BIGINT) FROM k
 """
 
 
@@ -173,8 +178,8 @@ FROM a
 def q_auc(spark, sf_dir):
     """Exact ROC-AUC (ties one half) and average precision."""
     sc = scored(spark, sf_dir)
-    auc = M.roc_auc(sc, "p", "y", buckets=8).first()["roc_auc"]
-    ap = M.average_precision(sc, "p", "y", buckets=8)
+    auc = M.roc_auc(sc, "p", "y").first()["roc_auc"]
+    ap = M.average_precision(sc, "p", "y")
     return rounded(ap.select(F.lit(auc).alias("roc_auc"), "avg_precision"))
 
 

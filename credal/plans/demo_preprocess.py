@@ -324,8 +324,8 @@ def q_toolkit(spark, sf_dir):
                   "l_linestatus")
     std = P.fit_standard(m, ["l_quantity", "l_tax"], ddof=1)
     ind = P.missing_indicator_exprs(m, 0.2, ["disc", "price"])
-    return rounded(m.select("l_orderkey", "l_linenumber", *P.standardize_exprs(std, "_scaled"), *ind,
-                            *P.factorize_exprs(m, ["l_linestatus"])))
+    out = m.select("l_orderkey", "l_linenumber", *P.standardize_exprs(std, "_scaled"), *ind, "l_linestatus")
+    return rounded(P.factorize(out, ["l_linestatus"]))
 
 
 def wide_matrix(spark, sf_dir):

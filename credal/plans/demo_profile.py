@@ -234,9 +234,7 @@ FROM x
 @register("binary_encoding", "Q08", BINENC_SQL)
 def q_binenc(spark, sf_dir):
     """Base-2 encoding of the brand index (25 brands → 5 bit columns)."""
-    from credal.operators.aggregate import distinct_values
-    p = table(spark, sf_dir, "part")
-    return p.select("p_partkey", *Q.binary_encode_exprs("p_brand", distinct_values(p, "p_brand")))
+    return Q.binary_encode(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_brand").drop("p_brand")
 
 
 @register("registry_inference", "Q09,S13")

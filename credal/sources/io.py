@@ -46,22 +46,26 @@ def _exists(spark: SparkSession, path: str) -> bool:
 # S01 / S03 ------------------------------------------------------------------------
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, header: bool = True,
              sep: str = ",", keep_corrupt: bool = False) -> DataFrame:
-    """CSV scan with an explicit schema (no inference pass). Malformed
-    rows are kept in ``_corrupt_record`` when ``keep_corrupt`` (Spark refuses
-    a raw scan whose query needs only that column — select it together with a
-    data column, or persist the result first); otherwise they are dropped by
-    the reader."""
+    """CSV scan with an explicit schema (no inference pass). With
+    ``keep_corrupt`` malformed rows are marked in ``_corrupt_record`` (Spark
+    refuses a raw scan whose query needs only that column — select it together
+    with a data column); otherwise :func:`split_malformed` takes them out. Every
+    read parses whole rows, so the rows do not depend on the columns in use."""
     r = spark.read.option("header", header).option("sep", sep)
     if schema is not None:
-        if keep_corrupt:
-            schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-            r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        else:
-            r = r.option("mode", "DROPMALFORMED")
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+        full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+        df = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).schema(full).csv(path)
+        return df if keep_corrupt else split_malformed(df)[0]
+    return r.option("inferSchema", True).csv(path)
+
+
+def split_malformed(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(well-formed rows without the mark, quarantined rows with it) of a
+    ``read_csv(keep_corrupt=True)`` table. The test names every data column
+    beside the mark: Spark marks a row by the columns a query converts."""
+    data = [F.col(f"`{c}`").cast("string") for c in df.columns if c != CORRUPT]
+    mark = F.concat(F.col(CORRUPT), F.concat_ws("", *data))
+    return df.where(mark.isNull()).drop(CORRUPT), df.where(mark.isNotNull())
 
 
 def normalize_headers(df: DataFrame, rename: Mapping[str, str] | None = None) -> DataFrame:
@@ -77,22 +81,30 @@ def ingest_all(spark: SparkSession, files: Mapping[str, str], schemas: Mapping[s
                ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Read every table of ``files`` (table → path); a missing file is
     skipped with status ``missing`` rather than failing. When ``out_dir`` is
-    given each table is written as parquet (S04). Returns the tables and a
-    per-table report (table, path, status, rows, columns)."""
+    given each table is written as parquet (S04) and malformed rows go to
+    ``<out_dir>/_malformed/<table>``. Returns the tables and a per-table report
+    (table, path, status, rows, columns, malformed); ``malformed`` is the number
+    of rows taken out (0 without a schema: every row is text then)."""
     tables, report = {}, []
     for name, path in files.items():
         if not _exists(spark, path):
-            report.append((name, path, "missing", None, None))
+            report.append((name, path, "missing", None, None, None))
             continue
-        df = read_csv(spark, path, (schemas or {}).get(name))
+        schema, malformed = (schemas or {}).get(name), 0
+        df = read_csv(spark, path, schema, keep_corrupt=True)
+        if schema is not None:
+            df, bad = split_malformed(df)
+            malformed = bad.count()
+            if out_dir and malformed:
+                write_table(bad, f"{out_dir.rstrip('/')}/_malformed/{name}")
         df = normalize_headers(df, (renames or {}).get(name))
         if out_dir:
             target = f"{out_dir.rstrip('/')}/{name}"
             write_table(df, target)
             df = spark.read.parquet(target)
         tables[name] = df
-        report.append((name, path, "loaded", df.count(), len(df.columns)))
-    rep = spark.createDataFrame(report, "table string, path string, status string, rows long, columns int")
+        report.append((name, path, "loaded", df.count(), len(df.columns), malformed))
+    rep = spark.createDataFrame(report, "table string, path string, status string, rows long, columns int, malformed long")
     return tables, rep
 
 
@@ -154,9 +166,10 @@ def table_columns(spark: SparkSession, name: str) -> list[str]:
 
 
 def parquet_cache(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read the parquet table if present, else build it, write it and
-    read it back (later reads start from the written files)."""
-    if not _exists(spark, path):
+    """Read the parquet table if it was written to its end (its ``_SUCCESS``
+    mark is there), else build it, write it and read it back (later reads start
+    from the written files)."""
+    if not _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         write_table(build(), path)
     return spark.read.parquet(path)
 

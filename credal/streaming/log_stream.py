@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credal.functions import clean as C
+from credal.sources.io import CORRUPT
 
 LOG_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampType(), True),
@@ -35,11 +36,17 @@ LOG_SCHEMA = T.StructType([
 # T01 ------------------------------------------------------------------------------
 def read_log_stream(spark: SparkSession, path: str, schema: T.StructType = LOG_SCHEMA,
                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """File source over the JSON Lines folder; malformed lines dropped."""
-    r = spark.readStream.schema(schema).option("mode", "DROPMALFORMED")
+    """File source over the JSON Lines folder. Malformed lines are left out
+    and counted: every batch reports ``lines`` and ``malformed`` under
+    ``log_lines`` of its progress (``observedMetrics``)."""
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(path)
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = r.text(path).where(F.trim("value") != "").select(F.from_json("value", full, opts).alias("j")).select("j.*")
+    rows = rows.observe("log_lines", F.count(F.lit(1)).alias("lines"), F.count(CORRUPT).alias("malformed"))
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 # T02 / T03 / T04 --------------------------------------------------------------------

@@ -142,11 +142,10 @@ def test_rank_thresholds_vs_sort(spark):
     vals = [(rng.choice([0, 1]), rng.randint(-2**63, 2**63 - 1)) for _ in range(3000)]
     df = spark.createDataFrame(vals, "g int, h long")
     targets = {0: [1, 17, 500], 1: [3, 1000]}
-    for collect_max in (100000, 0):  # direct read-off, and all four refinement passes
-        th = M.rank_thresholds(df, "g", "h", targets, collect_max=collect_max)
-        for g, ts in targets.items():
-            srt = sorted(h for gg, h in vals if gg == g)
-            assert th[g] == [srt[t - 1] for t in ts]
+    th = M.rank_thresholds(df, "g", "h", targets)
+    for g, ts in targets.items():
+        srt = sorted(h for gg, h in vals if gg == g)
+        assert th[g] == [srt[t - 1] for t in ts]
 
 
 # threshold sweep and ranking metrics -----------------------------------------------
@@ -260,8 +259,7 @@ def test_exact_quantiles_selection_vs_numpy(spark):
     b = np.round(rng.random(6000) * 100, 2)
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
-    sel = {"map_max_distinct": 0}  # force selection (the bounded-cardinality path is the default here)
-    for kw in ({}, sel, {**sel, "collect_max": 10, "bins": 4}, {**sel, "accuracy": 10, "collect_max": 100}):
+    for kw in ({}, {"accuracy": 100}, {"accuracy": 10}):  # rough sketches need several rounds
         got = exact_quantiles(df, ["a", "b"], probs, **kw)
         for c, arr in (("a", a), ("b", b)):
             assert np.allclose(got[c], np.quantile(arr, probs), rtol=1e-12, atol=1e-12)
@@ -524,3 +522,59 @@ def test_no_local_scratch_on_a_cluster():
         with pytest.raises(RuntimeError):
             _local_scratch(master)
     assert _local_scratch("local[*]")
+
+
+def test_quantiles_of_infinities(spark):
+    from credal.operators.quantiles import exact_quantiles
+    inf = float("inf")
+    rng = np.random.default_rng(8)
+    v = np.concatenate([rng.lognormal(0, 8, 20000), np.full(300, inf), np.full(50, -inf)])
+    df = spark.createDataFrame([(float(x),) for x in v], "v double")
+    got = exact_quantiles(df, ["v"], [0.0, 0.001, 0.5, 0.9, 0.99, 1.0])["v"]
+    s = np.sort(v)
+    at = 0.5 * (len(v) - 1)
+    mid = s[int(at)] + (s[int(at) + 1] - s[int(at)]) * (at - int(at))
+    assert got[0] == got[1] == -inf and got[4] == got[5] == inf
+    assert got[2] == pytest.approx(mid) and got[3] == pytest.approx(np.quantile(v[np.isfinite(v) | (v < 0)], 0.9 * (len(v) - 1) / (20050 - 1)))
+
+
+def test_many_categories_fit_and_transform(spark):
+    n = 30000
+    df = spark.range(2 * n).select(F.concat(F.lit("c"), F.col("id") % n).alias("c"), (F.col("id") % 2).cast("int").alias("y"))
+    p = P.fit(df, P.PreprocessSpec(target_enc=["c"], target="y"))
+    assert p.te_tables and p.feature_names == ["target_enc__c"] and p.sources == {"target_enc__c": "c"}
+    p = P.Params.from_json(p.to_json())
+    unseen = spark.createDataFrame([("new", 0), (None, 0)], "c string, y int")
+    assert [r[0] for r in P.transform(unseen, p).collect()] == [p.te_global] * 2
+    got = {r.c: r[1] for r in P.transform(df, p, keep=["c"]).distinct().collect()}
+    assert len(got) == n and got["c1"] == pytest.approx((2 * 1.0 + p.te_global) / 3)
+
+
+def test_index_table_and_factorize(spark):
+    from credal.operators.aggregate import index_table
+    df = spark.createDataFrame([(f"v{i % 977:04d}" if i % 5 else None,) for i in range(6000)], "v string")
+    want = {v: i + 1 for i, v in enumerate(sorted({r.v for r in df.collect() if r.v is not None}))}
+    assert {r.v: r["index"] for r in index_table(df, "v").collect()} == want
+    got = P.factorize(df.withColumn("w", F.col("v")), ["v"])
+    assert all((r.v is None) == (r.w is None) and (r.v is None or r.v == want[r.w] - 1) for r in got.collect())
+    assert got.count() == 6000
+
+
+def test_split_takes_the_ceiling_and_drops_null_labels(spark):
+    df = spark.createDataFrame([(i, 0 if i < 8 else 1 if i < 13 else None) for i in range(15)], "id int, y int")
+    s = M.stratified_split(df, "y", "id", 0.2)
+    assert s.count() == 13 and s.where("split = 'test'").count() == 3
+
+
+def test_two_value_columns_without_distinct(spark):
+    df = spark.createDataFrame([(1, "a", 1.0, None), (2, "b", 1.0, None), (2, "c", None, None)],
+                               "two int, three string, one double, none int")
+    from credal.operators import profile as PR
+    assert PR.two_value_columns(df) == ["two"]
+
+
+def test_get_x_y_keeps_rows_with_equal_keys(spark):
+    df = spark.createDataFrame([(1, 1.0, "1"), (1, 2.0, "0"), (2, 3.0, None)], "k int, x double, y string")
+    p = P.fit(df, P.PreprocessSpec(standard=["x"]))
+    out = P.get_x_y(df, p, "k", "y")
+    assert out.columns == ["k", "standard__x", "y"] and out.count() == 3

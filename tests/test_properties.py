@@ -1,5 +1,7 @@
 """Property tests (hypothesis): operators agree with brute force on random inputs."""
 
+import math
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -30,9 +32,11 @@ def test_split_sizes_exact(spark, labels, frac):
     df = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "id int, y int")
     s = M.stratified_split(df, "y", ["id"], frac, seed=7)
     got = {(r.y, r.split): r["count"] for r in s.groupBy("y", "split").count().collect()}
+    size = math.ceil(frac * len(labels))
+    assert sum(n for (_, part), n in got.items() if part == "test") == size
     for y in set(labels):
         n = labels.count(y)
-        assert got.get((y, "test"), 0) == int(round(n * frac))
+        assert abs(got.get((y, "test"), 0) - n * size / len(labels)) < 1
         assert got.get((y, "test"), 0) + got.get((y, "train"), 0) == n
 
 
@@ -41,7 +45,7 @@ def test_split_sizes_exact(spark, labels, frac):
        st.lists(st.floats(0, 1), min_size=1, max_size=5))
 def test_exact_quantiles_match_numpy(spark, values, probs):
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = exact_quantiles(df, ["v"], probs, map_max_distinct=0, collect_max=8, bins=4)["v"]
+    got = exact_quantiles(df, ["v"], probs, accuracy=20)["v"]
     assert np.allclose(got, np.quantile(np.array(values), probs), rtol=1e-9, atol=1e-6)
 
 
