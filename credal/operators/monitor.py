@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from credal.functions import clean as C
 from credal.functions.stats import chi2_pvalue, ks_pvalue
-from credal.operators.cumulative import cumulative_sums
+from credal.operators.cumulative import bucket_count, cumulative_sums
 from credal.operators.quantiles import grouped_exact_quantiles, quantiles
+from credal.session import written
 
 PSI_EPS = 1e-4
 
@@ -124,11 +125,12 @@ def _long(ref: DataFrame, cur: DataFrame, columns: Sequence[str], kind: str) ->
 def numeric_drift(ref: DataFrame, cur: DataFrame, columns: Sequence[str], bins: int = 10,
                   buckets: int | None = None) -> DataFrame:
     """D03 numeric: ks, wasserstein_norm, psi, js per column."""
-    counts = _long(ref, cur, columns, "num")
+    counts = written(_long(ref, cur, columns, "num"), "drift")
     # population sizes per column: one row per column (bounded by the column list)
     totals = counts.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     # running counts and the next distinct value (Δx) in one bucketed pass
-    c = cumulative_sums(counts, "value", ["n_ref", "n_cur"], partition=["column"], buckets=buckets, with_next=True)
+    c = cumulative_sums(counts, "value", ["n_ref", "n_cur"], partition=["column"],
+                        buckets=buckets or bucket_count(counts.count()), with_next=True)
     c = c.join(F.broadcast(totals), "column")  # one row per column
     c = c.withColumn("F_ref", F.col("cum_n_ref") / F.col("tot_ref")).withColumn("F_cur", F.col("cum_n_cur") / F.col("tot_cur"))
     ks_w = c.groupBy("column").agg(

@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from credal.session import written
+
 
 def _literal(v: float) -> str:
     """A double as SQL text."""
@@ -137,12 +139,15 @@ def grouped_exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, pro
     wanted rank k of a group, the smallest value whose running count exceeds
     k (a grouped ``min``). A hot group is spread over its buckets.
     """
-    from credal.operators.cumulative import cumulative_sums
+    from credal.operators.cumulative import bucket_count, cumulative_sums
     keys = list(keys)
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
     x = F.col(column).cast("double")
     counts = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*keys, x.alias("__v"))
               .agg(F.count(F.lit(1)).alias("__c")))
+    if buckets is None:
+        counts = written(counts, "values")
+        buckets = bucket_count(counts.count())
     sizes = counts.groupBy(*keys).agg(F.sum("__c").alias("__n"))
     from credal.operators.assemble import join_on_keys
     cum = join_on_keys(cumulative_sums(counts, "__v", ["__c"], partition=keys, buckets=buckets), sizes, keys)
