@@ -174,5 +174,5 @@ def op10(spark, sf_dir):
     from credal.llm.toxicity import fit_toxicity, score_toxicity
     docs = table(sf_dir, spark, "documents").select("doc_id", held_out().alias("held_out"), "text")
     labels = table(sf_dir, spark, "labels").select("doc_id", "toxic")
-    net = fit_toxicity(docs.where("not held_out").join(labels, "doc_id").select("doc_id", "text", "toxic"))
+    net = fit_toxicity(docs.where("not held_out").select("doc_id", "text"), labels)
     return score_toxicity(docs, net)

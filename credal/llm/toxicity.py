@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credal.llm.common import mix64, row_slices, small_batches
+from credal.llm.common import mix64, row_slices, small_batches, stored
 
 WINDOW, STRIDE = 32, 24
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 16
@@ -267,14 +267,25 @@ def score_windows(net, features, index) -> np.ndarray:
 
 
 # Spark jobs ----------------------------------------------------------------------
-def fit_toxicity(labelled: DataFrame, sample: int = SAMPLE, sample_chars: int = SAMPLE_CHARS) -> dict[str, np.ndarray]:
-    """``labelled(doc_id, text, toxic)`` → network. Rows with a null text or
-    label do not count. At most ``sample`` rows per label and ``sample_chars``
-    characters per row reach the driver."""
-    rows = labelled.where((F.length("text") <= sample_chars) & F.col("toxic").isin(0, 1)) \
-        .select("doc_id", "text", "toxic", F.xxhash64("doc_id").alias("h"))
-    parts = [rows.where(F.col("toxic") == t).orderBy("h", "doc_id", "text").limit(sample) for t in (1, 0)]
-    got = parts[0].union(parts[1]).toPandas().sort_values(["h", "doc_id", "text"], kind="stable")
+def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
+                 sample_chars: int = SAMPLE_CHARS) -> dict[str, np.ndarray]:
+    """``docs(doc_id, text)``, ``labels(doc_id, toxic)`` → network. Rows with a null
+    id, text or label do not count, nor labels other than 0 and 1. At most
+    ``sample`` rows per label and ``sample_chars`` characters per row reach the
+    driver: the first by a hash of the id, equal rows counting once.
+
+    The sample is drawn on ids and text hashes; only the drawn rows' texts move.
+    """
+    small_batches(docs.sparkSession)
+    at = docs.where(F.length("text") <= sample_chars).select("doc_id", F.xxhash64("text").alias("th"))
+    rows = at.join(labels.where(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")),
+                   "doc_id").distinct().withColumn("h", F.xxhash64("doc_id"))
+    drawn = [rows.where(F.col("toxic") == t).orderBy("h", "doc_id", "th").limit(sample) for t in (1, 0)]
+    drawn = stored(drawn[0].union(drawn[1]), "sample")
+    # at most 2 * sample rows of ids and hashes
+    got = docs.select("doc_id", "text", F.xxhash64("text").alias("th")).join(F.broadcast(drawn), ["doc_id", "th"]) \
+        .dropDuplicates(["doc_id", "th", "toxic"]).select("doc_id", "text", "toxic", "h").toPandas() \
+        .sort_values(["h", "doc_id", "text", "toxic"], kind="stable")
     return fit(got["text"].tolist(), got["toxic"].astype(int).tolist())
 
 
