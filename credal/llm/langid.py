@@ -8,8 +8,8 @@ parts them, and a word is taken with one blank on either side); a language's
 prototype is the sum over its training documents. The prediction is the
 prototype of largest cosine.
 
-Bundling is linear: training counts trigrams per language in Spark and only
-the few thousand distinct trigrams are turned into vectors.
+Bundling is linear: training counts trigrams per language in Spark and turns
+each distinct trigram into a vector once.
 """
 
 from __future__ import annotations
@@ -113,10 +113,10 @@ def _batches(texts: list[str | None]):
 def fit_prototypes(train: DataFrame, dim: int = DIM, seed: int = SEED) -> dict[str, np.ndarray]:
     """``train(text, lang)`` → language → prototype. All given rows count.
 
-    Tasks count trigrams per language and Spark sums the counts by (language,
-    trigram); what reaches the driver is one row per language and distinct
-    trigram, bounded by the alphabets and not by the rows. Rows with a null
-    text or language are left out; no rows give no prototypes.
+    Tasks count trigrams per language, Spark sums the counts by (language,
+    trigram), tasks turn those into vectors and Spark sums them by (language,
+    coordinate): ``dim`` whole numbers per language reach the driver. Rows with
+    a null text or language are left out; no rows give no prototypes.
     """
     small_batches(train.sparkSession)
 
@@ -140,17 +140,26 @@ def fit_prototypes(train: DataFrame, dim: int = DIM, seed: int = SEED) -> dict[s
                     [pa.array(cols[0], pa.string()), *[pa.array(x, pa.int32()) for x in cols[1:]],
                      pa.array(list(out.values()), pa.int64())], ["lang", "a", "b", "c", "n"])
 
+    def bundle(batches):
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            langs = np.array(batch.column(0).to_pylist(), object)
+            tri = np.stack([batch.column(i).to_numpy() for i in (1, 2, 3)], axis=1) if batch.num_rows else None
+            n = batch.column(4).to_numpy().astype(np.float64)
+            for a in range(0, batch.num_rows, 4096):
+                vectors = bind(tri[a: a + 4096], dim, seed)
+                for lang in sorted(set(langs[a: a + 4096])):
+                    of = langs[a: a + 4096] == lang
+                    sums[lang] = sums.get(lang, 0) + n[a: a + 4096][of] @ vectors[of]
+        for lang, v in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * dim, pa.string()), pa.array(np.arange(dim, dtype=np.int32)),
+                                              pa.array(v.astype(np.int64))], ["lang", "i", "n"])
+
     counts = train.where("text is not null and lang is not null").select("text", "lang") \
         .mapInArrow(count, "lang string, a int, b int, c int, n long") \
-        .groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n")).toPandas()
-    out = {}
-    for lang, part in counts.sort_values(["lang", "a", "b", "c"]).groupby("lang"):
-        total = np.zeros(dim, np.float64)
-        tri, n = part[["a", "b", "c"]].to_numpy(), part["n"].to_numpy(np.float64)
-        for k in range(0, len(tri), 4096):
-            total += n[k: k + 4096] @ bind(tri[k: k + 4096], dim, seed)
-        out[str(lang)] = total
-    return out
+        .groupBy("lang", "a", "b", "c").agg(F.sum("n").alias("n"))
+    total = counts.mapInArrow(bundle, "lang string, i int, n long").groupBy("lang", "i").agg(F.sum("n").alias("n")).toPandas()
+    return {str(lang): part.sort_values("i")["n"].to_numpy(np.float64) for lang, part in total.groupby("lang")}
 
 
 def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: int = DIM, seed: int = SEED) -> DataFrame:
