@@ -239,14 +239,17 @@ def drift_alerts(report: DataFrame, stat: str = "js", threshold: float = 0.1) ->
 
 # D05 / D07 -----------------------------------------------------------------------------
 def quality_summary(df: DataFrame, columns: Sequence[str], population: str) -> DataFrame:
-    """Missing count, distinct count, min and max per column."""
+    """Missing count, distinct count, min and max per column (one aggregate,
+    and a distinct count per column joined to its one row per column)."""
+    from credal.operators.profile import distinct_count_table
     exprs = []
     for c in columns:
-        exprs += [F.count_if(F.col(c).isNull()).alias(f"{c}__miss"), F.count_distinct(c).alias(f"{c}__dist"),
+        exprs += [F.count_if(F.col(c).isNull()).alias(f"{c}__miss"),
                   F.min(F.col(c).cast("double")).alias(f"{c}__min"), F.max(F.col(c).cast("double")).alias(f"{c}__max")]
-    stack = ", ".join(f"'{c}', `{c}__miss`, `{c}__dist`, `{c}__min`, `{c}__max`" for c in columns)
-    return (df.agg(*exprs).selectExpr(f"stack({len(columns)}, {stack}) AS (column, missing, distinct_count, min, max)")
-            .withColumn("population", F.lit(population)))
+    stack = ", ".join(f"'{c}', `{c}__miss`, `{c}__min`, `{c}__max`" for c in columns)
+    return (df.agg(*exprs).selectExpr(f"stack({len(columns)}, {stack}) AS (column, missing, min, max)")
+            .join(distinct_count_table(df, columns), "column")
+            .select("column", "missing", "distinct_count", "min", "max", F.lit(population).alias("population")))
 
 
 def metric_rows(metrics: DataFrame, metric_type: str = "reference", id_cols: Sequence[str] = ()) -> DataFrame:

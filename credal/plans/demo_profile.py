@@ -237,7 +237,36 @@ def q_binenc(spark, sf_dir):
     return Q.binary_encode(table(spark, sf_dir, "part").select("p_partkey", "p_brand"), "p_brand").drop("p_brand")
 
 
-@register("registry_inference", "Q09,S13")
+INFER_SQL = """
+WITH c AS (SELECT c_custkey, c_acctbal, c_mktsegment, c_nationkey, CASE WHEN c_acctbal < 0 THEN 'Y' ELSE 'N' END AS flag,
+                  c_name FROM customer),
+a AS (SELECT count(*) AS n, count(c_custkey) AS k, count(c_acctbal) AS b, count(c_mktsegment) AS m, count(c_nationkey) AS t,
+             count(flag) AS f, count(c_name) AS x, count(DISTINCT c_mktsegment) AS dm, count(DISTINCT c_name) AS dx FROM c),
+lists AS (SELECT list_sort(list(DISTINCT c_mktsegment)) AS m, list_sort(list(DISTINCT flag)) AS f, list_sort(list(DISTINCT c_name)) AS x
+          FROM c),
+maps AS (SELECT '{' || array_to_string(list_transform(m, lambda v: '''' || v || ''': ''' || lower(v) || ''''), ', ') || '}' AS m,
+                '{' || array_to_string(list_transform(f, lambda v: '''' || v || ''': ''' || lower(v) || ''''), ', ') || '}' AS f,
+                '{' || array_to_string(list_transform(x, lambda v: '''' || v || ''': '''
+                       || regexp_replace(lower(v), '[^a-z0-9]+', '_', 'g') || ''''), ', ') || '}' AS x FROM lists),
+r AS (
+  SELECT 'SK_ID_CURR' AS raw_name, 'identifier' AS type, 'identifier' AS role, 'none' AS encoding, 'none' AS transform,
+         NULL AS value_map, (n - k) * 100.0 / n AS null_pct FROM a
+  UNION ALL SELECT 'AMT_INCOME_TOTAL', 'numerical', 'feature', 'none', 'log', NULL, (n - b) * 100.0 / n FROM a
+  UNION ALL SELECT 'NAME_CONTRACT_TYPE', 'categorical', 'feature',
+         CASE WHEN dm <= 15 THEN 'one_hot' WHEN dm < 50 THEN 'ordinal' ELSE 'target' END, 'none',
+         CASE WHEN dm <= 15 THEN maps.m END, (n - a.m) * 100.0 / n FROM a, maps
+  UNION ALL SELECT 'CNT_SOCIAL_CIRCLE', 'numerical', 'feature', 'none', 'robust', NULL, (n - t) * 100.0 / n FROM a
+  UNION ALL SELECT 'FLAG_OWN_CAR', 'binary', 'feature', 'none', 'none', maps.f, (n - a.f) * 100.0 / n FROM a, maps
+  UNION ALL SELECT 'C_NAME', 'categorical', 'feature',
+         CASE WHEN dx <= 15 THEN 'one_hot' WHEN dx < 50 THEN 'ordinal' ELSE 'target' END, 'none',
+         CASE WHEN dx <= 15 THEN maps.x END, (n - a.x) * 100.0 / n FROM a, maps)
+SELECT lower(raw_name) AS name, 'application' AS source_table, type, role, encoding, transform, raw_name, value_map, null_pct,
+       null_pct >= 30 AS null_alert
+FROM r
+"""
+
+
+@register("registry_inference", "Q09,S13", INFER_SQL)
 def q_infer(spark, sf_dir):
     """Registry rows inferred from the customer table (type, role, encoding, transform, value map)."""
     c = table(spark, sf_dir, "customer").select(
@@ -275,7 +304,27 @@ def q_corr(spark, sf_dir):
     return rounded(Q.correlation_pairs(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
 
 
-@register("redundancy_elimination", "Q12")
+_REDUNDANT = ["l_quantity", "l_extendedprice", "l_discount", "q2", "p2"]
+REDUNDANCY_SQL = """
+WITH RECURSIVE x AS (
+  SELECT l_quantity, l_extendedprice, l_discount, l_quantity * 2.0 + l_tax AS q2, l_extendedprice / 1000.0 + l_discount AS p2,
+         CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem),
+pairs AS (""" + "\n  UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS rho, abs(corr({a}, y)) AS ta, abs(corr({b}, y)) AS tb FROM x"
+    for i, a in enumerate(_REDUNDANT) for b in _REDUNDANT[i + 1:]) + """),
+p AS (SELECT row_number() OVER (ORDER BY abs(rho) DESC, a, b) AS k, a, b, rho, CASE WHEN ta < tb THEN a ELSE b END AS loser,
+             CASE WHEN ta < tb THEN b ELSE a END AS keeper FROM pairs WHERE abs(rho) >= 0.9),
+g(k, gone, took) AS (
+  SELECT CAST(0 AS BIGINT), CAST([] AS VARCHAR[]), false
+  UNION ALL
+  SELECT p.k, CASE WHEN list_contains(gone, a) OR list_contains(gone, b) THEN gone ELSE list_append(gone, loser) END,
+         NOT (list_contains(gone, a) OR list_contains(gone, b))
+  FROM g JOIN p ON p.k = g.k + 1)
+SELECT loser AS dropped, keeper AS kept, round(rho, 6) AS rho FROM p JOIN g USING (k) WHERE took
+"""
+
+
+@register("redundancy_elimination", "Q12", REDUNDANCY_SQL)
 def q_redundancy(spark, sf_dir):
     """Greedy drop of the less target-correlated column of each |ρ| ≥ 0.9 pair."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -335,7 +384,17 @@ def q_derived(spark, sf_dir):
     return Q.derived_column_map(spark, out.columns)
 
 
-@register("step_history", "Q16,C25,C26")
+STEPS_SQL = "WITH" + LINE_SQL + """,
+b AS (SELECT count(*) AS n, count(rf) AS m, count(*) FILTER (WHERE rf IS NOT NULL AND disc IS NULL) AS z FROM lm)
+SELECT 1 AS step_no, 'drop_missing_target' AS step, n AS rows_before, 7 AS cols_before, m AS rows_after, 7 AS cols_after,
+       'rows without rf' AS detail FROM b
+UNION ALL SELECT 2, 'drop_by_pattern', m, 7, m, 6, 'case-insensitive ''tax''' FROM b
+UNION ALL SELECT 3, 'drop_missing_share', m, 6, m, CAST(6 - CASE WHEN z * 100.0 / m > 5 THEN 1 ELSE 0 END AS INTEGER),
+       '> 5 % missing' FROM b
+"""
+
+
+@register("step_history", "Q16,C25,C26", STEPS_SQL)
 def q_steps(spark, sf_dir):
     """Operation records with shapes before and after each cleaning step."""
     h = Q.StepHistory()
