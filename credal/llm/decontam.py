@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from credal.llm.common import stored
 
 BITS, RADIUS = 64, 20
-BROADCAST_SHINGLES = 1_000_000     # 8 bytes each
+BROADCAST_ROWS = 1_000_000         # counted rows of one or two longs; beyond it, a shuffled join does the same
 _HALVES = 0x0000000100000001
 
 
@@ -78,18 +78,17 @@ def _matches(docs: DataFrame, items: DataFrame, k: int, similarity: float, radiu
     n_known = item_rows.select("h").distinct().count()
 
     # positions of documents that hold a shingle of the benchmark
-    small = n_known <= BROADCAST_SHINGLES          # 16 MB; beyond it, a shuffled join does the same
     # the words are a column of their own, or each shingle would split the text anew
     at = docs.select("doc_id", "th", words_of(F.col("text")).alias("words")) \
         .select("doc_id", "th", F.posexplode(shingles_of(F.col("words"), k)).alias("pos", "h"))
     keys = item_rows.select("h").distinct()
-    hits = stored(at.join(F.broadcast(keys) if small else keys, "h", "left_semi").distinct(), "hits")
+    hits = stored(at.join(F.broadcast(keys) if n_known <= BROADCAST_ROWS else keys, "h", "left_semi").distinct(), "hits")
 
-    # all shingles of those documents, few beside all
-    found = hits.select("doc_id", "th").distinct()
+    # all shingles of those documents, few beside all; the texts stay where they are if the ids are few
+    found = stored(hits.select(F.col("doc_id").alias("fid"), F.col("th").alias("fth")).distinct(), "found")
     again = docs.select("doc_id", "text", "th").join(
-        found.withColumnRenamed("doc_id", "fid"), (F.col("doc_id").eqNullSafe(F.col("fid"))) & (docs["th"] == found["th"]),
-        "left_semi").dropDuplicates(["doc_id", "th"])
+        F.broadcast(found) if found.count() <= BROADCAST_ROWS else found,
+        F.col("doc_id").eqNullSafe(F.col("fid")) & (F.col("th") == F.col("fth")), "left_semi").dropDuplicates(["doc_id", "th"])
     texts = stored(again.select("doc_id", "th", words_of(F.col("text")).alias("words"))
                    .select("doc_id", "th", shingles_of(F.col("words"), k).alias("hs")), "texts")
     local = texts.select("doc_id", "th", F.size("hs").alias("nd"), F.posexplode("hs").alias("pos", "h"))
