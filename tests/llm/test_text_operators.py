@@ -264,6 +264,16 @@ def test_toxicity_learns_and_scores_whole_texts(spark):
     assert toxicity.fit([], [])["bias"][0] == 0 and toxicity.fit(["a"], [1])["bias"][0] > 0
 
 
+def test_toxicity_sample_of_odd_rows(spark):
+    docs = spark.createDataFrame([(1, "you idiot"), (1, "you idiot"), (2, "fine day"), (3, None), (None, "idiot"), (4, "unlabelled"),
+                                  (5, "x" * 9000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (None, 1), (2, None), (5, 1), (2, 7)], "doc_id long, toxic int")
+    got, want = toxicity.fit_toxicity(docs, labels), toxicity.fit(["you idiot", "fine day"], [1, 0])
+    same = toxicity.fit(["fine day", "you idiot"], [0, 1])
+    assert any(all(np.array_equal(got[k], x[k]) for k in got) for x in (want, same))
+    assert toxicity.fit_toxicity(docs.limit(0), labels)["bias"][0] == 0
+
+
 def test_windows_cover_everything():
     for n in (1, 31, 32, 33, 56, 57, 200):
         row, start = toxicity.windows(np.array([0, 0, n]))
