@@ -1,7 +1,9 @@
 """Near-dedup of embeddings with a pivot-permutation index.
 
 Reference points (pivots) are a bounded sample of the vectors, taken by a hash
-of the id. Each vector is described by its ``NEAREST`` nearest pivots in order.
+of the id, without those that lie close to an earlier one: a large group of near
+copies would else own many pivots, and its members, nearest to different ones of
+them, would not meet. Each vector is described by its ``NEAREST`` nearest pivots in order.
 The inverted lists are kept per pair of pivots: a vector stands in the list of
 every pair among its nearest, so that two vectors meet in a list exactly when
 they share at least two pivots. In a list the shared pivots are counted per
@@ -30,6 +32,7 @@ from credal.llm.components import connected_components
 NEAREST, SHARED = 6, 2
 MIN_PIVOTS, MAX_PIVOTS = 64, 4096
 BLOCK_ROWS = 1024
+SPACING = 0.15          # pivots' cosines stay this far below the threshold
 
 
 def pivot_count(n: int) -> int:
@@ -38,6 +41,16 @@ def pivot_count(n: int) -> int:
     return int(min(MAX_PIVOTS, max(MIN_PIVOTS, 2 * math.sqrt(n))))
 
 
+def spaced(vectors: np.ndarray, limit: float, k: int) -> np.ndarray:
+    """The first ``k`` unit vectors that lie below cosine ``limit`` of all taken before."""
+    free, taken = np.ones(len(vectors), bool), []
+    for i in range(len(vectors)):
+        if free[i] and len(taken) < k:
+            taken.append(i)
+            free &= vectors @ vectors[i] < limit
+    return vectors[taken]
+
+
 def describe(vectors: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np.ndarray:
     """(n, nearest) pivot numbers by falling cosine, ties by number."""
     near = min(nearest, len(pivots))
@@ -103,11 +116,11 @@ def embedding_duplicates(rows: DataFrame, threshold: float = 0.95) -> DataFrame:
     classes = stored(good.groupBy("v").agg(F.min("vec_id").alias("cid"), F.count(F.lit(1)).alias("copies")), "vectors")
     n = classes.count()
     k = pivot_count(n)
-    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(k).select("v").collect()     # at most MAX_PIVOTS rows
+    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(2 * k).select("v").collect()     # at most 2 * MAX_PIVOTS rows
     by_dim: dict[int, list] = {}
     for (v,) in sample:
         by_dim.setdefault(len(v), []).append(v)
-    pivots = {d: _unit(np.array(v, np.float64)) for d, v in by_dim.items()}
+    pivots = {d: spaced(_unit(np.array(v, np.float64)), threshold - SPACING, k) for d, v in by_dim.items()}
 
     def index(batches):
         for batch in batches:

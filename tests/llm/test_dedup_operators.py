@@ -203,6 +203,23 @@ def test_embeddings_against_brute_force(spark):
     assert embed_dedup.embedding_duplicates(empty).count() == 0
 
 
+def test_embeddings_of_a_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=(3000, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    v[:1000] = np.sqrt(0.965) * v[0] + np.sqrt(0.035) * v[1000:2000]
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    order = rng.permutation(len(v))
+    v = v[order]
+    links = (v @ v.T >= 0.95) & ~np.eye(len(v), dtype=bool)
+    assert links.sum() > 500_000
+    out = {r.vec_id: r for r in embed_dedup.embedding_duplicates(spark.createDataFrame(
+        [(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")).collect()}
+    assert sum(r.n_links for r in out.values()) >= 0.99 * links.sum()
+    assert all(out[i].n_links <= n for i, n in enumerate(links.sum(axis=1)))
+    assert sum(not out[i].kept for i in np.flatnonzero(order < 1000).tolist()) == 999
+
+
 # 4 -------------------------------------------------------------------------------
 @pytest.mark.parametrize("compression", ["none", "gzip"])
 def test_warc_round_trip(spark, compression):
