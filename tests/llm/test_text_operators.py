@@ -157,6 +157,21 @@ def test_substring_dedup_against_brute_force(spark):
     assert substring.substring_dedup(frame(spark, [])).count() == 0
 
 
+def test_substring_dedup_of_short_sentences(spark):
+    line = "Stop!! Go on. Who is there? Nobody.\nTwo words. The end."
+    dense = "ALPHA!! BETA!! GAMMA!! DELTA!! EPSILON!! ZETA!! ETA!!"
+    texts = [line, "A new start. " + line.replace("\n", " ") + " Or not.", dense, dense, "Go on. Who is there? Yes.",
+             "Ha. " * 20, "Stop!! Go on."]
+    got = {r.doc_id: r for r in substring.substring_dedup(frame(spark, texts)).collect()}
+    assert [got[i].n_removed for i in range(len(texts))] == [0, 6, 0, 7, 0, 14, 0]
+    assert got[1].text.split() == "A new start. Or not.".split() and got[3].text == ""
+    assert got[5].text.split() == ["Ha."] * 6
+    for i, t in enumerate(texts):
+        assert got[i].removed_chars == sum(s.end - s.begin for s in got[i].removed)
+        words = [t[s.begin:s.end] for s in got[i].removed]
+        assert all(w.strip() == w and w for w in words)
+
+
 # 5 -------------------------------------------------------------------------------
 def brute_targets(sizes, weights=(1, 2, 3), epochs=3):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
