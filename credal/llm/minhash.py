@@ -109,7 +109,7 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """``(cid, shingles)`` of the classes, from the text of the smallest id.
+    """``(cid, shingles)`` of the classes, from the text of the smallest id ``least``.
     Rows that repeat that id with another text are told apart by the set key."""
     def build(batches):
         for batch in batches:
@@ -122,8 +122,8 @@ def _sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
                     pa.array([raw[8 * at[i]: 8 * at[i + 1]] for i in np.flatnonzero(same)], pa.binary())],
                     ["cid", "shingles"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("cid"), F.col("text").cast("string").alias("text")) \
-        .join(classes.select("cid", "s1", "s2"), "cid").select("cid", "s1", "s2", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("least"), F.col("text").cast("string").alias("text")) \
+        .join(classes.select("least", "cid", "s1", "s2"), "least").select("cid", "s1", "s2", "text")
     return rows.mapInArrow(build, "cid long, shingles binary").dropDuplicates(["cid"])
 
 
@@ -243,14 +243,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     rows = stored(signatures(docs, k), "signatures")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     keyed = rows.where(~alone)
-    classes = stored(keyed.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("cid"),
-                                                                 F.first("bands").alias("bands")), "classes")
+    # a class has a number of its own: rows of one id may be in several classes
+    classes = stored(keyed.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands"))
+                     .withColumn("cid", F.monotonically_increasing_id()), "classes")
     # a bucket key names its band; buckets of one class are dropped before any join
     members = classes.select("cid", F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.min("cid").alias("hub"), F.max("cid").alias("last")).where("hub <> last")
     members = stored(members.join(shared.select("key", "hub"), "key"), "members")
-    busy = members.select("cid").distinct().join(classes.select("cid", "s1", "s2", "n_shingles"), "cid") \
-        .dropDuplicates(["cid"])
+    busy = members.select("cid").distinct().join(classes.select("cid", "least", "s1", "s2", "n_shingles"), "cid")
     sets = stored(_sets(docs, busy, k), "sets")
     pairs = members.where("cid <> hub").select("hub", "cid").distinct()
     comps = stored(connected_components(_hub_links(pairs, sets, num, den)), "stars")
@@ -258,10 +258,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
                     .select("cid", "n_shingles", F.coalesce("component", "cid").alias("comp")), "labels")
     more = connected_components(_block_links(members.select("key", "cid"), labels.select("cid", "comp"),
                                              labels.select("cid", "n_shingles"), sets, num, den))
-    final = labels.join(more, F.col("comp") == F.col("node"), "left") \
-        .select("cid", F.coalesce("component", "comp").alias("component_id"))
-    linked = classes.select("s1", "s2", "n_shingles", "cid").join(final, "cid", "left") \
-        .select("s1", "s2", "n_shingles", F.coalesce("component_id", "cid").alias("component_id"))
+    final = stored(labels.join(more, F.col("comp") == F.col("node"), "left")
+                   .select("cid", F.coalesce("component", "comp").alias("comp"))
+                   .join(classes.select("cid", "least"), "cid"), "components")
+    final = final.join(final.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select("cid", "component_id")
+    linked = classes.select("s1", "s2", "n_shingles", "cid", "least").join(final, "cid", "left") \
+        .select("s1", "s2", "n_shingles", F.coalesce("component_id", "least").alias("component_id"))
     out = keyed.select("doc_id", "n_shingles", "s1", "s2").join(linked, ["s1", "s2", "n_shingles"]) \
         .select("doc_id", "n_shingles", "component_id") \
         .union(rows.where(alone).select("doc_id", "n_shingles", "doc_id"))

@@ -104,6 +104,14 @@ def test_minhash_against_brute_force(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_minhash_of_ids_with_several_texts(spark):
+    texts = [" ".join(words(60)) for _ in range(24)]
+    rows = [(i % 12, t) for i, t in enumerate(texts)] + [(100 + i, t + " end") for i, t in enumerate(texts)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85, 100).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == \
+        Counter([(i % 12, i % 12) for i in range(24)] + [(100 + i, i % 12) for i in range(24)])
+
+
 def test_blocks_find_all_links():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2**60, 100).astype(np.uint64)
