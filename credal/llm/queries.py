@@ -176,3 +176,12 @@ def op10(spark, sf_dir):
     labels = table(sf_dir, spark, "labels").select("doc_id", "toxic")
     net = fit_toxicity(docs.where("not held_out").select("doc_id", "text"), labels)
     return score_toxicity(docs, net)
+
+
+@query("op13_cross_tokenizer")
+def op13(spark, sf_dir):
+    """Alignment of the byte-level and the piece tokenizer over every document."""
+    import public_tokenizers
+    from credal.llm.align import align
+    return align(table(sf_dir, spark, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model"))
