@@ -185,3 +185,63 @@ def op13(spark, sf_dir):
     from credal.llm.align import align
     return align(table(sf_dir, spark, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                  public_tokenizers.path("piece_bpe_32k.model"))
+
+
+OP12_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS was,
+    coalesce(strlen(CAST(CAST(n_chars AS HUGEINT) + 1 AS VARCHAR)) || ':' || (CAST(n_chars AS HUGEINT) + 1), '-') AS grown,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+      string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [256 + CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda a, x: CASE WHEN x >= 256 THEN xor(a, x - 256)
+                        WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) AS crc
+  FROM documents),
+l AS (
+  SELECT r, doc_id, tree, sha256(head || was || tail) AS leaf,
+         CASE WHEN crc % 7 = 0 THEN sha256(head || grown || tail) ELSE sha256(head || was || tail) END AS now
+  FROM d),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n FROM l),
+nodes(tree, level, pos, n, digest) AS (
+  SELECT tree, 0, pos, n, leaf FROM p
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+subs AS (SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+top(level, pos, n, digest) AS (
+  SELECT 0, pos, n, digest FROM subs
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM top WHERE n > 1 GROUP BY level, pos // 2, n),
+up(r, level, pos, n, proof, folded) AS (
+  SELECT r, 0, pos, n, '', now FROM p
+  UNION ALL
+  SELECT u.r, u.level + 1, u.pos // 2, (u.n + 1) // 2, u.proof || coalesce(s.digest, ''),
+         sha256(CASE WHEN u.pos % 2 = 1 THEN s.digest || u.folded ELSE u.folded || coalesce(s.digest, '') END)
+  FROM up u JOIN p ON p.r = u.r
+  LEFT JOIN nodes s ON s.tree = p.tree AND s.level = u.level AND s.pos = xor(u.pos, 1)
+  WHERE u.n > 1),
+up2(r, level, pos, n, proof, folded) AS (
+  SELECT u.r, 0, s.pos, s.n, u.proof, u.folded FROM up u JOIN p ON p.r = u.r JOIN subs s ON s.tree = p.tree WHERE u.n = 1
+  UNION ALL
+  SELECT u.r, u.level + 1, u.pos // 2, (u.n + 1) // 2, u.proof || coalesce(s.digest, ''),
+         sha256(CASE WHEN u.pos % 2 = 1 THEN s.digest || u.folded ELSE u.folded || coalesce(s.digest, '') END)
+  FROM up2 u LEFT JOIN top s ON s.level = u.level AND s.pos = xor(u.pos, 1)
+  WHERE u.n > 1)
+SELECT p.doc_id, p.leaf, subs.digest AS subroot, t.digest AS root, sha256(u.proof) AS proof_sha256,
+       u.folded AS folded_root, u.folded = t.digest AS verified
+FROM up2 u JOIN p ON p.r = u.r JOIN subs ON subs.tree = p.tree, (SELECT digest FROM top WHERE n = 1) t
+WHERE u.n = 1
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12(spark, sf_dir):
+    """Leaf, subroot, root and proof of every document, and what tampering does to it."""
+    from credal.llm.merkle import manifest
+    return manifest(table(sf_dir, spark, "documents"))
