@@ -245,3 +245,63 @@ def op12(spark, sf_dir):
     """Leaf, subroot, root and proof of every document, and what tampering does to it."""
     from credal.llm.merkle import manifest
     return manifest(table(sf_dir, spark, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+pat AS (SELECT unnest([0, 1, 2, 3]) AS kind, unnest([
+  '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)',
+  'AKIA[A-Z0-9]+', '[0-9a-f]+', '[A-Za-z0-9+/_-]+']) AS p),
+m AS (SELECT r, kind, p, regexp_split_to_array(t, p) AS b, regexp_extract_all(t, p) AS x FROM d, pat),
+i AS (SELECT r, kind, p, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS token, b, x FROM m),
+ok AS (SELECT * FROM i WHERE CASE kind WHEN 0 THEN length(regexp_extract(token, p, 2)) >= 6 WHEN 1 THEN length(token) >= 20
+                                  WHEN 2 THEN length(token) >= 24 ELSE length(token) >= 16 END),
+s AS (SELECT r, kind, token, CAST(list_sum(list_transform(b[1:i], lambda y: length(y)))
+        + list_sum(list_transform(x[1:i], lambda y: length(y))) AS BIGINT) AS e FROM ok),
+tok AS (SELECT DISTINCT token, CASE
+    WHEN regexp_full_match(token, '[0-9+/_-]+') THEN NULL WHEN regexp_full_match(token, '[0-9a-f]+|[0-9A-F]+') THEN 'hex'
+    WHEN regexp_full_match(token, '[A-Z2-7]+') THEN 'base32' WHEN regexp_full_match(token, '[0-9a-z]+|[0-9A-Z]+') THEN 'base36'
+    ELSE 'base64' END AS enc FROM s WHERE kind = 3),
+a AS (SELECT *, CASE enc WHEN 'hex' THEN '0123456789abcdef' WHEN 'base32' THEN 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+    WHEN 'base36' THEN '0123456789abcdefghijklmnopqrstuvwxyz'
+    ELSE 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/' END AS letters,
+    CASE WHEN enc IN ('hex', 'base36') THEN lower(token) ELSE translate(token, '-_', '+/') END AS plain FROM tok WHERE enc IS NOT NULL),
+y AS (SELECT token, enc, len(list_filter([16, 24, 32, 48, 64, 128], lambda c: length(token) >= c)) AS cls,
+    CAST(length(letters) AS DOUBLE) AS c, CAST(length(token) AS DOUBLE) AS n,
+    list_transform(string_split(plain, ''), lambda l: instr(letters, l) - 1) AS sym,
+    list_transform(string_split(token, ''), lambda l: CASE WHEN l BETWEEN 'a' AND 'z' THEN 1 WHEN l BETWEEN 'A' AND 'Z' THEN 2
+                                                    WHEN l BETWEEN '0' AND '9' THEN 3 ELSE 4 END) AS ks FROM a),
+v AS (SELECT *, CAST(list_sum(list_transform(map_values(list_histogram(sym)), lambda h: CAST(h AS BIGINT) * (CAST(h AS BIGINT) - 1) // 2)) AS DOUBLE) AS k,
+    CAST(list_sum(list_transform(range(1, len(sym)), lambda j: CASE WHEN (sym[j] * 2 > c - 1) <> (sym[j + 1] * 2 > c - 1) THEN 1 ELSE 0 END)) AS DOUBLE) AS mid,
+    CAST(list_sum(list_transform(range(1, len(sym)), lambda j: (sym[j] * 2 - (c - 1)) * (sym[j + 1] * 2 - (c - 1)))) AS DOUBLE) AS ser,
+    CAST(list_sum(list_transform(range(1, len(ks)), lambda j: CASE WHEN ks[j] <> ks[j + 1] THEN 1 ELSE 0 END)) AS DOUBLE) AS chg,
+    n * (n - 1) / 2 AS pr, n - 1 AS st, greatest(0.065e0, 2 / c) AS q FROM y),
+z AS (SELECT token, enc, cls,
+    (k - pr / c) / sqrt(pr / c * (1 - 1 / c)) <= 3.6e0 AND abs((2 * mid - st) / sqrt(st)) <= 3.6e0
+      AND abs(ser * 3 / ((c * c - 1) * sqrt(st))) <= 3.6e0 AS random,
+    ((pr * q - k) / sqrt(pr * q * (1 - q) + n * st * (n - 2) * (0.3e0 * q * q))
+      + (chg - st * 0.25e0) / sqrt(st * (0.25e0 * 0.75e0))) * 0.7071067811865476e0 AS z FROM v),
+g AS (SELECT token, enc, cls, CASE WHEN random AND z > 0
+    THEN CAST(least(floor((z * z * 0.21714724095162588e0 + 0.3010299956639812e0) * 20), 6000) AS INTEGER) ELSE 0 END AS steps FROM z),
+h AS (SELECT enc, cls, steps, sum(count(*)) OVER (PARTITION BY enc, cls ORDER BY steps DESC) AS better,
+             sum(count(*)) OVER (PARTITION BY enc, cls) AS total FROM g GROUP BY enc, cls, steps),
+f AS (SELECT enc, cls, min(steps) AS least FROM h
+      WHERE steps > 0 AND pow(10e0, -steps / 20e0) <= 0.01e0 * better / total GROUP BY enc, cls),
+w AS (SELECT r, kind, e - length(token) AS b, e FROM s WHERE kind < 3
+      UNION ALL
+      SELECT r, 3, e - length(s.token), e FROM s JOIN g ON g.token = s.token JOIN f ON f.enc = g.enc AND f.cls = g.cls
+      WHERE kind = 3 AND steps >= least),
+t AS (SELECT r, kind, b, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || b || ':' || e AS span FROM w)
+SELECT d.doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+       count(*) FILTER (WHERE kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY b, kind) FILTER (WHERE kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY b, kind), '') AS spans
+FROM d LEFT JOIN t ON t.r = d.r GROUP BY d.r, d.doc_id
+"""
+
+
+@query("op11_secret_scan", OP11_SQL)
+def op11(spark, sf_dir):
+    """Secrets of every document: fixed patterns and runs that look random."""
+    from credal.llm.secrets import find_secrets
+    return find_secrets(table(sf_dir, spark, "documents"))
