@@ -2,16 +2,18 @@
 
 ``fit(df, spec)`` learns every parameter with a fixed, small number of
 aggregate jobs over the training rows (one wide aggregate for moments,
-the category lists, exact medians and robust
+exact medians and robust
 quartiles by bounded-memory selection (:mod:`credal.operators.quantiles`),
-one grouped aggregate per target-encoded column) and returns a
+one grouped count for the one-hot categories, a sorted index per learned ordinal
+column, one grouped aggregate per target-encoded column) and returns a
 JSON-serialisable ``Params``. ``transform(df, params)`` is a single ``select`` of Catalyst
 expressions, which streams through whole-stage codegen at scan speed and
 applies unchanged to train, test or a stream. A target-encoded column of any
 number of categories fits: beyond a few dozen its (category → value) table is
 written to the shared folder, named in ``Params`` and joined, and Spark
-broadcasts it if its measured size allows. One-hot categories are output
-columns and ordinal ones part of ``Params``, so both are driver metadata.
+broadcasts it if its measured size allows. The same holds for the learned
+positions of an ordinal column. One-hot categories are output columns and so
+driver metadata.
 
 Semantics follow the fitted column transformer of the reference:
   one-hot   : impute "unknown", sorted categories, unseen → all zeros   ohe__c_v
@@ -83,7 +85,8 @@ class Params:
     robust_centers: dict[str, float] = field(default_factory=dict)
     robust_scales: dict[str, float] = field(default_factory=dict)
     categories: dict[str, list[str]] = field(default_factory=dict)
-    ordinal_categories: dict[str, list[str]] = field(default_factory=dict)
+    ordinal_categories: dict[str, list[str]] = field(default_factory=dict)  # few categories: in place
+    ordinal_tables: dict[str, str] = field(default_factory=dict)           # more: Parquet (category, value)
     te_maps: dict[str, dict[str, float]] = field(default_factory=dict)     # few categories: in place
     te_tables: dict[str, str] = field(default_factory=dict)                # more: Parquet (category, value)
     te_global: float | None = None
@@ -135,7 +138,7 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
     present = set(df.columns)
     median_cols = [c for c in spec.standard + spec.robust if c in present]
 
-    # job 1: medians, moments of present values, log moments, categories
+    # job 1: moments of present values, log moments
     exprs: list[Column] = [F.count(F.lit(1)).alias("__n")]
     for c in median_cols:
         exprs += [F.count(_num(c)).alias(f"cnt__{c}"),
@@ -148,9 +151,6 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
     # has one; otherwise all of them are learned from the data
     ordinal_present = [c for c in spec.ordinal if c in present]
     use_maps = bool(ordinal_present) and all(c in spec.ordinal_categories for c in ordinal_present)
-    cat_cols = [c for c in spec.one_hot if c in present] + ([] if use_maps else ordinal_present)
-    for c in cat_cols:
-        exprs.append(F.array_sort(F.collect_set(_cat(c))).alias(f"cats__{c}"))
     row = df.agg(*exprs).first().asDict()
     n = row["__n"]
     # medians: exact selection (bounded memory) unless another method is asked for
@@ -182,15 +182,16 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
         if c in present:
             p.log_means[c] = float(row[f"lavg__{c}"] or 0.0)
             p.log_scales[c] = _safe_scale(row[f"lstd__{c}"])
-    for c in cat_cols:
-        cats = list(row[f"cats__{c}"] or [])
-        if c in spec.one_hot:
-            p.categories[c] = cats
-        else:
-            p.ordinal_categories[c] = cats
-    if use_maps:
-        for c in ordinal_present:
+    p.categories = _one_hot_categories(df, [c for c in spec.one_hot if c in present])
+    for c in ordinal_present:
+        if use_maps:
             p.ordinal_categories[c] = sorted(spec.ordinal_categories[c])
+        else:
+            few, path = _ordinal_positions(df, c)
+            if path is None:
+                p.ordinal_categories[c] = few
+            else:
+                p.ordinal_tables[c] = path
 
     # job 2: robust quartiles of the median-imputed values
     rob = [c for c in spec.robust if c in p.medians]
@@ -226,11 +227,35 @@ def fit(df: DataFrame, spec: PreprocessSpec) -> Params:
     return p
 
 
+def _one_hot_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted categories of the one-hot columns, one output column each: a grouped
+    count of (column, value) with map-side combining, then one row per output."""
+    out: dict[str, list[str]] = {c: [] for c in columns}
+    if columns:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), _cat(c).alias("value")) for c in columns])
+        for r in df.select(F.explode(pairs).alias("p")).select("p.*").distinct().collect():
+            out[r["column"]].append(r["value"])
+    return {c: sorted(v, key=lambda x: x.encode()) for c, v in out.items()}
+
+
+def _ordinal_positions(df: DataFrame, column: str) -> tuple[list[str], str | None]:
+    """The sorted categories, or where their (category, value) table is
+    written if they are more than a literal should hold."""
+    from credal.operators.aggregate import index_table
+    path = checkpoint_path(df.sparkSession, f"ordinal-{uuid.uuid4().hex[:12]}")
+    index = index_table(df.select(_cat(column).alias("category")), "category")
+    index.select("category", (F.col("index") - 1).cast("double").alias("value")).write.parquet(path)
+    few = df.sparkSession.read.parquet(path).limit(LITERAL_MAP_MAX + 1).collect()
+    if len(few) > LITERAL_MAP_MAX:
+        return [], path
+    return [r["category"] for r in sorted(few, key=lambda r: r["value"])], None
+
+
 def _output_names(p: Params) -> list[tuple[str, str]]:
     """(output column, input column) in transform order (no expressions built)."""
     s = p.spec
     names = [(f"ohe__{c}_{v}", c) for c in s["one_hot"] for v in p.categories.get(c, [])]
-    names += [(f"ordinal__{c}", c) for c in s["ordinal"] if p.ordinal_categories.get(c) is not None]
+    names += [(f"ordinal__{c}", c) for c in s["ordinal"] if c in p.ordinal_tables or p.ordinal_categories.get(c) is not None]
     names += [(f"log__{c}", c) for c in s["log"] if c in p.log_means]
     names += [(f"standard__{c}", c) for c in s["standard"] if c in p.means]
     names += [(f"standard__missingindicator_{c}", c) for c in p.indicators]
@@ -251,6 +276,9 @@ def _output_exprs(p: Params) -> list[tuple[str, Column]]:
         for i, v in enumerate(cats):
             out.append((f"ohe__{c}_{v}", F.when(pos == F.lit(i + 1), 1.0).otherwise(0.0)))
     for c in s["ordinal"]:
+        if c in p.ordinal_tables:  # the column is filled from the join
+            out.append((f"ordinal__{c}", F.coalesce(F.col(f"`__ord_{c}`"), F.lit(-1.0))))
+            continue
         cats = p.ordinal_categories.get(c)
         if cats is None:
             continue
@@ -280,7 +308,7 @@ def _output_exprs(p: Params) -> list[tuple[str, Column]]:
                 if mp else F.lit(None).cast("double")
             out.append((f"target_enc__{c}", F.coalesce(value, F.lit(p.te_global))))
         elif c in p.te_tables:  # the column is filled from the join
-            out.append((f"target_enc__{c}", F.coalesce(F.col(f"__te_{c}"), F.lit(p.te_global))))
+            out.append((f"target_enc__{c}", F.coalesce(F.col(f"`__te_{c}`"), F.lit(p.te_global))))
     return out
 
 
@@ -288,18 +316,19 @@ def _output_exprs(p: Params) -> list[tuple[str, Column]]:
 LITERAL_MAP_MAX = 32
 
 
-def _with_te_joins(df: DataFrame, p: Params) -> DataFrame:
-    """Attach ``__te_<c>`` for target encodings kept as tables."""
-    for c, path in p.te_tables.items():
-        table = df.sparkSession.read.parquet(path).toDF(f"__k_{c}", f"__te_{c}")
-        df = df.join(table, _cat(c) == F.col(f"`__k_{c}`"), "left").drop(f"__k_{c}")
+def _with_tables(df: DataFrame, p: Params) -> DataFrame:
+    """Attach ``__te_<c>`` and ``__ord_<c>`` for encodings kept as tables."""
+    for prefix, tables in (("__te_", p.te_tables), ("__ord_", p.ordinal_tables)):
+        for c, path in tables.items():
+            table = df.sparkSession.read.parquet(path).toDF(f"__k_{c}", f"{prefix}{c}")
+            df = df.join(table, _cat(c) == F.col(f"`__k_{c}`"), "left").drop(f"__k_{c}")
     return df
 
 
 def transform(df: DataFrame, p: Params, keep: Sequence[str] = ()) -> DataFrame:
     """Apply fitted parameters: one ``select``; ``keep`` columns (ids, target,
     split) are carried in front, then ``spec.passthrough`` columns."""
-    base = _with_te_joins(df, p)
+    base = _with_tables(df, p)
     cols = [F.col(k) for k in keep]
     cols += [e.alias(name) for name, e in _output_exprs(p)]
     cols += [F.col(c) for c in p.spec.get("passthrough", []) if c in df.columns]

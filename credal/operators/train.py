@@ -1,9 +1,8 @@
-"""Training, tuning, scoring and explanation with Spark ML.
+"""Training, scoring and explanation with Spark ML.
 
 Estimators are the distributed ``pyspark.ml`` ones; class imbalance goes
-through ``weightCol`` (M03). Model selection uses a ``CrossValidator`` with
-the stratified fold column of :func:`credal.operators.evaluate.stratified_folds`
-and an evaluator that scores the business cost (10·FN + FP) at a threshold.
+through ``weightCol`` (M03). An evaluator scores the business cost (10·FN + FP)
+at a threshold; grids and out-of-fold scores are in :mod:`credal.operators.folds`.
 Scoring is ``model.transform`` over a table or a stream.
 """
 
@@ -19,7 +18,6 @@ from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,7 +68,6 @@ def positive_probability(df: DataFrame, prob_col: str = "probability", out: str
     return df.withColumn(out, vector_to_array(F.col(prob_col))[1])
 
 
-# M07 --------------------------------------------------------------------------------
 class BusinessCostEvaluator(Evaluator):
     """Business cost 10·FN + FP at a probability threshold; lower is better.
     One aggregate job per evaluation."""
@@ -93,25 +90,6 @@ class BusinessCostEvaluator(Evaluator):
         return False
 
 
-def grid_search(df: DataFrame, features: Sequence[str], estimator, grid: Mapping[str, Sequence], fold_col: str,
-                label: str = "label", threshold: float = 0.5, parallelism: int = 2):
-    """Grid × folds cross-validation scored by business cost, refit on all
-    rows. Returns (best pipeline model, per-candidate table)."""
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(name), list(values))
-    maps = builder.build()
-    pipe = Pipeline(stages=[assemble(features), estimator])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=BusinessCostEvaluator(label, threshold),
-                        foldCol=fold_col, parallelism=parallelism, seed=42)
-    model = cv.fit(df)
-    rows = []
-    for pm, cost in zip(maps, model.avgMetrics):
-        rows.append((", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name)), float(cost)))
-    table = df.sparkSession.createDataFrame(rows, "params string, mean_cv_cost double")
-    return model.bestModel, table.orderBy("mean_cv_cost", "params")
-
-
 # M04 --------------------------------------------------------------------------------
 def oversample_minority(df: DataFrame, label: str, key: Sequence[str], ratio: float = 0.3, minority=1,
                         seed: int = 42) -> DataFrame:
@@ -149,22 +127,6 @@ def importance_table(model: PipelineModel, features: Sequence[str]) -> DataFrame
         .orderBy(F.col("importance").desc(), "feature")
 
 
-# M16 --------------------------------------------------------------------------------
-def out_of_fold_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], estimator, fold_col: str,
-                            key: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """Each train row scored by the model fitted without its fold; the
-    test score is the mean over the k fold models (``groupBy(key).avg``)."""
-    oof, test_parts = None, None
-    for f in range(k):
-        model = fit_model(train.where(F.col(fold_col) != f), features, estimator)
-        pv = positive_probability(model.transform(train.where(F.col(fold_col) == f))).select(key, PROBABILITY)
-        tv = positive_probability(model.transform(test)).select(key, PROBABILITY).withColumn("fold", F.lit(f))
-        oof = pv if oof is None else oof.unionByName(pv)
-        test_parts = tv if test_parts is None else test_parts.unionByName(tv)
-    test_avg = test_parts.groupBy(key).agg(F.avg(PROBABILITY).alias(PROBABILITY))
-    return oof, test_avg
-
-
 # M17 --------------------------------------------------------------------------------
 def score(df: DataFrame, model: PipelineModel, threshold: float, keep: Sequence[str] = ()) -> DataFrame:
     """Transform → P(default) → decision; works on batch and streaming."""

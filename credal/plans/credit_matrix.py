@@ -42,13 +42,12 @@ def feature_matrix(view: DataFrame, registry: FeatureRegistry, materialize: bool
     """Fit on ``split = 'train'``, transform all rows; ±inf/NaN repaired.
 
     With ``materialize`` the view (one row per client, built from every
-    history table) is checkpointed once to the shared checkpoint folder, so
-    the fit jobs and the transform read it instead of re-running the view
-    stack, and a lost executor recomputes from the checkpoint, not the raw
-    histories."""
-    from credal.session import cut_lineage
+    history table) is written once to the shared checkpoint folder, so each fit
+    job reads its columns of it instead of re-running the view stack, and a lost
+    executor recomputes from there, not from the raw histories."""
+    from credal.session import written
     if materialize:
-        view = cut_lineage(view)
+        view = written(view, "view")
     spec = spec_from_registry(view, registry)
     params = P.fit(view.where(F.col("split") == "train"), spec)
     return repair_matrix(P.transform(view, params, keep=list(CARRY)), keep=list(CARRY)), params
