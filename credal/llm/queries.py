@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-TOKENIZERS = "/opt/tokenizers"
 
 
 def query(name: str, sql: str | None = None):
@@ -23,6 +22,12 @@ def table(sf_dir: str, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def held_out():
     """The fifth of the documents that nothing is learned from."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -32,7 +37,7 @@ def held_out():
 def op1(spark, sf_dir):
     """Every document as token-id shards; the digest is read from the files."""
     from credal.llm.tokens_out import token_output
-    out = token_output(table(sf_dir, spark, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", end_id=1)
+    out = token_output(table(sf_dir, spark, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=1)
     return out.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
@@ -165,7 +170,7 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     """Unigram token counts of every document."""
     from credal.llm.viterbi import token_counts
-    return token_counts(table(sf_dir, spark, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_counts(table(sf_dir, spark, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
 @query("op10_toxicity")
@@ -181,10 +186,8 @@ def op10(spark, sf_dir):
 @query("op13_cross_tokenizer")
 def op13(spark, sf_dir):
     """Alignment of the byte-level and the piece tokenizer over every document."""
-    import public_tokenizers
     from credal.llm.align import align
-    return align(table(sf_dir, spark, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                 public_tokenizers.path("piece_bpe_32k.model"))
+    return align(table(sf_dir, spark, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
 
 
 OP12_SQL = """

@@ -65,6 +65,7 @@ class WordEncoder:
     asked once, leave such words whole, its characters' forms are taken from
     them per character and only the merges run per word; of every call's words
     some are compared with a full encoding, and a difference ends the short way.
+    Texts that hold an added token's string, in any letter case, are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int | None):
@@ -74,6 +75,7 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), (end_id or 0) + 1) <= 1 << 16 else "<u4")
         self.end_id = end_id
+        self.added = sorted({t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()})
         self._reset()
         self.forms: dict[int, str | None] = {}
         self.direct = all(self._stages(w) == [w] for w in ("word", "abcxyz", "internationalisation"))
@@ -145,10 +147,27 @@ class WordEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all rows (end id appended to each) and row offsets."""
         try:
-            return self._encode(texts)
+            return self._mixed(texts)
         except _Restart:
             self._reset()
+            return self._mixed(texts)
+
+    def _mixed(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Added tokens are found in a text as it is written, before any stage, so a
+        text that holds one in any letter case is encoded whole by the library."""
+        texts = pc.fill_null(texts, "")
+        lower, special = pc.ascii_lower(texts), np.zeros(len(texts), bool)
+        for token in self.added:
+            special |= pc.match_substring(lower, token).to_numpy(zero_copy_only=False)
+        if not special.any():
             return self._encode(texts)
+        ids, at = self._encode(pc.if_else(pa.array(special), "", texts))
+        end = [] if self.end_id is None else [self.end_id]
+        rows = [ids[at[k]: at[k + 1]] for k in range(len(texts))]
+        for k in np.flatnonzero(special).tolist():
+            got = self.tokenizer.encode(texts[k].as_py(), add_special_tokens=False).ids
+            rows[k] = np.array(got + end, self.dtype)
+        return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
 
     def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))

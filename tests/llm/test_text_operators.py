@@ -1,5 +1,6 @@
 """Token shards, language ID, substring dedup, mixing, token counts, toxicity."""
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 
 from credal.llm import langid, mixing, substring, tokens_out, toxicity, viterbi
 from credal.llm.common import shared_path
-from credal.llm.queries import TOKENIZERS
+from credal.llm.queries import tokenizer_path
 
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
-PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+WORD_BPE = tokenizer_path("word_bpe_49k.json")
+PIECES = tokenizer_path("piece_bpe_32k.model")
 ODD = [None, "", " \n\t", "Hello, world. don't we'll.,x", "naïve É À l'été ﬁne İstanbul ΑΣ. ß", "日本語。 text 1234 ①②.",
        "x" * 5000, "word. " * 3000, "<|endoftext|> áb é.", "…—word—. .,.", "Hello, world. don't we'll.,x"]
 SCHEMA = "doc_id long, text string, source string, start string, th string, size string, copies int"
@@ -215,22 +216,61 @@ def test_mixing_targets_and_counts(spark):
 # 6 -------------------------------------------------------------------------------
 def test_viterbi_counts_equal_the_tokenizer(spark):
     from tokenizers import Tokenizer, models, normalizers
-    pieces = viterbi.read_pieces(PIECES)
-    tk = Tokenizer(models.Unigram([(p, float(s)) for p, s in pieces], 0, True))
+    pieces, byte_fallback = viterbi.read_pieces(PIECES)
+    assert byte_fallback and not {"<s>", "</s>", "<unk>", "<0x41>"} & {p for p, _ in pieces}
+    low = min(s for _, s in pieces)
+    known = [("<unk>", 0.0), *pieces, *[(f"<0x{b:02X}>", low - 100) for b in range(256)]]
+    tk = Tokenizer(models.Unigram([(p, float(s)) for p, s in known], 0, True))
     tk.normalizer = normalizers.Sequence([normalizers.Prepend("▁"), normalizers.Replace(" ", "▁")])
-    texts = ODD + ["  a  b ", "\n", "▁a b", "😀😀 x", "a\n\nb \n c"]
+    texts = [t for t in ODD if "<" not in (t or "")] + ["  a  b ", "\n", "▁a b", "😀😀 x", "a\n\nb \n c"]
     got = {r.doc_id: r.n_tokens for r in viterbi.token_counts(frame(spark, texts), PIECES).collect()}
     for i, t in enumerate(texts):
         assert got[i] == (len(tk.encode(t, add_special_tokens=False).ids) if t else 0), t
 
 
+def best_path(text, scores, unknown):
+    """Fewest-surprise pieces of a text: (score, tokens), the longest last piece on ties."""
+    best = [(0.0, 0)] + [None] * len(text)
+    for end in range(1, len(text) + 1):
+        for start in range(end):
+            piece = text[start:end]
+            if best[start] and piece in scores:
+                got = (best[start][0] + scores[piece], best[start][1] + 1)
+                if best[end] is None or got[0] > best[end][0]:
+                    best[end] = got
+        if text[end - 1] not in scores and (best[end] is None or best[end - 1][0] + unknown > best[end][0]):
+            best[end] = (best[end - 1][0] + unknown, best[end - 1][1] + len(text[end - 1].encode()))
+    return best[-1][1]
+
+
+def test_viterbi_takes_control_and_byte_strings_as_text(spark):
+    pieces, _ = viterbi.read_pieces(PIECES)
+    scores = dict(pieces)
+    unknown = min(scores.values()) - viterbi.UNKNOWN_PENALTY
+    texts = ["ab<s>", "x<0x41>y", "</s> <unk> <0x0A>", "<s><s>", "a <s> b <0xFF>日<0x00>"]
+    got = [r.n_tokens for r in viterbi.token_counts(frame(spark, texts), PIECES).orderBy("doc_id").collect()]
+    assert got == [best_path("▁" + t.replace(" ", "▁"), scores, unknown) for t in texts]
+    assert got[0] == 4 and got[1] >= 7
+
+
+def test_viterbi_of_one_very_long_word_stays_small():
+    import tracemalloc
+    counter = viterbi.UnigramCounter(*viterbi.read_pieces(PIECES))
+    word = "abcdefghij" * 30_000
+    tracemalloc.start()
+    n = counter.count(word)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == counter.path("▁" + word) and peak < 20 << 20
+
+
 def test_viterbi_ties_and_unknowns():
     from tokenizers import Tokenizer, models
     random.seed(3)
     pieces = [("<unk>", 0.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("ba", -2.0), ("aba", -3.0), ("bb", -1.5), ("c▁c", -2.0)]
     tk = Tokenizer(models.Unigram(pieces, 0, False))
     counter = viterbi.UnigramCounter(pieces)
-    assert not counter.by_word
+    assert not counter.by_word and not counter.bytes
     for _ in range(400):
         text = "".join(random.choice("abcx▁") for _ in range(random.randint(1, 14)))
         assert counter.path(text) == len(tk.encode(text, add_special_tokens=False).ids), text
@@ -290,7 +330,105 @@ def test_toxicity_sample_of_odd_rows(spark):
 
 
 def test_windows_cover_everything():
-    for n in (1, 31, 32, 33, 56, 57, 200):
+    for n in (1, 7, 8, 9, 56, 57, 200):
         row, start = toxicity.windows(np.array([0, 0, n]))
         covered = {p for s in start for p in range(s, min(n, s + toxicity.WINDOW))}
         assert covered == set(range(n)) and set(row.tolist()) == {1}
+
+
+def plain_score(net, words):
+    """The highest score over all windows, one word and one unit at a time."""
+    def sig(x):
+        return 1 / (1 + math.exp(-x))
+
+    h, best = toxicity.HIDDEN, -math.inf
+    for start in range(max(1, len(words) - toxicity.WINDOW + 1)):
+        part = words[start: start + toxicity.WINDOW]
+        rows, grams, firsts = toxicity.word_features(part)
+        ends = [*firsts[1:], len(grams)]
+        xs = [list(net["words"][rows[i]]) + [sum(net["chars"][g][k] for g in grams[firsts[i]:ends[i]]) / (ends[i] - firsts[i])
+                                             for k in range(toxicity.CHAR_DIM)] for i in range(len(part))]
+        states = [[] for _ in part]
+        for side in "fb":
+            w, u, c, state = net[side + "W"], net[side + "U"], net[side + "c"], [0.0] * h
+            for t in range(len(part)) if side == "f" else reversed(range(len(part))):
+                p = [sum(xs[t][i] * w[i][k] for i in range(len(xs[t]))) + c[k] for k in range(3 * h)]
+                z = [sig(p[k] + sum(state[i] * u[i][k] for i in range(h))) for k in range(h)]
+                r = [sig(p[h + k] + sum(state[i] * u[i][h + k] for i in range(h))) for k in range(h)]
+                new = [math.tanh(p[2 * h + k] + sum(r[i] * state[i] * u[i][2 * h + k] for i in range(h))) for k in range(h)]
+                state = [s + z[k] * (new[k] - s) for k, s in enumerate(state)]
+                states[t] += state
+        look = [math.exp(sum(a * b for a, b in zip(net["look"], s))) for s in states]
+        pooled = [sum(a * s[k] for a, s in zip(look, states)) / sum(look) for k in range(2 * h)]
+        best = max(best, sig(sum(a * b for a, b in zip(net["out"], pooled)) + net["bias"][0]))
+    return best
+
+
+def test_every_window_is_scored():
+    rng = random.Random(9)
+    net = {k: v * 3 for k, v in toxicity.new_network(4).items()}
+    vocab = ["".join(rng.choices("abcdeé", k=rng.randint(1, 6))) for _ in range(50)]
+    texts = [" ".join(rng.choices(vocab, k=n)) for n in (0, 1, 3, 7, 8, 9, 20, 33)] + [None, "..."]
+    got = toxicity.score_texts(net, *toxicity.word_ids(pa.array(texts, pa.string())))
+    for t, g in zip(texts, got):
+        words = [w.strip(" \t.,;:!?\"'()[]{}<>|*_-") for w in (t or "").split()]
+        assert g == pytest.approx(plain_score(net, words) if any(words) else 0.0, abs=2e-5), t
+    # stretches of windows give what one stretch gives
+    texts = pa.array([" ".join(rng.choices(vocab, k=300)) for _ in range(5)])
+    flat, at, words = toxicity.word_ids(texts)
+    old, toxicity.CHUNK = toxicity.CHUNK, 13
+    try:
+        small = toxicity.score_texts(net, flat, at, words)
+    finally:
+        toxicity.CHUNK = old
+    assert small == pytest.approx(toxicity.score_texts(net, flat, at, words), abs=1e-5)
+
+
+def test_toxic_passage_is_found_at_every_offset():
+    rng = random.Random(6)
+    vocab = "sun moon river table walk green stone bread".split()
+    calm = [rng.choices(vocab, k=40) for _ in range(300)]
+    insult = ["utter", "idiot", "fool"]
+    texts = [" ".join(c if i % 2 else c[:15] + insult + c[15:]) for i, c in enumerate(calm)]
+    net = toxicity.fit(texts, [1 - i % 2 for i in range(300)])
+    long = rng.choices(vocab, k=120)
+    planted = pa.array([" ".join(long[:k] + insult + long[k:]) for k in range(121)] + [" ".join(long)])
+    got = toxicity.score_texts(net, *toxicity.word_ids(planted))
+    assert (got[:-1] >= 0.5).all() and got[-1] < 0.5
+
+
+def test_clashing_columns_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "you there", 9.0, "x", 3)], "doc_id long, text string, score double, lang_pred string, predicted int")
+    got = toxicity.score_toxicity(docs, toxicity.new_network()).first()
+    assert got.doc_id == 1 and got.lang_pred == "x" and 0 <= got.score <= 1 and got.predicted in (0, 1)
+    got = langid.predict_language(docs, langid.fit_prototypes(docs.selectExpr("text", "'en' as lang"))).first()
+    assert (got.lang_pred, got.predicted) == ("en", 3) and got.score > 0.9
+
+
+def test_score_floor_parts_unlearned_scripts_from_learned_texts(spark):
+    rng = random.Random(8)
+    syllables = {"en": ["the", "ing", "and", "re", "on"], "de": ["der", "sch", "und", "ei", "te"]}
+    def text(lang, n):
+        return " ".join("".join(rng.choices(syllables[lang], k=rng.randint(1, 3))) for _ in range(n))
+    train = spark.createDataFrame([(text(x, 60), x) for x in syllables for _ in range(60)], "text string, lang string")
+    prototypes = langid.fit_prototypes(train)
+    floor = langid.score_floor(train, prototypes)
+    odd = ["".join(rng.choices(a + "  ", k=400)) for a in ("абвгдежзиклмноп", "αβγδεζηθικλμνξ", "bcdfghjklmnpqrstvwxz") for _ in range(10)]
+    clean = [text(x, n) for x in syllables for n in (1, 2, 40, 300)]
+    docs = frame(spark, odd + clean).select("doc_id", F.length("text").alias("n"), "text")
+    kept = {r.doc_id for r in langid.predict_language(docs, prototypes).where(langid.in_learned_language(F.col("n"), floor)).collect()}
+    assert kept == set(range(len(odd), len(odd) + len(clean)))
+    assert langid.score_floor(train.limit(0), prototypes) == 3 / langid.DIM ** 0.5
+
+
+def test_added_tokens_in_any_letter_case():
+    """Texts that hold an added token's string are encoded as the library does."""
+    from tokenizers import Tokenizer
+    rng = random.Random(2)
+    parts = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", " ", "  ", "word", "Word", "a.", "\n",
+             "<|", "|>", "é", "x<|endoftext|>y"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(600)]
+    tk, enc = Tokenizer.from_file(WORD_BPE), tokens_out.WordEncoder(WORD_BPE, 1)
+    ids, at = enc.encode(pa.array(texts))
+    for k, t in enumerate(texts):
+        assert ids[at[k]: at[k + 1]].tolist() == [*tk.encode(t, add_special_tokens=False).ids, 1], t
