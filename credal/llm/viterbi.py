@@ -10,6 +10,11 @@ equal scores the longest piece wins. A character that no single-character
 piece covers may be taken as unknown, at the lowest score minus 10; neighbouring
 unknowns are one unknown token, or, with byte pieces, one token per UTF-8 byte.
 
+The counts are those of a unigram model over the given pieces and scores. Of a
+file that holds a BPE model the scores are the ranks of its merges, so the best
+path may differ from what its merges build: such counts are an estimate of the
+BPE's own.
+
 A text is counted word by word when no piece crosses a word start: the best
 path then has a cut there, and scores add up. Counts of words already met are
 kept in a bounded cache.
@@ -40,18 +45,19 @@ class UnigramCounter:
     words gives what counting the whole text gives.
     """
 
-    def __init__(self, pieces: Sequence[tuple[str, float]], unknown_id: int = 0):
+    def __init__(self, pieces: Sequence[tuple[str, float]], byte_fallback: bool = False):
         self.automaton = ahocorasick.Automaton()
         scores = {}
         for piece, score in pieces:
             if piece:
                 scores[piece] = float(score)
+        self.longest = max(map(len, scores), default=1)
         for piece, score in scores.items():
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.single = {p for p in scores if len(p) == 1}
         self.unknown = min((s for _, s in pieces), default=0.0) - UNKNOWN_PENALTY
-        self.bytes = all(f"<0x{b:02X}>" in scores for b in range(256))
+        self.bytes = byte_fallback
         #: a piece crosses a word start when it has a mark after another character
         self.by_word = not any(MARK in p.lstrip(MARK) for p in scores) \
             and all(float(s).is_integer() for s in scores.values())
@@ -61,28 +67,32 @@ class UnigramCounter:
 
     def path(self, text: str) -> int:
         """Number of tokens on the best path of ``text`` (marked already)."""
-        n = len(text)
-        matches: list[list] = [[] for _ in range(n)]
-        for end, found in self.automaton.iter(text):
-            matches[end].append(found)
+        n, ring = len(text), self.longest + 1                     # places a piece can reach back
+        found_at = self.automaton.iter(text)
+        nearest = next(found_at, None)
         none = float("-inf")
-        best, count, open_unknown = [0.0] + [none] * n, [0] * (n + 1), [False] * (n + 1)
+        best, count, open_unknown = [none] * ring, [0] * ring, [False] * ring
+        best[0] = 0.0
         for end in range(n):
-            found = sorted(matches[end], reverse=True)             # rising start
-            ch = text[end]
+            found = []
+            while nearest is not None and nearest[0] == end:
+                found.append(nearest[1])
+                nearest = next(found_at, None)
+            found.sort(reverse=True)                               # rising start
+            ch, here, there = text[end], end % ring, (end + 1) % ring
             top, pieces, unknown = none, 0, False
             for length, score in found:
-                start = end + 1 - length
+                start = (end + 1 - length) % ring
                 if best[start] + score > top:
                     top, pieces, unknown = best[start] + score, count[start] + 1, False
-            if ch not in self.single and best[end] + self.unknown > top:
-                top, unknown = best[end] + self.unknown, True
+            if ch not in self.single and best[here] + self.unknown > top:
+                top, unknown = best[here] + self.unknown, True
                 if self.bytes:
-                    pieces = count[end] + len(ch.encode("utf-8", "surrogatepass"))
+                    pieces = count[here] + len(ch.encode("utf-8", "surrogatepass"))
                 else:
-                    pieces = count[end] + (not open_unknown[end])
-            best[end + 1], count[end + 1], open_unknown[end + 1] = top, pieces, unknown
-        return count[n]
+                    pieces = count[here] + (not open_unknown[here])
+            best[there], count[there], open_unknown[there] = top, pieces, unknown
+        return count[n % ring]
 
     def count(self, text: str | None) -> int:
         """Tokens of a whole text; null and empty count 0."""
@@ -112,11 +122,15 @@ class UnigramCounter:
         return total
 
 
-def read_pieces(model: str) -> list[tuple[str, float]]:
-    """Pieces and scores of a sentencepiece model file, in id order."""
+def read_pieces(model: str) -> tuple[list[tuple[str, float]], bool]:
+    """The pieces of plain text of a sentencepiece model file and their scores, and
+    whether it falls back to bytes. Control, unknown, unused and byte pieces match
+    no text: their strings in a text are ordinary characters."""
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
-    return [(sp.id_to_piece(i), sp.get_score(i)) for i in range(sp.get_piece_size())]
+    n = sp.get_piece_size()
+    plain = [i for i in range(n) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or sp.is_byte(i))]
+    return [(sp.id_to_piece(i), sp.get_score(i)) for i in plain], sum(sp.is_byte(i) for i in range(n)) == 256
 
 
 def token_counts(docs: DataFrame, model: str) -> DataFrame:
@@ -125,7 +139,7 @@ def token_counts(docs: DataFrame, model: str) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def count(batches):
-        counter = UnigramCounter(read_pieces(model))
+        counter = UnigramCounter(*read_pieces(model))
         for batch in batches:
             n = [counter.count(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["doc_id", "n_tokens"])
