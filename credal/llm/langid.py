@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from credal.llm.common import row_slices, small_batches
@@ -25,6 +25,7 @@ DIM = 1024
 SEED = 7
 BLANK = 32
 UNDEFINED = "und"
+JUDGED_CHARS = 100
 BATCH_CHARS = 1 << 19
 
 
@@ -168,19 +169,20 @@ def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: in
 
     A null text, or one without a letter, is ``und`` with score 0, as is every
     text when nothing was learned. Whole texts count, however long; ties go to
-    the language first in code-point order.
+    the language first in code-point order; a given column named as a result is
+    replaced by it; repeated rows stay and no rows give none.
     """
     names = sorted(prototypes)
     units = [prototypes[x] / max(np.linalg.norm(prototypes[x]), 1e-12) for x in names]
     matrix = np.stack(units, axis=1).astype(np.float32) if names else np.zeros((dim, 0), np.float32)
-    others = [c for c in docs.columns if c != "text"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-                       + ["lang_pred string", "score double"])
+    fields = [f for f in docs.schema if f.name.lower() not in ("text", "lang_pred", "score")]
+    others = [f.name for f in fields]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["lang_pred string", "score double"])
 
     def predict(batches):
         letters = Letters()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column(batch.num_columns - 1).to_pylist()
             lang, score = [UNDEFINED] * len(texts), [0.0] * len(texts)
             for a, b in _batches(texts):
                 row, which, tri = trigram_counts(texts[a:b], letters)
@@ -203,7 +205,23 @@ def predict_language(docs: DataFrame, prototypes: dict[str, np.ndarray], dim: in
                         lang[a + r] = names[best[i]]
                         score[a + r] = round(float(min(1.0, max(0.0, cos[i, best[i]]))), 6)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in others], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                [*[batch.column(k) for k in range(len(others))], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 [*others, "lang_pred", "score"])
 
-    return docs.mapInArrow(predict, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in [*others, "text"]]).mapInArrow(predict, schema)
+
+
+def score_floor(train: DataFrame, prototypes: dict[str, np.ndarray], share: float = 0.001, dim: int = DIM,
+                seed: int = SEED) -> float:
+    """The score below which a text of ``JUDGED_CHARS`` characters or more is in
+    none of the learned languages: half of what all but ``share`` of such rows of
+    ``train(text)`` reach, and at least three deviations of the cosine of
+    unrelated vectors. Shorter texts have too few trigrams to be judged."""
+    long = train.where(F.length("text") >= JUDGED_CHARS).select("text")
+    low = predict_language(long, prototypes, dim, seed).agg(F.percentile_approx("score", share, 10000)).first()[0]
+    return max(3 / dim ** 0.5, (low or 0.0) / 2)
+
+
+def in_learned_language(length: Column, floor: float) -> Column:
+    """Condition on ``lang_pred`` and ``score`` of a text of ``length`` characters."""
+    return (F.col("lang_pred") != UNDEFINED) & ((length < JUDGED_CHARS) | (F.col("score") >= floor))

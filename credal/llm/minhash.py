@@ -91,21 +91,23 @@ def _each_slice(batch: pa.RecordBatch, k: int):
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """``docs(doc_id, text)`` → ``doc_id, n_shingles, s1, s2, bands``: set size, a
-    128-bit key of the set and the bucket keys."""
+    """``docs(doc_id, text)`` → ``doc_id, th, n_shingles, s1, s2, bands``: the text's
+    hash, set size, a 128-bit key of the set and the bucket keys."""
     def sign(batches):
         for batch in batches:
             for a, b, flat, at in _each_slice(batch, k):
                 keys = band_keys(sketches(flat, at))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(np.diff(at)), pa.array(_set_key(flat, at, 21)),
+                    batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
+                    pa.array(np.diff(at)), pa.array(_set_key(flat, at, 21)),
                     pa.array(_set_key(flat, at, 22)),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a + 1) * BANDS, BANDS, dtype=np.int32)),
                                              pa.array(keys.reshape(-1)))],
-                    ["doc_id", "n_shingles", "s1", "s2", "bands"])
+                    ["doc_id", "th", "n_shingles", "s1", "s2", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(sign, "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"),
+                       F.col("text").cast("string").alias("text")) \
+        .mapInArrow(sign, "doc_id long, th long, n_shingles long, s1 long, s2 long, bands array<long>")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
@@ -226,19 +228,9 @@ def _block_links(members: DataFrame, comps: DataFrame, sizes: DataFrame, sets: D
     return rows.mapInArrow(compare, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs(doc_id, text)`` → one row per document: ``doc_id, n_shingles,
-    component_id, kept``. Documents are linked when ``den * |A ∩ B| >= num * |A ∪
-    B|`` for their sets of distinct k-word shingles (words ``[^\\x20\\x09-\\x0D]+``,
-    A-Z lower-cased); a component's id is its smallest document id.
-
-    A text of fewer than ``k`` words has its whole word sequence as its only
-    shingle; a null, empty or wordless text has an empty set and stays alone.
-    A row with a null id stays alone, too (null component, kept). Rows that
-    repeat an id are rows of their own and share its id. An empty table gives
-    no rows; texts are used whole. Similar pairs can only be missed when they
-    share no bucket: (1 - J^4)^32, under 1e-6 at J = 0.8.
-    """
+def grouped(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """A row per row of ``docs``: ``doc_id, th, n_shingles, grp, component_id``.
+    ``grp`` is the number of its group, null for a row that stays alone."""
     small_batches(docs.sparkSession)
     rows = stored(signatures(docs, k), "signatures")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
@@ -261,10 +253,40 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100)
     final = stored(labels.join(more, F.col("comp") == F.col("node"), "left")
                    .select("cid", F.coalesce("component", "comp").alias("comp"))
                    .join(classes.select("cid", "least"), "cid"), "components")
-    final = final.join(final.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select("cid", "component_id")
+    final = final.join(final.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select("cid", "comp", "component_id")
     linked = classes.select("s1", "s2", "n_shingles", "cid", "least").join(final, "cid", "left") \
-        .select("s1", "s2", "n_shingles", F.coalesce("component_id", "least").alias("component_id"))
-    out = keyed.select("doc_id", "n_shingles", "s1", "s2").join(linked, ["s1", "s2", "n_shingles"]) \
-        .select("doc_id", "n_shingles", "component_id") \
-        .union(rows.where(alone).select("doc_id", "n_shingles", "doc_id"))
+        .select("s1", "s2", "n_shingles", F.coalesce("comp", "cid").alias("grp"), F.coalesce("component_id", "least").alias("component_id"))
+    return keyed.select("doc_id", "th", "n_shingles", "s1", "s2").join(linked, ["s1", "s2", "n_shingles"]) \
+        .select("doc_id", "th", "n_shingles", "grp", "component_id") \
+        .union(rows.where(alone).select("doc_id", "th", "n_shingles", F.lit(None).cast("long"), "doc_id"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs(doc_id, text)`` → one row per document: ``doc_id, n_shingles,
+    component_id, kept``. Documents are linked when ``den * |A ∩ B| >= num * |A ∪
+    B|`` for their sets of distinct k-word shingles (words ``[^\\x20\\x09-\\x0D]+``,
+    A-Z lower-cased); a component's id is its smallest document id.
+
+    A text of fewer than ``k`` words has its whole word sequence as its only
+    shingle; a null, empty or wordless text has an empty set and stays alone.
+    A row with a null id stays alone, too (null component, kept). Rows that
+    repeat an id are rows of their own and share its id. An empty table gives
+    no rows; texts are used whole. Similar pairs can only be missed when they
+    share no bucket: (1 - J^4)^32, under 1e-6 at J = 0.8.
+    """
+    out = grouped(docs, k, num, den).select("doc_id", "n_shingles", "component_id")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One row of each group of near duplicates, all columns kept: of those with
+    the smallest id, one with the smallest text hash. Rows of one id and different
+    groups stay. A wordless text or a null id is a group of its own; of rows with
+    equal id and text one stays. No rows give none."""
+    rows = stored(grouped(docs, k, num, den).select("doc_id", "th", "grp"), "groups")
+    first = rows.where("grp is not null").groupBy("grp").agg(F.min(F.struct("doc_id", "th")).alias("r")).select("r.*")
+    keep = first.union(rows.where("grp is null").select("doc_id", "th")).distinct() \
+        .select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"))
+    marked = docs.select("*", F.xxhash64("text").alias("__h"))
+    kept = marked.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__th")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "text"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -305,3 +305,38 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in final} <= left and len(final) >= 40
     assert sorted(r.start for r in final)[0] == 0 and sum(r.n_tokens for r in final) == max(r.start + r.n_tokens for r in final)
     assert shingle_hashes(np.empty(0, np.uint64), np.array([0, 0]), 5)[0].size == 0
+
+
+def test_deduplicated_judges_rows_of_one_id_by_their_texts(spark):
+    b = words(80)
+    rows = [(3, " ".join(b), "x"), (5, " ".join(words(80)), "y"), (5, " ".join([*b, "more"]), "z"), (5, " ".join([*b, "more"]), "w"),
+            (None, " ".join(b), "n"), (7, None, "m"), (8, "", "e"), (9, "", "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, grp string")
+    got = minhash.deduplicated(df)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id or 0, r.grp) for r in got.collect()) == [(0, "n"), (3, "x"), (5, "y"), (7, "m"), (8, "e"), (9, "e")]
+    assert minhash.deduplicated(df.where("false")).count() == 0
+
+
+def test_pipeline_stages_of_odd_rows(spark):
+    """Nulls, repeats, ties, clashing extra columns, a very long text and no rows."""
+    import corpus_pipeline as P
+    folder = shared_path(spark, "odd")
+    passage = " ".join(words(30))
+    spark.createDataFrame([(0, passage)], "item_id int, text string").write.parquet(f"{folder}/benchmark.parquet")
+    long = " ".join(words(200_000))
+    rows = [(i, " ".join(words(60)), "en", "s", "k") for i in range(30)] + [
+        (None, " ".join(words(60)), "en", None, "k"), (1, None, None, None, None), (2, "", "en", "s", "k"), (3, long, "en", "s", "k"),
+        (4, "a b", "en", "s", "k"), (4, "a b", "en", "s", "k")]
+    schema = "doc_id long, text string, lang string, source string, score string"
+    docs = spark.createDataFrame(rows, schema).withColumn("n_chars", F.length("text")).withColumn("grp", F.lit(1)).withColumn("length", F.lit("x"))
+    for name, stage in P.STAGES[:-1]:
+        got = stage(spark, docs, folder)
+        assert got.columns == docs.columns, name
+        left = [(r.doc_id, r.text) for r in got.collect()]
+        assert (3, long) in left and any(i is None for i, _ in left), name
+        n = [len([x for x in left if x == row]) for row in ((1, None), (2, ""), (4, "a b"))]
+        assert n == {"language_id": [0, 0, 2], "near_dedup": [1, 1, 1], "decontamination": [1, 1, 2]}.get(name, n), name
+        assert stage(spark, docs.where("false"), folder).count() == 0, name
+    final = P.STAGES[-1][1](spark, docs, folder)
+    assert final.count() == len(rows) and P.STAGES[-1][1](spark, docs.where("false"), folder).count() == 0
