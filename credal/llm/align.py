@@ -8,10 +8,14 @@ character, and byte-fallback pieces an empty or a whole one); there the ranges
 are refined with the lengths of the tokens' decoded bytes. Where tokens of both
 end at one byte, a group ends.
 
-Neither tokenizer merges across the place between a character that is no
-white space and a space (checked on the vocabulary when it is loaded), so texts
-are cut there into units and each distinct unit is aligned once; the counts and
-groups of a text are those of its units in order.
+Neither tokenizer merges across certain places (a space after a character that is
+no white space; a line end or ASCII sign after an ASCII letter or digit; the
+character after a single line end): the first splits there before it merges,
+the second has no piece that goes on over them, which is checked on its
+vocabulary when it is loaded. Texts are cut there into units, and each distinct
+unit is aligned once; the counts and groups of a text are those of its units in
+order. Units that are not known yet are encoded joined to one text, as the
+same places part them there.
 
 Links, pairs of overlapping tokens, are counted over the whole corpus without
 a row per document and pair: a chunk of documents (``CHUNK_BYTES`` of text) is
@@ -25,6 +29,7 @@ chunk. Chunks are written to the shared folder, texts are read once.
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -40,6 +45,12 @@ CHUNK_BYTES = 4 << 20
 POOL_UNITS = 250_000
 SPACE_MARK = "▁"
 
+_LETTER_SIGN = re.compile(r"[0-9A-Za-z][!-/:-@\[-`{-~]")
+_WORD, _SIGN = np.zeros(256, bool), np.zeros(256, bool)
+_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_SIGN[0x21:0x7F] = True
+_SIGN &= ~_WORD
+
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
 _CHUNK = ("chunk long, doc_id array<bigint>, " + ", ".join(f"{c} array<bigint>" for c in _COUNTS)
           + ", groups_sha256 array<string>, unit_at binary, units binary, link_at binary, links binary,"
@@ -67,71 +78,107 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         letters = byte_level()
-        self.bytes_a: dict[int, bytes] = {}
+        bytes_a = [b""] * (1 + max(self.a.get_vocab(with_added_tokens=True).values()))
         for token, i in self.a.get_vocab(with_added_tokens=True).items():
             known = [letters.get(c) for c in token]
-            self.bytes_a[i] = token.encode() if None in known else bytes(known)
-        self.bytes_b, inner = [], False
-        for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            inner |= SPACE_MARK in piece.lstrip(SPACE_MARK)
-            self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i)
-                                else piece.replace(SPACE_MARK, " ").encode())
-        #: units may be cut only if no piece of B goes on over a space
-        self.cuts = not inner
+            bytes_a[i] = token.encode() if None in known else bytes(known)
+        pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        plain = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
+        bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode()
+                   for i, p in enumerate(pieces)]
+        #: units may be cut where no piece of B goes on
+        self.cuts = not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in plain)
+        self.fine = self.cuts and not any("\n" in p or _LETTER_SIGN.search(p) for p in plain)
+        self.table_a, self.table_b = pa.array(bytes_a, pa.large_binary()), pa.array(bytes_b, pa.large_binary())
+        self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (bytes_a, bytes_b))
+        #: ids as text with what follows: "," within a group, "|" after its A ids, ";" after its B ids
+        self.names = pa.array([f"{i}{c}" for n, end in ((len(bytes_a), "|"), (len(bytes_b), ";"))
+                               for i in range(n) for c in (",", end)], pa.large_binary())
         self.reset()
 
     def reset(self) -> None:
         self.index: dict[str, int] = {}
         self.sums = np.empty((0, 4), np.int64)
         self.good = np.empty(0, bool)
-        self.texts: list[bytes] = []
+        self.texts = pa.array([], pa.large_binary())
         self.link_at, self.link_pairs = np.zeros(1, np.int64), np.empty(0, np.int64)
 
     # spans -----------------------------------------------------------------------
-    def _ends_a(self, units: list[str], raw: list[bytes]) -> tuple[list, list]:
-        got = self.a.encode_batch(units, add_special_tokens=False)
-        ids, ends = [], []
-        for unit, data, e in zip(units, raw, got):
-            if len(unit) == len(data):
-                coarse = [end for _, end in e.offsets]
-            else:                                         # characters to bytes
-                at = [0]
-                for c in unit:
-                    at.append(at[-1] + len(c.encode()))
-                coarse = [at[end] for _, end in e.offsets]
-            ids.append(e.ids)
-            ends.append(refined(coarse, [len(self.bytes_a[i]) for i in e.ids]))
-        return ids, ends
-
-    def _ends_b(self, units: list[str]) -> tuple[list, list]:
-        # a unit begins with the space that the processor adds
-        got = self.b.encode([u[1:] for u in units], return_type="proto", num_threads=1)
-        ids, ends = [], []
-        for p in got:
-            ids.append([q.id for q in p.pieces])
-            ends.append(refined([q.end + 1 for q in p.pieces], [len(self.bytes_b[i]) for i in ids[-1]]))
-        return ids, ends
+    def spans(self, text: str) -> tuple[np.ndarray, ...] | None:
+        """Ids and end bytes of both tokenizers' tokens; ``text`` begins with a
+        space. None if the tokens' bytes are not the text's."""
+        data = np.frombuffer(text.encode(), np.uint8)
+        e = self.a.encode(text, add_special_tokens=False)
+        p = self.b.encode(text[1:], return_type="proto").pieces          # B adds the space
+        ia, ib = np.array(e.ids, np.int64), np.array([q.id for q in p], np.int64)
+        if not (len(ia) and len(ib) and _same(self.table_a.take(pa.array(ia)), data)
+                and _same(self.table_b.take(pa.array(ib)), data)):
+            return None
+        at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))     # bytes of the characters
+        ea = refined(at[np.array([end for _, end in e.offsets], np.int64)], self.size_a[ia])
+        return ia, ea, ib, refined(np.array([q.end for q in p], np.int64) + 1, self.size_b[ib])
+
+    def aligned(self, units: list[str]) -> tuple | None:
+        """Sums, group texts, links per unit and pairs of units joined to one
+        text; None if that has other bytes than its tokens."""
+        got = self.spans("".join(units))
+        if got is None:
+            return None
+        ia, ea, ib, eb = got
+        n, sa, sb = len(units), ea - self.size_a[ia], eb - self.size_b[ib]
+        ends = np.cumsum([len(u.encode()) for u in units])
+        cuts = np.intersect1d(ea, eb, assume_unique=True)
+        ga, gb, unit = np.searchsorted(cuts, ea), np.searchsorted(cuts, eb), np.searchsorted(ends, cuts)
+        # every A token with the B tokens that begin before its end and end after its begin
+        first = np.searchsorted(eb, sa, side="right")
+        size = np.searchsorted(sb, ea) - first
+        a_of = np.repeat(np.arange(len(ia)), size)
+        b_of = np.arange(len(a_of)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(first, size)
+        of = [unit[ga], unit[gb], unit, unit[ga][a_of]]
+        sums = np.stack([np.bincount(x, minlength=n) for x in of], axis=1)
+        # texts of the groups
+        entry = np.concatenate([ia * 2 + np.append(ga[1:] != ga[:-1], True),
+                                2 * len(self.table_a) + ib * 2 + np.append(gb[1:] != gb[:-1], True)])
+        group = np.concatenate([ga, gb])
+        order = np.lexsort((np.repeat([0, 1], [len(ia), len(ib)]), group))
+        named = self.names.take(pa.array(entry[order]))
+        at = np.frombuffer(named.buffers()[1], np.int64)[: len(named) + 1]
+        begin = np.searchsorted(unit[group[order]], np.arange(n + 1))
+        texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(at[begin].copy()), named.buffers()[2]])
+        return sums, texts, sums[:, 3], ia[a_of] << 32 | ib[b_of]
 
     def _add(self, units: list[str]) -> None:
-        raw = [u.encode() for u in units]
-        sums, good, pairs, at = [], [], [], [int(self.link_at[-1])]
-        a_ids, a_ends = self._ends_a(units, raw)
-        b_ids, b_ends = self._ends_b(units)
-        for data, ia, ea, ib, eb in zip(raw, a_ids, a_ends, b_ids, b_ends):
-            fits = b"".join([self.bytes_a[i] for i in ia]) == data == b"".join([self.bytes_b[i] for i in ib])
-            text, n_groups, links = aligned(ia, ea, ib, eb) if fits else (b"", 0, [])
-            pairs += links
-            at.append(at[-1] + len(links))
-            sums.append((len(ia), len(ib), n_groups, len(links)))
-            good.append(fits)
-            self.texts.append(text)
-        for k, u in enumerate(units):
-            self.index[u] = len(self.good) + k
-        self.sums = np.concatenate([self.sums, np.array(sums, np.int64).reshape(-1, 4)])
-        self.good = np.concatenate([self.good, np.array(good, bool)])
-        self.link_at = np.concatenate([self.link_at, np.array(at[1:], np.int64)])
-        self.link_pairs = np.concatenate([self.link_pairs, np.array(pairs, np.int64)])
+        """Align units and add them to the pool: joined those after which a space is
+        a cut, the others one by one."""
+        joined, places, alone = [], {}, []
+        for u in units:
+            c = ord(u[-1])
+            if not (0x20 < c < 0x7F or 0xC0 <= c < 0x1000 or c >= 0x4000) or len(u) > 4096:
+                alone.append(u)
+                continue
+            joined += _before(u)
+            places[u] = len(joined)
+            joined.append(u)
+        found = []
+        whole = self.aligned(joined) if places else None
+        if whole is None:
+            alone = units
+        else:
+            found.append((list(places), _part(whole, np.array(list(places.values()))), True))
+        for u in alone:
+            before = _before(u)
+            got = self.aligned([*before, u])
+            empty = np.zeros((1, 4), np.int64), pa.array([b""], pa.large_binary()), np.zeros(1, np.int64), np.empty(0, np.int64)
+            found.append(([u], empty if got is None else _part(got, np.array([len(before)])), got is not None))
+        for names, _, _ in found:
+            for u in names:
+                self.index[u] = len(self.index)
+        sums, texts, n_links, pairs = zip(*[part for _, part, _ in found])
+        self.sums = np.concatenate([self.sums, *sums])
+        self.texts = pa.concat_arrays([self.texts, *texts])
+        self.link_at = np.concatenate([self.link_at, self.link_at[-1] + np.cumsum(np.concatenate(n_links))])
+        self.link_pairs = np.concatenate([self.link_pairs, *pairs])
+        self.good = np.concatenate([self.good, np.repeat([fits for _, _, fits in found], [len(x) for x, _, _ in found])])
 
     # chunks ----------------------------------------------------------------------
     def units(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -144,6 +191,10 @@ class Aligner:
         if self.cuts and n:
             begin[1:n] = (data[1:] == 0x20) & closed(data)[:-1]
             begin[offsets[1:] - 1] = False                # B has no token for a last space by itself
+        if self.fine and n > 2:
+            word, sign, line = _WORD[data], _SIGN[data], data == 0x0A
+            begin[1:n] |= (sign[1:] & word[:-1]) | (line[1:] & (word | sign)[:-1])
+            begin[2:n] |= word[2:] & line[1:-1] & (word | sign)[:-2]
         begin[offsets] = True
         starts = np.flatnonzero(begin[:n])
         flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, n).astype(np.int64)),
@@ -157,8 +208,8 @@ class Aligner:
         coded, at = self.units(texts)
         words = coded.dictionary.to_pylist()
         fresh = [w for w in words if w not in self.index]
-        for a in range(0, len(fresh), 4096):
-            self._add(fresh[a: a + 4096])
+        for a in range(0, len(fresh), 8192):
+            self._add(fresh[a: a + 8192])
         of = np.fromiter((self.index[w] for w in words), np.int64, len(words))   # local → pool
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
@@ -170,16 +221,15 @@ class Aligner:
         sizes = np.where(fits, np.diff(at), 0)
         index = index[np.repeat(fits, np.diff(at))]                              # misfits keep no units
         at = np.concatenate([[0], np.cumsum(sizes)])
-        sums = np.stack([per_row(self.sums[of, k][index]) for k in range(4)], axis=1) if len(of) else \
-            np.zeros((len(texts), 4), np.int64)
-        joined = pa.array([self.texts[k] for k in of], pa.large_binary()).take(pa.array(index))
+        sums = np.stack([per_row(self.sums[of, k][index]) for k in range(4)], axis=1)
+        joined = self.texts.take(pa.array(of[index]))
         raw = joined.buffers()
         text = memoryview(raw[2]) if len(joined) and raw[2] is not None else b""
         ends = np.frombuffer(raw[1], np.int64)[: len(joined) + 1][at] if len(joined) else np.zeros(len(at), np.int64)
         digests = [hashlib.sha256(text[a: b - 1]).hexdigest() if b > a else ""
                    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         # distinct pairs, their counts, and which of them each distinct unit holds
-        n_links = np.diff(self.link_at)[of] if len(of) else np.empty(0, np.int64)
+        n_links = np.diff(self.link_at)[of]
         link_at = np.concatenate([[0], np.cumsum(n_links)]).astype(np.int64)
         place = np.arange(link_at[-1]) - np.repeat(link_at[:-1], n_links) + np.repeat(self.link_at[:-1][of], n_links)
         used = np.bincount(index, minlength=len(of))
@@ -202,28 +252,29 @@ def closed(data: np.ndarray) -> np.ndarray:
     return ok
 
 
-def refined(coarse: list[int], lengths: list[int]) -> list[int]:
-    """End bytes of tokens: the spans', and where a span's width isn't that of
-    the token's bytes, the place its bytes lead to."""
-    out, last = [], 0
-    for end, n in zip(coarse, lengths):
-        last = end if end - last == n else last + n
-        out.append(last)
-    return out
-
-
-def aligned(ia: list[int], ea: list[int], ib: list[int], eb: list[int]) -> tuple[bytes, int, list[int]]:
-    """Groups as text (``a1,a2|b1;``), their number, and the links as ``a << 32 | b``."""
-    links, groups, i, j, a0, b0 = [], [], 0, 0, 0, 0
-    while i < len(ia) and j < len(ib):
-        links.append(ia[i] << 32 | ib[j])
-        x, y = ea[i], eb[j]
-        i += x <= y
-        j += y <= x
-        if x == y:
-            groups.append(",".join(map(str, ia[a0:i])) + "|" + ",".join(map(str, ib[b0:j])) + ";")
-            a0, b0 = i, j
-    return "".join(groups).encode(), len(groups), links
+def refined(coarse: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """End bytes of tokens: the spans', and where a span isn't as wide as the
+    token's bytes, the place its bytes lead to."""
+    return np.where(np.diff(coarse, prepend=0) == sizes, coarse, np.cumsum(sizes))
+
+
+def _before(unit: str) -> list[str]:
+    """Units that may come before one that doesn't begin with a space."""
+    return [] if unit[0] == " " else [" a", "\n"] if unit[0].isalnum() else [" a"]
+
+
+def _part(got: tuple, at: np.ndarray) -> tuple:
+    """The units at the places ``at`` of an alignment."""
+    sums, texts, n_links, pairs = got
+    start, size = (np.cumsum(n_links) - n_links)[at], n_links[at]
+    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+    return sums[at], texts.take(pa.array(at)), size, pairs[place]
+
+
+def _same(tokens: pa.Array, data: np.ndarray) -> bool:
+    """Are the tokens' bytes, joined, these bytes?"""
+    at, raw = np.frombuffer(tokens.buffers()[1], np.int64), tokens.buffers()[2]
+    return at[len(tokens)] == len(data) and np.array_equal(np.frombuffer(raw, np.uint8)[: len(data)], data)
 
 
 @lru_cache(maxsize=1)

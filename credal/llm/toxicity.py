@@ -3,13 +3,17 @@
 A word's input is a hashed word embedding beside the mean embedding of its
 hashed character trigrams. Two gated recurrent units read a window of
 ``WINDOW`` words from either side, attention pools their states, and a logistic
-unit scores the window. A document's score is that of its highest window;
-windows overlap and cover the whole text.
+unit scores the window. A document's score is that of its highest window; there
+is a window at every word that has ``WINDOW`` words from there on, and one for a
+shorter text. All of them are scored: a step of the recurrence runs for all
+windows of a stretch at once, on slices of the words' projections, and attention
+needs only two numbers of each state.
 
 Training is plain numpy on the driver, on a bounded sample of labelled rows:
 at most ``SAMPLE`` per class, of at most ``SAMPLE_CHARS`` characters, chosen by a
 hash of the id. As only the document is labelled, an epoch trains on each
-document's highest window so far (random ones at first). Scoring is one pass
+document's highest window so far (random ones at first), among windows at every
+``TRAIN_STRIDE``-th word. Scoring is one pass
 over the documents; the network's few hundred kilobytes go to each task.
 """
 
@@ -23,13 +27,13 @@ from pyspark.sql import functions as F
 
 from credal.llm.common import mix64, row_slices, small_batches, stored
 
-WINDOW, STRIDE = 32, 24
+WINDOW, TRAIN_STRIDE = 8, 4
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 8, 16
 WORD_ROWS, CHAR_ROWS = 1 << 14, 1 << 13
 SAMPLE, SAMPLE_CHARS = 3000, 8000
 EPOCHS, WARM, BATCH, RATE = 14, 5, 128, 0.01
 TEXT_BYTES = 2 << 20
-CHUNK = 2048
+CHUNK = 4096
 
 
 # inputs --------------------------------------------------------------------------
@@ -69,12 +73,12 @@ def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and first position of every window; the last one ends with the text."""
+    """Row and first position of the windows to train on; the last one ends with the text."""
     row, start = [], []
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
         if b <= a:
             continue
-        s = list(range(a, max(a + 1, b - WINDOW + 1), STRIDE))
+        s = list(range(a, max(a + 1, b - WINDOW + 1), TRAIN_STRIDE))
         if s[-1] + WINDOW < b:
             s.append(b - WINDOW)
         row += [i] * len(s)
@@ -266,6 +270,65 @@ def score_windows(net, features, index) -> np.ndarray:
     return out
 
 
+def _sweep(net, side, proj) -> np.ndarray:
+    """(steps, 2, n): attention logit and score of one direction's state at every
+    step of ``n`` windows in a row, from the projections (3h, n + WINDOW - 1) of
+    their words."""
+    h, n = HIDDEN, proj.shape[1] - WINDOW + 1
+    part = slice(0, h) if side == "f" else slice(h, 2 * h)
+    read = np.stack([net["look"][part], net["out"][part]]).astype(np.float32)
+    u_gates, u_new = (np.ascontiguousarray(net[side + "U"][:, c].T) for c in (slice(0, 2 * h), slice(2 * h, 3 * h)))
+    out = np.empty((WINDOW, 2, n), np.float32)
+    state, gates, new = np.zeros((h, n), np.float32), np.empty((2 * h, n), np.float32), np.empty((h, n), np.float32)
+    for t in range(WINDOW) if side == "f" else range(WINDOW - 1, -1, -1):
+        x = proj[:, t: t + n]
+        np.matmul(u_gates, state, out=gates)
+        gates += x[: 2 * h]
+        np.negative(gates, out=gates)
+        np.minimum(gates, 30, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        gates[h:] *= state
+        np.matmul(u_new, gates[h:], out=new)
+        new += x[2 * h:]
+        np.tanh(new, out=new)
+        new -= state
+        new *= gates[:h]
+        state += new
+        np.matmul(read, state, out=out[t])
+    return out
+
+
+def score_texts(net, flat: np.ndarray, offsets: np.ndarray, words: list[str]) -> np.ndarray:
+    """The highest window's score of every row (0 without words), from
+    :func:`word_ids`."""
+    out = np.zeros(len(offsets) - 1)
+    if not len(flat):
+        return out
+    proj = projections(net, inputs(net, *word_features(words)))
+    sizes = np.diff(offsets)
+    # windows at all words; those that run into the next row are left out of the maxima
+    logits = np.full(len(flat) + 1, -np.inf, np.float32)
+    for a in range(0, len(flat) - WINDOW + 1, CHUNK):
+        span = flat[a: a + CHUNK + WINDOW - 1]
+        both = [_sweep(net, s, np.ascontiguousarray(proj[s][span].T)) for s in "fb"]
+        look, score = both[0][:, 0] + both[1][:, 0], both[0][:, 1] + both[1][:, 1]
+        look -= look.max(axis=0)
+        np.exp(look, out=look)
+        logits[a: a + look.shape[1]] = (look * score).sum(axis=0) / look.sum(axis=0) + net["bias"][0]
+    full = np.flatnonzero(sizes >= WINDOW)
+    if len(full):
+        ends = np.stack([offsets[full], offsets[full + 1] - WINDOW + 1], axis=1).reshape(-1)
+        out[full] = _sigmoid(np.maximum.reduceat(logits, ends)[::2].astype(np.float64))
+    short = np.flatnonzero((sizes > 0) & (sizes < WINDOW))
+    for k in range(0, len(short), CHUNK):
+        rows = short[k: k + CHUNK]
+        index = window_words(flat, offsets, rows, offsets[rows], len(words))
+        out[rows] = _sigmoid(forward(net, proj, index, index < len(words)))
+    return out
+
+
 # Spark jobs ----------------------------------------------------------------------
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
                  sample_chars: int = SAMPLE_CHARS) -> dict[str, np.ndarray]:
@@ -292,30 +355,25 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
 def score_toxicity(docs: DataFrame, net: dict[str, np.ndarray]) -> DataFrame:
     """``docs(doc_id, text, ...)`` → the given columns but the text, then
     ``score`` (0..1, the highest window's) and ``predicted`` (score >= 0.5). Every
-    window of the whole text is scored; a null or wordless text scores 0."""
+    window of the whole text, however long, is scored; a null or wordless text
+    scores 0. Equal texts score alike, ties need no rule, repeated rows stay; a
+    given column named as a result is replaced by it; no rows give none."""
     small_batches(docs.sparkSession)
-    others = [c for c in docs.columns if c != "text"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-                       + ["score double", "predicted int"])
+    fields = [f for f in docs.schema if f.name.lower() not in ("text", "score", "predicted")]
+    others = [f.name for f in fields]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["score double", "predicted int"])
 
     def score(batches):
         for batch in batches:
-            text = batch.column("text")
+            text = batch.column(batch.num_columns - 1)
             sizes = pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False)
             out = np.zeros(batch.num_rows)
             for a, b in row_slices(sizes, TEXT_BYTES):
-                flat, offsets, words = word_ids(text.slice(a, b - a))
-                if not len(flat):
-                    continue
-                proj = projections(net, inputs(net, *word_features(words)))
-                row, start = windows(offsets)
-                for k in range(0, len(row), CHUNK):
-                    part = window_words(flat, offsets, row[k: k + CHUNK], start[k: k + CHUNK], len(words))
-                    got = _sigmoid(forward(net, proj, part, part < len(words)))
-                    np.maximum.at(out, a + row[k: k + CHUNK], got)
+                out[a:b] = score_texts(net, *word_ids(text.slice(a, b - a)))
             out = np.round(out, 6)
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in others], pa.array(out), pa.array((out >= 0.5).astype(np.int32))],
+                [*[batch.column(k) for k in range(len(others))], pa.array(out), pa.array((out >= 0.5).astype(np.int32))],
                 [*others, "score", "predicted"])
 
-    return docs.mapInArrow(score, schema)
+    columns = [F.col(f"`{c}`") for c in [*others, "text"]]
+    return docs.select(*columns).mapInArrow(score, schema)

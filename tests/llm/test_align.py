@@ -87,7 +87,7 @@ def result(df):
 @pytest.mark.parametrize("chunk", [64, A.CHUNK_BYTES])
 def test_align_equals_whole_text_encoding(spark, chunk):
     rng = random.Random(5)
-    alphabet = ["a", "the", " ", "  ", "\n", " ", "é", "日", " ", "'s", ".", "7", "\U0001f600", "　", "Z", "́", "\t"]
+    alphabet = ["a", "the", " ", "  ", "\n", " ", "é", "日", " ", "'s", ".", "7", "\U0001f600", "　", "Z", "́", "\t", ".", "\n\n", "|", "$$", "é."]
     texts = TEXTS + ["".join(rng.choices(alphabet, k=rng.randint(1, 40))) for _ in range(300)]
     df = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, chunk string").repartition(3)
     got, want = result(A.align(df, *PATHS, chunk)), brute(texts)
@@ -111,5 +111,16 @@ def test_align_null_and_repeated_ids_and_no_rows(spark):
 
 def test_refined_spans_of_shared_characters():
     # three byte-fallback pieces carry an empty or the whole span of one character
-    assert A.refined([2, 2, 2, 5], [2, 1, 1, 1]) == [2, 3, 4, 5]
-    assert A.refined([3, 4, 4, 6], [3, 1, 1, 1]) == [3, 4, 5, 6]
+    import numpy as np
+    assert A.refined(np.array([2, 2, 2, 5]), np.array([2, 1, 1, 1])).tolist() == [2, 3, 4, 5]
+    assert A.refined(np.array([3, 4, 4, 6]), np.array([3, 1, 1, 1])).tolist() == [3, 4, 5, 6]
+
+
+def test_pool_is_emptied_and_filled_anew(monkeypatch):
+    import pyarrow as pa
+    tool = A.Aligner(*PATHS)
+    texts = pa.array(TEXTS)
+    want = tool.chunk(texts)
+    monkeypatch.setattr(A, "POOL_UNITS", 5)
+    again = tool.chunk(texts)
+    assert again["digests"] == want["digests"] and again["sums"].tolist() == want["sums"].tolist()
