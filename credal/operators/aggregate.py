@@ -12,6 +12,7 @@ per-group value map (see :mod:`credal.operators.quantiles`).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,9 +72,31 @@ def spec_exprs(spec: Mapping[str, Sequence[str]], prefix: str = "", upper: bool
 
 def spec_aggregate(df: DataFrame, keys: str | Sequence[str], spec: Mapping[str, Sequence[str]],
                    prefix: str = "", upper: bool = True, extra: Sequence[Column] = ()) -> DataFrame:
-    """One ``agg`` from a ``{column: [min,max,mean,var,sum,nunique,size]}`` spec."""
+    """Aggregates from a ``{column: [min,max,mean,var,sum,nunique,size]}`` spec.
+
+    One ``nunique`` column is part of the one ``agg``. Several of them in one
+    aggregate would copy every row once per column, so each is then a count of
+    its own of the distinct (keys, value), reading these columns only, joined
+    on the keys (null keys are groups)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(*spec_exprs(spec, prefix, upper), *extra)
+    exprs = spec_exprs(spec, prefix, upper)
+    several = [c for c, funcs in spec.items() if "nunique" in funcs]
+    if len(several) < 2 or not keys:
+        return df.groupBy(*keys).agg(*exprs, *extra)
+    plain = {c: [f for f in funcs if f != "nunique"] for c, funcs in spec.items()}
+    given = [F.col(f"`{k}`") for k in keys]
+    # a group per key, also where the spec asks for nothing else
+    out = df.groupBy(*given).agg(F.count(F.lit(1)).alias("__rows"), *spec_exprs(plain, prefix, upper), *extra)
+    for i, c in enumerate(several):
+        name = f"{prefix}{c}_nunique"
+        ours = [f"__k{i}_{n}" for n in range(len(keys))]
+        counts = df.select(*[k.alias(o) for k, o in zip(given, ours)], F.col(f"`{c}`").alias("__v")).distinct() \
+            .groupBy(*ours).agg(F.count("__v").alias(name.upper() if upper else name))
+        same = [k.eqNullSafe(F.col(o)) for k, o in zip(given, ours)]
+        out = out.join(counts, reduce(lambda a, b: a & b, same)).drop(*ours)
+    order = [f"{prefix}{c}_{f}".upper() if upper else f"{prefix}{c}_{f}" for c, funcs in spec.items() for f in funcs]
+    rest = [c for c in out.columns if c not in {*keys, *order, "__rows"}]
+    return out.select(*[F.col(f"`{c}`") for c in [*keys, *order, *rest]])
 
 
 def all_columns_spec(df: DataFrame, keys: Sequence[str], funcs: Sequence[str] = ("min", "max", "mean", "sum", "var")

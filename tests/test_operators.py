@@ -578,3 +578,49 @@ def test_get_x_y_keeps_rows_with_equal_keys(spark):
     p = P.fit(df, P.PreprocessSpec(standard=["x"]))
     out = P.get_x_y(df, p, "k", "y")
     assert out.columns == ["k", "standard__x", "y"] and out.count() == 3
+
+
+def test_correlations_by_blocked_products(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 180)) @ rng.normal(size=(180, 180)) * rng.uniform(1e-3, 1e3, 180) + rng.uniform(-1, 1, 180) * 1e6
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 0] = 0.1                                   # one value
+    x[:, 1] = np.nan                                # none
+    x[2:, 2] = np.nan
+    x[1, 2] = x[0, 2]
+    pdf = pd.DataFrame(x, columns=[f"c {i}" for i in range(180)])
+    df = spark.createDataFrame([tuple(None if math.isnan(v) else float(v) for v in r) for r in x],
+                               ", ".join(f"`{c}` double" for c in pdf.columns)).repartition(5)
+    pairs = Q.correlation_pairs(df, pdf.columns)
+    got = {(r.col_a, r.col_b): r.rho for r in pairs.collect()}
+    want = pdf.corr(min_periods=2)
+    assert len(got) == 177 * 176 // 2               # the columns without variance have no ρ
+    assert all(v == pytest.approx(want.loc[a, b], abs=1e-9) for (a, b), v in got.items())
+    assert "corr(" not in pairs._jdf.queryExecution().toString()
+    strong = [r.rho for r in Q.correlation_pairs(df, pdf.columns, 0.1).collect()]
+    assert strong == pytest.approx(sorted((v for v in got.values() if abs(v) >= 0.1), key=abs, reverse=True))
+    assert Q.correlation_pairs(df.limit(0), pdf.columns[:3]).count() == 0
+    assert Q.correlation_pairs(df, pdf.columns[:1]).count() == 0
+
+
+def test_correlation_of_odd_values(spark):
+    df = spark.createDataFrame([(1.0, 2.0, None), (2.0, float("nan"), 3.0), (3.0, 1.0, float("inf")), (4.0, 5.0, 1.0), (5.0, 6.0, 2.5)],
+                               "a double, b double, c double")
+    got = {(r.col_a, r.col_b): r.rho for r in Q.correlation_pairs(df, ["a", "b", "c"]).collect()}
+    assert all(math.isnan(v) for v in got.values()) and len(got) == 3
+    got = Q.correlation_pairs(df.where("c < 10 or c is null"), ["a", "c"]).first().rho
+    assert got == pytest.approx(np.corrcoef([2, 4, 5], [3, 1, 2.5])[0, 1])
+
+
+def test_several_distinct_counts_without_row_copies(spark):
+    rng = np.random.default_rng(5)
+    rows = [(None if k == 9 else int(k), f"g{k % 3}", *[None if v == 0 else int(v) for v in r])
+            for k, r in zip(rng.integers(0, 10, 500), rng.integers(0, 30, (500, 3)))]
+    df = spark.createDataFrame(rows, "k int, g string, a int, b int, c int")
+    spec = {"a": ["nunique", "min"], "b": ["nunique"], "c": ["sum", "nunique", "size"]}
+    out = A.spec_aggregate(df, ["k", "g"], spec, prefix="x_", extra=[F.max("a").alias("top")])
+    want = df.groupBy("k", "g").agg(*A.spec_exprs(spec, "x_"), F.max("a").alias("top"))
+    assert out.columns == want.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "Expand" in want._jdf.queryExecution().executedPlan().toString()
