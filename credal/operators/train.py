@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from credal.functions import clean as C
 from credal.operators import evaluate as M
+from credal.operators.neighbours import nearest_neighbours
 
 FEATURES = "features"
 PROBABILITY = "probability_1"
@@ -113,6 +114,41 @@ def oversample_minority(df: DataFrame, label: str, key: Sequence[str], ratio: fl
     return df.withColumn("synthetic", F.lit(False)).unionByName(copies)
 
 
+def oversample_interpolated(df: DataFrame, label: str, key: Sequence[str], columns: Sequence[str], ratio: float = 0.3,
+                            neighbours: int = 5, minority=1, seed: int = 42) -> DataFrame:
+    """Synthetic minority rows until the class holds ``int(ratio · n_majority)``
+    rows, exactly. A synthetic row lies between a minority row and one of its
+    ``neighbours`` nearest in ``columns`` (:func:`neighbours.nearest_neighbours`),
+    neighbour and place drawn by hashes of the key and a running number; rows
+    serve in turn, the first by key hash once more. ``columns`` become doubles;
+    a value that one of the two lacks is the other's. All other columns, the key
+    included, are the minority row's. ``key`` names a row; without a second
+    minority row its rows are copies. Adds ``synthetic`` (false for originals)."""
+    counts = M._class_counts(df, label)
+    n_min = counts.get(minority, 0)
+    extra = int(ratio * sum(v for k, v in counts.items() if k != minority)) - n_min
+    typed = df.select(*[F.col(f"`{c}`").cast("double").alias(c) if c in columns else F.col(f"`{c}`") for c in df.columns])
+    if extra <= 0 or n_min == 0:
+        return typed.withColumn("synthetic", F.lit(False))
+    q, r = divmod(extra, n_min)
+    rows = typed.where(F.col(label) == F.lit(minority)).withColumn("__h", M.key_hash(key, seed))
+    last = M.rank_thresholds(rows, label, "__h", {minority: [r]})[minority][0] if r else None
+    times = F.lit(q) if last is None else F.lit(q) + (F.col("__h") <= F.lit(last)).cast("int")
+    near = nearest_neighbours(rows, "__h", columns, neighbours, seed).withColumnRenamed("id", "__id")
+    made = rows.where(times > 0).join(near, F.col("__h") == F.col("__id"), "left") \
+        .withColumn("__t", F.explode(F.sequence(F.lit(1), times)))
+    at = F.pmod(F.xxhash64(F.lit(seed), "__h", "__t", F.lit("neighbour")), F.size("near")) + 1
+    place = M.hash_uniform(["__h", "__t"], seed + 1)
+    made = made.withColumn("__x", F.when(F.size("near") > 0, F.element_at("near", at.cast("int"))["x"])).withColumn("__u", place)
+    between = {}
+    for i, c in enumerate(columns):
+        a, b = F.col(f"`{c}`"), F.col("__x")[i]
+        between[c] = F.coalesce(F.least(F.greatest(a + F.col("__u") * (b - a), F.least(a, b)), F.greatest(a, b)), b, a)
+    made = made.select(*[between[c].alias(c) if c in between else F.col(f"`{c}`") for c in df.columns],
+                       F.lit(True).alias("synthetic"))
+    return typed.withColumn("synthetic", F.lit(False)).unionByName(made)
+
+
 # M15 --------------------------------------------------------------------------------
 def importance_table(model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """Tree importances or |coefficients|, descending."""

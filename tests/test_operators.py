@@ -624,3 +624,42 @@ def test_several_distinct_counts_without_row_copies(spark):
     assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan and "Expand" in want._jdf.queryExecution().executedPlan().toString()
+
+
+def test_interpolated_minority_rows(spark):
+    rng = np.random.default_rng(4)
+    pts = np.round(rng.normal(size=(900, 3)) * [1, 10, 100], 3)
+    pts[:40] = pts[0]                                # equal rows
+    rows = [(i, int(i < 300), *map(float, p), f"t{i}") for i, p in enumerate(pts)]
+    df = spark.createDataFrame(rows, "id int, y int, a double, b double, c double, tag string").repartition(3)
+    out = TR.oversample_interpolated(df, "y", ["id"], ["a", "b", "c"], ratio=1.3)
+    got = out.where("synthetic").collect()
+    assert len(got) == int(1.3 * 600) - 300 and all(r.y == 1 and r.tag == f"t{r.id}" for r in got)
+    assert sorted(map(str, got)) == sorted(map(str, out.where("synthetic").collect()))
+    mino = pts[:300]
+    for r in got:                                    # on the way from its row to another of the class
+        a, s = mino[r.id], np.array([r.a, r.b, r.c])
+        step = mino - a
+        u = ((s - a) * step).sum(1) / np.maximum((step ** 2).sum(1), 1e-12)
+        assert (np.abs(a + np.clip(u, 0, 1)[:, None] * step - s).max(1) < 1e-6).any()
+    assert out.where("not synthetic").count() == 900
+    plain = TR.oversample_interpolated(df, "y", ["id"], ["a", "b", "c"], ratio=0.1)
+    assert plain.count() == 900 and plain.where("synthetic").count() == 0
+    one = TR.oversample_interpolated(df.where("id = 0 or y = 0"), "y", ["id"], ["a", "b", "c"], ratio=0.01)
+    assert [(r.a, r.b, r.c) for r in one.where("synthetic").collect()] == [tuple(pts[0])] * 5
+    gaps = df.where("y = 1").withColumn("a", F.when(F.col("id") % 2 == 0, F.col("a"))).unionByName(df.where("y = 0"))
+    assert TR.oversample_interpolated(gaps, "y", ["id"], ["a", "b", "c"], ratio=1.0).where("synthetic").count() == 300
+
+
+def test_nearest_neighbours_recall(spark):
+    from credal.operators.neighbours import nearest_neighbours
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 5))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double, d double, e double")
+    got = {r.id: r.near for r in nearest_neighbours(df, "id", list("abcde"), 5).collect()}
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    np.fill_diagonal(d, np.inf)
+    true = np.argsort(d, axis=1)[:, :5]
+    hits = sum(len({n.other for n in got[i]} & set(true[i].tolist())) for i in range(3000))
+    assert all(n.distance == pytest.approx(d[i, n.other]) for i in range(0, 3000, 50) for n in got[i])
+    assert hits / 15000 >= 0.9
