@@ -139,12 +139,21 @@ def grouped_exact_quantiles(df: DataFrame, keys: Sequence[str], column: str, pro
     wanted rank k of a group, the smallest value whose running count exceeds
     k (a grouped ``min``). A hot group is spread over its buckets.
     """
+    x = F.col(column).cast("double")
+    counts = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*keys, x.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    return quantiles_of_counts(counts, keys, "__v", "__c", probs, names, buckets)
+
+
+def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str, count: str, probs: Sequence[float],
+                        names: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """The second half of :func:`grouped_exact_quantiles`, for counts kept elsewhere:
+    one row per (group, value) with how often it occurs; null values and counts
+    below one are left out."""
     from credal.operators.cumulative import bucket_count, cumulative_sums
     keys = list(keys)
     names = list(names or [f"p{int(round(p * 100))}" for p in probs])
-    x = F.col(column).cast("double")
-    counts = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(*keys, x.alias("__v"))
-              .agg(F.count(F.lit(1)).alias("__c")))
+    counts = counts.where(F.col(value).isNotNull() & (F.col(count) > 0)) \
+        .select(*keys, F.col(value).cast("double").alias("__v"), F.col(count).alias("__c"))
     if buckets is None:
         counts = written(counts, "values")
         buckets = bucket_count(counts.count())

@@ -225,12 +225,22 @@ def q_drift_summary(spark, sf_dir):
     return rounded(D.dataset_drift(rep, 0.5, n_ref=ref.count(), n_cur=cur.count()))
 
 
-@register("drift_alerts", "D08")
+def _alerts_sql() -> str:
+    head, sep, tail = NUM_DRIFT_SQL.rstrip().rpartition('SELECT k."column"')
+    return head.rstrip() + ",\nrep AS (" + sep + tail + """)
+SELECT 'data_drift' AS alert_type, max(ks) AS score, CAST(0.01 AS DOUBLE) AS threshold,
+       string_agg("column", ',' ORDER BY "column") AS affected_features, 'open' AS status
+FROM rep WHERE ks > 0.01 HAVING count(*) > 0
+"""
+
+
+@register("drift_alerts", "D08", _alerts_sql())
 def q_drift_alerts(spark, sf_dir):
     """Alert row listing the drifted columns (JS above 0.1), if any; KS alert otherwise."""
     ref, cur = _populations(spark, sf_dir)
     rep = D.drift_report(ref, cur, numeric=["value", "latency_ms", "hour_of_day"], categorical=["channel"])
-    return D.drift_alerts(rep, stat="ks", threshold=0.01)
+    alerts = D.drift_alerts(rep, stat="ks", threshold=0.01)
+    return rounded(alerts.withColumn("affected_features", F.array_join("affected_features", ",")))
 
 
 QUALITY_SQL = "WITH" + LOG_SQL + """

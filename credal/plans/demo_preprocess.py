@@ -240,14 +240,37 @@ def q_quality(spark, sf_dir):
     return rounded(P.matrix_quality(m, ["l_quantity", "disc", "r", "zero"], target="y"))
 
 
-@register("final_audit", "E22,W07")
+def matrix_sql(extra: str = "") -> str:
+    """The fitted matrix before rounding, with further columns of ``m``."""
+    exact = FIT_TRANSFORM_SQL.replace(", 6)", ", 15)")
+    return exact.replace("SELECT m.l_orderkey, m.l_linenumber,", f"SELECT m.l_orderkey, m.l_linenumber, {extra}", 1)
+
+
+AUDIT_SQL = "WITH x AS (" + matrix_sql("m.is_train,") + """),
+per AS (
+  SELECT name, avg(v) AS mean, stddev_pop(v) AS std FROM
+    (UNPIVOT (SELECT * EXCLUDE (l_orderkey, l_linenumber, is_train) FROM x WHERE is_train) ON COLUMNS(*) INTO NAME name VALUE v)
+  GROUP BY name),
+gaps AS (
+  SELECT count(*) * (SELECT count(*) FROM per) AS cells,
+         (SELECT count(*) FROM (UNPIVOT (SELECT * EXCLUDE (l_orderkey, l_linenumber, is_train) FROM x WHERE is_train)
+                                ON COLUMNS(*) INTO NAME name VALUE v)) AS filled
+  FROM x WHERE is_train)
+SELECT true AS same_columns, (SELECT cells = filled FROM gaps) AS no_nulls,
+       round(avg(CASE WHEN abs(mean) <= 0.1 AND abs(std - 1) <= 0.1 THEN 1.0 ELSE 0.0 END), 6) AS scaled_share,
+       count(*) AS n_columns
+FROM per
+"""
+
+
+@register("final_audit", "E22,W07", AUDIT_SQL)
 def q_final_audit(spark, sf_dir):
     """Final audit of a fitted matrix: column alignment, no nulls, scaled share."""
     m = matrix_standin(spark, sf_dir)
     params = P.fit(m.where("is_train"), SPEC)
     tr = P.transform(m.where("is_train"), params)
     te = P.transform(m.where(~F.col("is_train")), params)
-    return P.final_audit(tr, te, params.feature_names)
+    return rounded(P.final_audit(tr, te, params.feature_names))
 
 
 IMPUTE_SQL = """

@@ -141,7 +141,31 @@ def q_catalog(spark, sf_dir):
     return listing.join(colsdf, "name", "left")
 
 
-@register("source_registry_roundtrip", "S13,Q09")
+REGISTRY_SQL = """
+WITH a AS (SELECT count(*) AS n, count(DISTINCT c_mktsegment) AS dm, count(DISTINCT c_name) AS dx,
+                  list_sort(list(DISTINCT c_mktsegment)) AS ms, list_sort(list(DISTINCT c_name)) AS xs FROM customer),
+maps AS (SELECT '{' || array_to_string(list_transform(ms, lambda v: '''' || v || ''': ''' || lower(v) || ''''), ', ') || '}' AS m,
+                '{' || array_to_string(list_transform(xs, lambda v: '''' || v || ''': '''
+                       || regexp_replace(lower(v), '[^a-z0-9]+', '_', 'g') || ''''), ', ') || '}' AS x FROM a),
+r AS (
+  SELECT 'c_custkey' AS name, 'identifier' AS type, 'identifier' AS role, 'none' AS encoding, 'none' AS transform,
+         NULL AS value_map, (SELECT count(*) FROM customer WHERE c_custkey IS NULL) AS z
+  UNION ALL SELECT 'c_name', 'categorical', 'feature', CASE WHEN dx <= 15 THEN 'one_hot' WHEN dx < 50 THEN 'ordinal' ELSE 'target' END,
+         'none', CASE WHEN dx <= 15 THEN maps.x END, (SELECT count(*) FROM customer WHERE c_name IS NULL) FROM a, maps
+  UNION ALL SELECT 'c_nationkey', 'numerical', 'feature', 'none', 'standard', NULL,
+         (SELECT count(*) FROM customer WHERE c_nationkey IS NULL)
+  UNION ALL SELECT 'c_acctbal', 'numerical', 'feature', 'none', 'standard', NULL,
+         (SELECT count(*) FROM customer WHERE c_acctbal IS NULL)
+  UNION ALL SELECT 'c_mktsegment', 'categorical', 'feature',
+         CASE WHEN dm <= 15 THEN 'one_hot' WHEN dm < 50 THEN 'ordinal' ELSE 'target' END, 'none',
+         CASE WHEN dm <= 15 THEN maps.m END, (SELECT count(*) FROM customer WHERE c_mktsegment IS NULL) FROM a, maps)
+SELECT name, 'customer' AS source_table, type, role, encoding, transform, name AS raw_name, value_map,
+       z * 100.0 / n AS null_pct, z * 100.0 / n >= 30 AS null_alert
+FROM r, a
+"""
+
+
+@register("source_registry_roundtrip", "S13,Q09", REGISTRY_SQL)
 def q_registry(spark, sf_dir):
     """Registry inferred from a table, exported as JSON Lines, read back."""
     c = table(spark, sf_dir, "customer")

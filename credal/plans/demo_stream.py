@@ -11,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from credal.operators import linear as LM
 from credal.operators import train as TR
+from credal.operators.linear import LinearModel, Term
 from credal.plans.catalog import register, rounded, table
 from credal.sources import io
 from credal.streaming import log_stream as S
@@ -106,8 +108,7 @@ def q_stream_score(spark, sf_dir):
     def run(base):
         stream = S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA).drop("probability")
         scored = TR.score(stream, model, THRESHOLD, keep=["request_id", "ts"])
-        scored.writeStream.format("json").option("path", f"{base}/scored") \
-            .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start().awaitTermination()
+        S.run_to_jsonl(scored, f"{base}/scored", f"{base}/ckpt")
 
     base = append_and_run(spark, sf_dir, run)
     return spark.read.schema("request_id long, ts timestamp_ntz, probability double, decision string") \
@@ -139,3 +140,57 @@ def q_stream_hourly_kpi(spark, sf_dir):
 
     base = append_and_run(spark, sf_dir, run)
     return rounded(S.latest_per_key(spark.read.parquet(f"{base}/out"), ["hour"]))
+
+
+WINDOW_PERCENTILES_SQL = """
+SELECT date_trunc('day', ts) AS day, count(*) AS n,
+       round(quantile_cont(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.5), 6) AS p50,
+       round(quantile_cont(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.95), 6) AS p95,
+       round(quantile_cont(CAST(json_extract_string(props, '$.k') AS DOUBLE), 0.99), 6) AS p99
+FROM events
+WHERE json_extract_string(props, '$.k') IS NOT NULL
+GROUP BY 1
+HAVING date_trunc('day', any_value(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)
+"""
+
+
+@register("stream_window_percentiles", "T03,A14", WINDOW_PERCENTILES_SQL)
+def q_stream_percentiles(spark, sf_dir):
+    """Daily windows closed by the watermark: rows and exact latency p50, p95, p99."""
+    def run(base):
+        stream = S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA)
+        counts = S.windowed_value_counts(stream, "latency_ms", window="1 day", watermark="2 hours")
+        S.run_to_table(counts.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "latency_ms", "n"),
+                       f"{base}/out", f"{base}/ckpt")
+
+    base = append_and_run(spark, sf_dir, run)
+    counts = spark.read.parquet(f"{base}/out")
+    found = S.closed_window_percentiles(counts, "day", "latency_ms", [0.5, 0.95, 0.99])
+    return rounded(found.join(counts.groupBy("day").agg(F.sum("n").alias("n")), "day"))
+
+
+STREAM_MODEL = LinearModel(-2.2, (Term("latency_ms", "latency_ms", 0.0125), Term("value", "value", 0.0075)))
+
+STORED_STREAM_SQL = f"""
+WITH p AS (SELECT event_id AS request_id, ts,
+                  1.0 / (1.0 + exp(-(-2.2 + 0.0125 * CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.0075 * value))) AS p
+           FROM events)
+SELECT request_id, ts, round(p, 6) AS probability,
+       CASE WHEN p IS NULL THEN NULL WHEN p < {THRESHOLD} THEN 'approved' ELSE 'refused' END AS decision
+FROM p
+"""
+
+
+@register("stream_stored_model", "T05,M17,C29", STORED_STREAM_SQL)
+def q_stream_stored(spark, sf_dir):
+    """A saved scoring model, read back from its table, scores every arriving request
+    in one select; scores are appended to a JSON Lines sink."""
+    model = LinearModel.load(spark, STREAM_MODEL.save(spark, io.scratch_dir(spark, "scoring-model")))
+
+    def run(base):
+        stream = S.read_log_stream(spark, f"{base}/log", LOG_SCHEMA).drop("probability")
+        S.run_to_jsonl(LM.score(stream, model, THRESHOLD, keep=["request_id", "ts"]), f"{base}/scored", f"{base}/ckpt")
+
+    base = append_and_run(spark, sf_dir, run)
+    return rounded(spark.read.schema("request_id long, ts timestamp_ntz, probability double, decision string")
+                   .json(f"{base}/scored"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credal.functions import clean as C
+from credal.operators.quantiles import quantiles_of_counts
 from credal.sources.io import CORRUPT
 
 LOG_SCHEMA = T.StructType([
@@ -82,6 +83,24 @@ def windowed_indicators(stream: DataFrame, ts: str = "ts", window: str = "1 day"
             .withColumn("refusal_rate", F.col("refusals") / F.col("total")))
 
 
+def windowed_value_counts(stream: DataFrame, value: str, ts: str = "ts", window: str = "1 day",
+                          watermark: str = "2 hours") -> DataFrame:
+    """T03, exact percentiles, the streaming half: ``(w, value, n)`` for appending,
+    each row written once, when the watermark passes the window's end. The state is a
+    count per (open window, value), dealt out by both, so no task holds a window;
+    null values take no part, rows later than the watermark are dropped."""
+    rows = _event_time(stream, ts).where(F.col(value).isNotNull()).withWatermark(ts, watermark)
+    return rows.groupBy(F.window(F.col(ts), window).alias("w"), F.col(value)).agg(F.count(F.lit(1)).alias("n"))
+
+
+def closed_window_percentiles(counts: DataFrame, key: str, value: str, probs: Sequence[float],
+                              names: Sequence[str] | None = None) -> DataFrame:
+    """T03, the reading half: exact interpolated percentiles of every closed window
+    from the counts that :func:`windowed_value_counts` appended, by bucketed running
+    sums. A window is whole or absent, for its counts leave the state in one batch."""
+    return quantiles_of_counts(counts, [key], value, "n", probs, names)
+
+
 def deduplicate(stream: DataFrame, key: Sequence[str] = ("request_id",), ts: str = "ts",
                 watermark: str = "1 day") -> DataFrame:
     """One row per request id; state kept only within the watermark."""
@@ -118,3 +137,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], batch_col: str = "batch_i
     cols = [c for c in df.columns if c not in keys and c != batch_col]
     best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(batch_col))
     return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols])
+
+
+def run_to_jsonl(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Append everything available to a JSON Lines sink; times keep their microseconds."""
+    (stream.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint)
+     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+     .trigger(availableNow=True).start().awaitTermination())
