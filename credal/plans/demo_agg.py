@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from credal.functions import clean as C
 from credal.operators import aggregate as A
 from credal.operators import assemble as J
+from credal.operators.sphere import sphere_neighbour_counts
 from credal.plans.catalog import register, rounded, sround, table
 
 SPEC_SQL = f"""
@@ -223,6 +224,26 @@ def q_radius(spark, sf_dir):
     return J.radius_neighbour_counts(pts, pts, [0.02, 0.05, 0.1], id_col="vec_id")
 
 
+SPHERE_SQL = """
+WITH p AS (SELECT vec_id, 48.85 + 0.2 * CAST(embedding[1] AS DOUBLE) AS lat, 2.35 + 0.3 * CAST(embedding[2] AS DOUBLE) AS lon
+           FROM embeddings),
+d AS (SELECT a.vec_id, 2 * 6371008.8 * asin(sqrt(sin((radians(b.lat) - radians(a.lat)) / 2) ** 2
+        + cos(radians(a.lat)) * cos(radians(b.lat)) * sin((radians(b.lon) - radians(a.lon)) / 2) ** 2)) AS m FROM p a, p b)
+SELECT vec_id, count(*) FILTER (WHERE m <= 500) AS n_within_500, count(*) FILTER (WHERE m <= 1000) AS n_within_1000,
+       count(*) FILTER (WHERE m <= 1500) AS n_within_1500, count(*) FILTER (WHERE m <= 2000) AS n_within_2000
+FROM d GROUP BY vec_id
+"""
+
+
+@register("join_radius_metres", "J08", SPHERE_SQL)
+def q_sphere(spark, sf_dir):
+    """Reference points within 500 / 1000 / 1500 / 2000 metres on the globe (halved cubes, exact)."""
+    e = table(spark, sf_dir, "embeddings")
+    pts = e.select("vec_id", (F.lit(48.85) + F.lit(0.2) * F.element_at("embedding", 1).cast("double")).alias("lat"),
+                   (F.lit(2.35) + F.lit(0.3) * F.element_at("embedding", 2).cast("double")).alias("lon"))
+    return sphere_neighbour_counts(pts, pts, [500, 1000, 1500, 2000], id_col="vec_id")
+
+
 # ordering and sets --------------------------------------------------------------------
 LASTN_SQL = """
 SELECT event_id, ts, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 50
