@@ -22,47 +22,65 @@ from credal.session import written
 CURVES, DIRECTIONS, BITS, REACH = 6, 4, 15, 24
 
 
+def _arrays(width: int):
+    """Arrow columns of lists as matrices of ``width`` columns, and back."""
+    def matrix(lists):
+        return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), width)
+
+    def lists(m):
+        import numpy as np
+        import pyarrow as pa
+        ends = np.arange(len(m) + 1, dtype=np.int32) * np.int32(m.shape[1])
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.ascontiguousarray(m).ravel()))
+    return matrix, lists
+
+
 def _projected(width: int, seed: int):
+    matrix, lists = _arrays(width)
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
         axes = np.random.default_rng(seed).standard_normal((width, CURVES * DIRECTIONS))
         for batch in batches:
-            x = np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, width)
-            p = pa.array(list(x @ axes), pa.list_(pa.float64()))
+            p = lists(matrix(batch.column(1)) @ axes)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), p], ["id", "x", "p"])
     return run
 
 
-def _nearest(k: int):
-    """Rows in the curve's order → the nearest ``k`` of the rows around each."""
+def _nearest(width: int, k: int):
+    """Rows in the curve's order → per row the nearest ``k`` of the rows around it."""
+    matrix, lists = _arrays(width)
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         def block(ids, x, lo, hi):
-            at = np.arange(lo, hi)[:, None] + np.array([*range(-REACH, 0), *range(1, REACH + 1)])
-            there = (at >= 0) & (at < len(ids))
-            at = np.where(there, at, 0)
-            there &= ids[at] != ids[lo:hi, None]
-            d = np.full(at.shape, np.inf)
-            for a in range(0, hi - lo, 4096):
-                part = slice(a, a + 4096)
-                d[part] = ((x[at[part]] - x[lo:hi][part, None]) ** 2).sum(axis=2)
-            d[~there] = np.inf
+            # one offset at a time: the row itself moves along the others, nothing is gathered
+            offsets = np.array([*range(-REACH, 0), *range(1, REACH + 1)])
+            columns = np.ascontiguousarray(x.T)
+            d = np.full((hi - lo, len(offsets)), np.inf)
+            for j, o in enumerate(offsets):
+                a, b = max(lo, -o), min(hi, len(ids) - o)
+                if a < b:
+                    s = sum((c[a + o:b + o] - c[a:b]) ** 2 for c in columns)
+                    d[a - lo:b - lo, j] = np.where(ids[a + o:b + o] != ids[a:b], s, np.inf)
             best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            row, col = np.nonzero(np.isfinite(np.take_along_axis(d, best, 1)))
+            there = np.isfinite(np.take_along_axis(d, best, 1))
+            row, col = np.nonzero(there)
             pick = best[row, col]
-            other = at[row, pick]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids[lo:hi][row]), pa.array(d[row, pick]), pa.array(ids[other]),
-                 pa.array(list(x[other]), pa.list_(pa.float64()))], ["id", "distance", "other", "x"])
+            other = lo + row + offsets[pick]
+            ends = np.concatenate([[0], np.cumsum(there.sum(axis=1))]).astype(np.int32)
+            near = pa.StructArray.from_arrays([pa.array(d[row, pick]), pa.array(ids[other]), lists(x[other])],
+                                              ["distance", "other", "x"])
+            return pa.RecordBatch.from_arrays([pa.array(ids[lo:hi]), pa.ListArray.from_arrays(pa.array(ends), near)], ["id", "near"])
 
         ids, x, done = np.empty(0, np.int64), None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = np.array(batch.column(1).to_pylist(), float)
+            new = matrix(batch.column(1))
             ids = np.concatenate([ids, batch.column(0).to_numpy()])
             x = new if x is None else np.concatenate([x, new])
             ready = len(ids) - REACH
@@ -102,7 +120,8 @@ def nearest_neighbours(df: DataFrame, row_id: str, columns: Sequence[str], k: in
             bits += [F.shiftleft(F.shiftright(level, b).bitwiseAND(F.lit(1)), b * DIRECTIONS + j) for b in range(BITS)]
         z = reduce(lambda a, b: a.bitwiseOR(b), bits)
         ordered = rows.select("id", "x", z.alias("z")).repartitionByRange("z", "id").sortWithinPartitions("z", "id")
-        found.append(ordered.select("id", "x").mapInArrow(_nearest(k), "id long, distance double, other long, x array<double>"))
-    # k rows per curve at most
-    near = F.array_sort(F.collect_set(F.struct("distance", "other", "x")))
-    return reduce(DataFrame.unionAll, found).groupBy("id").agg(F.slice(near, 1, k).alias("near"))
+        found.append(ordered.select("id", "x").mapInArrow(
+            _nearest(len(columns), k), "id long, near array<struct<distance: double, other: long, x: array<double>>>"))
+    # a row per curve, k neighbours in it at most
+    near = F.array_sort(F.array_distinct(F.flatten(F.collect_list("near"))))
+    return reduce(DataFrame.unionAll, found).where(F.size("near") > 0).groupBy("id").agg(F.slice(near, 1, k).alias("near"))

@@ -11,3 +11,21 @@ def test_wide_rows_are_joined_once(spark):
     plan = D.q_wide(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join ") <= 1        # the target encoding, if it is a table
     assert D.wide_matrix(spark, "/root/testdata/sf0.001").count() == D.table(spark, "/root/testdata/sf0.001", "lineitem").count()
+
+
+def test_a_curve_gives_a_row_per_row():
+    import numpy as np
+    import pyarrow as pa
+
+    from credal.operators.neighbours import _nearest
+    rng = np.random.default_rng(1)
+    x = rng.random((500, 3))
+    ids = np.arange(500) // 2 * 2          # rows that share an id are not neighbours
+    parts = [pa.RecordBatch.from_arrays([pa.array(ids[a:a + 60]), pa.array(list(x[a:a + 60]), pa.list_(pa.float64()))], ["id", "x"])
+             for a in range(0, 500, 60)]
+    out = [r for b in _nearest(3, 4)(iter(parts)) for r in b.to_pylist()]
+    assert [r["id"] for r in out] == ids.tolist()
+    for i, r in enumerate(out):
+        near = sorted((float(((x[j] - x[i]) ** 2).sum()), j) for j in range(max(0, i - 24), min(500, i + 25)) if ids[j] != ids[i])[:4]
+        assert [(n["other"], n["x"]) for n in r["near"]] == [(ids[j], x[j].tolist()) for _, j in near]
+        assert all(math.isclose(n["distance"], d) for n, (d, _) in zip(r["near"], near))
