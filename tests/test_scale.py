@@ -29,3 +29,15 @@ def test_a_curve_gives_a_row_per_row():
         near = sorted((float(((x[j] - x[i]) ** 2).sum()), j) for j in range(max(0, i - 24), min(500, i + 25)) if ids[j] != ids[i])[:4]
         assert [(n["other"], n["x"]) for n in r["near"]] == [(ids[j], x[j].tolist()) for _, j in near]
         assert all(math.isclose(n["distance"], d) for n, (d, _) in zip(r["near"], near))
+
+
+def test_rows_of_one_file_are_dealt_to_all_cores(spark):
+    from credal.session import dealt, part_count, written
+    assert [part_count(n, 12) for n in (0, 100_000, 100_001, 10 ** 7, 10 ** 9)] == [None, None, 2, 12, None]
+    one = written(spark.range(250_000).coalesce(1), "one-file")
+    out = dealt(one, "dealt")
+    sizes = [r["count"] for r in out.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == min(spark.sparkContext.defaultParallelism, 3) and max(sizes) - min(sizes) <= 1000
+    assert out.distinct().count() == 250_000
+    few = written(spark.range(1000).coalesce(1), "few")
+    assert dealt(few, "dealt") is few
