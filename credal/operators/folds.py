@@ -174,11 +174,25 @@ def fold_counts(fold: Fold, found: Sequence[Candidate], label: str, threshold: f
     groups = _distinct(found, fold.n_train)
     train = fold.train.select(TR.FEATURES, label, WEIGHT).persist()
     try:
-        def fit(key):
-            return estimator(key[0], dict(key[1]), fold.n_train, label).fit(train)
-
+        def fit(keys):
+            """Models of settings that differ in ``maxIter`` only, the largest first: a
+            model that stopped before a smaller limit is that limit's model, too."""
+            out = {}
+            for key in sorted(keys, key=lambda key: -dict(key[1]).get("maxIter", 0)):
+                done = next((m for m in out.values() if key[0] == "logistic"
+                             and m.summary.totalIterations < dict(key[1])["maxIter"]), None)
+                out[key] = done or estimator(key[0], dict(key[1]), fold.n_train, label).fit(train)
+            return out
+
+        families: dict[tuple, list[tuple]] = {}
+        for key in groups:
+            # only the logistic model's limit leaves the steps before it as they are
+            same = tuple(kv for kv in key[1] if kv[0] != "maxIter") if key[0] == "logistic" else key[1]
+            families.setdefault((key[0], same), []).append(key)
         with ThreadPool(parallelism) as pool:
-            models = pool.map(inheritable_thread_target(train.sparkSession)(fit), list(groups))
+            fitted = pool.map(inheritable_thread_target(train.sparkSession)(fit), list(families.values()), chunksize=1)
+        by_key = {key: model for part in fitted for key, model in part.items()}
+        models = [by_key[key] for key in groups]
     finally:
         train.unpersist()
     scored = fold.held_out.select(TR.FEATURES, label)

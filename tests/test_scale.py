@@ -41,3 +41,27 @@ def test_rows_of_one_file_are_dealt_to_all_cores(spark):
     assert out.distinct().count() == 250_000
     few = written(spark.range(1000).coalesce(1), "few")
     assert dealt(few, "dealt") is few
+
+
+def test_limits_that_a_fit_does_not_reach_cost_no_fit(spark, monkeypatch):
+    from credal.operators import folds as FO
+    from credal.operators import preprocess as P
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, rng.random(), int(rng.random() < 0.4), i % 2) for i in range(200)],
+                               "id long, a double, y int, fold int")
+    asked = []
+    real = FO.estimator
+    monkeypatch.setattr(FO, "estimator", lambda *a: asked.append(dict(a[1])) or real(*a))
+    grid = {"logistic": {"C": [0.1, 1.0], "solver": ["lbfgs"], "max_iter": [1, 500, 1000]}}
+    found = FO.candidates("logistic", grid["logistic"])
+    fold = FO.fold_matrices(df, P.PreprocessSpec(standard=["a"], target="y"), "y", ["id"], "fold")[0]
+    got = FO.fold_counts(fold, found, "y", 0.5, 2)
+    assert sorted(s["maxIter"] for s in asked) == [1, 1, 1000, 1000]      # 500 is what 1000 gave
+    assert [c for c, *_ in got] == found
+    for c, _, *counts in got:
+        model = real("logistic", c.settings(fold.n_train), fold.n_train, "y").fit(fold.train)
+        from pyspark.ml.functions import vector_to_array
+        hit = vector_to_array(F.col("probability"))[1] >= 0.5
+        row = model.transform(fold.held_out).agg(F.count_if(~hit & (F.col("y") == 0)), F.count_if(hit & (F.col("y") == 0)),
+                                                 F.count_if(~hit & (F.col("y") == 1)), F.count_if(hit & (F.col("y") == 1))).first()
+        assert tuple(counts) == tuple(row)
