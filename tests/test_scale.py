@@ -65,3 +65,44 @@ def test_limits_that_a_fit_does_not_reach_cost_no_fit(spark, monkeypatch):
         row = model.transform(fold.held_out).agg(F.count_if(~hit & (F.col("y") == 0)), F.count_if(hit & (F.col("y") == 0)),
                                                  F.count_if(~hit & (F.col("y") == 1)), F.count_if(hit & (F.col("y") == 1))).first()
         assert tuple(counts) == tuple(row)
+
+
+def test_an_encoding_that_fits_memory_does_not_shuffle_the_matrix(spark, monkeypatch):
+    from credal.operators import preprocess as P
+    df = spark.range(2000).select((F.col("id") % 500).cast("string").alias("c"), (F.col("id") % 3).cast("int").alias("y"))
+    spec = P.PreprocessSpec(target_enc=["c"], ordinal=["c2"], target="y")
+    df = df.withColumn("c2", F.concat(F.lit("o"), "c"))
+    plan = lambda p: P.transform(df, p)._jdf.queryExecution().optimizedPlan().toString()
+    p = P.Params.from_json(P.fit(df, spec).to_json())
+    assert len(p.small_tables) == 2 and plan(p).count("strategy=broadcast") == 2
+    small = sorted(map(tuple, P.transform(df, p).collect()))
+    monkeypatch.setattr(P, "BROADCAST_BYTES", 1000)
+    p = P.fit(df, spec)
+    assert not p.small_tables and "strategy=broadcast" not in plan(p)
+    assert sorted(map(tuple, P.transform(df, p).collect())) == small
+    assert p.te_global == df.agg(F.avg("y")).first()[0]
+
+
+def test_rounding_equals_round(spark):
+    from credal.plans.catalog import rounded
+    rng = random.Random(3)
+    odd = [None, float("nan"), float("inf"), -float("inf"), 0.0, -0.0, -1e-9, 1e-7, 5e-7, -5e-7, 1.5e-6, 0.1234565, 2.0000005,
+           1e300, -1e22, 123456789.1234565, 999999.9999995, 1e6, 5e-324]
+    values = odd + [rng.gauss(0, 10 ** rng.randint(-7, 9)) for _ in range(20_000)] + \
+        [sign * (rng.randrange(10 ** 9) + 0.5) / 1e6 for sign in (1, -1) for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    show = lambda rows: sorted(repr(r.v) for r in rows.collect())
+    assert show(rounded(df)) == show(df.select(F.round("v", 6).alias("v")))
+    assert "rint" in rounded(df)._jdf.queryExecution().toString().lower()
+
+
+def test_the_champions_matrix_is_computed_once(spark):
+    from credal.plans.credit_model import champion_and_threshold
+    rng = random.Random(5)
+    df = spark.createDataFrame([(i, rng.random(), int(rng.random() < 0.4)) for i in range(300)], "id long, a double, target int")
+    matrix = df.withColumn("a", F.expr("a + length(sha2(cast(a AS string), 256))"))
+    comparison, curve, final = champion_and_threshold(matrix, ["a"], "target", ["id"], models=("logistic", "decision_tree"))
+    for out in (comparison, curve):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "sha2" not in plan and "UDF(" not in plan          # neither the matrix nor the scores again
+    assert comparison.count() == 2 and curve.count() == 150 and final.transform(matrix).count() == 300
