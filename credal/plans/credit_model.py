@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from credal.operators import evaluate as M
 from credal.operators import train as TR
+from credal.session import dealt, written
 
 
 def champion_and_threshold(matrix: DataFrame, features: Sequence[str], label: str, key: Sequence[str],
@@ -24,13 +25,15 @@ def champion_and_threshold(matrix: DataFrame, features: Sequence[str], label: st
     """Returns (comparison table, threshold curve of the champion, refitted champion)."""
     split = M.stratified_split(matrix, label, key, eval_fraction, seed=seed)
     weights = M.class_weights(split.where(F.col("split") == "train"), label)
-    split = M.with_class_weight(split, label, weights)
+    # fits and scores scan the rows again and again: they are computed and dealt to the cores once
+    split = dealt(written(M.with_class_weight(split, label, weights), "labelled"), "labelled-parts")
     train, ev = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     catalogue = TR.model_catalogue(TR.weighted_rows(train, "weight"), label, "weight")
     rows, scored_by_model = None, {}
     for name in models:
         model = TR.fit_model(train, features, catalogue[name])
         scored = TR.positive_probability(model.transform(ev)).select(label, TR.PROBABILITY)
+        scored = written(scored, "scored")
         scored_by_model[name] = scored
         r = M.metrics_from_counts(M.confusion_counts(scored, TR.PROBABILITY, label, 0.5)).select(
             F.lit(name).alias("model"), "f1", "f2", "recall", "precision", "cost")
