@@ -237,7 +237,7 @@ FROM d GROUP BY vec_id
 
 @register("join_radius_metres", "J08", SPHERE_SQL)
 def q_sphere(spark, sf_dir):
-    """Reference points within 500 / 1000 / 1500 / 2000 metres on the globe (halved cubes, exact)."""
+    """Reference points within 500 / 1000 / 1500 / 2000 metres on the globe (blocks of near points, exact)."""
     e = table(spark, sf_dir, "embeddings")
     pts = e.select("vec_id", (F.lit(48.85) + F.lit(0.2) * F.element_at("embedding", 1).cast("double")).alias("lat"),
                    (F.lit(2.35) + F.lit(0.3) * F.element_at("embedding", 2).cast("double")).alias("lon"))

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from credal.operators import sphere
 from credal.operators.sphere import EARTH_M, sphere_neighbour_counts
 
 RADII = [500, 1000, 1500, 2000]
@@ -68,3 +69,35 @@ def test_nulls_impossible_places_empty_tables_and_other_columns(spark):
     assert sphere_neighbour_counts(more.union(more), r.withColumn("cnt", F.lit(5)), [500]).count() == 14
     with pytest.raises(ValueError, match="radii"):
         sphere_neighbour_counts(p, r, [])
+
+
+def test_work_grows_with_blocks_of_points_not_with_points(spark, monkeypatch):
+    """A town of 6,000 places: what is looked up, level by level, is some rows per block."""
+    looked_up = []
+
+    def counted(df, name, written=sphere.written):
+        out = written(df, name)
+        if name == "sphere-front":
+            looked_up.append(out.count())
+        return out
+    monkeypatch.setattr(sphere, "written", counted)
+    rng = random.Random(7)
+    refs = [(48.85 + rng.gauss(0, 0.025), 2.35 + rng.gauss(0, 0.038)) for _ in range(6000)]
+    _check(spark, [(i, *r) for i, r in enumerate(refs)], refs)
+    assert looked_up and sum(looked_up) < len(refs)
+
+
+def test_groups_of_blocks_copies_and_pairs_on_a_circle(spark):
+    """Blocks of 8 in groups of two levels and several parts, some locations many times;
+    micrometres from a circle the exact distance decides."""
+    rng = random.Random(8)
+    refs = [(50 + rng.gauss(0, 0.02), 8 + rng.gauss(0, 0.03)) for _ in range(1500)]
+    refs += refs[:50] * 3
+    a, b = (50.0, 8.0), (50.004, 8.003)
+    p, q, u, v = map(math.radians, (a[0], b[0], a[1], b[1]))
+    d = 2 * EARTH_M * math.asin(math.sqrt(math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin((v - u) / 2) ** 2))
+    points = [(i, *r) for i, r in enumerate(refs[::10])]
+    _check(spark, points, refs, [0, *RADII], leaf=1)
+    frame = spark.createDataFrame([(1, *a)], "id long, lat double, lon double")
+    got = sphere_neighbour_counts(frame, spark.createDataFrame([b, b], "lat double, lon double"), [d - 1e-6, d + 1e-6]).first()
+    assert list(got) == [1, 0, 2]
