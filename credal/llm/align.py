@@ -23,13 +23,17 @@ one row with its distinct pairs and their counts. The pairs are exploded and
 summed, the sums are joined back to the chunks' distinct pairs, and each
 chunk's sums travel to it once. So no table of pairs is broadcast or held by
 one task, at whatever size; a pair that every document holds is one row per
-chunk. Chunks are written to the shared folder, texts are read once.
+chunk. Texts are read once. What a chunk keeps of its documents and units, some
+10 MB, is not moved by Spark: a task writes it to a file of its own in the shared
+folder, the chunk's row says where, and the task that gets the chunk's sums reads
+it back, one chunk at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from functools import lru_cache
 
 import numpy as np
@@ -39,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from credal.llm.common import row_slices, small_batches, stored, text_bytes
+from credal.llm.common import open_fs, row_slices, shared_path, small_batches, stored, text_bytes
 
 CHUNK_BYTES = 4 << 20
 POOL_UNITS = 250_000
@@ -52,9 +56,7 @@ _SIGN[0x21:0x7F] = True
 _SIGN &= ~_WORD
 
 _COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
-_CHUNK = ("chunk long, doc_id array<bigint>, " + ", ".join(f"{c} array<bigint>" for c in _COUNTS)
-          + ", groups_sha256 array<string>, unit_at binary, units binary, link_at binary, links binary,"
-          " pairs array<bigint>, counts array<bigint>")
+_CHUNK = "chunk long, file string, at long, size long, pairs array<bigint>, counts array<bigint>"
 
 
 def byte_level() -> dict[str, int]:
@@ -283,38 +285,66 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+def _packed(columns: dict[str, pa.Array]) -> pa.Buffer:
+    """Arrays of one chunk, compressed."""
+    batch = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v)
+                                        for v in columns.values()], list(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue()
+
+
+def _unpacked(data: pa.Buffer) -> dict[str, pa.Array]:
+    batch = next(iter(pa.ipc.open_stream(data)))
+    return {name: batch.column(k).flatten() for k, name in enumerate(batch.schema.names)}
+
+
 def _chunks(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int) -> DataFrame:
-    """A row per chunk of documents."""
+    """A row per chunk of documents; the rest of it lies in ``file`` from byte ``at`` on."""
+    folder = shared_path(docs.sparkSession, "chunk-files")
+
     def run(batches):
         tool = aligner(path_a, path_b)
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
-        held, size, done = [], 0, 0
+        store, top = open_fs(folder)
+        name = f"{task}-{uuid.uuid4().hex}"             # another attempt writes another file
+        sink, held, size, done = None, [], 0, 0
 
         def flush():
-            nonlocal held, size, done
+            nonlocal sink, held, size, done
+            if sink is None:
+                store.create_dir(top, recursive=True)
+                sink = store.open_output_stream(f"{top}/{name}")
             table = pa.Table.from_batches(held)
+            held, size = [], 0
             got = tool.chunk(table.column("text").combine_chunks() if table.num_rows else pa.array([], pa.string()))
-            row = {"chunk": [task << 32 | done], "doc_id": [table.column("doc_id").to_pylist()]}
-            row |= {c: [got["sums"][:, k]] for k, c in enumerate(_COUNTS)}
-            row |= {"groups_sha256": [got["digests"]]}
-            row |= {c: [got[c].tobytes()] for c in ("unit_at", "units", "link_at", "links")}
-            row |= {c: [got[c]] for c in ("pairs", "counts")}
-            held, size, done = [], 0, done + 1
-            kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.int64())] * 4, pa.list_(pa.string()),
-                     *[pa.binary()] * 4, *[pa.list_(pa.int64())] * 2]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row.values(), kinds)], list(row))
-
-        for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False) + 16
-            for a, b in row_slices(sizes, chunk_bytes):
-                if held and size + int(sizes[a:b].sum()) > chunk_bytes:
-                    yield flush()
-                held.append(batch.slice(a, b - a))
-                size += int(sizes[a:b].sum())
-        if held:
-            yield flush()
-
-    return docs.mapInArrow(run, _CHUNK)
+            kept = {"doc_id": table.column("doc_id").combine_chunks().cast(pa.int64())}
+            kept |= {c: pa.array(got["sums"][:, k]) for k, c in enumerate(_COUNTS)}
+            kept |= {"groups_sha256": pa.array(got["digests"], pa.string())}
+            kept |= {c: pa.array(got[c]) for c in ("unit_at", "units", "link_at", "links")}
+            data, at = _packed(kept), sink.tell()
+            sink.write(data)
+            row = {"chunk": pa.array([task << 32 | done]), "file": pa.array([name]), "at": pa.array([at]), "size": pa.array([data.size])}
+            row |= {c: pa.array([got[c]], pa.list_(pa.int64())) for c in ("pairs", "counts")}
+            done += 1
+            return pa.RecordBatch.from_arrays(list(row.values()), list(row))
+
+        try:
+            for batch in batches:
+                sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False) + 16
+                for a, b in row_slices(sizes, chunk_bytes):
+                    if held and size + int(sizes[a:b].sum()) > chunk_bytes:
+                        yield flush()
+                    held.append(batch.slice(a, b - a))
+                    size += int(sizes[a:b].sum())
+            if held:
+                yield flush()
+        finally:
+            if sink is not None:
+                sink.close()
+
+    return docs.mapInArrow(run, _CHUNK).withColumn("file", F.concat(F.lit(f"{folder}/"), "file"))
 
 
 def pair_counts(chunks: DataFrame) -> DataFrame:
@@ -349,11 +379,12 @@ def align(docs: DataFrame, path_a: str, path_b: str, chunk_bytes: int = CHUNK_BY
     def total(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                row = {c: batch.column(c).slice(k, 1) for c in batch.schema.names}
-                flat = {c: row[c].flatten() for c in ("doc_id", *_COUNTS, "groups_sha256")}
-                unit_at, link_at = (np.frombuffer(row[c][0].as_py(), np.int64) for c in ("unit_at", "link_at"))
-                units, links = (np.frombuffer(row[c][0].as_py(), np.int32) for c in ("units", "links"))
-                scores = row["scores"].flatten()
+                store, path = open_fs(batch.column("file")[k].as_py())
+                with store.open_input_file(path) as file:
+                    file.seek(batch.column("at")[k].as_py())
+                    flat = _unpacked(file.read_buffer(batch.column("size")[k].as_py()))
+                unit_at, units, link_at, links = (flat[c].to_numpy() for c in ("unit_at", "units", "link_at", "links"))
+                scores = batch.column("scores").slice(k, 1).flatten()
                 out = []
                 for part in ("best", "count"):
                     of_pair = scores.field(part).to_numpy(zero_copy_only=False).astype(np.int64) if len(scores) else \

@@ -109,6 +109,21 @@ def test_align_null_and_repeated_ids_and_no_rows(spark):
     assert A.align(df.where("false"), *PATHS).count() == 0
 
 
+def test_chunk_rows_hold_pairs_only(spark):
+    """What Spark moves of a chunk does not grow with its documents; the rest is in one file a task."""
+    from pyspark.sql import functions as F
+    docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("one two three").alias("text")).repartition(2)
+    chunks = A._chunks(docs, *PATHS, 40_000).persist()
+    arrays = [c for c, kind in chunks.dtypes if kind.startswith(("array", "binary"))]
+    assert chunks.count() > 2 and chunks.select("file").distinct().count() == 2
+    assert chunks.select(F.max(F.greatest(*[F.coalesce(F.octet_length(c) if k == "binary" else F.size(c), F.lit(0))
+                                            for c, k in chunks.dtypes if c in arrays]))).first()[0] <= 10
+    chunks.unpersist()
+    got = A.align(docs, *PATHS, 40_000)
+    assert sorted(r.doc_id for r in got.collect()) == list(range(5000))
+    assert set(result(got)) == set(brute(["one two three"] * 5000))
+
+
 def test_refined_spans_of_shared_characters():
     # three byte-fallback pieces carry an empty or the whole span of one character
     import numpy as np
