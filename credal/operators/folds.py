@@ -8,14 +8,17 @@ A search over many candidates doesn't refit it for each of them: a fold's
 encoders depend on the fold alone. :func:`fold_matrices` fits them once per fold
 on the other folds' rows and writes that fold's matrix, labels and weights to
 the shared folder; all candidates of all models read it. All of a fold's fitted
-candidates are scored by one pass over its rows and one aggregate of their
-confusion counts, so a candidate costs its fit and no job beside it.
+candidates are scored by one pass over its rows for the trees and one for the
+others, so a candidate costs its fit and no job beside it, and a tree that is
+the first levels of a deeper one not even a fit.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
+import re
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -25,13 +28,13 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from credal.operators import evaluate as M
 from credal.operators import preprocess as P
 from credal.operators import train as TR
-from credal.session import written
+from credal.session import checkpoint_path, written
 
 WEIGHT = "weight"
 
@@ -168,15 +171,97 @@ def _distinct(found: Sequence[Candidate], n: int) -> dict[tuple, list[Candidate]
     return out
 
 
+@dataclass(frozen=True)
+class Node:
+    """A node of a fitted tree; ``left`` and ``right`` are places in its table, None in a leaf."""
+    prediction: float
+    stats: tuple[float, ...]
+    left: int | None
+    right: int | None
+
+
+def tree_nodes(spark: SparkSession, model: Model) -> list[Node]:
+    """The nodes of a fitted decision tree in the order of their numbers, a node before
+    its left and these before its right ones; so the leaves are in the order of ``leafCol``."""
+    path = checkpoint_path(spark, f"tree-{uuid.uuid4().hex[:12]}")
+    model.write().save(path)
+    rows = sorted(spark.read.parquet(f"{path}/data").select("id", "prediction", "impurityStats", "leftChild", "rightChild")
+                  .collect(), key=lambda r: r.id)                      # 2 ** (depth + 1) rows at most
+    place = {r.id: i for i, r in enumerate(rows)}
+    return [Node(r.prediction, tuple(r.impurityStats), *((place[r.leftChild], place[r.rightChild])
+                                                         if r.leftChild >= 0 else (None, None))) for r in rows]
+
+
+def first_levels(nodes: Sequence[Node], depth: int) -> list[tuple[float, ...]]:
+    """For each leaf of a tree, the class weights of the leaf that holds its rows in the
+    same tree fitted to ``depth`` levels only. Levels are fitted one after another, so that
+    tree has the same nodes down to its last level, and leaves of one prediction below one
+    node are merged there, too."""
+    out: list[tuple[float, ...]] = []
+
+    def leaf(at: int, level: int) -> bool:
+        """Adds the leaves below a node; is it a leaf of the smaller tree?"""
+        node, begin = nodes[at], len(out)
+        if node.left is None:
+            out.append(node.stats)
+            return True
+        ends = leaf(node.left, level + 1), leaf(node.right, level + 1)
+        one = level >= depth or all(ends) and nodes[node.left].prediction == nodes[node.right].prediction
+        if one:
+            out[begin:] = [node.stats] * (len(out) - begin)
+        return one
+
+    leaf(0, 0)
+    return out
+
+
+def fits_at_once(spark: SparkSession, rows: int, features: int, most: int) -> tuple[int, bool]:
+    """How many fits over ``rows`` run beside each other, and whether their rows are
+    kept beside them: each fit keeps the rows in a layout of its own, and what the
+    executors' storage can't hold goes to disk and back at every step."""
+    try:
+        status = spark.sparkContext._jsc.sc().getExecutorMemoryStatus()
+        sizes = [status.apply(k)._1() for k in _each(status.keys())]
+        driver = 0 if re.match(r"local(\[|$)", spark.sparkContext.master) else 1
+        storage = sum(sorted(sizes)[::-1][: max(1, len(sizes) - driver)])
+    except Exception:  # a remote (Spark Connect) session doesn't tell
+        return most, True
+    one = rows * (8 * features + 64)
+    return max(1, min(most, storage // max(1, one) - 1)), 2 * one <= storage
+
+
+def _each(found):
+    it = found.iterator()
+    while it.hasNext():
+        yield it.next()
+
+
 def fold_counts(fold: Fold, found: Sequence[Candidate], label: str, threshold: float, parallelism: int) -> list[tuple]:
     """(candidate, fold, tn, fp, fn, tp) of every candidate, fitted without the
-    fold's rows and scored on them; one aggregate for all."""
+    fold's rows and scored on them; one aggregate for all trees, one for all others.
+
+    A decision tree is fitted to the greatest of the depths that are asked for with
+    its other settings; the others are its first levels (:func:`first_levels`)."""
     groups = _distinct(found, fold.n_train)
-    train = fold.train.select(TR.FEATURES, label, WEIGHT).persist()
+    train = fold.train.select(TR.FEATURES, label, WEIGHT)
+    spark = train.sparkSession
+    at_once, kept = fits_at_once(spark, fold.n_train, len(fold.encoders.fitted.feature_names), parallelism)
+    if kept:
+        train = train.persist()
+    families: dict[tuple, list[tuple]] = {}
+    for key in groups:
+        # only the logistic model's limit leaves the steps before it as they are, and a tree's depth its levels
+        free = {"logistic": "maxIter", "decision_tree": "maxDepth"}.get(key[0])
+        families.setdefault((key[0], tuple(kv for kv in key[1] if kv[0] != free)), []).append(key)
     try:
         def fit(keys):
             """Models of settings that differ in ``maxIter`` only, the largest first: a
-            model that stopped before a smaller limit is that limit's model, too."""
+            model that stopped before a smaller limit is that limit's model, too. Of
+            trees that differ in depth the deepest, and its nodes."""
+            if keys[0][0] == "decision_tree":
+                deepest = max(keys, key=lambda key: dict(key[1])["maxDepth"])
+                model = estimator(deepest[0], dict(deepest[1]), fold.n_train, label).fit(train)
+                return model, tree_nodes(spark, model)
             out = {}
             for key in sorted(keys, key=lambda key: -dict(key[1]).get("maxIter", 0)):
                 done = next((m for m in out.values() if key[0] == "logistic"
@@ -184,19 +269,24 @@ def fold_counts(fold: Fold, found: Sequence[Candidate], label: str, threshold: f
                 out[key] = done or estimator(key[0], dict(key[1]), fold.n_train, label).fit(train)
             return out
 
-        families: dict[tuple, list[tuple]] = {}
-        for key in groups:
-            # only the logistic model's limit leaves the steps before it as they are
-            same = tuple(kv for kv in key[1] if kv[0] != "maxIter") if key[0] == "logistic" else key[1]
-            families.setdefault((key[0], same), []).append(key)
-        with ThreadPool(parallelism) as pool:
-            fitted = pool.map(inheritable_thread_target(train.sparkSession)(fit), list(families.values()), chunksize=1)
-        by_key = {key: model for part in fitted for key, model in part.items()}
-        models = [by_key[key] for key in groups]
+        with ThreadPool(at_once) as pool:
+            fitted = pool.map(inheritable_thread_target(spark)(fit), list(families.values()), chunksize=1)
     finally:
-        train.unpersist()
+        if kept:
+            train.unpersist()
+    counts = _tree_counts(fold, label, threshold, [(keys, *got) for keys, got in zip(families.values(), fitted)
+                                                   if keys[0][0] == "decision_tree"])
+    counts |= _model_counts(fold, label, threshold, {key: model for keys, got in zip(families.values(), fitted)
+                                                     if keys[0][0] != "decision_tree" for key, model in got.items()})
+    return [(c, fold.number, *counts[key]) for key, same in groups.items() for c in same]
+
+
+def _model_counts(fold: Fold, label: str, threshold: float, models: Mapping[tuple, Model]) -> dict[tuple, tuple]:
+    """tn, fp, fn, tp of each model on the fold's rows."""
+    if not models:
+        return {}
     scored = fold.held_out.select(TR.FEATURES, label)
-    for i, model in enumerate(models):
+    for i, model in enumerate(models.values()):
         scored = model.setRawPredictionCol("").setPredictionCol("").setProbabilityCol(f"__p{i}").transform(scored)
     y = F.col(label) == 1
     aggs: list[Column] = []
@@ -205,8 +295,30 @@ def fold_counts(fold: Fold, found: Sequence[Candidate], label: str, threshold: f
         aggs += [F.count_if(~hit & ~y).alias(f"tn{i}"), F.count_if(hit & ~y).alias(f"fp{i}"),
                  F.count_if(~hit & y).alias(f"fn{i}"), F.count_if(hit & y).alias(f"tp{i}")]
     row = scored.agg(*aggs).first()
-    return [(c, fold.number, *[row[f"{k}{i}"] for k in ("tn", "fp", "fn", "tp")])
-            for i, same in enumerate(groups.values()) for c in same]
+    return {key: tuple(row[f"{k}{i}"] for k in ("tn", "fp", "fn", "tp")) for i, key in enumerate(models)}
+
+
+def _tree_counts(fold: Fold, label: str, threshold: float, trees: Sequence[tuple]) -> dict[tuple, tuple]:
+    """tn, fp, fn, tp of each setting on the fold's rows; ``trees``: settings that differ
+    in depth, the deepest's model and nodes. Rows are counted by leaf and label."""
+    if not trees:
+        return {}
+    rows = fold.held_out.select(TR.FEATURES, label).where(F.col(label).isNotNull())
+    for i, (_, model, _) in enumerate(trees):
+        rows = model.setRawPredictionCol("").setPredictionCol("").setProbabilityCol("").setLeafCol(f"__l{i}").transform(rows)
+    found = rows.select((F.col(label) == 1).alias("y"),
+                        F.posexplode(F.array(*[F.col(f"__l{i}").cast("int") for i in range(len(trees))])).alias("tree", "leaf")) \
+        .groupBy("tree", "leaf", "y").count().collect()                # trees x leaves x 2
+    out = {}
+    for i, (keys, _, nodes) in enumerate(trees):
+        for key in keys:
+            hits = [stats[1] / sum(stats) >= threshold for stats in first_levels(nodes, dict(key[1])["maxDepth"])]
+            total = {(y, hit): 0 for y in (False, True) for hit in (False, True)}
+            for r in found:
+                if r["tree"] == i:
+                    total[r["y"], hits[r["leaf"]]] += r["count"]
+            out[key] = total[False, False], total[False, True], total[True, False], total[True, True]
+    return out
 
 
 @dataclass

@@ -93,6 +93,32 @@ def test_grid_search_costs_equal_single_fits(spark, rows):
     assert final.transform(rows).count() == 303 and final.stages[0].fitted.te_maps == P.fit(rows, SPEC).te_maps
 
 
+def test_a_shallower_tree_is_the_first_levels_of_a_deeper_one(spark, monkeypatch):
+    """Counts of every depth equal those of a fit of its own, and only the deepest is fitted."""
+    rng = random.Random(7)
+    data = [(k, rng.random(), rng.choice("pqrstuvw"), rng.choice(["x", None]), k % 5) for k in range(4000)]
+    df = spark.createDataFrame([(k, a, c, o, int(rng.random() < 0.3 + 0.4 * (a > 0.5) * (c < "s") + 0.2 * (0.2 < a < 0.4)), f)
+                                for k, a, c, o, f in data], "id long, a double, c string, o string, y int, fold int")
+    grid = {"decision_tree": {"max_depth": [1, 2, 3, 5, 8], "min_samples_leaf": [5, 40], "min_samples_split": [2]}}
+    found = FO.candidates("decision_tree", grid["decision_tree"])
+    fold = FO.fold_matrices(df, SPEC, "y", ["id"], "fold")[1]
+    fits, single = [], {}
+    for c in found:
+        model = FO.estimator(c.model, c.settings(fold.n_train), fold.n_train, "y").fit(fold.train)
+        scored = model.transform(fold.held_out).select("y", vector_to_array("probability")[1].alias("p")).collect()
+        single[c] = tuple(sum((r.p >= 0.5) == h and r.y == y for r in scored) for y, h in ((0, False), (0, True), (1, False), (1, True)))
+    make = FO.estimator
+    monkeypatch.setattr(FO, "estimator", lambda *a: fits.append(a[1]["maxDepth"]) or make(*a))
+    got = {c: tuple(counts) for c, _, *counts in FO.fold_counts(fold, found, "y", 0.5, 2)}
+    assert got == single and len(set(got.values())) > 3
+    assert fits == [8, 8]
+
+
+def test_fits_beside_each_other_fit_into_the_storage(spark):
+    assert FO.fits_at_once(spark, 10_000, 12, 4) == (4, True)
+    assert FO.fits_at_once(spark, 10 ** 12, 12, 4) == (1, False)
+
+
 def test_out_of_fold_scores(spark, rows):
     make = lambda n: TR.model_catalogue(n, "y", FO.WEIGHT)["logistic"]
     oof, test, folds = FO.out_of_fold(rows, SPEC, "y", ["id"], "fold", make)
